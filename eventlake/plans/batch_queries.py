@@ -34,28 +34,30 @@ def raw_lake(spark: SparkSession, sf_dir: str) -> str:
 
 
 # ---------------------------------------------------------------- flagship
-P95_SQL = f"""
-WITH {EV},
+# CTE chain of the flagship; ``res`` is the result table
+P95_CTES = f"""{EV},
 {CLEAN_Y},
 v AS (
   SELECT device_type, event_date FROM y GROUP BY device_type, event_date
   HAVING count(DISTINCT (device_id, "timestamp")) >= {ORACLE_MIN_EVENTS}
-)
-SELECT device_type, event_date,
-       {r3('quantile_disc(event_duration, 0.95)')} AS percentile_95th,
-       {r3('quantile_disc(event_duration, 0.5)')} AS percentile_50th,
-       {r3('quantile_disc(event_duration, 0.75)')} AS percentile_75th,
-       {r3('quantile_disc(event_duration, 0.25)')} AS percentile_25th,
-       {r3('avg(event_duration)')} AS mean_event_duration,
-       {r3('stddev_samp(event_duration)')} AS stddev_event_duration,
-       count(event_duration) AS total_events,
-       count(DISTINCT device_id) AS unique_devices,
-       TIMESTAMP '{AS_OF}' AS computation_timestamp,
-       '3_standard_deviations' AS outlier_method,
-       {ORACLE_MIN_EVENTS} AS min_events_threshold
-FROM y JOIN v USING (device_type, event_date)
-GROUP BY device_type, event_date
-"""
+),
+res AS (
+  SELECT device_type, event_date,
+         {r3('quantile_disc(event_duration, 0.95)')} AS percentile_95th,
+         {r3('quantile_disc(event_duration, 0.5)')} AS percentile_50th,
+         {r3('quantile_disc(event_duration, 0.75)')} AS percentile_75th,
+         {r3('quantile_disc(event_duration, 0.25)')} AS percentile_25th,
+         {r3('avg(event_duration)')} AS mean_event_duration,
+         {r3('stddev_samp(event_duration)')} AS stddev_event_duration,
+         count(event_duration) AS total_events,
+         count(DISTINCT device_id) AS unique_devices,
+         TIMESTAMP '{AS_OF}' AS computation_timestamp,
+         '3_standard_deviations' AS outlier_method,
+         {ORACLE_MIN_EVENTS} AS min_events_threshold
+  FROM y JOIN v USING (device_type, event_date)
+  GROUP BY device_type, event_date
+)"""
+P95_SQL = f"WITH {P95_CTES}\nSELECT * FROM res"
 
 P95_DOUBLES = ("percentile_95th", "percentile_50th", "percentile_75th", "percentile_25th",
                "mean_event_duration", "stddev_event_duration")

@@ -12,17 +12,22 @@ from eventlake.schema import TIME_PARTS
 FORMATS = ("parquet", "csv", "json")
 
 
-def write_result(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = True) -> None:
+def write_result(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = True,
+                 sort_by: tuple[str, ...] | None = None) -> None:
     """Overwrite ``path`` with a result in ``fmt`` (parquet/snappy, csv with
     header, json lines).
 
-    ``single_file`` coalesces to one task: only for results whose size is
-    bounded by (device types x days), never for event data.
+    ``single_file`` moves the rows to one task with a one-partition shuffle
+    (not ``coalesce(1)``, which would pull the upstream aggregation into that
+    task too) and sorts there; only for results whose size is bounded by
+    (device types x days), never for event data.
     """
     fmt = fmt.lower()
     if fmt not in FORMATS:
         raise ValueError(f"Unsupported output format: {fmt}")
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
+    if sort_by:
+        out = out.sortWithinPartitions(*sort_by)
     w = out.write.mode("overwrite")
     if fmt == "parquet":
         w.option("compression", "snappy").parquet(path)
