@@ -241,11 +241,14 @@ def q_dq_flags(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- windows
-def _window_sql(interval: str) -> str:
-    return f"""
-WITH {EV},
+def window_ctes(interval: str, source: str = "qev", extra: str = "") -> str:
+    """CTE chain ending in ``agg``: the window aggregate of ``source`` rows
+    (``extra`` CTEs are placed after ``qev``)."""
+    extra = f"{extra},\n" if extra else ""
+    return f"""{EV},
 {QEV},
-w AS (SELECT time_bucket(INTERVAL '{interval}', "timestamp") AS window_start, * FROM qev)
+{extra}w AS (SELECT time_bucket(INTERVAL '{interval}', "timestamp") AS window_start, * FROM {source}),
+agg AS (
 SELECT window_start, window_start + INTERVAL '{interval}' AS window_end, device_id, device_type, location, unit,
        avg(value) AS avg_value, count(value) AS event_count, min(value) AS min_value, max(value) AS max_value,
        stddev_samp(value) AS stddev_value, avg(event_duration) AS avg_event_duration,
@@ -254,7 +257,11 @@ SELECT window_start, window_start + INTERVAL '{interval}' AS window_end, device_
        CAST(year(window_start) AS INTEGER) AS year, CAST(month(window_start) AS INTEGER) AS month,
        CAST(day(window_start) AS INTEGER) AS day, CAST(hour(window_start) AS INTEGER) AS hour
 FROM w GROUP BY window_start, device_id, device_type, location, unit
-"""
+)"""
+
+
+def _window_sql(interval: str) -> str:
+    return f"WITH {window_ctes(interval)}\nSELECT * FROM agg"
 
 
 WINDOW_DOUBLES = ("avg_value", "min_value", "max_value", "stddev_value", "avg_event_duration",
