@@ -47,16 +47,34 @@ def percentile_name(p: float) -> str:
     return f"percentile_{int(round(p * 100))}th"
 
 
+def group_counts(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, approx: bool = False) -> DataFrame:
+    """Distinct devices and distinct events per group, in one aggregate of
+    plain hash aggregations (no per-key object buffers)."""
+    return df.groupBy(*by).agg(
+        F.count_distinct(F.col("device_id")).alias("unique_devices"),
+        _distinct_events_expr(approx).alias("distinct_events"),
+    )
+
+
 def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequence[float] = PERCENTILE_PROBS,
                 exact: bool = False, accuracy: int = 10000, col: str = "event_duration",
-                digits: int | None = 3) -> DataFrame:
+                digits: int | None = 3, with_distinct_events: bool = False,
+                approx_distinct: bool = False) -> DataFrame:
     """Per group: percentiles of ``col``, mean, sample stddev, count and
-    distinct devices.
-
-    Default is one ``percentile_approx`` sketch per group for all
-    probabilities (mergeable, partial aggregation: a hot group does not pile
-    up in one task). ``exact=True`` uses ``percentile``, which buffers every
-    value of a group in one task: only for bounded groups.
+    distinct devices (with ``with_distinct_events`` also the distinct
+    (device_id, timestamp) count).
+
+    Two aggregates joined on the group key:
+    * the summary: one ``percentile_approx`` sketch per group for all
+      probabilities plus moments; keyed by the group only, so each task ships
+      one sketch per group and a hot group does not pile up in one task.
+      ``exact=True`` uses ``percentile``, which buffers every value of a group
+      in one task: only for bounded groups;
+    * the distinct counts (``group_counts``): plain hash aggregates keyed by
+      the distinct columns, so copies collapse map-side.
+    Putting a distinct count next to the sketch would key the sketch by the
+    distinct column too (one sketch per device or per event). Both sides come
+    out hash-partitioned on the group key, so the join adds no exchange.
     """
     x = F.col(col)
     probs = list(probs)
@@ -66,8 +84,8 @@ def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequenc
         F.avg(x).alias("mean_event_duration"),
         F.stddev_samp(x).alias("stddev_event_duration"),
         F.count(x).alias("total_events"),
-        F.count_distinct(F.col("device_id")).alias("unique_devices"),
     )
+    agg = agg.join(group_counts(df, by, approx_distinct), on=list(by), how="inner")
 
     def rnd(c: Column) -> Column:
         return c if digits is None else round_half_up(c, digits)
@@ -79,6 +97,7 @@ def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequenc
         rnd(F.col("stddev_event_duration")).alias("stddev_event_duration"),
         "total_events",
         "unique_devices",
+        *(["distinct_events"] if with_distinct_events else []),
     )
 
 
@@ -99,23 +118,28 @@ def percentile_report(events: DataFrame, by: Sequence[str] = DEFAULT_GROUP, min_
     """The batch query: clean -> drop 3-sigma outliers -> keep groups with at
     least ``min_events`` distinct events -> percentile summary per group.
 
-    Plan: one partial aggregate for the group statistics (broadcast back to
-    the rows), then two partial aggregates over the outlier-free rows - the
-    distinct-event count and the percentile summary - joined on the group key.
-    Both sides come out of aggregates hash-partitioned on that key, so the
-    join adds no exchange, and keeping a group is a filter on its summary row
-    rather than a second pass over the events. By default the distinct events
-    are counted after outlier removal; ``count_before_outliers`` counts them
-    on the cleaned rows instead.
+    Plan: pass 1 is a partial aggregate of the group statistics,
+    materialised and broadcast back to the rows (size checked). Over the
+    outlier-free rows, the percentile summary and the distinct counts are two
+    aggregates joined on the group key (see ``percentiles``); keeping a group
+    is then a filter on its summary row (HAVING), not a join of the events
+    with the kept groups. With ``count_before_outliers`` the distinct events
+    are counted on the cleaned rows instead.
     """
     cleaned = prepare(events)
     clean = remove_outliers(cleaned, by, sigma)
-    counted = cleaned if count_before_outliers else clean
-    counts = distinct_events(counted, by, approx_distinct).filter(F.col("distinct_events") >= min_events)
-    summary = percentiles(clean, by, probs, exact, digits=digits)
-    out = summary.join(counts, on=list(by), how="inner").drop("distinct_events")
+    if count_before_outliers:
+        counts = distinct_events(cleaned, by, approx_distinct)
+        summary = percentiles(clean, by, probs, exact, digits=digits, approx_distinct=approx_distinct).join(
+            counts, on=list(by), how="inner")
+    else:
+        summary = percentiles(clean, by, probs, exact, digits=digits, with_distinct_events=True,
+                              approx_distinct=approx_distinct)
+    out = summary.filter(F.col("distinct_events") >= min_events).drop("distinct_events")
     out = with_run_metadata(out, min_events, as_of)
-    return out.orderBy(*by) if sort else out
+    # the result has one row per group (types x days): sort it in one task
+    # instead of a range shuffle whose sampling pass would rerun the plan
+    return out.repartition(1).sortWithinPartitions(*by) if sort else out
 
 
 def group_size_distribution(counts: DataFrame, col: str = "distinct_events") -> DataFrame:

@@ -51,24 +51,26 @@ class BatchRun:
 
 
 def percentile_plan(events: DataFrame, cfg: BatchConfig, by=DEFAULT_GROUP) -> tuple[DataFrame, dict[str, Observation]]:
-    """The observed plan. Observations sit on nodes that run on one path:
-    the scan and the statistics are consumed by the (persisted) statistics
-    job first, the group counts and the summary once each."""
-    obs = {k: Observation(f"{k}_{id(events)}") for k in ("input", "stats", "summary", "groups")}
+    """The observed plan (the same as ``percentile_report``). Observations
+    sit on nodes that run on one path: the scan and the statistics are
+    consumed first by the (persisted) statistics job, the per-group summary
+    once by the result."""
+    obs = {k: Observation(f"{k}_{id(events)}") for k in ("input", "stats", "summary")}
     events = events.observe(obs["input"], F.count(F.lit(1)).alias("input_rows"))
     cleaned = prepare(events)
     stats = daily_bounds(cleaned, by, cfg.sigma).observe(
         obs["stats"], F.sum("daily_count").alias("cleaned_rows"))
-    flagged = flag_outliers(cleaned, stats, by)
-    clean = flagged.filter(~F.col("is_outlier")).select(*cleaned.columns)
-    counted = cleaned if cfg.count_before_outliers else clean
-    counts = distinct_events(counted, by).observe(
-        obs["groups"], F.count(F.lit(1)).alias("type_days"),
+    clean = flag_outliers(cleaned, stats, by).filter(~F.col("is_outlier")).select(*cleaned.columns)
+    if cfg.count_before_outliers:
+        counts = distinct_events(cleaned, by)
+        summary = percentiles(clean, by, exact=cfg.exact).join(counts, on=list(by), how="inner")
+    else:
+        summary = percentiles(clean, by, exact=cfg.exact, with_distinct_events=True)
+    summary = summary.observe(
+        obs["summary"], F.sum("total_events").alias("rows_after_outliers"),
+        F.count(F.lit(1)).alias("type_days"),
         F.count_if(F.col("distinct_events") >= cfg.min_events).alias("type_days_kept"))
-    summary = percentiles(clean, by, exact=cfg.exact).observe(
-        obs["summary"], F.sum("total_events").alias("rows_after_outliers"))
-    kept = counts.filter(F.col("distinct_events") >= cfg.min_events)
-    result = summary.join(kept, on=list(by), how="inner").drop("distinct_events")
+    result = summary.filter(F.col("distinct_events") >= cfg.min_events).drop("distinct_events")
     result = with_run_metadata(result, cfg.min_events, cfg.as_of)
     return result, obs
 

@@ -18,7 +18,7 @@ from eventlake.schema import EVENTS_TABLE_SCHEMA, WATERMARK
 from eventlake.session import shared_path
 from eventlake.sources.adapters import device_events, read_events_table
 from eventlake.sources.files import file_stream
-from eventlake.streaming.sinks import stream_parquet
+from eventlake.streaming.sinks import state_partitions, stream_parquet
 from eventlake.streaming.stream_job import raw_output
 
 
@@ -38,7 +38,9 @@ def drain(df: DataFrame, name: str, parts=None) -> tuple[str, str]:
     Parquet folder; returns (output, checkpoint)."""
     spark = df.sparkSession
     out, ck = shared_path(spark, "streams", name, "out"), shared_path(spark, "streams", name, "ck")
-    run_to_end(stream_parquet(df, out, ck, parts=parts, available_now=True))
+    with state_partitions(spark):
+        query = stream_parquet(df, out, ck, parts=parts, available_now=True)
+    run_to_end(query)
     return out, ck
 
 
@@ -56,7 +58,7 @@ def q_minute_window_stream(spark, sf_dir):
     watermark, append mode: windows are emitted once the watermark passes
     their end, so the last ~2 minutes stay open."""
     agg = windows.minute_agg(quality_events(event_stream(spark, sf_dir)), watermark=WATERMARK)
-    out, _ = drain(agg, "minute_window")
+    out, _ = drain(agg, "minute_window", parts=())
     return spark.read.parquet(out)
 
 
@@ -112,7 +114,9 @@ def q_late_data_stream(spark, sf_dir):
         batch.write.mode("overwrite").parquet(f"{inbox}/batch={i}")
         stream = device_events(file_stream(spark, inbox, EVENTS_TABLE_SCHEMA))
         agg = windows.minute_agg(quality_events(stream), watermark=WATERMARK)
-        run_to_end(stream_parquet(agg, out, ck, available_now=True))
+        with state_partitions(spark):
+            query = stream_parquet(agg, out, ck, parts=(), available_now=True)
+        run_to_end(query)
     return spark.read.parquet(out)
 
 

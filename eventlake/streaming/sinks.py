@@ -5,14 +5,33 @@ skips rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.schema import TIME_PARTS, TRIGGER
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[int]:
+    """Shuffle partitions for a stateful stream while it starts.
+
+    Streaming has no AQE and the first checkpoint freezes the number of state
+    partitions, so size it for the keys held in state (devices x open
+    windows), by default the cluster's parallelism, instead of inheriting
+    whatever the batch default is. The session value is restored after.
+    """
+    n = int(n or spark.sparkContext.defaultParallelism)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _trigger(writer, trigger: str | None, available_now: bool):
     if available_now:
         return writer.trigger(availableNow=True)
