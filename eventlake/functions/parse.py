@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from eventlake.schema import EVENT_SCHEMA
 
@@ -24,19 +24,32 @@ def parse_iso(c: Column | str) -> Column:
 def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corrupt: bool = True) -> DataFrame:
     """Kafka envelope -> one column per event field plus Kafka coordinates.
 
-    Malformed JSON does not fail the query: its fields come out null and, with
-    ``keep_corrupt``, the raw text is kept in ``_corrupt_record`` so the quality
-    rules can name the reason.
+    Malformed JSON does not fail the query: its fields come out null and the
+    raw text is kept in ``_corrupt_record`` so the quality rules can name the
+    reason. Integer fields accept integral numbers written as floats (``50.0``
+    -> 50); a fractional value (``50.5``) marks the record malformed.
     """
-    parse_schema = StructType(list(schema.fields) + [StructField(CORRUPT_COLUMN, StringType(), True)])
+    int_fields = [f.name for f in schema.fields if isinstance(f.dataType, (IntegerType, LongType))]
+    wide = [StructField(f.name, DoubleType(), True) if f.name in int_fields else f for f in schema.fields]
+    parse_schema = StructType(wide + [StructField(CORRUPT_COLUMN, StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     payload = F.col("value").cast("string")
     out = df.select(
         F.from_json(payload, parse_schema, options).alias("data"),
+        payload.alias("_payload"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("partition"),
         F.col("offset"),
-    ).select("data.*", "kafka_timestamp", "partition", "offset")
+    ).select("data.*", "_payload", "kafka_timestamp", "partition", "offset")
+    fractional = F.lit(False)
+    for name in int_fields:
+        d = F.col(name)
+        fractional = fractional | F.coalesce(d != F.floor(d), F.lit(False))
+    out = out.withColumn(CORRUPT_COLUMN, F.when(fractional, F.coalesce(F.col(CORRUPT_COLUMN), F.col("_payload")))
+                         .otherwise(F.col(CORRUPT_COLUMN))).drop("_payload")
+    for name in int_fields:
+        d = F.col(name)
+        out = out.withColumn(name, F.when(d == F.floor(d), d.try_cast(schema[name].dataType.simpleString())))
     if "timestamp" in schema.fieldNames() and isinstance(schema["timestamp"].dataType, StringType):
         out = out.withColumn("timestamp", parse_iso("timestamp"))
     if not keep_corrupt:
