@@ -37,6 +37,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+# Settings for a large cluster (100 TB of events): many initial shuffle
+# partitions that AQE coalesces to ~128 MB, skew splitting for hot keys,
+# 256 MB scan splits, RocksDB for streaming state (keeps state off-heap, so
+# open windows x devices do not pressure executor heaps).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Apply ``CLUSTER_CONF`` for keys the deployment has not set itself."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        try:
+            if spark.conf.get(k, None) in (None, ""):
+                spark.conf.set(k, v)
+        except Exception:  # static configuration: must come from spark-submit
+            pass
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Event times are UTC instants; make day/hour extraction agree with that."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":

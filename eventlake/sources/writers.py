@@ -67,3 +67,30 @@ def to_json_edge(df: DataFrame) -> DataFrame:
 def write_history(df: DataFrame, path: str, time_col: str = "timestamp") -> None:
     """Hourly JSON history: one folder per ``year/month/day/hour``."""
     write_partitioned(to_json_edge(with_time_parts(df, time_col)), path, time_col, fmt="json", mode="append")
+
+
+def compact_day(spark, lake: str, day: str, out: str, target_file_mb: int = 256, mode: str = "overwrite") -> None:
+    """Rewrite one day of the raw lake into fewer, larger files (streams with
+    short triggers leave many small files per hour folder).
+
+    The day is read with partition pruning and its size taken from one
+    content summary of the day folder; rows are spread round-robin over
+    ``size / target`` tasks, so no key is involved and a hot hour or device
+    cannot skew the rewrite. The output goes to a new path; switching readers
+    over is the caller's step.
+    """
+    from eventlake.functions.timeparts import day_predicate
+
+    y, m, d = (int(x) for x in day.split("-"))
+    size = folder_bytes(spark, f"{lake.rstrip('/')}/year={y}/month={m}/day={d}")
+    n = max(1, -(-size // (target_file_mb * 1024 * 1024)))
+    df = spark.read.parquet(lake).filter(day_predicate(day, "timestamp", partitioned=True))
+    df.repartition(int(n)).sortWithinPartitions(*TIME_PARTS).write.mode(mode).partitionBy(*TIME_PARTS).parquet(out)
+
+
+def folder_bytes(spark, path: str) -> int:
+    """Total bytes under a folder (one file-system metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

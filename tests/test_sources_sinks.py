@@ -82,3 +82,29 @@ def test_adapter_shapes(spark):
     assert r.device_id.startswith(r.device_type) and r.signal_strength == -30 - r.battery_level
     assert r.metadata["k"] == str(r.battery_level)
     assert ev.count() == 1000
+
+
+def test_compact_day_keeps_rows(spark, tmp_path):
+    from eventlake.plans.batch_queries import raw_lake
+    from eventlake.sources.writers import compact_day
+
+    lake = raw_lake(spark, SF001)
+    compact_day(spark, lake, "2024-01-15", str(tmp_path / "c"))
+    before = spark.read.parquet(lake).filter("year = 2024 AND month = 1 AND day = 15")
+    after = spark.read.parquet(str(tmp_path / "c"))
+    assert after.count() == before.count() > 0
+    assert rows(after, "device_id", "timestamp") == rows(before, "device_id", "timestamp")
+
+
+def test_cli_batch(spark, tmp_path):
+    from eventlake import cli
+    from eventlake.plans.batch_queries import raw_lake
+
+    out = "file:" + str(tmp_path / "res")
+    assert cli.main(["batch", "--input", "file:" + raw_lake(spark, SF001), "--output", out,
+                     "--min-events", "5", "--format", "csv"]) == 0
+    res = spark.read.option("header", True).csv(out + "/percentile_results.csv")
+    rep = spark.read.option("header", True).csv(out + "/validation_report.csv")
+    assert res.count() > 0 and rep.count() == 10
+    with pytest.raises(ValueError):
+        cli.main(["batch", "--input", "no/scheme", "--output", out])
