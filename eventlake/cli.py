@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from eventlake.plans.batch_job import BatchConfig, run_batch
 from eventlake.schema import MIN_EVENTS, OUTLIER_SIGMA, TRIGGER, WATERMARK, WINDOW_SIZE
-from eventlake.session import apply_cluster_conf, ensure_utc
+from eventlake.session import apply_cluster_conf, ensure_utc, is_local
 from eventlake.sources.objectstore import require_uri, s3a_conf
 from eventlake.streaming.stream_job import StreamConfig, run_stream
 
@@ -28,7 +28,8 @@ def _session(app: str) -> SparkSession:
     for k, v in s3a_conf().items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    apply_cluster_conf(spark)
+    if not is_local(spark):
+        apply_cluster_conf(spark)
     ensure_utc(spark)
     return spark
 

@@ -70,7 +70,7 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _is_local(spark: SparkSession) -> bool:
+def is_local(spark: SparkSession) -> bool:
     try:
         return spark.sparkContext.master.startswith("local")
     except Exception:  # Spark Connect: no SparkContext in the client
@@ -91,7 +91,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect
             root = None
     if not root:
-        if not _is_local(spark):
+        if not is_local(spark):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. an object-store URI)")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
