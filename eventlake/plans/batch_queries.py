@@ -171,8 +171,8 @@ def q_outliers_removed(spark, sf_dir):
 RATE_SQL = f"""
 WITH {EV},
 {CLEAN_Y}
-SELECT count_if(is_outlier) AS outliers, count(*) AS total,
-       CASE WHEN count(*) = 0 THEN NULL ELSE count_if(is_outlier) * 100.0 / count(*) END AS outlier_pct
+SELECT CAST(count_if(is_outlier) AS BIGINT) AS outliers, count(*) AS total,
+       CASE WHEN count(*) = 0 THEN NULL ELSE CAST(count_if(is_outlier) AS BIGINT) * 100.0 / count(*) END AS outlier_pct
 FROM fx
 """
 

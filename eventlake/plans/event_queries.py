@@ -202,14 +202,14 @@ def _reason_sql(mode: str, with_types: bool) -> str:
     req = ["event_duration", "device_type", "device_id", "timestamp", "value"]
     if mode == "strict":
         req += ["location", "unit"]
-    parts = [f"""SELECT 'missing_{c}' AS reason, count_if("{c}" IS NULL) AS failures FROM ev""" for c in req]
-    parts.append(f"""SELECT 'duration_out_of_range', count_if(COALESCE(NOT ({min_rule} AND event_duration <= 3600), FALSE)) FROM ev""")
-    parts.append("""SELECT 'value_nan', count_if(COALESCE(isnan(value), FALSE)) FROM ev""")
-    parts.append("""SELECT 'battery_out_of_range', count_if(COALESCE(NOT (battery_level BETWEEN 0 AND 100), FALSE)) FROM ev""")
-    parts.append("""SELECT 'signal_out_of_range', count_if(COALESCE(NOT (signal_strength BETWEEN -120 AND -30), FALSE)) FROM ev""")
+    parts = [f"""SELECT 'missing_{c}' AS reason, CAST(count_if("{c}" IS NULL) AS BIGINT) AS failures FROM ev""" for c in req]
+    parts.append(f"""SELECT 'duration_out_of_range', CAST(count_if(COALESCE(NOT ({min_rule} AND event_duration <= 3600), FALSE)) AS BIGINT) FROM ev""")
+    parts.append("""SELECT 'value_nan', CAST(count_if(COALESCE(isnan(value), FALSE)) AS BIGINT) FROM ev""")
+    parts.append("""SELECT 'battery_out_of_range', CAST(count_if(COALESCE(NOT (battery_level BETWEEN 0 AND 100), FALSE)) AS BIGINT) FROM ev""")
+    parts.append("""SELECT 'signal_out_of_range', CAST(count_if(COALESCE(NOT (signal_strength BETWEEN -120 AND -30), FALSE)) AS BIGINT) FROM ev""")
     if with_types:
         types = ", ".join(f"'{t}'" for t in DEVICE_TYPES)
-        parts.append(f"""SELECT 'unknown_device_type', count_if(COALESCE(device_type NOT IN ({types}), FALSE)) FROM ev""")
+        parts.append(f"""SELECT 'unknown_device_type', CAST(count_if(COALESCE(device_type NOT IN ({types}), FALSE)) AS BIGINT) FROM ev""")
     union = "\nUNION ALL ".join(parts)
     return f"WITH {EV},\nr AS ({union})\nSELECT reason, failures FROM r WHERE failures > 0"
 
@@ -253,7 +253,7 @@ SELECT window_start, window_start + INTERVAL '{interval}' AS window_end, device_
        avg(value) AS avg_value, count(value) AS event_count, min(value) AS min_value, max(value) AS max_value,
        stddev_samp(value) AS stddev_value, avg(event_duration) AS avg_event_duration,
        avg(battery_level) AS avg_battery_level, avg(signal_strength) AS avg_signal_strength,
-       count_if(NOT is_valid_battery) AS low_battery_count, count_if(NOT is_valid_signal) AS weak_signal_count,
+       CAST(count_if(NOT is_valid_battery) AS BIGINT) AS low_battery_count, CAST(count_if(NOT is_valid_signal) AS BIGINT) AS weak_signal_count,
        CAST(year(window_start) AS INTEGER) AS year, CAST(month(window_start) AS INTEGER) AS month,
        CAST(day(window_start) AS INTEGER) AS day, CAST(hour(window_start) AS INTEGER) AS hour
 FROM w GROUP BY window_start, device_id, device_type, location, unit
@@ -292,7 +292,7 @@ SELECT window_start, window_start + INTERVAL '1 minute' AS window_end, device_id
        CASE WHEN count(value) = 1 THEN 0.0 ELSE stddev_samp(value) END AS stddev_value,
        avg(event_duration) AS avg_event_duration,
        avg(battery_level) AS avg_battery_level, avg(signal_strength) AS avg_signal_strength,
-       count_if(NOT is_valid_battery) AS low_battery_count, count_if(NOT is_valid_signal) AS weak_signal_count,
+       CAST(count_if(NOT is_valid_battery) AS BIGINT) AS low_battery_count, CAST(count_if(NOT is_valid_signal) AS BIGINT) AS weak_signal_count,
        CAST(year(window_start) AS INTEGER) AS year, CAST(month(window_start) AS INTEGER) AS month,
        CAST(day(window_start) AS INTEGER) AS day, CAST(hour(window_start) AS INTEGER) AS hour
 FROM w GROUP BY window_start, device_id

@@ -60,8 +60,8 @@ def q_validation_report(spark, sf_dir):
 STRICT_OK = f"""({LENIENT_VALID} AND event_duration >= 0.1 AND location IS NOT NULL AND unit IS NOT NULL)"""
 CONFORMANCE_SQL = f"""
 WITH {EV}
-SELECT count(*) AS consumed, count_if({STRICT_OK}) AS valid, count_if(NOT {STRICT_OK}) AS invalid,
-       CASE WHEN count(*) = 0 THEN NULL ELSE count_if({STRICT_OK}) * 100.0 / count(*) END AS success_pct,
+SELECT count(*) AS consumed, CAST(count_if({STRICT_OK}) AS BIGINT) AS valid, CAST(count_if(NOT {STRICT_OK}) AS BIGINT) AS invalid,
+       CASE WHEN count(*) = 0 THEN NULL ELSE CAST(count_if({STRICT_OK}) AS BIGINT) * 100.0 / count(*) END AS success_pct,
        COALESCE(string_agg(DISTINCT device_type, ',' ORDER BY device_type) FILTER (WHERE {STRICT_OK}), '')
          AS device_types,
        COALESCE(string_agg(DISTINCT location, ',' ORDER BY location) FILTER (WHERE {STRICT_OK}), '') AS locations
@@ -112,9 +112,9 @@ def q_result_checks(spark, sf_dir):
 EVENT_CHECKS_SQL = f"""
 WITH {EV},
 a AS (SELECT count(DISTINCT device_type) AS n_types, count(DISTINCT location) AS n_locations,
-             count_if(COALESCE(len(json_keys(props)), 0) <= 0) AS empty_metadata,
-             count_if(NOT COALESCE(starts_with(device_id, device_type), FALSE)) AS bad_prefix,
-             count_if(NOT COALESCE(event_duration > 0, FALSE)) AS bad_duration FROM ev)
+             CAST(count_if(COALESCE(len(json_keys(props)), 0) <= 0) AS BIGINT) AS empty_metadata,
+             CAST(count_if(NOT COALESCE(starts_with(device_id, device_type), FALSE)) AS BIGINT) AS bad_prefix,
+             CAST(count_if(NOT COALESCE(event_duration > 0, FALSE)) AS BIGINT) AS bad_duration FROM ev)
 SELECT 'multiple_device_types' AS "check", COALESCE(n_types > 1, FALSE) AS passed,
        'types=' || {_s('n_types')} AS detail FROM a
 UNION ALL SELECT 'multiple_locations', COALESCE(n_locations > 1, FALSE), 'locations=' || {_s('n_locations')} FROM a
@@ -134,7 +134,7 @@ def q_event_checks(spark, sf_dir):
 FRESH_AS_OF = "2024-01-31 00:00:00"
 FRESHNESS_SQL = f"""
 WITH {EV},
-a AS (SELECT max("timestamp") AS newest_event, count(*) AS events, count_if(NOT ({LENIENT_VALID})) AS rejected FROM ev),
+a AS (SELECT max("timestamp") AS newest_event, count(*) AS events, CAST(count_if(NOT ({LENIENT_VALID})) AS BIGINT) AS rejected FROM ev),
 b AS (SELECT newest_event, (epoch_us(TIMESTAMP '{FRESH_AS_OF}') - epoch_us(newest_event)) / 1000000.0 AS age_s,
              events, rejected, CASE WHEN events = 0 THEN NULL ELSE rejected * 1.0 / events END AS error_rate FROM a)
 SELECT *, COALESCE(age_s <= 300, FALSE) AS fresh, COALESCE(error_rate <= 0.1, TRUE) AS error_ok,
@@ -199,7 +199,7 @@ LAG_AS_OF = "2024-01-15 00:00:00"
 LAG_SQL = f"""
 SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", max(event_id) AS latest_offset,
        max(event_id) FILTER (WHERE ts <= TIMESTAMP '{LAG_AS_OF}') AS committed_offset,
-       count_if(ts > TIMESTAMP '{LAG_AS_OF}') AS lag
+       CAST(count_if(ts > TIMESTAMP '{LAG_AS_OF}') AS BIGINT) AS lag
 FROM events GROUP BY 1, 2
 """
 
@@ -249,8 +249,8 @@ def q_failure_rate(spark, sf_dir):
 
 ERROR_RATIO_SQL = f"""
 WITH {EV}
-SELECT device_type, count_if(NOT ({LENIENT_VALID})) AS errors, count(*) AS total,
-       CASE WHEN count(*) = 0 THEN NULL ELSE count_if(NOT ({LENIENT_VALID})) * 1.0 / count(*) END AS error_ratio
+SELECT device_type, CAST(count_if(NOT ({LENIENT_VALID})) AS BIGINT) AS errors, count(*) AS total,
+       CASE WHEN count(*) = 0 THEN NULL ELSE CAST(count_if(NOT ({LENIENT_VALID})) AS BIGINT) * 1.0 / count(*) END AS error_ratio
 FROM ev GROUP BY device_type
 """
 
@@ -294,7 +294,7 @@ WITH {P95_CTES},
 g AS (SELECT device_type, event_date FROM y GROUP BY device_type, event_date)
 SELECT 'input_rows' AS stage, CAST((SELECT count(*) FROM events) AS BIGINT) AS "rows"
 UNION ALL SELECT 'cleaned_rows', CAST((SELECT count(*) FROM x) AS BIGINT)
-UNION ALL SELECT 'outliers', CAST((SELECT count_if(is_outlier) FROM fx) AS BIGINT)
+UNION ALL SELECT 'outliers', CAST((SELECT CAST(count_if(is_outlier) AS BIGINT) FROM fx) AS BIGINT)
 UNION ALL SELECT 'rows_after_outliers', CAST((SELECT count(*) FROM y) AS BIGINT)
 UNION ALL SELECT 'type_days', CAST((SELECT count(*) FROM g) AS BIGINT)
 UNION ALL SELECT 'type_days_kept', CAST((SELECT count(*) FROM v) AS BIGINT)

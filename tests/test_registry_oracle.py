@@ -12,6 +12,8 @@ from eventlake.plans.registry import oracle_text
 from tests.conftest import SF01
 
 KEYS = sorted(entry.queries())
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
 def test_entry_smoke(spark):
@@ -36,8 +38,13 @@ def test_query_matches_oracle(spark, registry, con, key):
     sdf = entry.queries()[key](spark, SF01)
     doubles = {f.name for f in sdf.schema.fields if isinstance(f.dataType, DoubleType)}
     assert doubles == set(registry[key].doubles), "declared double columns must be rounded on both sides"
+    rel = con.sql(oracle_text(registry[key]))
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    assert spark_types == duck_types
     spark_pdf = sdf.toPandas()
-    oracle_pdf = con.sql(oracle_text(registry[key])).df()
+    oracle_pdf = rel.df()
     assert sorted(spark_pdf.columns) == sorted(oracle_pdf.columns)
     assert len(spark_pdf) == len(oracle_pdf)
     assert rows_of(spark_pdf) == rows_of(oracle_pdf)
