@@ -22,10 +22,17 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LAKES: dict[tuple[str, str], str] = {}
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def raw_lake(spark: SparkSession, sf_dir: str) -> str:
     """The events table written once per application as the hourly
     partitioned raw lake (the layout the stream sink produces)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     if key not in _LAKES:
         path = shared_path(spark, "lake")
         write_partitioned(events(spark, sf_dir), path)

@@ -23,7 +23,12 @@ def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[int]
     windows), by default the cluster's parallelism, instead of inheriting
     whatever the batch default is. The session value is restored after.
     """
-    n = int(n or spark.sparkContext.defaultParallelism)
+    if not n:
+        try:
+            n = spark.sparkContext.defaultParallelism
+        except Exception:  # Spark Connect: take the batch default
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(n)
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     try:

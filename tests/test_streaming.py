@@ -94,3 +94,35 @@ def test_memory_sink_and_graceful_stop(spark, tmp_path):
     q.awaitTermination()
     assert spark.table("eventlake_mem_test").count() == 1
     assert stop_gracefully(q, 10)
+
+
+def test_stream_job_two_queries_from_kafka_records(spark, tmp_path):
+    """The raw-lake query and the aggregate query started from one
+    parsed Kafka stream (file-backed stand-in for the topic)."""
+    import time
+
+    from eventlake.sources.adapters import kafka_records, read_events_table
+    from eventlake.streaming.progress import attach, progress_frame
+    from eventlake.streaming.stream_job import StreamConfig, start_queries
+    from tests.conftest import SF001
+
+    recs = kafka_records(read_events_table(spark, SF001))
+    recs.write.parquet(str(tmp_path / "topic" / "batch=0"))
+    stream = spark.readStream.schema(recs.schema).parquet(str(tmp_path / "topic"))
+    collector = attach(spark)
+    cfg = StreamConfig(str(tmp_path / "lake"), str(tmp_path / "ck"), available_now=True, state_partitions=4)
+    raw_q, agg_q = start_queries(spark, stream, cfg)
+    for q in (raw_q, agg_q):
+        q.awaitTermination()
+        assert q.exception() is None
+    raw = spark.read.parquet(str(tmp_path / "lake" / "raw"))
+    agg = spark.read.parquet(str(tmp_path / "lake" / "aggregated"))
+    assert raw.count() == 921  # valid rows of sf0.001 under the lenient rules (DuckDB count)
+    assert {"year", "month", "day", "hour", "processing_timestamp", "is_valid_battery"} <= set(raw.columns)
+    assert agg.count() > 0 and agg.agg({"event_count": "sum"}).first()[0] <= 921
+    deadline = time.time() + 15
+    while time.time() < deadline and len(collector.reports()) < 2:
+        time.sleep(0.5)
+    spark.streams.removeListener(collector)
+    pf = progress_frame(spark, collector.reports())
+    assert pf.filter("num_input_rows > 0").count() >= 2
