@@ -11,21 +11,32 @@ KEYS = ("device_id", "timestamp")
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = KEYS, watermark: str | None = None, time_col: str = "timestamp",
-          order_by: Sequence[str] | None = ("offset",)) -> DataFrame:
-    """One row per key.
-
-    Stream (``watermark`` set): ``dropDuplicatesWithinWatermark`` keeps the
-    first copy seen and forgets a key once the watermark passes it, so state
-    stays bounded. Batch: the copy with the lowest ``order_by`` (first
-    delivered) is kept; ``min_by`` is a partial aggregate, so a key with
-    millions of copies collapses map-side to one row per task.
+          order_by: Sequence[str] | None = ("offset",), emit: str = "on_watermark") -> DataFrame:
+    """One row per key: the first delivered copy (lowest ``order_by``).
+
+    Batch: a ``min_by`` partial aggregate, so a key with millions of copies
+    collapses map-side to one row per task before the shuffle.
+
+    Stream (``watermark`` set; ``time_col`` must be one of ``keys``):
+    * ``emit="on_watermark"`` (default): the same partial aggregate as a
+      stateful aggregation keyed by the event time; a key is emitted once the
+      watermark passes it and its state is dropped. Hot keys are combined
+      before the shuffle.
+    * ``emit="immediately"``: ``dropDuplicatesWithinWatermark``; the first copy
+      is emitted in the batch it arrives, but every copy is shuffled to the
+      key's task (no map-side combine).
     """
-    if watermark:
-        return df.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(list(keys))
     order = [c for c in (order_by or ()) if c in df.columns]
-    if not order:
+    if watermark:
+        df = df.withWatermark(time_col, watermark)
+        if emit == "immediately" or not order:
+            return df.dropDuplicatesWithinWatermark(list(keys))
+        if emit != "on_watermark":
+            raise ValueError("emit must be 'on_watermark' or 'immediately'")
+        if time_col not in keys:
+            raise ValueError(f"{time_col} must be a key for emit='on_watermark'")
+    elif not order:
         return df.dropDuplicates(list(keys))
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)

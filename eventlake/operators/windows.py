@@ -36,11 +36,11 @@ def _ensure_flags(df: DataFrame) -> DataFrame:
 
 
 def _arrival_order(df: DataFrame, time_col: str) -> Column:
-    """Order in which events were seen: event time, then Kafka offset."""
-    parts = [F.col(time_col)]
-    if "offset" in df.columns:
-        parts.append(F.col("offset"))
-    return F.struct(*parts)
+    """Order in which events were received: Kafka time then offset when the
+    rows carry them (a device's events share one partition, so the offset
+    orders them), otherwise event time."""
+    parts = [F.col(c) for c in ("kafka_timestamp", "offset") if c in df.columns]
+    return F.struct(*(parts or [F.col(time_col)]))
 
 
 def _window_measures(single_row_stddev: str) -> list[Column]:
@@ -81,8 +81,8 @@ def minute_agg(df: DataFrame, size: str = WINDOW_SIZE, watermark: str | None = N
 def minute_agg_by_device(df: DataFrame, size: str = WINDOW_SIZE, watermark: str | None = None,
                          single_row_stddev: str = "zero", time_col: str = "timestamp") -> DataFrame:
     """Window aggregate keyed by (window, device_id) only; device type,
-    location and unit come from the first event of the window (earliest
-    event time, then lowest offset), so the result is deterministic."""
+    location and unit come from the first event received in the window
+    (``min_by`` over arrival order), so the result is deterministic."""
     df = _ensure_flags(df)
     if watermark:
         df = df.withWatermark(time_col, watermark)
@@ -103,7 +103,7 @@ def minute_agg_by_device(df: DataFrame, size: str = WINDOW_SIZE, watermark: str
 def hourly_agg(df: DataFrame, time_col: str = "timestamp", watermark: str | None = None) -> DataFrame:
     """Hourly aggregate per (hour, device_id): count/avg/min/max of value,
     averages of duration, battery and signal; attributes from the first
-    event; ``window_end`` is the inclusive label HH:59:59."""
+    event received; ``window_end`` is the inclusive label HH:59:59."""
     if watermark:
         df = df.withWatermark(time_col, watermark)
     first = F.min_by(F.struct(*DEVICE_ATTRS), _arrival_order(df, time_col)).alias("_first")

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators import dedup, windows
 from eventlake.operators.quality import quality_events
-from eventlake.plans.event_queries import DEDUP_SQL, WINDOW_DOUBLES, window_ctes
+from eventlake.plans.event_queries import DEDUP_BODY, WINDOW_DOUBLES, window_ctes
 from eventlake.plans.registry import register
 from eventlake.plans.sqlparts import EV, QEV
 from eventlake.schema import EVENTS_TABLE_SCHEMA, WATERMARK
@@ -121,11 +121,20 @@ def q_late_data_stream(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- dedup
-@register("dedup_stream", DEDUP_SQL, ("value",))
+DEDUP_STREAM_SQL = f"""
+WITH {EV},
+d AS ({DEDUP_BODY})
+SELECT * FROM d
+WHERE "timestamp" <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM ev) - INTERVAL '2 minutes'
+"""
+
+
+@register("dedup_stream", DEDUP_STREAM_SQL, ("value",))
 def q_dedup_stream(spark, sf_dir):
-    """W8 (stream): ``dropDuplicatesWithinWatermark`` on (device_id,
-    timestamp); first copies are emitted at once, state is bounded by the
-    watermark."""
+    """W8 (stream): first delivered copy per (device_id, timestamp) as a
+    stateful partial aggregate keyed by the event time: copies of a hot key
+    combine before the shuffle, and a key is emitted (and its state dropped)
+    once the 2-minute watermark passes it."""
     s = event_stream(spark, sf_dir).select("device_id", "timestamp", "offset", "value")
     out, _ = drain(dedup.dedup(s, watermark=WATERMARK), "dedup", parts=())
     return spark.read.parquet(out)

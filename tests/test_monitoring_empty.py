@@ -88,7 +88,13 @@ def test_single_row_stddev(spark, stddev_mode, expected):
 
 
 def test_minute_by_device_first_attributes(spark):
-    df = events_df(spark, [event(location="late_room", timestamp="2025-01-01 10:00:30", offset=5),
-                           event(location="first_room", timestamp="2025-01-01 10:00:10", offset=9)])
+    # arrival (offset) order decides, not event time
+    df = events_df(spark, [event(location="first_room", value=1.0, timestamp="2025-01-01 10:00:30", offset=5),
+                           event(location="late_room", timestamp="2025-01-01 10:00:10", offset=9)])
     r = windows.minute_agg_by_device(df).collect()[0]
-    assert r.location == "first_room" and r.event_count == 2 and r.stddev_value == 0.0
+    assert r.location == "first_room" and r.event_count == 2 and r.stddev_value > 0
+    one = windows.minute_agg_by_device(events_df(spark, [event()])).collect()[0]
+    assert one.stddev_value == 0.0
+    # without Kafka coordinates, event time decides
+    r2 = windows.minute_agg_by_device(df.drop("offset")).collect()[0]
+    assert r2.location == "late_room"

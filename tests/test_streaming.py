@@ -63,13 +63,25 @@ def test_restart_no_duplicates_no_gaps(spark, tmp_path):
 
 
 def test_dedup_within_watermark(spark, tmp_path):
-    inbox, out, ck = tmp_path / "in", tmp_path / "out", tmp_path / "ck"
+    inbox = tmp_path / "in"
     _drop(spark, inbox, 0, ["2025-01-01 10:00:00", "2025-01-01 10:00:00", "2025-01-01 10:00:05"], start=0)
     _drop(spark, inbox, 1, ["2025-01-01 10:00:05", "2025-01-01 10:01:00"], start=10)
+    _drop(spark, inbox, 2, ["2025-01-01 10:10:00"], start=20)
     s = _stream(spark, inbox).select("device_id", "timestamp", "offset")
-    _run(dedup.dedup(s, watermark="2 minutes"), out, ck, parts=())
-    got = rows(spark.read.parquet(str(out)), "timestamp")
-    assert [str(t[0])[11:] for t in got] == ["10:00:00", "10:00:05", "10:01:00"]
+    # emitted at once, first copy per key
+    _run(dedup.dedup(s, watermark="2 minutes", emit="immediately"), tmp_path / "o1", tmp_path / "c1", parts=())
+    got = rows(spark.read.parquet(str(tmp_path / "o1")), "timestamp")
+    assert [str(t[0])[11:] for t in got] == ["10:00:00", "10:00:05", "10:01:00", "10:10:00"]
+    # combined before the shuffle, emitted when the watermark (10:08) passes the key
+    _run(dedup.dedup(s, watermark="2 minutes"), tmp_path / "o2", tmp_path / "c2", parts=())
+    got = rows(spark.read.parquet(str(tmp_path / "o2")), "timestamp", "offset")
+    assert [(str(t)[11:], o) for t, o in got] == [("10:00:00", 0), ("10:00:05", 2), ("10:01:00", 11)]
+
+
+def test_dedup_batch_keeps_first_copy(spark):
+    df = events_df(spark, [event(value=float(i), timestamp="2025-01-01 10:00:00", offset=10 - i) for i in range(5)])
+    out = dedup.dedup(df).collect()
+    assert len(out) == 1 and out[0].offset == 6 and out[0].value == 4.0
 
 
 def test_batch_equals_stream_for_closed_windows(spark, tmp_path):
