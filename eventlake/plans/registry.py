@@ -54,7 +54,7 @@ def present(df: DataFrame) -> DataFrame:
 def sql_round(expr: str, digits: int = OUTPUT_DIGITS) -> str:
     """SQL text of ``functions.numeric.round_half_up``."""
     scale = f"{10 ** digits}.0"
-    return f"(floor(({expr}) * {scale} + 0.5001) / {scale})"
+    return f"(sign({expr}) * floor(abs({expr}) * {scale} + 0.5001) / {scale})"
 
 
 def oracle_text(q: Query) -> str | None:

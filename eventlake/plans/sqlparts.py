@@ -62,4 +62,4 @@ y AS (SELECT device_type, device_id, "timestamp", event_duration, event_date FRO
 
 def r3(expr: str) -> str:
     """SQL text of ``round_half_up(expr, 3)``."""
-    return f"(floor(({expr}) * 1000.0 + 0.5001) / 1000.0)"
+    return f"(sign({expr}) * floor(abs({expr}) * 1000.0 + 0.5001) / 1000.0)"
