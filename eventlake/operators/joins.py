@@ -4,35 +4,44 @@ The statistics side has one row per group (device type x day), which is tiny
 next to the events, so broadcasting it avoids shuffling the events and avoids
 hot groups: a day of one type may hold a third of all rows, and a shuffle join
 on (type, day) would put that third into one task. The broadcast is only taken
-behind a measured bound: the small side is materialised once (it is computed
-anyway), its rows are counted, and above the bound a shuffle join is used,
-with AQE skew handling splitting hot keys.
+behind a measured bound: the small side is written once as a table in the
+shared checkpoint folder (it has to be computed anyway), read back, and its
+rows counted from the Parquet footers; above the bound a shuffle join is used,
+with AQE skew handling splitting hot keys. The written table cuts the lineage:
+losing an executor later does not re-run the pass over the events.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.session import shared_path
+
 BROADCAST_MAX_ROWS = 2_000_000  # ~100 bytes/row -> at most ~200 MB per executor
-BROADCAST_MAX_BYTES_PER_ROW = 100
 
 
-def bounded_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``small`` (persisted; recomputed from lineage if an executor
-    is lost) and report whether its row count allows a broadcast."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = small.count()
-    return small, rows <= max_rows
+def materialize(small: DataFrame, name: str = "small") -> DataFrame:
+    """Write ``small`` to the shared folder and return it read back."""
+    spark = small.sparkSession
+    path = shared_path(spark, "tables", name)
+    small.write.mode("overwrite").parquet(path)
+    return spark.read.schema(small.schema).parquet(path)
+
+
+def bounded_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, name: str = "small") -> tuple[DataFrame, bool]:
+    """Materialise ``small`` and report whether its row count allows a
+    broadcast."""
+    table = materialize(small, name)
+    return table, table.count() <= max_rows
 
 
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner",
                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``df`` joined with per-group ``stats`` on ``keys``; broadcast when the
     measured size allows it, otherwise a shuffle join."""
-    stats, small_enough = bounded_side(stats, max_rows)
+    stats, small_enough = bounded_side(stats, max_rows, "group_stats")
     right = F.broadcast(stats) if small_enough else stats
     return df.join(right, on=list(keys), how=how)
