@@ -22,7 +22,8 @@ def parse_iso(c: Column | str) -> Column:
 
 
 def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corrupt: bool = True) -> DataFrame:
-    """Kafka envelope -> one column per event field plus Kafka coordinates.
+    """Kafka envelope -> one column per event field plus Kafka coordinates
+    and the UTF-8 record key (``kafka_key``).
 
     Malformed JSON does not fail the query: its fields come out null and the
     raw text is kept in ``_corrupt_record`` so the quality rules can name the
@@ -34,13 +35,15 @@ def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corr
     parse_schema = StructType(wide + [StructField(CORRUPT_COLUMN, StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     payload = F.col("value").cast("string")
+    key = F.col("key").cast("string") if "key" in df.columns else F.lit(None).cast("string")
     out = df.select(
         F.from_json(payload, parse_schema, options).alias("data"),
         payload.alias("_payload"),
+        key.alias("kafka_key"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("partition"),
         F.col("offset"),
-    ).select("data.*", "_payload", "kafka_timestamp", "partition", "offset")
+    ).select("data.*", "_payload", "kafka_key", "kafka_timestamp", "partition", "offset")
     fractional = F.lit(False)
     for name in int_fields:
         d = F.col(name)

@@ -32,7 +32,7 @@ PARSE_SQL = f"""
 WITH {EV}
 SELECT event_duration, device_type, device_id, "timestamp", location, value, unit, battery_level,
        signal_strength, json_extract_string(props, '$.k') AS metadata_k,
-       kafka_timestamp, "partition", "offset", CAST(NULL AS VARCHAR) AS _corrupt_record
+       device_id AS kafka_key, kafka_timestamp, "partition", "offset", CAST(NULL AS VARCHAR) AS _corrupt_record
 FROM ev
 """
 
@@ -43,7 +43,7 @@ def q_parse_json(spark, sf_dir):
     coordinates and the corrupt-record column."""
     p = parsed(spark, sf_dir)
     return p.select(*EVENT_FIELDS, F.col("metadata")["k"].alias("metadata_k"),
-                    "kafka_timestamp", "partition", "offset", "_corrupt_record")
+                    "kafka_key", "kafka_timestamp", "partition", "offset", "_corrupt_record")
 
 
 TS_FORMS_SPARK = (

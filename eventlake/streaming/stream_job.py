@@ -42,7 +42,7 @@ class StreamConfig:
 def quality_stream(records: DataFrame, mode: str = "lenient") -> DataFrame:
     """Kafka records -> valid, flagged events with ingest time."""
     return with_ingest_time(quality_events(parse_kafka_json(records, keep_corrupt=True), mode)).drop(
-        "_corrupt_record")
+        "_corrupt_record", "kafka_key")
 
 
 def raw_output(quality: DataFrame) -> DataFrame:
