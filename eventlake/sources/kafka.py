@@ -38,6 +38,18 @@ def kafka_options(
     return opts
 
 
+def kafka_available(spark: SparkSession) -> bool:
+    """Whether the Kafka connector is on the classpath (the data source
+    resolves)."""
+    try:
+        spark.readStream.format("kafka").option("kafka.bootstrap.servers", "localhost:0").option(
+            "subscribe", "_probe").load()
+        return True
+    except Exception as e:  # noqa: BLE001
+        msg = str(e).lower()
+        return not ("data_source_not_found" in msg or "failed to find" in msg)
+
+
 def kafka_stream(
     spark: SparkSession,
     servers: str,

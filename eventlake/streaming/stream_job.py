@@ -16,7 +16,7 @@ from eventlake.operators.quality import quality_events
 from eventlake.operators.windows import minute_agg
 from eventlake.schema import TRIGGER, WATERMARK, WINDOW_SIZE
 from eventlake.session import ensure_utc
-from eventlake.sources.kafka import kafka_stream
+from eventlake.sources.kafka import kafka_available, kafka_stream
 from eventlake.streaming.sinks import stream_parquet
 
 
@@ -73,6 +73,9 @@ def run_stream(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None =
     either query ends the wait (and is raised)."""
     if not (cfg.servers and cfg.topic):
         raise ValueError("servers and topic are required for the Kafka source")
+    if not kafka_available(spark):
+        raise RuntimeError("the Kafka connector (spark-sql-kafka) is not on the classpath; "
+                           "add it with --packages or spark.jars")
     records = kafka_stream(spark, cfg.servers, cfg.topic, cfg.starting, cfg.max_offsets, cfg.group_id)
     queries = start_queries(spark, records, cfg)
     try:

@@ -108,3 +108,14 @@ def test_cli_batch(spark, tmp_path):
     assert res.count() > 0 and rep.count() == 10
     with pytest.raises(ValueError):
         cli.main(["batch", "--input", "no/scheme", "--output", out])
+
+
+def test_run_stream_requires_kafka_settings_and_connector(spark, tmp_path):
+    from eventlake.sources.kafka import kafka_available
+    from eventlake.streaming.stream_job import StreamConfig, run_stream
+
+    with pytest.raises(ValueError):
+        run_stream(spark, StreamConfig(str(tmp_path / "o"), str(tmp_path / "c")))
+    if not kafka_available(spark):  # no connector jar in this environment
+        with pytest.raises(RuntimeError, match="Kafka connector"):
+            run_stream(spark, StreamConfig(str(tmp_path / "o"), str(tmp_path / "c"), "localhost:9092", "iot-events"))
