@@ -34,9 +34,11 @@ def _between(c: Column, lo: float, hi: float) -> Column:
     return (c >= F.lit(lo)) & (c <= F.lit(hi))
 
 
-def rules(mode: str = "lenient", device_types: Sequence[str] | None = None,
-          max_duration: float = MAX_DURATION_S, columns: Iterable[str] = ()) -> list[tuple[str, Column]]:
-    """Ordered (reason, violation) pairs. A violation is a non-null boolean.
+def rule_checks(mode: str = "lenient", device_types: Sequence[str] | None = None,
+                max_duration: float = MAX_DURATION_S, columns: Iterable[str] = ()) -> list[tuple[str, Column]]:
+    """Ordered (reason, ok) pairs: ``ok`` is the positive form of each rule,
+    written so that Parquet can take it (null tests, ranges). ``ok`` may be
+    null only when a required field is null, which its own rule rejects.
 
     lenient: required fields, ``0 < event_duration <= max``, value not NaN,
     battery null or 0..100, signal null or -120..-30.
@@ -47,28 +49,44 @@ def rules(mode: str = "lenient", device_types: Sequence[str] | None = None,
         raise ValueError(f"mode must be 'lenient' or 'strict', got {mode!r}")
     out: list[tuple[str, Column]] = []
     if CORRUPT_COLUMN in set(columns):
-        out.append(("malformed_json", F.col(CORRUPT_COLUMN).isNotNull()))
+        out.append(("malformed_json", F.col(CORRUPT_COLUMN).isNull()))
     required = STRICT_REQUIRED if mode == "strict" else LENIENT_REQUIRED
-    out += [(f"missing_{c}", F.col(c).isNull()) for c in required]
+    out += [(f"missing_{c}", F.col(c).isNotNull()) for c in required]
     dur = F.col("event_duration")
     lo_ok = dur >= F.lit(STRICT_MIN_DURATION_S) if mode == "strict" else dur > F.lit(0.0)
     # NaN compares greater than any number, so it fails ``<= max``
-    out.append(("duration_out_of_range", F.coalesce(~(lo_ok & (dur <= F.lit(max_duration))), F.lit(False))))
-    out.append(("value_nan", F.coalesce(F.isnan("value"), F.lit(False))))
-    out.append(("battery_out_of_range",
-                F.coalesce(~_between(F.col("battery_level"), *BATTERY_RANGE), F.lit(False))))
-    out.append(("signal_out_of_range",
-                F.coalesce(~_between(F.col("signal_strength"), *SIGNAL_RANGE), F.lit(False))))
+    out.append(("duration_out_of_range", lo_ok & (dur <= F.lit(max_duration))))
+    out.append(("value_nan", ~F.isnan("value")))
+    battery, signal = F.col("battery_level"), F.col("signal_strength")
+    out.append(("battery_out_of_range", battery.isNull() | _between(battery, *BATTERY_RANGE)))
+    out.append(("signal_out_of_range", signal.isNull() | _between(signal, *SIGNAL_RANGE)))
     if device_types is not None:
-        out.append(("unknown_device_type",
-                    F.coalesce(~F.col("device_type").isin(list(device_types)), F.lit(False))))
+        out.append(("unknown_device_type", F.col("device_type").isin(list(device_types))))
     return out
 
 
+def rules(mode: str = "lenient", device_types: Sequence[str] | None = None,
+          max_duration: float = MAX_DURATION_S, columns: Iterable[str] = ()) -> list[tuple[str, Column]]:
+    """Ordered (reason, violation) pairs; a violation is a non-null boolean
+    (a rule whose input is null is not violated: the missing-field rule
+    names that row)."""
+    return [(name, F.coalesce(~ok, F.lit(False)))
+            for name, ok in rule_checks(mode, device_types, max_duration, columns)]
+
+
 def reasons_column(rule_list: Sequence[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(v, F.lit(name)) for name, v in rule_list]))
 
 
+def valid_predicate(checks: Sequence[tuple[str, Column]]) -> Column:
+    """All rules hold: a plain conjunction for the valid-row path (no
+    per-row array), pushed to the scan where the source allows."""
+    pred = F.lit(True)
+    for _, ok in checks:
+        pred = pred & ok
+    return pred
+
+
 def apply_rules(df: DataFrame, mode: str = "lenient", device_types: Sequence[str] | None = None,
                 max_duration: float = MAX_DURATION_S) -> DataFrame:
     """Adds ``reject_reasons``: names of the violated rules, in rule order."""
@@ -103,9 +121,16 @@ def reason_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def valid_rows(df: DataFrame, mode: str = "lenient", device_types: Sequence[str] | None = None,
+               max_duration: float = MAX_DURATION_S) -> DataFrame:
+    """Rows passing every rule (same rules as ``apply_rules``), as one filter
+    predicate that Parquet can partly take (null checks, ranges)."""
+    return df.filter(valid_predicate(rule_checks(mode, device_types, max_duration, df.columns)))
+
+
 def quality_events(df: DataFrame, mode: str = "lenient", device_types: Sequence[str] | None = None) -> DataFrame:
     """The streaming job's quality stage: valid rows with flags."""
-    return with_flags(valid(apply_rules(df, mode, device_types)))
+    return with_flags(valid_rows(df, mode, device_types))
 
 
 def prepare(df: DataFrame, max_duration: float = MAX_DURATION_S, time_col: str = "timestamp") -> DataFrame:
