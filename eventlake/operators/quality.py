@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from eventlake.functions.parse import CORRUPT_COLUMN
 from eventlake.schema import (
     BATTERY_RANGE,
-    DEVICE_TYPES,
     LOW_BATTERY_BELOW,
     MAX_DURATION_S,
     SIGNAL_RANGE,
