@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.functions.parse import parse_kafka_json, with_ingest_time
 from eventlake.functions.timeparts import with_time_parts
-from eventlake.operators.quality import quality_events
+from eventlake.operators.quality import apply_rules, quality_events, quarantine
 from eventlake.operators.windows import minute_agg
 from eventlake.schema import TRIGGER, WATERMARK, WINDOW_SIZE
 from eventlake.session import ensure_utc
@@ -45,6 +45,15 @@ def quality_stream(records: DataFrame, mode: str = "lenient") -> DataFrame:
         "_corrupt_record", "kafka_key")
 
 
+def quarantine_stream(records: DataFrame, mode: str = "lenient") -> DataFrame:
+    """Kafka records -> rejected rows with ``reject_reasons`` and the raw
+    payload. Partitioned by Kafka arrival time: the event timestamp may be the
+    broken field."""
+    parsed = parse_kafka_json(records, keep_corrupt=True)
+    rejected = quarantine(apply_rules(parsed, mode))
+    return with_time_parts(with_ingest_time(rejected), "kafka_timestamp")
+
+
 def raw_output(quality: DataFrame) -> DataFrame:
     """Raw lake rows: partition columns from the event timestamp. The raw
     branch has no watermark, so late rows are kept here."""
@@ -55,7 +64,11 @@ def aggregate_output(quality: DataFrame, window: str = WINDOW_SIZE, watermark: s
     return minute_agg(quality, size=window, watermark=watermark)
 
 
-def start_queries(spark: SparkSession, records: DataFrame, cfg: StreamConfig) -> tuple[StreamingQuery, StreamingQuery]:
+def start_queries(spark: SparkSession, records: DataFrame,
+                  cfg: StreamConfig) -> tuple[StreamingQuery, StreamingQuery, StreamingQuery]:
+    """Raw lake, 1-minute aggregates and quarantine: three queries over one
+    parsed stream definition, each with its own checkpoint (each reads the
+    source on its own, as Structured Streaming queries do)."""
     ensure_utc(spark)
     if cfg.state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
@@ -65,12 +78,14 @@ def start_queries(spark: SparkSession, records: DataFrame, cfg: StreamConfig) ->
                          available_now=cfg.available_now, query_name="raw_events")
     agg = stream_parquet(aggregate_output(q, cfg.window, cfg.watermark), f"{out}/aggregated", f"{ck}/aggregated",
                          cfg.trigger, available_now=cfg.available_now, query_name="minute_aggregates")
-    return raw, agg
+    bad = stream_parquet(quarantine_stream(records, cfg.mode), f"{out}/quarantine", f"{ck}/quarantine",
+                         cfg.trigger, available_now=cfg.available_now, query_name="quarantine")
+    return raw, agg, bad
 
 
 def run_stream(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None) -> None:
-    """Start both queries on the Kafka topic and wait; the first failure of
-    either query ends the wait (and is raised)."""
+    """Start the queries on the Kafka topic and wait; the first failure of
+    any query ends the wait (and is raised)."""
     if not (cfg.servers and cfg.topic):
         raise ValueError("servers and topic are required for the Kafka source")
     if not kafka_available(spark):

@@ -109,8 +109,8 @@ def test_memory_sink_and_graceful_stop(spark, tmp_path):
 
 
 def test_stream_job_two_queries_from_kafka_records(spark, tmp_path):
-    """The raw-lake query and the aggregate query started from one
-    parsed Kafka stream (file-backed stand-in for the topic)."""
+    """Raw-lake, aggregate and quarantine queries started from
+    one parsed Kafka stream (file-backed stand-in for the topic)."""
     import time
 
     from eventlake.sources.adapters import kafka_records, read_events_table
@@ -123,8 +123,8 @@ def test_stream_job_two_queries_from_kafka_records(spark, tmp_path):
     stream = spark.readStream.schema(recs.schema).parquet(str(tmp_path / "topic"))
     collector = attach(spark)
     cfg = StreamConfig(str(tmp_path / "lake"), str(tmp_path / "ck"), available_now=True, state_partitions=4)
-    raw_q, agg_q = start_queries(spark, stream, cfg)
-    for q in (raw_q, agg_q):
+    queries = start_queries(spark, stream, cfg)
+    for q in queries:
         q.awaitTermination()
         assert q.exception() is None
     raw = spark.read.parquet(str(tmp_path / "lake" / "raw"))
@@ -132,9 +132,12 @@ def test_stream_job_two_queries_from_kafka_records(spark, tmp_path):
     assert raw.count() == 921  # valid rows of sf0.001 under the lenient rules (DuckDB count)
     assert {"year", "month", "day", "hour", "processing_timestamp", "is_valid_battery"} <= set(raw.columns)
     assert agg.count() > 0 and agg.agg({"event_count": "sum"}).first()[0] <= 921
+    bad = spark.read.parquet(str(tmp_path / "lake" / "quarantine"))
+    assert bad.count() == 1000 - 921  # every rejected row kept, with its reasons
+    assert bad.filter("size(reject_reasons) = 0").count() == 0
     deadline = time.time() + 15
-    while time.time() < deadline and len(collector.reports()) < 2:
+    while time.time() < deadline and len(collector.reports()) < 3:
         time.sleep(0.5)
     spark.streams.removeListener(collector)
     pf = progress_frame(spark, collector.reports())
-    assert pf.filter("num_input_rows > 0").count() >= 2
+    assert pf.filter("num_input_rows > 0").count() >= 3
