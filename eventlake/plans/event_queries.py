@@ -226,6 +226,34 @@ def q_reject_reasons(spark, sf_dir):
     return quality.reason_counts(quality.apply_rules(events(spark, sf_dir)))
 
 
+def _reasons_text_sql() -> str:
+    """``reject_reasons`` joined with ',' in rule order (lenient rules)."""
+    parts = [f"""CASE WHEN "{c}" IS NULL THEN 'missing_{c}' END"""
+             for c in ("event_duration", "device_type", "device_id", "timestamp", "value")]
+    parts += [
+        "CASE WHEN COALESCE(NOT (event_duration > 0 AND event_duration <= 3600), FALSE) THEN 'duration_out_of_range' END",
+        "CASE WHEN COALESCE(isnan(value), FALSE) THEN 'value_nan' END",
+        "CASE WHEN COALESCE(NOT (battery_level BETWEEN 0 AND 100), FALSE) THEN 'battery_out_of_range' END",
+        "CASE WHEN COALESCE(NOT (signal_strength BETWEEN -120 AND -30), FALSE) THEN 'signal_out_of_range' END",
+    ]
+    return "concat_ws(',', " + ", ".join(parts) + ")"
+
+
+QUARANTINE_SQL = f"""
+WITH {EV},
+r AS (SELECT "offset", device_id, "timestamp", battery_level, signal_strength, {_reasons_text_sql()} AS reasons FROM ev)
+SELECT * FROM r WHERE reasons <> ''
+"""
+
+
+@register("quarantine_rows", QUARANTINE_SQL)
+def q_quarantine_rows(spark, sf_dir):
+    """Every rejected row with the names of the rules it breaks."""
+    bad = quality.quarantine(quality.apply_rules(events(spark, sf_dir)))
+    return bad.select("offset", "device_id", "timestamp", "battery_level", "signal_strength",
+                      F.array_join(quality.REASONS, ",").alias("reasons"))
+
+
 FLAGS_SQL = f"""
 WITH {EV},
 {QEV}
