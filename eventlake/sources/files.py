@@ -11,6 +11,18 @@ from eventlake.schema import EVENT_SCHEMA, PERCENTILE_INPUT_COLUMNS, TIME_PARTS
 from eventlake.session import ensure_utc
 
 
+def day_folder(path: str, day: str) -> str:
+    y, m, d = (int(x) for x in day.split("-"))
+    return f"{path.rstrip('/')}/year={y}/month={m}/day={d}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """One file-system metadata call."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def scan_events(
     spark: SparkSession,
     path: str,
@@ -22,15 +34,21 @@ def scan_events(
     partitioned).
 
     Only ``columns`` are read (column pruning). With ``day`` (``YYYY-MM-DD``)
-    the timestamp predicate is pushed to the Parquet reader and, when the
-    layout is partitioned, the partition columns are constrained as well so
-    only that day's folders are listed and opened.
+    on the partitioned lake only that day's folder is listed and read
+    (``basePath`` keeps the partition columns), so the cost does not grow with
+    the years of history next to it; the timestamp predicate is still pushed
+    to the Parquet reader. On a flat layout the day becomes a pushed
+    timestamp range.
     """
     ensure_utc(spark)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(path)
+    folder = day_folder(path, day) if day is not None else None
+    if folder is not None and path_exists(spark, folder):
+        df = reader.option("basePath", path).parquet(folder)
+    else:
+        df = reader.parquet(path)
     partitioned = all(p in df.columns for p in TIME_PARTS[:3])
     if day is not None:
         df = df.filter(day_predicate(day, "timestamp", partitioned=partitioned))

@@ -79,12 +79,12 @@ def compact_day(spark, lake: str, day: str, out: str, target_file_mb: int = 256,
     cannot skew the rewrite. The output goes to a new path; switching readers
     over is the caller's step.
     """
-    from eventlake.functions.timeparts import day_predicate
+    from eventlake.sources.files import scan_events
 
     y, m, d = (int(x) for x in day.split("-"))
     size = folder_bytes(spark, f"{lake.rstrip('/')}/year={y}/month={m}/day={d}")
     n = max(1, -(-size // (target_file_mb * 1024 * 1024)))
-    df = spark.read.parquet(lake).filter(day_predicate(day, "timestamp", partitioned=True))
+    df = scan_events(spark, lake, day=day, columns=None)
     df.repartition(int(n)).sortWithinPartitions(*TIME_PARTS).write.mode(mode).partitionBy(*TIME_PARTS).parquet(out)
 
 
