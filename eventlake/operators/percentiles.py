@@ -47,45 +47,75 @@ def percentile_name(p: float) -> str:
     return f"percentile_{int(round(p * 100))}th"
 
 
-def group_counts(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, approx: bool = False) -> DataFrame:
-    """Distinct devices and distinct events per group, in one aggregate of
-    plain hash aggregations (no per-key object buffers)."""
+KLL_K = 8192  # KLL sketch size: normalized rank error ~0.04 %, exact below k values
+SALT_BUCKETS = 64  # reducers sharing the sketch merge of one group
+
+
+def group_counts(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, approx: bool = False,
+                 col: str = "event_duration") -> DataFrame:
+    """Per group: rows, mean and sample stddev of ``col``, distinct devices
+    and distinct (device_id, timestamp) events, in one aggregate. Only fixed
+    size buffers: Spark plans the two distinct counts as an Expand feeding
+    hash aggregates keyed by the distinct columns, so copies and hot devices
+    collapse map-side."""
+    x = F.col(col)
     return df.groupBy(*by).agg(
+        F.count(x).alias("total_events"),
+        F.avg(x).alias("mean_event_duration"),
+        F.stddev_samp(x).alias("stddev_event_duration"),
         F.count_distinct(F.col("device_id")).alias("unique_devices"),
         _distinct_events_expr(approx).alias("distinct_events"),
     )
 
 
+def quantile_sketches(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float], method: str = "kll",
+                      k: int = KLL_K, accuracy: int = 10000, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Per group: ``_q`` = array of the ``probs`` quantiles of ``col``.
+
+    ``kll`` (default): a two-level merge of KLL sketches. Level 1 groups by
+    (group, salt) with salt = input task id mod ``buckets``: every task still
+    ships one sketch per group (no volume inflation), but the merge of a group
+    holding a third of the data is spread over ``buckets`` reducers; level 2
+    merges ``buckets`` sketches per group. Exact while a group has at most
+    ``k`` values.
+    ``approx``: ``percentile_approx`` (GK sketch, one merge per group).
+    ``exact``: ``percentile``, buffering every value of a group in one task.
+    """
+    x = F.col(col)
+    if method == "exact":
+        return df.groupBy(*by).agg(F.percentile(x, list(probs)).alias("_q"))
+    if method == "approx":
+        return df.groupBy(*by).agg(F.percentile_approx(x, list(probs), accuracy).alias("_q"))
+    if method != "kll":
+        raise ValueError("method must be 'kll', 'approx' or 'exact'")
+    salted = df.select(*by, x.cast("double").alias("_x"),
+                       F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt"))
+    level1 = salted.groupBy(*by, "_salt").agg(F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sk"))
+    level2 = level1.groupBy(*by).agg(F.kll_merge_agg_double("_sk").alias("_sk"))
+    return level2.select(*by, F.array(*[F.kll_sketch_get_quantile_double("_sk", F.lit(float(p)))
+                                        for p in probs]).alias("_q"))
+
+
 def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequence[float] = PERCENTILE_PROBS,
                 exact: bool = False, accuracy: int = 10000, col: str = "event_duration",
                 digits: int | None = 3, with_distinct_events: bool = False,
-                approx_distinct: bool = False) -> DataFrame:
+                approx_distinct: bool = False, method: str | None = None, k: int = KLL_K,
+                buckets: int = SALT_BUCKETS) -> DataFrame:
     """Per group: percentiles of ``col``, mean, sample stddev, count and
     distinct devices (with ``with_distinct_events`` also the distinct
     (device_id, timestamp) count).
 
-    Two aggregates joined on the group key:
-    * the summary: one ``percentile_approx`` sketch per group for all
-      probabilities plus moments; keyed by the group only, so each task ships
-      one sketch per group and a hot group does not pile up in one task.
-      ``exact=True`` uses ``percentile``, which buffers every value of a group
-      in one task: only for bounded groups;
-    * the distinct counts (``group_counts``): plain hash aggregates keyed by
-      the distinct columns, so copies collapse map-side.
-    Putting a distinct count next to the sketch would key the sketch by the
-    distinct column too (one sketch per device or per event). Both sides come
-    out hash-partitioned on the group key, so the join adds no exchange.
+    Two aggregates joined on the group key: the quantile sketches
+    (``quantile_sketches``; ``method`` defaults to ``kll``, ``exact=True``
+    means ``method="exact"``) and the counts and moments (``group_counts``).
+    A distinct count next to a sketch would key the sketch by the distinct
+    column (one sketch per device or per event), hence two aggregates. Both
+    come out hash-partitioned on the group key, so the join adds no exchange.
     """
-    x = F.col(col)
+    method = method or ("exact" if exact else "kll")
     probs = list(probs)
-    q = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, accuracy)
-    agg = df.groupBy(*by).agg(
-        q.alias("_q"),
-        F.avg(x).alias("mean_event_duration"),
-        F.stddev_samp(x).alias("stddev_event_duration"),
-        F.count(x).alias("total_events"),
-    )
-    agg = agg.join(group_counts(df, by, approx_distinct), on=list(by), how="inner")
+    q = quantile_sketches(df, by, col, probs, method, k, accuracy, buckets)
+    agg = q.join(group_counts(df, by, approx_distinct, col), on=list(by), how="inner")
 
     def rnd(c: Column) -> Column:
         return c if digits is None else round_half_up(c, digits)
@@ -114,7 +144,8 @@ def with_run_metadata(df: DataFrame, min_events: int, as_of: str | None = None,
 def percentile_report(events: DataFrame, by: Sequence[str] = DEFAULT_GROUP, min_events: int = MIN_EVENTS,
                       sigma: float = OUTLIER_SIGMA, probs: Sequence[float] = PERCENTILE_PROBS,
                       exact: bool = False, approx_distinct: bool = False, count_before_outliers: bool = False,
-                      as_of: str | None = None, digits: int | None = 3, sort: bool = True) -> DataFrame:
+                      as_of: str | None = None, digits: int | None = 3, sort: bool = True,
+                      method: str | None = None) -> DataFrame:
     """The batch query: clean -> drop 3-sigma outliers -> keep groups with at
     least ``min_events`` distinct events -> percentile summary per group.
 
@@ -130,11 +161,11 @@ def percentile_report(events: DataFrame, by: Sequence[str] = DEFAULT_GROUP, min_
     clean = remove_outliers(cleaned, by, sigma)
     if count_before_outliers:
         counts = distinct_events(cleaned, by, approx_distinct)
-        summary = percentiles(clean, by, probs, exact, digits=digits, approx_distinct=approx_distinct).join(
-            counts, on=list(by), how="inner")
+        summary = percentiles(clean, by, probs, exact, digits=digits, approx_distinct=approx_distinct,
+                              method=method).join(counts, on=list(by), how="inner")
     else:
         summary = percentiles(clean, by, probs, exact, digits=digits, with_distinct_events=True,
-                              approx_distinct=approx_distinct)
+                              approx_distinct=approx_distinct, method=method)
     out = summary.filter(F.col("distinct_events") >= min_events).drop("distinct_events")
     out = with_run_metadata(out, min_events, as_of)
     # the result has one row per group (types x days): sort it in one task

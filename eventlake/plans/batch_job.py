@@ -41,6 +41,7 @@ class BatchConfig:
     as_of: str | None = None
     exact: bool = False
     count_before_outliers: bool = False
+    method: str | None = None  # kll (default) | approx | exact
 
 
 @dataclass
@@ -63,9 +64,9 @@ def percentile_plan(events: DataFrame, cfg: BatchConfig, by=DEFAULT_GROUP) -> tu
     clean = flag_outliers(cleaned, stats, by).filter(~F.col("is_outlier")).select(*cleaned.columns)
     if cfg.count_before_outliers:
         counts = distinct_events(cleaned, by)
-        summary = percentiles(clean, by, exact=cfg.exact).join(counts, on=list(by), how="inner")
+        summary = percentiles(clean, by, exact=cfg.exact, method=cfg.method).join(counts, on=list(by), how="inner")
     else:
-        summary = percentiles(clean, by, exact=cfg.exact, with_distinct_events=True)
+        summary = percentiles(clean, by, exact=cfg.exact, with_distinct_events=True, method=cfg.method)
     summary = summary.observe(
         obs["summary"], F.sum("total_events").alias("rows_after_outliers"),
         F.count(F.lit(1)).alias("type_days"),

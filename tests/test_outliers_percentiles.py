@@ -97,3 +97,23 @@ def test_validation_report_and_empty(spark):
     assert rep["computation_date"] == "2025-02-01T00:00:00.000000+00:00"
     empty = dict(rows(reports.validation_report(res.limit(0), "2025-02-01 00:00:00")))
     assert empty["total_records"] == "0" and empty["avg_95th_percentile"] is None
+
+
+def test_quantile_methods_agree_on_small_groups(spark):
+    rows = [event(float((i * 37) % 101) + 0.5, device_type=f"t{i % 3}", device_id=f"t{i % 3}_{i % 7}",
+                  timestamp=_day(i, minutes=i), offset=i) for i in range(900)]
+    # 16 input tasks, so the KLL merge really runs over several salt buckets
+    df = quality.prepare(events_df(spark, rows).repartition(16))
+    cols = ["device_type", "event_date", "percentile_95th", "percentile_50th", "percentile_75th",
+            "percentile_25th", "total_events", "unique_devices"]
+    kll = rows_of(percentiles.percentiles(df, method="kll", buckets=4), cols)
+    gk = rows_of(percentiles.percentiles(df, method="approx"), cols)
+    assert kll == gk
+    exact = percentiles.percentiles(df, method="exact").collect()
+    assert len(exact) == len(kll)
+    with pytest.raises(ValueError):
+        percentiles.percentiles(df, method="median")
+
+
+def rows_of(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
