@@ -5,8 +5,8 @@ next to the events, so broadcasting it avoids shuffling the events and avoids
 hot groups: a day of one type may hold a third of all rows, and a shuffle join
 on (type, day) would put that third into one task. The broadcast is only taken
 behind a measured bound: the small side is written once as a table in the
-shared checkpoint folder (it has to be computed anyway), read back, and its
-rows counted from the Parquet footers; above the bound a shuffle join is used,
+shared checkpoint folder (it has to be computed anyway) with its rows counted
+by an observation of that write, and read back; above the bound a shuffle join is used,
 with AQE skew handling splitting hot keys. The written table cuts the lineage:
 losing an executor later does not re-run the pass over the events.
 """
@@ -15,7 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventlake.session import shared_path
@@ -23,19 +25,21 @@ from eventlake.session import shared_path
 BROADCAST_MAX_ROWS = 2_000_000  # ~100 bytes/row -> at most ~200 MB per executor
 
 
-def materialize(small: DataFrame, name: str = "small") -> DataFrame:
-    """Write ``small`` to the shared folder and return it read back."""
+def materialize(small: DataFrame, name: str = "small") -> tuple[DataFrame, int]:
+    """Write ``small`` to the shared folder; return it read back and its row
+    count (observed during the write, so no second job)."""
     spark = small.sparkSession
     path = shared_path(spark, "tables", name)
-    small.write.mode("overwrite").parquet(path)
-    return spark.read.schema(small.schema).parquet(path)
+    obs = Observation(f"{name}_{uuid.uuid4().hex}")
+    small.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(small.schema).parquet(path), int(obs.get["rows"])
 
 
 def bounded_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, name: str = "small") -> tuple[DataFrame, bool]:
     """Materialise ``small`` and report whether its row count allows a
     broadcast."""
-    table = materialize(small, name)
-    return table, table.count() <= max_rows
+    table, rows = materialize(small, name)
+    return table, rows <= max_rows
 
 
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner",
