@@ -313,9 +313,9 @@ WITH {EV},
 {QEV},
 w AS (SELECT time_bucket(INTERVAL '1 minute', "timestamp") AS window_start, * FROM qev)
 SELECT window_start, window_start + INTERVAL '1 minute' AS window_end, device_id,
-       arg_min(device_type, (kafka_timestamp, "offset")) AS device_type,
-       arg_min(location, (kafka_timestamp, "offset")) AS location,
-       arg_min(unit, (kafka_timestamp, "offset")) AS unit,
+       arg_min(device_type, "offset") AS device_type,
+       arg_min(location, "offset") AS location,
+       arg_min(unit, "offset") AS unit,
        avg(value) AS avg_value, count(value) AS event_count, min(value) AS min_value, max(value) AS max_value,
        CASE WHEN count(value) = 1 THEN 0.0 ELSE stddev_samp(value) END AS stddev_value,
        avg(event_duration) AS avg_event_duration,
@@ -339,9 +339,9 @@ WITH {EV},
 {QEV},
 w AS (SELECT date_trunc('hour', "timestamp") AS window_start, * FROM qev)
 SELECT window_start, window_start + INTERVAL '59 minutes 59 seconds' AS window_end, device_id,
-       arg_min(device_type, (kafka_timestamp, "offset")) AS device_type,
-       arg_min(location, (kafka_timestamp, "offset")) AS location,
-       arg_min(unit, (kafka_timestamp, "offset")) AS unit,
+       arg_min(device_type, "offset") AS device_type,
+       arg_min(location, "offset") AS location,
+       arg_min(unit, "offset") AS unit,
        avg(value) AS avg_value, count(value) AS event_count, min(value) AS min_value, max(value) AS max_value,
        avg(event_duration) AS avg_event_duration,
        avg(battery_level) AS avg_battery_level, avg(signal_strength) AS avg_signal_strength,

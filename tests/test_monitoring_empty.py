@@ -98,3 +98,19 @@ def test_minute_by_device_first_attributes(spark):
     # without Kafka coordinates, event time decides
     r2 = windows.minute_agg_by_device(df.drop("offset")).collect()[0]
     assert r2.location == "late_room"
+
+
+def test_by_device_merges_rows_whose_attributes_change(spark):
+    import statistics
+
+    vals = [3.0, 9.5, 4.25, 12.0, 7.75, 1.5]
+    locs = ["a", "b", "a", "c", "b", "a"]  # the device moves inside the minute
+    evs = [event(value=v, location=loc, timestamp=f"2025-01-01 10:00:{10 + i:02d}", offset=100 - i)
+           for i, (v, loc) in enumerate(zip(vals, locs))]
+    r = windows.minute_agg_by_device(events_df(spark, evs)).collect()
+    assert len(r) == 1
+    r = r[0]
+    assert r.event_count == 6 and r.location == "a"  # lowest offset = last row, location "a"
+    assert r.avg_value == pytest.approx(statistics.fmean(vals))
+    assert r.stddev_value == pytest.approx(statistics.stdev(vals), rel=1e-12)
+    assert (r.min_value, r.max_value) == (1.5, 12.0)
