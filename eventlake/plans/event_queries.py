@@ -179,7 +179,7 @@ WHERE {LENIENT_VALID}
 @register("dq_ranges", RANGES_SQL, ("event_duration",))
 def q_dq_ranges(spark, sf_dir):
     """lenient rules; valid rows only."""
-    return quality.valid(quality.apply_rules(events(spark, sf_dir))).select(
+    return quality.valid_rows(events(spark, sf_dir)).select(
         "offset", "device_id", "timestamp", "event_duration", "battery_level", "signal_strength")
 
 
@@ -193,7 +193,7 @@ WHERE {LENIENT_VALID} AND event_duration >= 0.1 AND location IS NOT NULL AND uni
 @register("dq_strict", STRICT_SQL, ("event_duration",))
 def q_dq_strict(spark, sf_dir):
     """strict rules (duration >= 0.1 s, location and unit required)."""
-    return quality.valid(quality.apply_rules(events(spark, sf_dir), mode="strict")).select(
+    return quality.valid_rows(events(spark, sf_dir), mode="strict").select(
         "offset", "device_id", "timestamp", "event_duration")
 
 

@@ -44,7 +44,7 @@ def read_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_columns(src: DataFrame) -> list[Column]:
     """Event fields derived from an ``events`` row (timestamp as TIMESTAMP)."""
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    k = F.from_json("props", "k INT")["k"]
     return [
         F.col("value").alias("event_duration"),
         F.col("event_type").alias("device_type"),
