@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.numeric import safe_ratio
 from eventlake.functions.timeparts import iso_text
-from eventlake.operators.quality import REASONS
+from eventlake.operators.quality import is_rejected
 from eventlake.schema import FRESHNESS_MAX_AGE_S, FRESHNESS_MAX_ERROR, MIN_EVENTS
 
 RESULT_COLUMNS = ("device_type", "event_date", "percentile_95th", "total_events", "unique_devices")
@@ -91,9 +91,10 @@ def freshness_check(checked: DataFrame, as_of: str, max_age_s: int = FRESHNESS_M
                     max_error: float = FRESHNESS_MAX_ERROR, time_col: str = "timestamp") -> DataFrame:
     """Health of a feed as of ``as_of``: unhealthy when the newest event is
     older than ``max_age_s`` or the share of rejected rows exceeds
-    ``max_error``. Input rows carry ``reject_reasons``."""
+    ``max_error``. Rejected = ``reject_reasons`` non-empty when the rows carry
+    it, else judged by the lenient rules."""
     now = F.lit(as_of).cast("timestamp")
-    bad = F.size(REASONS) > 0
+    bad = is_rejected(checked)
     agg = checked.agg(
         F.max(F.col(time_col)).alias("newest_event"),
         F.count(F.lit(1)).alias("events"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.numeric import safe_ratio
-from eventlake.operators.quality import REASONS
+from eventlake.operators.quality import REASONS, is_rejected, rules
 from eventlake.schema import LAG_ALERT_LIMIT, RATE_WINDOW
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -82,17 +82,26 @@ def progress_lag(progress: DataFrame) -> DataFrame:
         "end_offset", latest.alias("latest_offset"), (latest - F.col("end_offset")).alias("lag"))
 
 
-def failure_rate(checked: DataFrame, size: str = RATE_WINDOW, time_col: str = "timestamp") -> DataFrame:
-    """Rejected rows per window and reason, and per second."""
+def failure_rate(df: DataFrame, size: str = RATE_WINDOW, time_col: str = "timestamp",
+                 mode: str = "lenient") -> DataFrame:
+    """Rejected rows per window and reason, and per second. Rows carrying
+    ``reject_reasons`` are exploded; otherwise one ``count_if`` per rule is
+    taken per window and unpivoted (no per-row arrays)."""
     secs = float(window_seconds(size))
-    exploded = checked.filter(F.size(REASONS) > 0).select(F.col(time_col), F.explode(REASONS).alias("reason"))
-    agg = exploded.groupBy(F.window(time_col, size).alias("w"), "reason").agg(F.count(F.lit(1)).alias("failures"))
+    w = F.window(time_col, size).alias("w")
+    if REASONS in df.columns:
+        exploded = df.filter(F.size(REASONS) > 0).select(F.col(time_col), F.explode(REASONS).alias("reason"))
+        agg = exploded.groupBy(w, "reason").agg(F.count(F.lit(1)).alias("failures"))
+    else:
+        rl = rules(mode, None, columns=df.columns)
+        wide = df.groupBy(w).agg(*[F.count_if(v).alias(name) for name, v in rl])
+        agg = wide.unpivot(["w"], [name for name, _ in rl], "reason", "failures").filter(F.col("failures") > 0)
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "reason",
                       "failures", (F.col("failures") / F.lit(secs)).alias("failures_per_sec"))
 
 
-def error_ratio(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def error_ratio(df: DataFrame, by: Sequence[str] = (), mode: str = "lenient") -> DataFrame:
     """Share of rejected rows per group; null for an empty group."""
-    bad = F.count_if(F.size(REASONS) > 0)
+    bad = F.count_if(is_rejected(df, mode))
     n = F.count(F.lit(1))
-    return checked.groupBy(*by).agg(bad.alias("errors"), n.alias("total"), safe_ratio(bad, n).alias("error_ratio"))
+    return df.groupBy(*by).agg(bad.alias("errors"), n.alias("total"), safe_ratio(bad, n).alias("error_ratio"))

@@ -120,6 +120,28 @@ def reason_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def rule_failures(df: DataFrame, by: Sequence[str] = (), mode: str = "lenient",
+                  device_types: Sequence[str] | None = None, max_duration: float = MAX_DURATION_S) -> DataFrame:
+    """Failures per rule (and group), straight from the rules: one
+    ``count_if`` per rule in one aggregate, then unpivoted to
+    ``(reason, failures)``; only reasons with failures are kept. Same numbers
+    as ``reason_counts(apply_rules(df))`` without a per-row array or explode.
+    """
+    rl = rules(mode, device_types, max_duration, df.columns)
+    names = [name for name, _ in rl]
+    wide = df.groupBy(*by).agg(*[F.count_if(v).alias(name) for name, v in rl])
+    return (wide.unpivot(list(by), names, "reason", "failures")
+            .filter(F.col("failures") > 0))
+
+
+def is_rejected(df: DataFrame, mode: str = "lenient", device_types: Sequence[str] | None = None) -> Column:
+    """Row-level rejected flag: from ``reject_reasons`` when present, else
+    from the rules directly."""
+    if REASONS in df.columns:
+        return F.size(REASONS) > 0
+    return ~F.coalesce(valid_predicate(rule_checks(mode, device_types, MAX_DURATION_S, df.columns)), F.lit(False))
+
+
 def valid_rows(df: DataFrame, mode: str = "lenient", device_types: Sequence[str] | None = None,
                max_duration: float = MAX_DURATION_S) -> DataFrame:
     """Rows passing every rule (same rules as ``apply_rules``), as one filter

@@ -217,13 +217,13 @@ def _reason_sql(mode: str, with_types: bool) -> str:
 @register("dq_device_type", _reason_sql("lenient", True))
 def q_dq_device_type(spark, sf_dir):
     """allowed device types as an extra rule; failures per reason."""
-    return quality.reason_counts(quality.apply_rules(events(spark, sf_dir), device_types=DEVICE_TYPES))
+    return quality.rule_failures(events(spark, sf_dir), device_types=DEVICE_TYPES)
 
 
 @register("reject_reasons", _reason_sql("lenient", False))
 def q_reject_reasons(spark, sf_dir):
     """F8/M7: rejected rows per reason (lenient rules)."""
-    return quality.reason_counts(quality.apply_rules(events(spark, sf_dir)))
+    return quality.rule_failures(events(spark, sf_dir))
 
 
 def _reasons_text_sql() -> str:

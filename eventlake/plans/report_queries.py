@@ -148,7 +148,7 @@ FROM b
 def q_freshness_check(spark, sf_dir):
     """Feed health as of a fixed instant (newest event age <= 300 s,
     rejected share <= 10 %)."""
-    return checks.freshness_check(quality.apply_rules(events(spark, sf_dir)), FRESH_AS_OF)
+    return checks.freshness_check(events(spark, sf_dir), FRESH_AS_OF)
 
 
 # ---------------------------------------------------------------- monitoring
@@ -244,7 +244,7 @@ FROM f GROUP BY 1, 2, 3
 @register("failure_rate_5m", FAILURE_SQL, ("failures_per_sec",))
 def q_failure_rate(spark, sf_dir):
     """M5: rejected rows per reason per second over 5-minute windows."""
-    return monitoring.failure_rate(quality.apply_rules(events(spark, sf_dir)))
+    return monitoring.failure_rate(events(spark, sf_dir))
 
 
 ERROR_RATIO_SQL = f"""
@@ -258,7 +258,7 @@ FROM ev GROUP BY device_type
 @register("error_ratio", ERROR_RATIO_SQL, ("error_ratio",))
 def q_error_ratio(spark, sf_dir):
     """M6: share of rejected events per device type."""
-    return monitoring.error_ratio(quality.apply_rules(events(spark, sf_dir)), by=("device_type",))
+    return monitoring.error_ratio(events(spark, sf_dir), by=("device_type",))
 
 
 # ---------------------------------------------------------------- result files

@@ -92,3 +92,16 @@ def test_prepare_batch_cleaning(spark):
     out = quality.prepare(df)
     assert rows(out, "offset") == [(1,)]
     assert "event_date" in out.columns
+
+
+def test_rule_failures_equal_reason_counts(spark):
+    from eventlake.operators import monitoring
+    from eventlake.schema import DEVICE_TYPES
+
+    df = events_df(spark, [event(duration=None, offset=0), event(battery=-5, signal=-200, offset=1),
+                           event(value=math.nan, offset=2), event(device_type="x", offset=3), event(offset=4)])
+    for kw in ({}, {"mode": "strict"}, {"device_types": DEVICE_TYPES}):
+        assert rows(quality.rule_failures(df, **kw)) == rows(quality.reason_counts(quality.apply_rules(df, **kw)))
+    cols = ("window_start", "reason", "failures")
+    assert rows(monitoring.failure_rate(df), *cols) == rows(monitoring.failure_rate(quality.apply_rules(df)), *cols)
+    assert rows(monitoring.error_ratio(df)) == rows(monitoring.error_ratio(quality.apply_rules(df)))
