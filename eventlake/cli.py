@@ -47,9 +47,12 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--exact", action="store_true", help="exact percentiles (bounded groups only)")
     b.add_argument("--method", choices=["kll", "approx", "exact"], help="quantile method (default kll)")
     b.add_argument("--count-before-outliers", action="store_true")
-    s = sub.add_parser("stream", help="Kafka -> raw lake + 1-minute aggregates")
-    s.add_argument("--servers", required=True)
-    s.add_argument("--topic", required=True)
+    s = sub.add_parser("stream", help="Kafka (or JSON-lines files) -> raw lake + 1-minute aggregates + quarantine")
+    s.add_argument("--source", default="kafka", choices=["kafka", "files"])
+    s.add_argument("--input", help="folder of JSON-lines files (--source files)")
+    s.add_argument("--servers")
+    s.add_argument("--topic")
+    s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
@@ -71,7 +74,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session("eventlake-stream")
     run_stream(spark, StreamConfig(require_uri(a.output), require_uri(a.checkpoint), a.servers, a.topic,
                                    a.starting, a.max_offsets, a.group_id, a.trigger, a.window, a.watermark,
-                                   state_partitions=a.state_partitions))
+                                   state_partitions=a.state_partitions, available_now=a.available_now,
+                                   source=a.source, input_path=require_uri(a.input) if a.input else None))
     return 0
 
 

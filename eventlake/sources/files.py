@@ -4,6 +4,7 @@ file-based stream source (the stand-in for Kafka in tests)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventlake.functions.timeparts import day_predicate
@@ -100,3 +101,23 @@ def file_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader.load(path)
+
+
+def json_lines_records(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                       topic: str = "files") -> DataFrame:
+    """A stream of JSON-lines files (one event per line) shaped like Kafka
+    records, so the streaming job runs unchanged without a broker: ``value``
+    is the line, ``timestamp`` the micro-batch time, ``partition`` 0 and
+    ``offset`` null (files carry no offsets)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    lines = reader.load(path)
+    return lines.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.lit(None).cast("long").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )

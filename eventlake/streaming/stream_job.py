@@ -16,6 +16,7 @@ from eventlake.operators.quality import apply_rules, quality_events, quarantine
 from eventlake.operators.windows import minute_agg
 from eventlake.schema import TRIGGER, WATERMARK, WINDOW_SIZE
 from eventlake.session import ensure_utc
+from eventlake.sources.files import json_lines_records
 from eventlake.sources.kafka import kafka_available, kafka_stream
 from eventlake.streaming.sinks import stream_parquet
 
@@ -37,6 +38,8 @@ class StreamConfig:
     # for the key count (devices x open windows), not for the input volume
     state_partitions: int | None = None
     available_now: bool = False
+    source: str = "kafka"  # kafka | files (JSON lines in ``input_path``)
+    input_path: str | None = None
 
 
 def quality_stream(records: DataFrame, mode: str = "lenient") -> DataFrame:
@@ -83,18 +86,34 @@ def start_queries(spark: SparkSession, records: DataFrame,
     return raw, agg, bad
 
 
-def run_stream(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None) -> None:
-    """Start the queries on the Kafka topic and wait; the first failure of
-    any query ends the wait (and is raised)."""
+def source_records(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
+    """Kafka records from the topic, or Kafka-shaped records from JSON-lines
+    files."""
+    if cfg.source == "files":
+        if not cfg.input_path:
+            raise ValueError("input_path is required for the files source")
+        return json_lines_records(spark, cfg.input_path, cfg.max_offsets)
+    if cfg.source != "kafka":
+        raise ValueError("source must be 'kafka' or 'files'")
     if not (cfg.servers and cfg.topic):
         raise ValueError("servers and topic are required for the Kafka source")
     if not kafka_available(spark):
         raise RuntimeError("the Kafka connector (spark-sql-kafka) is not on the classpath; "
                            "add it with --packages or spark.jars")
-    records = kafka_stream(spark, cfg.servers, cfg.topic, cfg.starting, cfg.max_offsets, cfg.group_id)
+    return kafka_stream(spark, cfg.servers, cfg.topic, cfg.starting, cfg.max_offsets, cfg.group_id)
+
+
+def run_stream(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None) -> None:
+    """Start the queries and wait; the first failure of any query ends the
+    wait (and is raised). With ``available_now`` the queries end at the end
+    of the available input."""
+    records = source_records(spark, cfg)
     queries = start_queries(spark, records, cfg)
     try:
-        if timeout_s is None:
+        if cfg.available_now:
+            for qq in queries:
+                qq.awaitTermination(timeout_s)
+        elif timeout_s is None:
             spark.streams.awaitAnyTermination()
         else:
             spark.streams.awaitAnyTermination(timeout_s)

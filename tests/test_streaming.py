@@ -141,3 +141,25 @@ def test_stream_job_two_queries_from_kafka_records(spark, tmp_path):
     spark.streams.removeListener(collector)
     pf = progress_frame(spark, collector.reports())
     assert pf.filter("num_input_rows > 0").count() >= 3
+
+
+def test_cli_stream_from_json_lines_files(spark, tmp_path):
+    """The whole stream job without a broker: JSON-lines files as records."""
+    import json
+
+    from eventlake import cli
+
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    good = {"event_duration": 1.5, "device_type": "door_sensor", "device_id": "door_sensor_1",
+            "timestamp": "2025-01-01T10:00:00+00:00", "location": "hall", "value": 1.0, "unit": "state"}
+    lines = [json.dumps(dict(good, timestamp=f"2025-01-01T10:{m:02d}:00+00:00")) for m in range(10)]
+    lines += ["{broken", json.dumps(dict(good, battery_level=500))]
+    (inbox / "part-0.json").write_text("\n".join(lines) + "\n")
+    out, ck = "file:" + str(tmp_path / "lake"), "file:" + str(tmp_path / "ck")
+    assert cli.main(["stream", "--source", "files", "--input", "file:" + str(inbox), "--output", out,
+                     "--checkpoint", ck, "--available-now", "--state-partitions", "2"]) == 0
+    assert spark.read.parquet(out + "/raw").count() == 10
+    bad = spark.read.parquet(out + "/quarantine")
+    assert bad.count() == 2
+    assert spark.read.parquet(out + "/aggregated").count() == 7  # windows ending by 10:07 (= 10:09 - 2 min)
