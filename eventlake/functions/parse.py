@@ -28,7 +28,8 @@ def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corr
     Malformed JSON does not fail the query: its fields come out null and the
     raw text is kept in ``_corrupt_record`` so the quality rules can name the
     reason. Integer fields accept integral numbers written as floats (``50.0``
-    -> 50); a fractional value (``50.5``) marks the record malformed.
+    -> 50); a fractional or out-of-range value (``50.5``, ``3e9``) marks the
+    record malformed.
     """
     int_fields = [f.name for f in schema.fields if isinstance(f.dataType, (IntegerType, LongType))]
     wide = [StructField(f.name, DoubleType(), True) if f.name in int_fields else f for f in schema.fields]
@@ -44,10 +45,14 @@ def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corr
         F.col("partition"),
         F.col("offset"),
     ).select("data.*", "_payload", "kafka_key", "kafka_timestamp", "partition", "offset")
+    # a number that is not a whole value of the field's type makes the record malformed
+    limits = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
     fractional = F.lit(False)
     for name in int_fields:
         d = F.col(name)
-        fractional = fractional | F.coalesce(d != F.floor(d), F.lit(False))
+        lo, hi = limits[schema[name].dataType.simpleString()]
+        fractional = fractional | F.coalesce((d != F.floor(d)) | (d < F.lit(float(lo))) | (d > F.lit(float(hi))),
+                                             F.lit(False))
     out = out.withColumn(CORRUPT_COLUMN, F.when(fractional, F.coalesce(F.col(CORRUPT_COLUMN), F.col("_payload")))
                          .otherwise(F.col(CORRUPT_COLUMN))).drop("_payload")
     for name in int_fields:

@@ -25,10 +25,11 @@ def test_json_mixed(spark):
 
 def test_int_fields_accept_integral_floats(spark):
     df = quality.apply_rules(parse_kafka_json(kafka_df(spark, [
-        dict(GOOD, battery_level=50.0), dict(GOOD, signal_strength=-50.5)])))
+        dict(GOOD, battery_level=50.0), dict(GOOD, signal_strength=-50.5), dict(GOOD, battery_level=3e9)])))
     out = {r.offset: r for r in df.collect()}
     assert out[0].battery_level == 50 and out[0].reject_reasons == []
     assert out[1].reject_reasons == ["malformed_json"]
+    assert out[2].reject_reasons == ["malformed_json"]
 
 
 def test_iso_forms(spark):
