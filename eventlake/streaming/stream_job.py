@@ -18,7 +18,7 @@ from eventlake.schema import TRIGGER, WATERMARK, WINDOW_SIZE
 from eventlake.session import ensure_utc
 from eventlake.sources.files import json_lines_records
 from eventlake.sources.kafka import kafka_available, kafka_stream
-from eventlake.streaming.sinks import stream_parquet
+from eventlake.streaming.sinks import state_partitions, stream_parquet
 
 
 @dataclass
@@ -73,16 +73,16 @@ def start_queries(spark: SparkSession, records: DataFrame,
     parsed stream definition, each with its own checkpoint (each reads the
     source on its own, as Structured Streaming queries do)."""
     ensure_utc(spark)
-    if cfg.state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
     q = quality_stream(records, cfg.mode)
     out, ck = cfg.output_path.rstrip("/"), cfg.checkpoint_path.rstrip("/")
-    raw = stream_parquet(raw_output(q), f"{out}/raw", f"{ck}/raw", cfg.trigger,
-                         available_now=cfg.available_now, query_name="raw_events")
-    agg = stream_parquet(aggregate_output(q, cfg.window, cfg.watermark), f"{out}/aggregated", f"{ck}/aggregated",
-                         cfg.trigger, available_now=cfg.available_now, query_name="minute_aggregates")
-    bad = stream_parquet(quarantine_stream(records, cfg.mode), f"{out}/quarantine", f"{ck}/quarantine",
-                         cfg.trigger, available_now=cfg.available_now, query_name="quarantine")
+    with state_partitions(spark, cfg.state_partitions):
+        raw = stream_parquet(raw_output(q), f"{out}/raw", f"{ck}/raw", cfg.trigger,
+                             available_now=cfg.available_now, query_name="raw_events")
+        agg = stream_parquet(aggregate_output(q, cfg.window, cfg.watermark), f"{out}/aggregated",
+                             f"{ck}/aggregated", cfg.trigger, available_now=cfg.available_now,
+                             query_name="minute_aggregates")
+        bad = stream_parquet(quarantine_stream(records, cfg.mode), f"{out}/quarantine", f"{ck}/quarantine",
+                             cfg.trigger, available_now=cfg.available_now, query_name="quarantine")
     return raw, agg, bad
 
 
