@@ -14,8 +14,8 @@ from eventlake.plans.registry import min_events_for, register
 from eventlake.plans.sqlparts import AS_OF, EV, LENIENT_VALID, ORACLE_MIN_EVENTS, r3
 from eventlake.session import shared_path
 from eventlake.sources.adapters import read_events_table
-from eventlake.sources.files import read_result
-from eventlake.sources.writers import write_result
+from eventlake.sources.files import json_history, read_result
+from eventlake.sources.writers import write_history, write_result
 
 # ---------------------------------------------------------------- reports
 SUMMARY_SQL = f"""
@@ -288,6 +288,26 @@ def q_roundtrip_json(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "json")
 
 
+# ---------------------------------------------------------------- JSON history
+HISTORY_SQL = f"""
+WITH {EV}
+SELECT device_id, "timestamp", event_duration, value, location, unit, battery_level, signal_strength,
+       json_extract_string(props, '$.k') AS metadata_k
+FROM ev
+"""
+
+
+@register("history_roundtrip", HISTORY_SQL, ("event_duration", "value"))
+def q_history_roundtrip(spark, sf_dir):
+    """K8+S6: the events written as hourly JSON history folders
+    (year/month/day/hour, ISO timestamps) and read back recursively."""
+    path = shared_path(spark, "history")
+    write_history(events(spark, sf_dir).drop("kafka_timestamp", "partition", "offset"), path)
+    h = json_history(spark, path)
+    return h.select("device_id", "timestamp", "event_duration", "value", "location", "unit", "battery_level",
+                    "signal_strength", F.col("metadata")["k"].alias("metadata_k"))
+
+
 # ---------------------------------------------------------------- stage counts
 STAGE_SQL = f"""
 WITH {P95_CTES},

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from eventlake.functions.parse import parse_iso
 from eventlake.functions.timeparts import day_predicate
 from eventlake.schema import EVENT_SCHEMA, PERCENTILE_INPUT_COLUMNS, TIME_PARTS
 from eventlake.session import ensure_utc
@@ -58,16 +59,64 @@ def scan_events(
     return df
 
 
-def json_history(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA) -> DataFrame:
-    """Hourly history files (one JSON array or JSON lines per file, nested
-    folders). ``multiLine`` is required for arrays, otherwise rows are lost."""
-    return (
-        spark.read.option("multiLine", True)
+def first_data_file(spark: SparkSession, path: str) -> str | None:
+    """Path of one data file under ``path`` (skips ``_``/``.`` files)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    it = fs.listFiles(root, True)
+    while it.hasNext():
+        p = it.next().getPath()
+        if not p.getName().startswith(("_", ".")):
+            return p.toString()
+    return None
+
+
+def json_layout(spark: SparkSession, path: str) -> str:
+    """``array`` when the first data file starts with ``[``, else ``lines``
+    (reads a few bytes of one file)."""
+    f = first_data_file(spark, path)
+    if f is None:
+        return "lines"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        for _ in range(4096):
+            b = stream.read()
+            if b < 0:
+                return "lines"
+            if chr(b) not in " \t\r\n":
+                return "array" if chr(b) == "[" else "lines"
+        return "lines"
+    finally:
+        stream.close()
+
+
+def json_history(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA, layout: str = "auto",
+                 parse_times: bool = True) -> DataFrame:
+    """Hourly history files in nested folders: one JSON array per file (the
+    hourly upload format) or JSON lines (``write_history``). Arrays need
+    ``multiLine`` (one file per task; the files are hourly, so small), lines
+    must not use it (it would keep only the first object of each file).
+    ``layout="auto"`` looks at the first bytes of one file. With
+    ``parse_times`` a string ``timestamp`` becomes TIMESTAMP."""
+    if layout == "auto":
+        layout = json_layout(spark, path)
+    if layout not in ("array", "lines"):
+        raise ValueError("layout must be 'auto', 'array' or 'lines'")
+    df = (
+        spark.read.option("multiLine", layout == "array")
         .option("recursiveFileLookup", True)
         .option("mode", "PERMISSIVE")
         .schema(schema)
         .json(path)
     )
+    if parse_times and "timestamp" in schema.fieldNames() and schema["timestamp"].dataType.simpleString() == "string":
+        df = df.withColumn("timestamp", parse_iso("timestamp"))
+    return df
 
 
 def read_result(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
