@@ -33,6 +33,11 @@ def test_write_history_roundtrip(spark, tmp_path):
     back = spark.read.json(str(tmp_path / "h"))
     assert sorted(back.select("hour").distinct().collect()) == [(10,), (11,)]
     assert back.filter("timestamp = '2025-01-01T10:00:00.000000+00:00'").count() == 1
+    # several JSON lines in one file: the reader must not fall back to one object per file
+    many = events_df(spark, [event(timestamp=f"2025-01-01 10:{m:02d}:00", offset=m) for m in range(30)])
+    write_history(many.drop("metadata").coalesce(1), str(tmp_path / "h2"))
+    hist = json_history(spark, str(tmp_path / "h2"))
+    assert hist.count() == 30 and str(hist.schema["timestamp"].dataType) == "TimestampType()"
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
