@@ -19,10 +19,14 @@ def day_folder(path: str, day: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """One file-system metadata call."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    """One file-system metadata call (False when the JVM is not reachable,
+    e.g. Spark Connect: callers then take their general path)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001
+        return False
 
 
 def scan_events(
@@ -104,7 +108,10 @@ def json_history(spark: SparkSession, path: str, schema: StructType = EVENT_SCHE
     ``layout="auto"`` looks at the first bytes of one file. With
     ``parse_times`` a string ``timestamp`` becomes TIMESTAMP."""
     if layout == "auto":
-        layout = json_layout(spark, path)
+        try:
+            layout = json_layout(spark, path)
+        except Exception:  # noqa: BLE001  (no JVM access: pass layout explicitly)
+            layout = "lines"
     if layout not in ("array", "lines"):
         raise ValueError("layout must be 'auto', 'array' or 'lines'")
     df = (
