@@ -117,3 +117,14 @@ def test_quantile_methods_agree_on_small_groups(spark):
 
 def rows_of(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_approx_distinct_close_to_exact(spark):
+    rows = [event(1.0 + (i % 11) * 0.1, device_type="door_sensor", device_id=f"door_sensor_{i % 97}",
+                  timestamp=_day(i, minutes=i), offset=i) for i in range(3000)]
+    df = quality.prepare(events_df(spark, rows))
+    exact = percentiles.distinct_events(df).collect()[0].distinct_events
+    approx = percentiles.distinct_events(df, approx=True).collect()[0].distinct_events
+    assert exact == 3000 and abs(approx - exact) / exact < 0.1
+    res = percentiles.percentile_report(events_df(spark, rows), min_events=100, approx_distinct=True, sort=False)
+    assert res.count() == 3
