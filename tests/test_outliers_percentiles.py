@@ -120,12 +120,12 @@ def rows_of(df, cols):
 
 
 def test_approx_distinct_close_to_exact(spark):
-    rows = [event(1.0 + (i % 11) * 0.1, device_type="door_sensor", device_id=f"door_sensor_{i % 97}",
+    evs = [event(1.0 + (i % 11) * 0.1, device_type="door_sensor", device_id=f"door_sensor_{i % 97}",
                   timestamp=_day(i, minutes=i), offset=i) for i in range(3000)]
-    df = quality.prepare(events_df(spark, rows))
+    df = quality.prepare(events_df(spark, evs))
     exact = dict(rows(percentiles.distinct_events(df), "event_date", "distinct_events"))
     approx = dict(rows(percentiles.distinct_events(df, approx=True), "event_date", "distinct_events"))
     assert sum(exact.values()) == 3000 and exact.keys() == approx.keys()
     assert all(abs(approx[d] - exact[d]) / exact[d] < 0.1 for d in exact)
-    res = percentiles.percentile_report(events_df(spark, rows), min_events=100, approx_distinct=True, sort=False)
+    res = percentiles.percentile_report(events_df(spark, evs), min_events=100, approx_distinct=True, sort=False)
     assert res.count() == 3
