@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators import dedup, windows
 from eventlake.operators.quality import quality_events
-from eventlake.plans.event_queries import DEDUP_BODY, WINDOW_DOUBLES, window_ctes
+from eventlake.plans.event_queries import DEDUP_BODY, QUARANTINE_SQL, WINDOW_DOUBLES, records, window_ctes
 from eventlake.plans.registry import register
 from eventlake.plans.sqlparts import EV, QEV
 from eventlake.schema import EVENTS_TABLE_SCHEMA, WATERMARK
@@ -19,7 +19,7 @@ from eventlake.session import shared_path
 from eventlake.sources.adapters import device_events, read_events_table
 from eventlake.sources.files import file_stream
 from eventlake.streaming.sinks import state_partitions, stream_parquet
-from eventlake.streaming.stream_job import raw_output
+from eventlake.streaming.stream_job import quarantine_stream, raw_output
 
 
 def event_stream(spark: SparkSession, folder: str, glob: str | None = "events.parquet",
@@ -138,3 +138,19 @@ def q_dedup_stream(spark, sf_dir):
     s = event_stream(spark, sf_dir).select("device_id", "timestamp", "offset", "value")
     out, _ = drain(dedup.dedup(s, watermark=WATERMARK), "dedup", parts=())
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- quarantine
+@register("quarantine_stream", QUARANTINE_SQL)
+def q_quarantine_stream(spark, sf_dir):
+    """F8/K1 (stream): the table as Kafka records (JSON values) staged in a
+    folder, decoded by the stream job's quarantine query and written
+    partitioned by arrival hour; every rejected row keeps its reasons."""
+    staged = shared_path(spark, "streams", "topic")
+    recs = records(spark, sf_dir)
+    recs.write.parquet(f"{staged}/batch=0")
+    stream = spark.readStream.schema(recs.schema).parquet(staged)
+    out, _ = drain(quarantine_stream(stream), "quarantine")
+    bad = spark.read.parquet(out)
+    return bad.select("offset", "device_id", "timestamp", "battery_level", "signal_strength",
+                      F.array_join("reject_reasons", ",").alias("reasons"))
