@@ -54,7 +54,7 @@ class BatchRun:
 def percentile_plan(events: DataFrame, cfg: BatchConfig, by=DEFAULT_GROUP) -> tuple[DataFrame, dict[str, Observation]]:
     """The observed plan (the same as ``percentile_report``). Observations
     sit on nodes that run on one path: the scan and the statistics are
-    consumed first by the (persisted) statistics job, the per-group summary
+    consumed first by the job that writes the statistics table, the per-group summary
     once by the result."""
     obs = {k: Observation(f"{k}_{id(events)}") for k in ("input", "stats", "summary")}
     events = events.observe(obs["input"], F.count(F.lit(1)).alias("input_rows"))

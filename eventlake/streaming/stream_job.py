@@ -1,6 +1,7 @@
-"""The streaming job: Kafka (or files) -> parse -> quality -> (raw lake,
-1-minute aggregates), two queries from one parsed stream, each with its own
-checkpoint. The transforms are the batch ones; only source and sink differ.
+"""The streaming job: Kafka (or JSON-lines files) -> parse -> quality ->
+raw lake, 1-minute aggregates and quarantine: three queries from one parsed
+stream definition, each with its own checkpoint. The transforms are the batch
+ones; only source and sink differ.
 """
 
 from __future__ import annotations
