@@ -5,6 +5,7 @@ gathered by ``Observation`` inside the passes that run anyway (no extra
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -56,7 +57,8 @@ def percentile_plan(events: DataFrame, cfg: BatchConfig, by=DEFAULT_GROUP) -> tu
     sit on nodes that run on one path: the scan and the statistics are
     consumed first by the job that writes the statistics table, the per-group summary
     once by the result."""
-    obs = {k: Observation(f"{k}_{id(events)}") for k in ("input", "stats", "summary")}
+    run = uuid.uuid4().hex
+    obs = {k: Observation(f"{k}_{run}") for k in ("input", "stats", "summary")}
     events = events.observe(obs["input"], F.count(F.lit(1)).alias("input_rows"))
     cleaned = prepare(events)
     stats = daily_bounds(cleaned, by, cfg.sigma).observe(
