@@ -83,16 +83,16 @@ def run_batch(spark: SparkSession, cfg: BatchConfig) -> BatchRun:
     result, obs = percentile_plan(events, cfg)
     out = cfg.output_path.rstrip("/")
     result_path = f"{out}/percentile_results.{cfg.fmt}"
+    written_obs = Observation(f"result_{uuid.uuid4().hex}")
+    result = result.observe(written_obs, F.count(F.lit(1)).alias("result_rows"),
+                            F.sum("total_events").alias("events_in_result"))
     write_result(result, result_path, cfg.fmt, sort_by=DEFAULT_GROUP)
     # the report reads the written result back: tiny, and no recomputation
     written = read_result(spark, result_path, cfg.fmt, schema=result.schema)
     report_path = f"{out}/validation_report.csv"
     write_result(validation_report(written, cfg.as_of, cfg.min_events), report_path, "csv")
-    totals = written.agg(F.count(F.lit(1)).alias("n"), F.sum("total_events").alias("e")).first()
     counts = {}
-    for o in obs.values():
+    for o in [*obs.values(), written_obs]:
         counts.update({k: int(v or 0) for k, v in o.get.items()})
     counts["outliers"] = counts.get("cleaned_rows", 0) - counts.get("rows_after_outliers", 0)
-    counts["result_rows"] = int(totals["n"] or 0)
-    counts["events_in_result"] = int(totals["e"] or 0)
     return BatchRun(result_path, report_path, {k: counts.get(k, 0) for k in STAGES})
