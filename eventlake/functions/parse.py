@@ -37,14 +37,19 @@ def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corr
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     payload = F.col("value").cast("string")
     key = F.col("key").cast("string") if "key" in df.columns else F.lit(None).cast("string")
-    out = df.select(
+    # The parsed struct comes out of a generator (inline of a one-element
+    # array): predicates on its fields cannot be pushed below it, so each
+    # payload is parsed once. Selected directly, the optimizer would split
+    # ``data.field`` accesses into one ``from_json`` per field and per filter.
+    once = F.inline(F.array(F.struct(
         F.from_json(payload, parse_schema, options).alias("data"),
         payload.alias("_payload"),
         key.alias("kafka_key"),
         F.col("timestamp").alias("kafka_timestamp"),
-        F.col("partition"),
-        F.col("offset"),
-    ).select("data.*", "_payload", "kafka_key", "kafka_timestamp", "partition", "offset")
+        F.col("partition").alias("partition"),
+        F.col("offset").alias("offset"),
+    )))
+    out = df.select(once).select("data.*", "_payload", "kafka_key", "kafka_timestamp", "partition", "offset")
     # a number that is not a whole value of the field's type makes the record malformed
     limits = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
     fractional = F.lit(False)
