@@ -49,6 +49,7 @@ def percentile_name(p: float) -> str:
 
 KLL_K = 8192  # KLL sketch size: normalized rank error ~0.04 %, exact below k values
 SALT_BUCKETS = 64  # reducers sharing the sketch merge of one group
+EXACT_MAX_GROUP_ROWS = 5_000_000  # largest group ``percentile`` may buffer in one task
 
 
 def group_counts(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, approx: bool = False,
@@ -79,10 +80,16 @@ def quantile_sketches(df: DataFrame, by: Sequence[str], col: str, probs: Sequenc
     merges ``buckets`` sketches per group. Exact while a group has at most
     ``k`` values.
     ``approx``: ``percentile_approx`` (GK sketch, one merge per group).
-    ``exact``: ``percentile``, buffering every value of a group in one task.
+    ``exact``: ``percentile``, buffering every value of a group in one task;
+    refused when the largest group exceeds ``EXACT_MAX_GROUP_ROWS``.
     """
     x = F.col(col)
     if method == "exact":
+        # ``percentile`` holds every value of a group in one task: prove the bound first
+        largest = df.groupBy(*by).agg(F.count(x).alias("n")).agg(F.max("n").alias("m")).first()["m"] or 0
+        if largest > EXACT_MAX_GROUP_ROWS:
+            raise ValueError(f"a group has {largest} values; exact percentiles buffer a whole group in one task "
+                             f"(limit {EXACT_MAX_GROUP_ROWS}); use method='kll' or 'approx'")
         return df.groupBy(*by).agg(F.percentile(x, list(probs)).alias("_q"))
     if method == "approx":
         return df.groupBy(*by).agg(F.percentile_approx(x, list(probs), accuracy).alias("_q"))

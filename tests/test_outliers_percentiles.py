@@ -129,3 +129,11 @@ def test_approx_distinct_close_to_exact(spark):
     assert all(abs(approx[d] - exact[d]) / exact[d] < 0.1 for d in exact)
     res = percentiles.percentile_report(events_df(spark, evs), min_events=100, approx_distinct=True, sort=False)
     assert res.count() == 3
+
+
+def test_exact_percentiles_refuse_unbounded_groups(spark, monkeypatch):
+    df = quality.prepare(events_df(spark, [event(float(i + 1), timestamp=_day(i), offset=i) for i in range(20)]))
+    assert percentiles.percentiles(df, method="exact").count() == 1
+    monkeypatch.setattr(percentiles, "EXACT_MAX_GROUP_ROWS", 10)
+    with pytest.raises(ValueError, match="exact percentiles"):
+        percentiles.percentiles(df, method="exact")
