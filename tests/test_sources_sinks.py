@@ -124,3 +124,17 @@ def test_run_stream_requires_kafka_settings_and_connector(spark, tmp_path):
     if not kafka_available(spark):  # no connector jar in this environment
         with pytest.raises(RuntimeError, match="Kafka connector"):
             run_stream(spark, StreamConfig(str(tmp_path / "o"), str(tmp_path / "c"), "localhost:9092", "iot-events"))
+
+
+def test_day_scan_on_flat_layout(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from eventlake.sources.files import scan_events
+
+    flat = str(tmp_path / "flat")
+    device_events(read_events_table(spark, SF001)).write.parquet(flat)
+    day = scan_events(spark, flat, day="2024-01-15")
+    expected = spark.read.parquet(flat).filter(F.to_date("timestamp") == F.lit("2024-01-15").cast("date")).count()
+    assert day.count() == expected > 0
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "timestamp" in plan.split("PushedFilters")[1][:200]
