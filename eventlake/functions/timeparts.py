@@ -14,6 +14,7 @@ def _c(c: Column | str) -> Column:
 
 
 def event_date(df: DataFrame, col: str = "timestamp", name: str = "event_date") -> DataFrame:
+    """Adds the UTC date of ``col``."""
     return df.withColumn(name, F.to_date(_c(col)))
 
 

@@ -17,6 +17,7 @@ _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
 def window_seconds(size: str) -> int:
+    """``"5 minutes"`` -> 300."""
     n, unit = size.split()
     return int(n) * _UNIT_SECONDS[unit.rstrip("s")]
 

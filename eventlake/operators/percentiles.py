@@ -44,6 +44,7 @@ def keep_groups(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, min_events: in
 
 
 def percentile_name(p: float) -> str:
+    """``0.95`` -> ``percentile_95th``."""
     return f"percentile_{int(round(p * 100))}th"
 
 
@@ -140,6 +141,8 @@ def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequenc
 
 def with_run_metadata(df: DataFrame, min_events: int, as_of: str | None = None,
                       method: str = OUTLIER_METHOD) -> DataFrame:
+    """Run metadata columns: computation time (``as_of`` or now), outlier
+    method and threshold."""
     ts = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return (
         df.withColumn("computation_timestamp", ts)

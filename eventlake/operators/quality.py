@@ -74,6 +74,7 @@ def rules(mode: str = "lenient", device_types: Sequence[str] | None = None,
 
 
 def reasons_column(rule_list: Sequence[tuple[str, Column]]) -> Column:
+    """Array of the names of the violated rules (rule order, no nulls)."""
     return F.array_compact(F.array(*[F.when(v, F.lit(name)) for name, v in rule_list]))
 
 
@@ -101,10 +102,12 @@ def with_flags(df: DataFrame, min_battery: int = LOW_BATTERY_BELOW, min_signal:
 
 
 def valid(df: DataFrame) -> DataFrame:
+    """Rows of ``apply_rules`` output without reasons (the column is dropped)."""
     return df.filter(F.size(REASONS) == 0).drop(REASONS)
 
 
 def quarantine(df: DataFrame) -> DataFrame:
+    """Rows of ``apply_rules`` output with at least one reason."""
     return df.filter(F.size(REASONS) > 0)
 
 

@@ -79,6 +79,8 @@ def percentile_plan(events: DataFrame, cfg: BatchConfig, by=DEFAULT_GROUP) -> tu
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig) -> BatchRun:
+    """Run the job: write the result and the validation report, return their
+    paths and the observed stage counts."""
     events = scan_events(spark, cfg.input_path, day=cfg.day)
     result, obs = percentile_plan(events, cfg)
     out = cfg.output_path.rstrip("/")

@@ -58,6 +58,7 @@ def sql_round(expr: str, digits: int = OUTPUT_DIGITS) -> str:
 
 
 def oracle_text(q: Query) -> str | None:
+    """The oracle SQL with the declared double columns rounded like ``present``."""
     if q.sql is None:
         return None
     body = q.sql.strip().rstrip(";")
@@ -73,6 +74,8 @@ def _qi(name: str) -> str:
 
 def register(key: str, sql: str | None = None, doubles: tuple[str, ...] = (), notes: str = "",
              tags: tuple[str, ...] = ()):
+    """Register ``fn`` under ``key`` with its oracle SQL; the registered
+    callable sets UTC and normalises the output with ``present``."""
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_utc(spark)

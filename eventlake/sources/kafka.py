@@ -22,6 +22,8 @@ def kafka_options(
     group_id: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
+    """Options of the Spark Kafka source (plain text protocol, no failure on
+    data loss, consumer group through ``kafka.group.id``)."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

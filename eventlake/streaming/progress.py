@@ -42,6 +42,7 @@ class ProgressCollector(StreamingQueryListener):
 
 
 def attach(spark: SparkSession, keep: int = 1000) -> ProgressCollector:
+    """Register a ``ProgressCollector`` on the session and return it."""
     collector = ProgressCollector(keep)
     spark.streams.addListener(collector)
     return collector

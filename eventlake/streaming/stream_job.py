@@ -65,6 +65,7 @@ def raw_output(quality: DataFrame) -> DataFrame:
 
 
 def aggregate_output(quality: DataFrame, window: str = WINDOW_SIZE, watermark: str = WATERMARK) -> DataFrame:
+    """Watermarked window aggregate of the quality stream (append mode)."""
     return minute_agg(quality, size=window, watermark=watermark)
 
 
