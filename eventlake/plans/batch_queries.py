@@ -11,7 +11,7 @@ from eventlake.plans.registry import min_events_for, register
 from eventlake.plans.sqlparts import AS_OF, CLEAN_Y, EV, ORACLE_MIN_EVENTS, r3
 from eventlake.sources.adapters import device_events, read_events_table
 from eventlake.sources.files import scan_events
-from eventlake.sources.writers import write_partitioned
+from eventlake.sources.writers import compact_day, write_partitioned
 from eventlake.session import shared_path
 
 
@@ -111,6 +111,15 @@ def q_scan_one_day(spark, sf_dir):
     return scan_events(spark, raw_lake(spark, sf_dir), day=SCAN_DAY)
 
 
+@register("compact_day", SCAN_DAY_SQL, ("event_duration",))
+def q_compact_day(spark, sf_dir):
+    """Small-file compaction: one day of the hourly lake rewritten round-robin
+    into files of a target size (new path), then scanned like the lake."""
+    out = shared_path(spark, "compacted")
+    compact_day(spark, raw_lake(spark, sf_dir), SCAN_DAY, out)
+    return scan_events(spark, out)
+
+
 # ---------------------------------------------------------------- cleaning
 PREPARE_SQL = f"""
 WITH {EV},
