@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing
+from eventlake.llm import mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,13 @@ FROM ranked
 """
 
 
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicate groups of all documents (4-word shingles, 4 bits)."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = simhash.simhash_groups(docs, shingle=4, max_bits=4)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline (``corpus_pipeline.run``)."""
     import corpus_pipeline
@@ -72,6 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": op6_source_mix,
+    "op7_simhash_groups": op7_simhash_groups,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = {"op6_source_mix": OP6_SQL}
