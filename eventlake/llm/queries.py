@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing, simhash
+from eventlake.llm import license_scan, mixing, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, column="score")
+    return scored.select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and edited notices in every document, with the notices' spans."""
+    return license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix over all documents: each document's size and the words taken."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -78,6 +92,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
+    "op4_license_scan": op4_license_scan,
     "op6_source_mix": op6_source_mix,
     "op7_simhash_groups": op7_simhash_groups,
     "pipeline": pipeline,

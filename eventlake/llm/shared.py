@@ -75,3 +75,31 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             break
         seen = now
     return labels.select("node", F.col("label").alias("component"))
+
+
+def append_columns(df: DataFrame, text: str, compute, fields: str) -> DataFrame:
+    """``df`` with columns computed from a text column in Python workers.
+
+    ``compute`` takes an Arrow array of texts (a slice of a batch, bounded in
+    bytes) and returns one array per field of the DDL string ``fields``. Names
+    that exist already are refused.
+    """
+    from pyspark.sql.types import StructType
+
+    from eventlake.llm.text import slices
+
+    added = StructType.fromDDL(fields)
+    clash = set(added.names) & set(df.columns)
+    if clash:
+        raise ValueError(f"columns exist already: {sorted(clash)}")
+    at = df.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in slices(batch, batch.schema.names[at]):
+                more = compute(part.column(at))
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *added.names])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))
