@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import license_scan, mixing, simhash, toxicity
+from eventlake.llm import license_scan, mixing, simhash, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,33 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 50-word passages."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring_dedup.remove_repeats(docs, window=50)
+    return out.select("doc_id", F.col("dedup_n_words").alias("n_words"), F.col("dedup_n_removed").alias("n_removed"),
+                      F.sha2("dedup_kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+starts AS (
+  SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS h
+  FROM w, unnest(range(1, len(ws) - 48)) AS u(i)),
+least AS (SELECT h, min(doc_id) AS first_doc FROM starts GROUP BY h),
+gone AS (
+  SELECT s.doc_id, s.i FROM starts s JOIN least l USING (h) WHERE l.first_doc < s.doc_id),
+cover AS (
+  SELECT DISTINCT doc_id, i + j AS pos FROM gone, unnest(range(0, 50)) AS u(j)),
+lost AS (SELECT doc_id, list(pos) AS ps FROM cover GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN ws
+              ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN lost USING (doc_id)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline (``corpus_pipeline.run``)."""
     import corpus_pipeline
@@ -96,9 +123,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op6_source_mix": op6_source_mix,
     "op7_simhash_groups": op7_simhash_groups,
+    "op9_substring_dedup": op9_substring_dedup,
     "pipeline": pipeline,
 }
-SQL: dict[str, str] = {"op6_source_mix": OP6_SQL}
+SQL: dict[str, str] = {"op6_source_mix": OP6_SQL, "op9_substring_dedup": OP9_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
