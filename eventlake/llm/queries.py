@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import license_scan, mixing, simhash, substring_dedup, toxicity
+from eventlake.llm import (embedding_dedup, license_scan, minhash, mixing, simhash, substring_dedup, toxicity,
+                           url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow",
+             "com/de/": "block"}
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: by rule, else by boosted trees trained on the urls that have one."""
+    return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -28,6 +38,13 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash fingerprints of every document and of its edited copy."""
+    out = minhash.edited_fingerprints(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+                      F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix over all documents: each document's size and the words taken."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -84,6 +101,12 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links (cosine >= 0.9) and groups of all embeddings."""
+    return embedding_dedup.embedding_groups(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"),
+                                            cosine=0.9)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 50-word passages."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -119,10 +142,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op3_toxicity": op3_toxicity,
     "op4_license_scan": op4_license_scan,
+    "op5_minhash": op5_minhash,
     "op6_source_mix": op6_source_mix,
     "op7_simhash_groups": op7_simhash_groups,
+    "op8_embedding_groups": op8_embedding_groups,
     "op9_substring_dedup": op9_substring_dedup,
     "pipeline": pipeline,
 }
