@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import (embedding_dedup, license_scan, minhash, mixing, simhash, substring_dedup, toxicity,
+from eventlake.llm import (bpe, embedding_dedup, license_scan, minhash, mixing, simhash, substring_dedup, toxicity,
                            url_filter)
 
 
@@ -134,6 +134,21 @@ FROM w LEFT JOIN lost USING (doc_id)
 """
 
 
+BPE_FILE = "byte_bpe_50k.tiktoken"
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    """Token ids of every whole document and the bytes they decode to, as digests."""
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(ranks_path or public_tokenizers.path(BPE_FILE))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline (``corpus_pipeline.run``)."""
     import corpus_pipeline
@@ -150,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_groups": op7_simhash_groups,
     "op8_embedding_groups": op8_embedding_groups,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_bpe": op10_bpe,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = {"op6_source_mix": OP6_SQL, "op9_substring_dedup": OP9_SQL}
