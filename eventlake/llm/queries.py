@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import (bpe, embedding_dedup, license_scan, minhash, mixing, simhash, substring_dedup, toxicity,
-                           url_filter)
+from eventlake.llm import (bpe, embedding_dedup, license_scan, minhash, mixing, simhash, substring_dedup,
+                           token_files, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,18 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
+TOKENIZER_FILE = "byte_bpe_50k.json"
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Token files of every whole document, written and read back: place, length and checksum of its ids."""
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = token_files.write_to_shared(docs, tokenizer or public_tokenizers.path(TOKENIZER_FILE))
+    return token_files.checksums(spark, path)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labels outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -158,6 +170,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_token_files": op2_token_files,
     "op3_toxicity": op3_toxicity,
     "op4_license_scan": op4_license_scan,
     "op5_minhash": op5_minhash,
