@@ -44,8 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     b.add_argument("--min-events", type=int, default=MIN_EVENTS)
     b.add_argument("--sigma", type=float, default=OUTLIER_SIGMA)
-    b.add_argument("--exact", action="store_true", help="exact percentiles (bounded groups only)")
-    b.add_argument("--method", choices=["kll", "approx", "exact"], help="quantile method (default kll)")
+    b.add_argument("--method", choices=["exact", "kll", "approx"], default="exact",
+                   help="quantile method (default exact)")
     b.add_argument("--count-before-outliers", action="store_true")
     s = sub.add_parser("stream", help="Kafka (or JSON-lines files) -> raw lake + 1-minute aggregates + quarantine")
     s.add_argument("--source", default="kafka", choices=["kafka", "files"])
@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "batch":
         spark = _session("eventlake-batch")
         run = run_batch(spark, BatchConfig(require_uri(a.input), require_uri(a.output), a.day, a.format,
-                                           a.min_events, a.sigma, exact=a.exact,
+                                           a.min_events, a.sigma,
                                            count_before_outliers=a.count_before_outliers, method=a.method))
         print(json.dumps({"result": run.result_path, "report": run.report_path, "counts": run.counts}))
         return 0

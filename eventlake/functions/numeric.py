@@ -1,4 +1,4 @@
-"""Numeric helpers that give the same answer in any SQL engine."""
+"""Numeric helpers."""
 
 from __future__ import annotations
 
@@ -7,18 +7,10 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(c: Column | str, digits: int = 3) -> Column:
-    """Half-up (away from zero) rounding of a double to ``digits`` decimals,
-    tie-safe.
-
-    A printed tie such as 12.3455 is stored as 12.345499999..., so plain
-    ``x * 1000`` rounding goes down while a decimal rounding of the printed
-    value goes up. Adding a tolerance far below one output unit but far above
-    floating-point noise makes both agree, and the formula is engine
-    independent (``sign``, ``abs``, ``floor`` and IEEE arithmetic only).
-    """
+    """Half-up (away from zero) rounding of the printed value to ``digits``
+    decimals; null, infinite and NaN values stay as they are."""
     x = F.col(c) if isinstance(c, str) else c
-    scale = float(10**digits)
-    return (F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5 + 1e-4)) / F.lit(scale)).cast("double")
+    return F.round(x, digits).cast("double")
 
 
 def safe_ratio(num: Column, den: Column, scale: float = 1.0) -> Column:

@@ -25,6 +25,17 @@ from eventlake.session import shared_path
 BROADCAST_MAX_ROWS = 2_000_000  # ~100 bytes/row -> at most ~200 MB per executor
 
 
+def observed(o: Observation) -> dict:
+    """An observation's values; none where adaptive execution found the plan
+    empty and dropped the observed node with it."""
+    try:
+        return dict(o.get)
+    except Exception as e:
+        if isinstance(e, AssertionError) or "java.lang.AssertionError" in str(e):
+            return {}
+        raise
+
+
 def materialize(small: DataFrame, name: str = "small") -> tuple[DataFrame, int]:
     """Write ``small`` to the shared folder; return it read back and its row
     count (observed during the write, so no second job)."""
@@ -32,7 +43,7 @@ def materialize(small: DataFrame, name: str = "small") -> tuple[DataFrame, int]:
     path = shared_path(spark, "tables", name)
     obs = Observation(f"{name}_{uuid.uuid4().hex}")
     small.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.schema(small.schema).parquet(path), int(obs.get["rows"])
+    return spark.read.schema(small.schema).parquet(path), int(observed(obs).get("rows") or 0)
 
 
 def bounded_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, name: str = "small") -> tuple[DataFrame, bool]:

@@ -83,22 +83,29 @@ def progress_lag(progress: DataFrame) -> DataFrame:
         "end_offset", latest.alias("latest_offset"), (latest - F.col("end_offset")).alias("lag"))
 
 
-def failure_rate(df: DataFrame, size: str = RATE_WINDOW, time_col: str = "timestamp",
+def failure_rate(df: DataFrame, size: str = RATE_WINDOW, time_col: str | None = None,
                  mode: str = "lenient") -> DataFrame:
-    """Rejected rows per window and reason, and per second. Rows carrying
-    ``reject_reasons`` are exploded; otherwise one ``count_if`` per rule is
-    taken per window and unpivoted (no per-row arrays)."""
-    secs = float(window_seconds(size))
-    w = F.window(time_col, size).alias("w")
+    """Rejected rows per window and reason, and per second. The windows are of
+    the arrival time (``kafka_timestamp``, where the rows carry it): an event
+    whose own time is missing or unreadable is a failure as well and must be
+    counted. Rows without any time are counted under null windows. Rows
+    carrying ``reject_reasons`` are exploded; otherwise one ``count_if`` per
+    rule is taken per window and unpivoted (no per-row arrays)."""
+    if time_col is None:
+        time_col = "kafka_timestamp" if "kafka_timestamp" in df.columns else "timestamp"
+    secs = window_seconds(size)
+    # not window(): it drops rows without a time
+    start = F.timestamp_micros(F.floor(F.unix_micros(time_col) / F.lit(secs * 1_000_000)).cast("bigint")
+                               * F.lit(secs * 1_000_000)).alias("window_start")
     if REASONS in df.columns:
         exploded = df.filter(F.size(REASONS) > 0).select(F.col(time_col), F.explode(REASONS).alias("reason"))
-        agg = exploded.groupBy(w, "reason").agg(F.count(F.lit(1)).alias("failures"))
+        agg = exploded.groupBy(start, "reason").agg(F.count(F.lit(1)).alias("failures"))
     else:
         rl = rules(mode, None, columns=df.columns)
-        wide = df.groupBy(w).agg(*[F.count_if(v).alias(name) for name, v in rl])
-        agg = wide.unpivot(["w"], [name for name, _ in rl], "reason", "failures").filter(F.col("failures") > 0)
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "reason",
-                      "failures", (F.col("failures") / F.lit(secs)).alias("failures_per_sec"))
+        wide = df.groupBy(start).agg(*[F.count_if(v).alias(name) for name, v in rl])
+        agg = wide.unpivot(["window_start"], [name for name, _ in rl], "reason", "failures").filter(F.col("failures") > 0)
+    return agg.select("window_start", (F.col("window_start") + F.expr(f"INTERVAL {secs} SECONDS")).alias("window_end"),
+                      "reason", "failures", (F.col("failures") / F.lit(float(secs))).alias("failures_per_sec"))
 
 
 def error_ratio(df: DataFrame, by: Sequence[str] = (), mode: str = "lenient") -> DataFrame:

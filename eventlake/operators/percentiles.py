@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.numeric import round_half_up
-from eventlake.operators.joins import join_group_stats
+from eventlake.operators.joins import join_group_stats, materialize
 from eventlake.operators.outliers import remove_outliers
 from eventlake.operators.quality import prepare
 from eventlake.schema import DEFAULT_GROUP, MIN_EVENTS, OUTLIER_METHOD, OUTLIER_SIGMA, PERCENTILE_PROBS
@@ -48,82 +48,187 @@ def percentile_name(p: float) -> str:
     return f"percentile_{int(round(p * 100))}th"
 
 
-KLL_K = 8192  # KLL sketch size: normalized rank error ~0.04 %, exact below k values
+KLL_K = 8192  # KLL sketch size: exact for groups of at most this many values
 SALT_BUCKETS = 64  # reducers sharing the sketch merge of one group
-EXACT_MAX_GROUP_ROWS = 5_000_000  # largest group ``percentile`` may buffer in one task
+SELECT_ROWS = 1_000_000  # values of a bracket that are sorted to select the exact quantile
+MAX_NARROWINGS = 6  # sketch rounds; after that a bracket holds few distinct values, however many rows
 
 
-def group_counts(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, approx: bool = False,
-                 col: str = "event_duration") -> DataFrame:
-    """Per group: rows, mean and sample stddev of ``col``, distinct devices
-    and distinct (device_id, timestamp) events, in one aggregate. Only fixed
-    size buffers: Spark plans the two distinct counts as an Expand feeding
-    hash aggregates keyed by the distinct columns, so copies and hot devices
-    collapse map-side."""
-    x = F.col(col)
-    return df.groupBy(*by).agg(
-        F.count(x).alias("total_events"),
-        F.avg(x).alias("mean_event_duration"),
-        F.stddev_samp(x).alias("stddev_event_duration"),
-        F.count_distinct(F.col("device_id")).alias("unique_devices"),
-        _distinct_events_expr(approx).alias("distinct_events"),
-    )
-
+def distinct_counts(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, approx: bool = False) -> DataFrame:
+    """Per group: distinct devices and distinct (device_id, timestamp) events.
 
-def quantile_sketches(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float], method: str = "kll",
-                      k: int = KLL_K, accuracy: int = 10000, buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Per group: ``_q`` = array of the ``probs`` quantiles of ``col``.
-
-    ``kll`` (default): a two-level merge of KLL sketches. Level 1 groups by
-    (group, salt) with salt = input task id mod ``buckets``: every task still
-    ships one sketch per group (no volume inflation), but the merge of a group
-    holding a third of the data is spread over ``buckets`` reducers; level 2
-    merges ``buckets`` sketches per group. Exact while a group has at most
-    ``k`` values.
-    ``approx``: ``percentile_approx`` (GK sketch, one merge per group).
-    ``exact``: ``percentile``, buffering every value of a group in one task;
-    refused when the largest group exceeds ``EXACT_MAX_GROUP_ROWS``.
-    """
-    x = F.col(col)
-    if method == "exact":
-        # ``percentile`` holds every value of a group in one task: prove the bound first
-        largest = df.groupBy(*by).agg(F.count(x).alias("n")).agg(F.max("n").alias("m")).first()["m"] or 0
-        if largest > EXACT_MAX_GROUP_ROWS:
-            raise ValueError(f"a group has {largest} values; exact percentiles buffer a whole group in one task "
-                             f"(limit {EXACT_MAX_GROUP_ROWS}); use method='kll' or 'approx'")
-        return df.groupBy(*by).agg(F.percentile(x, list(probs)).alias("_q"))
-    if method == "approx":
-        return df.groupBy(*by).agg(F.percentile_approx(x, list(probs), accuracy).alias("_q"))
-    if method != "kll":
-        raise ValueError("method must be 'kll', 'approx' or 'exact'")
-    salted = df.select(*by, x.cast("double").alias("_x"),
-                       F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt"))
-    level1 = salted.groupBy(*by, "_salt").agg(F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sk"))
-    level2 = level1.groupBy(*by).agg(F.kll_merge_agg_double("_sk").alias("_sk"))
-    return level2.select(*by, F.array(*[F.kll_sketch_get_quantile_double("_sk", F.lit(float(p)))
-                                        for p in probs]).alias("_q"))
+    The events are grouped once by (group, device, time) and rolled up to
+    (group, device) and to the group, where both distinct counts are counts of
+    rows: every level combines before its shuffle, and no row is expanded."""
+    if approx:
+        return df.groupBy(*by).agg(F.count_distinct(F.col("device_id")).alias("unique_devices"),
+                                   _distinct_events_expr(True).alias("distinct_events"))
+    each = df.select(*by, *EVENT_KEY).distinct()
+    devices = each.groupBy(*by, "device_id").agg(F.count("timestamp").alias("_events"))
+    return devices.groupBy(*by).agg(
+        F.count("device_id").alias("unique_devices"),
+        F.coalesce(F.sum(F.when(F.col("device_id").isNotNull(), F.col("_events"))), F.lit(0)).alias("distinct_events"))
+
+
+def rank_error(k: int) -> float:
+    """Generous bound of a KLL sketch's normalised rank error."""
+    return 8.0 / k ** 0.9
+
+
+def quantile_summary(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float], k: int = KLL_K,
+                     buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Per group: KLL sketch (``_sk``), rows (``_n``), mean (``_mean``) and sum
+    of squared deviations (``_m2``) of the values of ``col``.
+
+    Two levels: level 1 groups by (group, salt) with salt = input task id mod
+    ``buckets``, so a task still ships one sketch per group, but the merge of a
+    group holding a third of the data is spread over ``buckets`` reducers;
+    level 2 merges those. Null and NaN values are left out."""
+    x = F.col(col).cast("double")
+    salted = df.select(*by, x.alias("_x"), F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt"))
+    salted = salted.filter(~F.isnan("_x"))
+    level1 = salted.groupBy(*by, "_salt").agg(
+        F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sk"), F.count("_x").alias("n"), F.avg("_x").alias("mean"),
+        (F.var_pop("_x") * F.count("_x")).alias("m2"))
+    level2 = level1.groupBy(*by).agg(F.kll_merge_agg_double("_sk").alias("_sk"), F.sum("n").alias("_n"),
+                                     F.collect_list(F.struct("n", "mean", "m2")).alias("_parts"))
+    zero = F.lit(0.0)
+    mean = F.aggregate("_parts", zero, lambda a, p: a + p["mean"] * p["n"]) / F.col("_n")
+    level2 = level2.withColumn("_mean", mean)
+    m2 = F.aggregate("_parts", zero, lambda a, p: a + p["m2"] + p["n"] * F.pow(p["mean"] - F.col("_mean"), 2))
+    return level2.withColumn("_m2", m2).drop("_parts")
+
+
+def _sketch_quantiles(sketch: str, ranks: Column | Sequence[float]) -> list[Column]:
+    return [F.kll_sketch_get_quantile_double(sketch, r) for r in ranks]
+
+
+GRID = 128  # quantiles taken from a bracket's own sketch
+
+
+def exact_quantiles(df: DataFrame, summary: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
+                    k: int = KLL_K, buckets: int = SALT_BUCKETS, select_rows: int = SELECT_ROWS) -> DataFrame:
+    """``summary`` (``quantile_summary``) with ``_q``: the exact discrete
+    quantiles (the smallest value whose cumulative share reaches p), at any
+    group size and equal on every run.
+
+    A sketch of at most ``k`` values is exact. For larger groups the sketch
+    brackets the wanted rank; one more pass counts the rows below and inside
+    the bracket, which proves it (a bracket that misses becomes the whole
+    group). Brackets of more than ``select_rows`` rows are narrowed by a sketch
+    of their own rows, the others are grouped by value and selected by their
+    running count. No group is ever in one task, and only bracket rows, equal
+    values combined, are sorted.
+
+    The passes are jobs: this function runs them, and returns a plan over
+    written tables."""
+    n_probs = len(probs)
+    table, _ = materialize(summary.withColumn("_q", F.array(*_sketch_quantiles("_sk", [F.lit(float(p)) for p in probs]))),
+                           "quantile_summary")
+    large = table.filter(F.col("_n") > k)
+    if large.isEmpty():
+        return table.drop("_sk")
+    x = F.col(col).cast("double")
+    rows = df.select(*by, x.alias("_x")).filter(~F.isnan("_x"))
+    wanted = F.array(*[F.greatest(F.ceil(F.col("_n") * p - 1e-9), F.lit(1)).cast("bigint") for p in probs])
+
+    error = rank_error(k)
+
+    def ends(p: float) -> Column:
+        lo, hi = (F.kll_sketch_get_quantile_double("_sk", F.lit(min(max(r, 0.0), 1.0))) for r in (p - error, p + error))
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    state = large.select(*by, "_n", wanted.alias("_r"), F.array(*[ends(float(p)) for p in probs]).alias("_b"))
+    for _ in range(MAX_NARROWINGS):
+        state, _ = materialize(state, "quantile_brackets")
+        counted = join_group_stats(rows, state, by).groupBy(*by, "_n", "_r", "_b").agg(
+            F.array(*[F.count_if(F.col("_x") < F.col("_b")[i]["lo"]) for i in range(n_probs)]).alias("_below"),
+            F.array(*[F.count_if(F.col("_x").between(F.col("_b")[i]["lo"], F.col("_b")[i]["hi"]))
+                      for i in range(n_probs)]).alias("_inside"))
+        infinity = F.lit(float("inf"))
+        proved = []
+        for i in range(n_probs):
+            b, r = F.col("_b")[i], F.col("_r")[i]
+            hit = (F.col("_below")[i] < r) & (r <= F.col("_below")[i] + F.col("_inside")[i])
+            proved.append(F.struct(
+                F.when(hit, b["lo"]).otherwise(-infinity).alias("lo"), F.when(hit, b["hi"]).otherwise(infinity).alias("hi"),
+                F.when(hit, F.col("_below")[i]).otherwise(F.lit(0)).alias("below"),
+                F.when(hit, F.col("_inside")[i]).otherwise(F.col("_n")).alias("inside")))
+        proved_state, _ = materialize(counted.select(*by, "_n", "_r", F.array(*proved).alias("_b")), "quantile_proved")
+        wide = F.exists("_b", lambda b: (b["inside"] > select_rows) & (b["lo"] < b["hi"]))
+        if proved_state.filter(wide).isEmpty():
+            break
+        # sketches of the bracket rows give narrower brackets (equal ends are settled and stay)
+        inside = _bracket_rows(rows, proved_state.filter(wide), by)
+        parts = inside.groupBy(*by, "_i", F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt")).agg(
+            F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sk"))
+        grid = F.array(*_sketch_quantiles("_sk", [F.lit(j / GRID) for j in range(GRID + 1)]))
+        merged = (parts.groupBy(*by, "_i").agg(F.kll_merge_agg_double("_sk").alias("_sk"))
+                  .select(*by, "_i", grid.alias("_grid")))
+        each = proved_state.select(*by, "_n", "_r", F.posexplode("_b").alias("_i", "_one"))
+        each = each.join(merged, [*by, "_i"], "left")
+        at = (F.col("_r")[F.col("_i")] - F.col("_one.below")) / F.col("_one.inside")
+        lo = F.greatest(F.floor((at - error) * GRID), F.lit(0)).cast("int")
+        hi = F.least(F.ceil((at + error) * GRID), F.lit(GRID)).cast("int")
+        narrow = F.when(F.col("_grid").isNull() | (F.col("_one.inside") <= select_rows),
+                        F.struct(F.col("_one.lo").alias("lo"), F.col("_one.hi").alias("hi"))).otherwise(
+            F.struct(F.col("_grid")[lo].alias("lo"), F.col("_grid")[hi].alias("hi")))
+        state = each.select(*by, "_n", "_r", "_i", narrow.alias("_e")).groupBy(*by, "_n", "_r").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("_i", "_e"))), lambda t: t["_e"]).alias("_b"))
+    inside = _bracket_rows(rows, proved_state, by).groupBy(*by, "_i", "_target", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*by, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (inside.withColumn("_upto", F.sum("_c").over(upto)).filter(F.col("_upto") >= F.col("_target"))
+             .groupBy(*by, "_i").agg(F.min("_x").alias("_x")))
+    exact = found.groupBy(*by).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda t: t["_x"]).alias("_exact"))
+    exact, _ = materialize(exact, "quantile_exact")
+    joined = table.join(exact, list(by), "left")
+    return joined.withColumn("_q", F.coalesce("_exact", "_q")).drop("_exact", "_sk")
+
+
+def _bracket_rows(rows: DataFrame, state: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, _i, _target, _x): the rows inside each bracket, with the wanted rank among them."""
+    joined = join_group_stats(rows, state, by)
+    hits = F.filter(F.transform("_b", lambda b, i: F.struct(
+        i.alias("_i"), (F.col("_r")[i] - b["below"]).alias("_target"),
+        F.col("_x").between(b["lo"], b["hi"]).alias("_in"))), lambda h: h["_in"])
+    return joined.select(*by, "_x", F.explode(hits).alias("_h")).select(*by, "_h._i", "_h._target", "_x")
+
+
+METHODS = ("exact", "kll", "approx")
 
 
 def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequence[float] = PERCENTILE_PROBS,
-                exact: bool = False, accuracy: int = 10000, col: str = "event_duration",
-                digits: int | None = 3, with_distinct_events: bool = False,
-                approx_distinct: bool = False, method: str | None = None, k: int = KLL_K,
-                buckets: int = SALT_BUCKETS) -> DataFrame:
+                accuracy: int = 10000, col: str = "event_duration", digits: int | None = 3,
+                with_distinct_events: bool = False, approx_distinct: bool = False, method: str = "exact",
+                k: int = KLL_K, buckets: int = SALT_BUCKETS, select_rows: int = SELECT_ROWS) -> DataFrame:
     """Per group: percentiles of ``col``, mean, sample stddev, count and
     distinct devices (with ``with_distinct_events`` also the distinct
     (device_id, timestamp) count).
 
-    Two aggregates joined on the group key: the quantile sketches
-    (``quantile_sketches``; ``method`` defaults to ``kll``, ``exact=True``
-    means ``method="exact"``) and the counts and moments (``group_counts``).
-    A distinct count next to a sketch would key the sketch by the distinct
-    column (one sketch per device or per event), hence two aggregates. Both
-    come out hash-partitioned on the group key, so the join adds no exchange.
+    ``method``: ``exact`` (default) gives the exact discrete quantiles at any
+    group size (``exact_quantiles``; it runs its passes as jobs while the plan
+    is built); ``kll`` takes the sketches' answer, exact up to ``k`` values a
+    group and within ``rank_error(k)`` above, where it differs from run to run;
+    ``approx`` is ``percentile_approx`` with ``accuracy``, one merge per group.
+    Quantiles and moments come out of one aggregate, the distinct counts out of
+    a second one (``distinct_counts``); they are joined on the group key.
     """
-    method = method or ("exact" if exact else "kll")
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     probs = list(probs)
-    q = quantile_sketches(df, by, col, probs, method, k, accuracy, buckets)
-    agg = q.join(group_counts(df, by, approx_distinct, col), on=list(by), how="inner")
+    if method == "approx":
+        x = F.col(col)
+        q = df.groupBy(*by).agg(F.percentile_approx(x, probs, accuracy).alias("_q"), F.count(x).alias("_n"),
+                                F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_sd"))
+    else:
+        q = quantile_summary(df, by, col, probs, k, buckets)
+        if method == "exact":
+            q = exact_quantiles(df, q, by, col, probs, k, buckets, select_rows)
+        else:
+            q = q.withColumn("_q", F.array(*_sketch_quantiles("_sk", [F.lit(float(p)) for p in probs]))).drop("_sk")
+        q = q.withColumn("_sd", F.when(F.col("_n") > 1, F.sqrt(F.col("_m2") / (F.col("_n") - 1))))
+    agg = q.join(distinct_counts(df, by, approx_distinct), on=list(by), how="inner")
 
     def rnd(c: Column) -> Column:
         return c if digits is None else round_half_up(c, digits)
@@ -131,9 +236,9 @@ def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequenc
     return agg.select(
         *by,
         *[rnd(F.col("_q")[i]).alias(percentile_name(p)) for i, p in enumerate(probs)],
-        rnd(F.col("mean_event_duration")).alias("mean_event_duration"),
-        rnd(F.col("stddev_event_duration")).alias("stddev_event_duration"),
-        "total_events",
+        rnd(F.col("_mean")).alias("mean_event_duration"),
+        rnd(F.col("_sd")).alias("stddev_event_duration"),
+        F.col("_n").alias("total_events"),
         "unique_devices",
         *(["distinct_events"] if with_distinct_events else []),
     )
@@ -153,9 +258,9 @@ def with_run_metadata(df: DataFrame, min_events: int, as_of: str | None = None,
 
 def percentile_report(events: DataFrame, by: Sequence[str] = DEFAULT_GROUP, min_events: int = MIN_EVENTS,
                       sigma: float = OUTLIER_SIGMA, probs: Sequence[float] = PERCENTILE_PROBS,
-                      exact: bool = False, approx_distinct: bool = False, count_before_outliers: bool = False,
+                      approx_distinct: bool = False, count_before_outliers: bool = False,
                       as_of: str | None = None, digits: int | None = 3, sort: bool = True,
-                      method: str | None = None) -> DataFrame:
+                      method: str = "exact", k: int = KLL_K) -> DataFrame:
     """The batch query: clean -> drop 3-sigma outliers -> keep groups with at
     least ``min_events`` distinct events -> percentile summary per group.
 
@@ -171,11 +276,11 @@ def percentile_report(events: DataFrame, by: Sequence[str] = DEFAULT_GROUP, min_
     clean = remove_outliers(cleaned, by, sigma)
     if count_before_outliers:
         counts = distinct_events(cleaned, by, approx_distinct)
-        summary = percentiles(clean, by, probs, exact, digits=digits, approx_distinct=approx_distinct,
-                              method=method).join(counts, on=list(by), how="inner")
+        summary = percentiles(clean, by, probs, digits=digits, approx_distinct=approx_distinct,
+                              method=method, k=k).join(counts, on=list(by), how="inner")
     else:
-        summary = percentiles(clean, by, probs, exact, digits=digits, with_distinct_events=True,
-                              approx_distinct=approx_distinct, method=method)
+        summary = percentiles(clean, by, probs, digits=digits, with_distinct_events=True,
+                              approx_distinct=approx_distinct, method=method, k=k)
     out = summary.filter(F.col("distinct_events") >= min_events).drop("distinct_events")
     out = with_run_metadata(out, min_events, as_of)
     # a distributed sort: under AQE its range sampling reads the already

@@ -35,13 +35,16 @@ def _ensure_flags(df: DataFrame) -> DataFrame:
     return with_flags(df)
 
 
-def _arrival_order(df: DataFrame, time_col: str) -> Column:
-    """Position at which an event was received, as a long: the Kafka offset
-    when the rows carry it (a device's events share one partition, keyed by
-    device id, so the offset orders them), otherwise the event time."""
-    if "offset" in df.columns:
-        return F.col("offset").cast("long")
-    return F.unix_micros(F.col(time_col))
+def _first_received(df: DataFrame, time_col: str) -> Column:
+    """Aggregate: the attributes of the first event received. Events are
+    ordered by Kafka offset (a device's events share one partition, keyed by
+    device id), rows without an offset after those with one, then by event time
+    and by the attributes themselves, so ties have one answer and rows without
+    offsets still give their attributes."""
+    offset = F.col("offset").cast("long") if "offset" in df.columns else F.lit(None).cast("long")
+    order = F.struct(F.coalesce(offset, F.lit(2**63 - 1)).alias("offset"), F.unix_micros(F.col(time_col)).alias("time"),
+                     *[F.col(a) for a in DEVICE_ATTRS])
+    return F.min(order)
 
 
 def _window_measures(single_row_stddev: str) -> list[Column]:
@@ -82,17 +85,17 @@ def minute_agg(df: DataFrame, size: str = WINDOW_SIZE, watermark: str | None = N
 def _by_device(df: DataFrame, size: str, time_col: str, single_row_stddev: str, quality: bool,
                hourly_label: bool) -> DataFrame:
     """Window aggregate keyed by (window, device_id) with the attributes of
-    the first event received (``min_by`` over the arrival position).
+    the first event received (the smallest struct of arrival position and
+    attributes).
 
-    ``min_by`` over string attributes has a variable-width buffer, so Spark
-    plans a sort-based aggregate; it is still partial (a hot device is
+    A struct with strings has a variable-width buffer, so Spark plans a
+    sort-based aggregate; it is still partial (a hot device is
     combined within each task before the one shuffle). Measured against a
     two-level variant (hash aggregate keyed by the attributes, then a small
     regroup), the single pass wins: the regroup needs a second shuffle that,
     for minute windows with about one event per device, is as large as the
     first.
     """
-    order = _arrival_order(df, time_col)
     v = F.col("value")
     measures = [F.avg(v).alias("avg_value"), F.count(v).alias("event_count"), F.min(v).alias("min_value"),
                 F.max(v).alias("max_value")]
@@ -105,7 +108,7 @@ def _by_device(df: DataFrame, size: str, time_col: str, single_row_stddev: str,
         measures += [F.count_if(~F.col("is_valid_battery")).alias("low_battery_count"),
                      F.count_if(~F.col("is_valid_signal")).alias("weak_signal_count")]
     agg = df.groupBy(F.window(time_col, size).alias("window"), "device_id").agg(
-        F.min_by(F.struct(*DEVICE_ATTRS), order).alias("_first"), *measures)
+        _first_received(df, time_col).alias("_first"), *measures)
     end = (F.col("window.start") + F.expr("INTERVAL 59 MINUTES 59 SECONDS")) if hourly_label else F.col("window.end")
     out = agg.select(
         F.col("window.start").alias("window_start"),

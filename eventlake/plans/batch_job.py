@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.operators.joins import observed
 from eventlake.operators.outliers import daily_bounds, flag_outliers
 from eventlake.operators.percentiles import distinct_events, percentiles, with_run_metadata
 from eventlake.operators.quality import prepare
@@ -40,9 +41,8 @@ class BatchConfig:
     min_events: int = MIN_EVENTS
     sigma: float = OUTLIER_SIGMA
     as_of: str | None = None
-    exact: bool = False
     count_before_outliers: bool = False
-    method: str | None = None  # kll (default) | approx | exact
+    method: str = "exact"  # exact | kll | approx
 
 
 @dataclass
@@ -66,9 +66,9 @@ def percentile_plan(events: DataFrame, cfg: BatchConfig, by=DEFAULT_GROUP) -> tu
     clean = flag_outliers(cleaned, stats, by).filter(~F.col("is_outlier")).select(*cleaned.columns)
     if cfg.count_before_outliers:
         counts = distinct_events(cleaned, by)
-        summary = percentiles(clean, by, exact=cfg.exact, method=cfg.method).join(counts, on=list(by), how="inner")
+        summary = percentiles(clean, by, method=cfg.method).join(counts, on=list(by), how="inner")
     else:
-        summary = percentiles(clean, by, exact=cfg.exact, with_distinct_events=True, method=cfg.method)
+        summary = percentiles(clean, by, with_distinct_events=True, method=cfg.method)
     summary = summary.observe(
         obs["summary"], F.sum("total_events").alias("rows_after_outliers"),
         F.count(F.lit(1)).alias("type_days"),
@@ -95,6 +95,6 @@ def run_batch(spark: SparkSession, cfg: BatchConfig) -> BatchRun:
     write_result(validation_report(written, cfg.as_of, cfg.min_events), report_path, "csv")
     counts = {}
     for o in [*obs.values(), written_obs]:
-        counts.update({k: int(v or 0) for k, v in o.get.items()})
+        counts.update({k: int(v or 0) for k, v in observed(o).items()})  # a stage of an empty plan reads 0
     counts["outliers"] = counts.get("cleaned_rows", 0) - counts.get("rows_after_outliers", 0)
     return BatchRun(result_path, report_path, {k: counts.get(k, 0) for k in STAGES})

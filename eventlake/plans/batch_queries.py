@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators import outliers, percentiles, quality
-from eventlake.plans.registry import min_events_for, register
-from eventlake.plans.sqlparts import AS_OF, CLEAN_Y, EV, ORACLE_MIN_EVENTS, r3
+from eventlake.plans.registry import register
+from eventlake.plans.sqlparts import AS_OF, CLEAN_Y, EV, MIN_EVENTS, ORACLE_MIN_EVENTS, r3
 from eventlake.sources.adapters import device_events, read_events_table
 from eventlake.sources.files import scan_events
 from eventlake.sources.writers import compact_day, write_partitioned
@@ -70,8 +70,8 @@ P95_DOUBLES = ("percentile_95th", "percentile_50th", "percentile_75th", "percent
                "mean_event_duration", "stddev_event_duration")
 
 
-def p95_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return percentiles.percentile_report(events(spark, sf_dir), min_events=min_events_for(sf_dir), as_of=AS_OF)
+def p95_result(spark: SparkSession, sf_dir: str, min_events: int = MIN_EVENTS) -> DataFrame:
+    return percentiles.percentile_report(events(spark, sf_dir), min_events=min_events, as_of=AS_OF)
 
 
 @register("p95_by_type_day", P95_SQL, P95_DOUBLES)
@@ -81,6 +81,30 @@ def p95_by_type_day(spark, sf_dir):
     return p95_result(spark, sf_dir)
 
 
+BY_TYPE_SQL = f"""
+WITH {EV},
+{CLEAN_Y}
+SELECT device_type,
+       {r3('quantile_disc(event_duration, 0.95)')} AS percentile_95th,
+       {r3('quantile_disc(event_duration, 0.5)')} AS percentile_50th,
+       {r3('quantile_disc(event_duration, 0.75)')} AS percentile_75th,
+       {r3('quantile_disc(event_duration, 0.25)')} AS percentile_25th,
+       {r3('avg(event_duration)')} AS mean_event_duration,
+       {r3('stddev_samp(event_duration)')} AS stddev_event_duration,
+       count(event_duration) AS total_events,
+       count(DISTINCT device_id) AS unique_devices
+FROM y GROUP BY device_type
+"""
+
+
+@register("p95_by_type", BY_TYPE_SQL, P95_DOUBLES)
+def p95_by_type(spark, sf_dir):
+    """A7 with large groups: exact percentiles per device type after the daily
+    outlier removal. The sketch is kept small, so every group is refined by
+    the bracket passes."""
+    return percentiles.percentiles(_clean(spark, sf_dir), by=("device_type",), k=64, select_rows=100)
+
+
 # ---------------------------------------------------------------- sources
 SCAN_SQL = f"""
 WITH {EV}
@@ -232,7 +256,7 @@ HAVING count(DISTINCT (device_id, "timestamp")) >= {ORACLE_MIN_EVENTS}
 def q_type_days_kept(spark, sf_dir):
     """type-days meeting the distinct-event threshold (HAVING)."""
     counts = percentiles.distinct_events(_clean(spark, sf_dir))
-    return counts.filter(F.col("distinct_events") >= min_events_for(sf_dir))
+    return counts.filter(F.col("distinct_events") >= MIN_EVENTS)
 
 
 MIN_FILTER_SQL = f"""
@@ -250,7 +274,7 @@ FROM y WHERE (device_type, event_date) IN (SELECT (device_type, event_date) FROM
 @register("min_events_filter", MIN_FILTER_SQL, ("event_duration",))
 def q_min_events_filter(spark, sf_dir):
     """Rows of kept type-days (left-semi join with the kept keys)."""
-    return percentiles.keep_groups(_clean(spark, sf_dir), min_events=min_events_for(sf_dir)).select(
+    return percentiles.keep_groups(_clean(spark, sf_dir), min_events=MIN_EVENTS).select(
         "device_type", "event_date", "device_id", "timestamp", "event_duration")
 
 

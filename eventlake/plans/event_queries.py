@@ -358,6 +358,23 @@ def q_hourly_agg(spark, sf_dir):
     return windows.hourly_agg(quality.quality_events(events(spark, sf_dir)))
 
 
+@register("hourly_agg_no_offset", HOURLY_SQL.replace('"offset")', '("timestamp", "offset"))'), (
+    "avg_value", "min_value", "max_value", "avg_event_duration", "avg_battery_level", "avg_signal_strength"))
+def q_hourly_agg_no_offset(spark, sf_dir):
+    """A3 on rows without offsets (the files source): the first event by time
+    gives the attributes."""
+    df = events(spark, sf_dir).withColumn("offset", F.lit(None).cast("long"))
+    return windows.hourly_agg(quality.quality_events(df))
+
+
+@register("minute_window_by_device_no_offset", BY_DEVICE_SQL.replace('"offset")', '("timestamp", "offset"))'),
+          WINDOW_DOUBLES)
+def q_minute_window_by_device_no_offset(spark, sf_dir):
+    """A2 on rows without offsets (the files source)."""
+    df = events(spark, sf_dir).withColumn("offset", F.lit(None).cast("long"))
+    return windows.minute_agg_by_device(quality.quality_events(df))
+
+
 HOUR_GROUPS_SQL = """
 SELECT strftime(date_trunc('hour', ts), '%Y/%m/%d/%H') AS hour_key, date_trunc('hour', ts) AS hour_start,
        count(*) AS event_count

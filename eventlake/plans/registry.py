@@ -3,20 +3,20 @@
 Every query reads the whole ``events`` table of a scale-factor folder (or data
 Spark derives from it) through the library's operators. Outputs are
 normalised the same way on both sides so that any engine can check them:
-timestamps as zone-less UTC wall-clock, doubles rounded half-up to 6 decimals.
+timestamps as zone-less UTC wall-clock, doubles rounded to 6 decimals by
+``tie_safe_round`` (for the comparison only; the library rounds with ``round``).
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, TimestampType
 
-from eventlake.functions.numeric import round_half_up
 from eventlake.session import ensure_utc
 
 OUTPUT_DIGITS = 6
@@ -30,8 +30,6 @@ class Query:
     fn: QueryFn
     sql: str | None = None
     doubles: tuple[str, ...] = ()
-    notes: str = ""
-    tags: tuple[str, ...] = field(default_factory=tuple)
 
 
 REGISTRY: dict[str, Query] = {}
@@ -46,15 +44,29 @@ def present(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, (DoubleType, FloatType)):
-            c = round_half_up(c, OUTPUT_DIGITS)
+            c = tie_safe_round(c.cast("double"))
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
+# The comparison of two engines needs a rounding that both compute alike at
+# printed ties: half away from zero with a tolerance of TIE of one output unit.
+# Values too large to have the digits, and non-finite ones, stay as they are.
+TIE = 1e-6
+ROUND_BELOW = 1e9
+
+
+def tie_safe_round(x: Column, digits: int = OUTPUT_DIGITS) -> Column:
+    scale = F.lit(float(10 ** digits))
+    rounded = F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5 + TIE)) / scale
+    return F.when(F.abs(x) < ROUND_BELOW, rounded).otherwise(x).cast("double")
+
+
 def sql_round(expr: str, digits: int = OUTPUT_DIGITS) -> str:
-    """SQL text of ``functions.numeric.round_half_up``."""
+    """SQL text of ``tie_safe_round``."""
     scale = f"{10 ** digits}.0"
-    return f"(sign({expr}) * floor(abs({expr}) * {scale} + 0.5001) / {scale})"
+    return (f"(CASE WHEN abs({expr}) < {ROUND_BELOW:.0f} THEN sign({expr}) * floor(abs({expr}) * {scale} + {0.5 + TIE})"
+            f" / {scale} ELSE {expr} END)")
 
 
 def oracle_text(q: Query) -> str | None:
@@ -72,8 +84,7 @@ def _qi(name: str) -> str:
     return name if re.fullmatch(r"[a-z_][a-z0-9_]*", name) else f'"{name}"'
 
 
-def register(key: str, sql: str | None = None, doubles: tuple[str, ...] = (), notes: str = "",
-             tags: tuple[str, ...] = ()):
+def register(key: str, sql: str | None = None, doubles: tuple[str, ...] = ()):
     """Register ``fn`` under ``key`` with its oracle SQL; the registered
     callable sets UTC and normalises the output with ``present``."""
     def deco(fn: QueryFn) -> QueryFn:
@@ -83,21 +94,7 @@ def register(key: str, sql: str | None = None, doubles: tuple[str, ...] = (), no
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
-        REGISTRY[key] = Query(key, run, sql, tuple(doubles), notes, tuple(tags))
+        REGISTRY[key] = Query(key, run, sql, tuple(doubles))
         return run
 
     return deco
-
-
-# Minimum distinct events per (type, day) for the driver tables: the data has
-# ~650 x sf*10 events per type-day, so the fixed 500 is scaled with the table.
-MIN_EVENTS_BY_SF = {"0.001": 5, "0.01": 50, "0.1": 500}
-
-
-def sf_of(sf_dir: str) -> str | None:
-    m = re.search(r"sf([0-9.]+)/?$", sf_dir)
-    return m.group(1) if m else None
-
-
-def min_events_for(sf_dir: str) -> int:
-    return MIN_EVENTS_BY_SF.get(sf_of(sf_dir) or "", 500)

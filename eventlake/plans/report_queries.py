@@ -6,16 +6,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from eventlake.functions.parse import parse_kafka_json
+from eventlake.functions.timeparts import hour_key
 from eventlake.operators import checks, monitoring, quality, reports
 from eventlake.plans.batch_job import STAGES, BatchConfig, run_batch
 from eventlake.plans.batch_queries import P95_CTES, P95_DOUBLES, P95_SQL, events, p95_result, raw_lake
-from eventlake.plans.event_queries import parsed
-from eventlake.plans.registry import min_events_for, register
-from eventlake.plans.sqlparts import AS_OF, EV, LENIENT_VALID, ORACLE_MIN_EVENTS, r3
+from eventlake.plans.event_queries import parsed, records
+from eventlake.plans.registry import register
+from eventlake.plans.sqlparts import AS_OF, EV, LENIENT_VALID, MIN_EVENTS, ORACLE_MIN_EVENTS, r3
 from eventlake.session import shared_path
 from eventlake.sources.adapters import read_events_table
 from eventlake.sources.files import json_history, read_result
-from eventlake.sources.writers import write_history, write_result
+from eventlake.sources.writers import to_json_edge, write_history, write_result
 
 # ---------------------------------------------------------------- reports
 SUMMARY_SQL = f"""
@@ -54,7 +56,7 @@ UNION ALL SELECT 'min_events_threshold', '{ORACLE_MIN_EVENTS}'
 def q_validation_report(spark, sf_dir):
     """A10: the (metric, value) report, built by unpivoting a one-row
     aggregate (nothing collected to the driver)."""
-    return reports.validation_report(p95_result(spark, sf_dir), AS_OF, min_events_for(sf_dir))
+    return reports.validation_report(p95_result(spark, sf_dir), AS_OF, MIN_EVENTS)
 
 
 STRICT_OK = f"""({LENIENT_VALID} AND event_duration >= 0.1 AND location IS NOT NULL AND unit IS NOT NULL)"""
@@ -106,7 +108,7 @@ SELECT * FROM c
 def q_result_checks(spark, sf_dir):
     """Checks of the percentile result (columns, p95 range, threshold,
     several types)."""
-    return checks.result_checks(p95_result(spark, sf_dir), min_events=min_events_for(sf_dir))
+    return checks.result_checks(p95_result(spark, sf_dir), min_events=MIN_EVENTS)
 
 
 EVENT_CHECKS_SQL = f"""
@@ -226,16 +228,16 @@ def q_lag_alert(spark, sf_dir):
 FAILURE_SQL = f"""
 WITH {EV},
 f AS (
-  SELECT "timestamp", 'duration_out_of_range' AS reason FROM ev
+  SELECT kafka_timestamp, 'duration_out_of_range' AS reason FROM ev
     WHERE COALESCE(NOT (event_duration > 0 AND event_duration <= 3600), FALSE)
-  UNION ALL SELECT "timestamp", 'value_nan' FROM ev WHERE COALESCE(isnan(value), FALSE)
-  UNION ALL SELECT "timestamp", 'battery_out_of_range' FROM ev
+  UNION ALL SELECT kafka_timestamp, 'value_nan' FROM ev WHERE COALESCE(isnan(value), FALSE)
+  UNION ALL SELECT kafka_timestamp, 'battery_out_of_range' FROM ev
     WHERE COALESCE(NOT (battery_level BETWEEN 0 AND 100), FALSE)
-  UNION ALL SELECT "timestamp", 'signal_out_of_range' FROM ev
+  UNION ALL SELECT kafka_timestamp, 'signal_out_of_range' FROM ev
     WHERE COALESCE(NOT (signal_strength BETWEEN -120 AND -30), FALSE)
 )
-SELECT time_bucket(INTERVAL '5 minutes', "timestamp") AS window_start,
-       time_bucket(INTERVAL '5 minutes', "timestamp") + INTERVAL '5 minutes' AS window_end,
+SELECT time_bucket(INTERVAL '5 minutes', kafka_timestamp) AS window_start,
+       time_bucket(INTERVAL '5 minutes', kafka_timestamp) + INTERVAL '5 minutes' AS window_end,
        reason, count(*) AS failures, count(*) / 300.0 AS failures_per_sec
 FROM f GROUP BY 1, 2, 3
 """
@@ -243,10 +245,47 @@ FROM f GROUP BY 1, 2, 3
 
 @register("failure_rate_5m", FAILURE_SQL, ("failures_per_sec",))
 def q_failure_rate(spark, sf_dir):
-    """M5: rejected rows per reason per second over 5-minute windows."""
+    """M5: rejected rows per reason per second over 5-minute windows of their arrival."""
     return monitoring.failure_rate(events(spark, sf_dir))
 
 
+# events whose time is unreadable (every seventh) or whose JSON is broken (every eleventh)
+BROKEN_SQL = f"""
+WITH {EV},
+b AS (SELECT *, "offset" % 11 = 0 AS broken, "offset" % 7 = 0 AND "offset" % 11 <> 0 AS no_time FROM ev),
+f AS (
+  SELECT 'malformed_json' AS reason FROM b WHERE broken
+  UNION ALL SELECT 'missing_' || c FROM b, (VALUES ('event_duration'), ('device_type'), ('device_id'), ('timestamp'),
+                                           ('value')) AS t(c) WHERE broken
+  UNION ALL SELECT 'missing_timestamp' FROM b WHERE no_time
+  UNION ALL SELECT 'duration_out_of_range' FROM b
+    WHERE NOT broken AND COALESCE(NOT (event_duration > 0 AND event_duration <= 3600), FALSE)
+  UNION ALL SELECT 'value_nan' FROM b WHERE NOT broken AND COALESCE(isnan(value), FALSE)
+  UNION ALL SELECT 'battery_out_of_range' FROM b
+    WHERE NOT broken AND COALESCE(NOT (battery_level BETWEEN 0 AND 100), FALSE)
+  UNION ALL SELECT 'signal_out_of_range' FROM b
+    WHERE NOT broken AND COALESCE(NOT (signal_strength BETWEEN -120 AND -30), FALSE)
+)
+SELECT reason, CAST(count(*) AS BIGINT) AS failures FROM f GROUP BY reason
+"""
+
+
+def broken_records(spark, sf_dir):
+    """The topic with every eleventh value cut short and every seventh time unreadable."""
+    text = F.col("value").cast("string")
+    bad_time = F.regexp_replace(text, r'"timestamp":"[^"]*"', '"timestamp":"soon"')
+    value = F.when(F.col("offset") % 11 == 0, F.lit("{cut")).when(F.col("offset") % 7 == 0, bad_time).otherwise(text)
+    return records(spark, sf_dir).withColumn("value", value.cast("binary"))
+
+
+@register("failures_of_broken_records", BROKEN_SQL)
+def q_failures_of_broken_records(spark, sf_dir):
+    """M5: failures per reason on a topic with broken JSON and unreadable
+    times, summed over the arrival windows: none is lost."""
+    rate = monitoring.failure_rate(parse_kafka_json(broken_records(spark, sf_dir)))
+    return rate.groupBy("reason").agg(F.sum("failures").alias("failures"))
+
+
 ERROR_RATIO_SQL = f"""
 WITH {EV}
 SELECT device_type, CAST(count_if(NOT ({LENIENT_VALID})) AS BIGINT) AS errors, count(*) AS total,
@@ -303,11 +342,28 @@ def q_history_roundtrip(spark, sf_dir):
     (year/month/day/hour, ISO timestamps) and read back recursively."""
     path = shared_path(spark, "history")
     write_history(events(spark, sf_dir).drop("kafka_timestamp", "partition", "offset"), path)
-    h = json_history(spark, path)
+    return _history_columns(json_history(spark, path, "lines"))
+
+
+def _history_columns(h):
     return h.select("device_id", "timestamp", "event_duration", "value", "location", "unit", "battery_level",
                     "signal_strength", F.col("metadata")["k"].alias("metadata_k"))
 
 
+@register("history_array", HISTORY_SQL, ("event_duration", "value"))
+def q_history_array(spark, sf_dir):
+    """The events as hourly files of one JSON array each (the upload
+    format), read back with the layout decided per file."""
+    path = shared_path(spark, "history_array")
+    hourly = to_json_edge(events(spark, sf_dir).drop("kafka_timestamp", "partition", "offset")
+                          .withColumn("hour_key", hour_key("timestamp")))
+    record = F.to_json(F.struct(*[c for c in hourly.columns if c != "hour_key"]))
+    arrays = hourly.groupBy("hour_key").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n "), F.lit("]")).alias("value"))
+    arrays.select("hour_key", "value").repartition("hour_key").write.partitionBy("hour_key").text(path)
+    return _history_columns(json_history(spark, path, "per_file"))
+
+
 # ---------------------------------------------------------------- stage counts
 STAGE_SQL = f"""
 WITH {P95_CTES},
@@ -328,6 +384,6 @@ def q_stage_counts(spark, sf_dir):
     """The batch job run on the raw lake, with row counts per stage
     gathered by observations during the job's own passes."""
     out = shared_path(spark, "batch")
-    run = run_batch(spark, BatchConfig(raw_lake(spark, sf_dir), out, min_events=min_events_for(sf_dir), as_of=AS_OF))
+    run = run_batch(spark, BatchConfig(raw_lake(spark, sf_dir), out, min_events=MIN_EVENTS, as_of=AS_OF))
     schema = StructType([StructField("stage", StringType(), False), StructField("rows", LongType(), False)])
     return spark.createDataFrame([(k, int(run.counts[k])) for k in STAGES], schema)

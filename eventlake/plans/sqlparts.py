@@ -1,10 +1,12 @@
 """Shared SQL text for the oracle queries (run by DuckDB on the raw tables).
 
-``EV`` is the SQL form of ``sources.adapters.device_events``; the oracles are
-written at sf0.01, where the distinct-event threshold is 50.
+``EV`` is the SQL form of ``sources.adapters.device_events``.
 """
 
-ORACLE_MIN_EVENTS = 50
+from eventlake.plans.registry import sql_round
+
+MIN_EVENTS = 50  # distinct events a type-day needs in the registered queries, at every scale
+ORACLE_MIN_EVENTS = MIN_EVENTS
 AS_OF = "2024-02-01 00:00:00"
 
 EV = """ev AS (
@@ -61,5 +63,5 @@ y AS (SELECT device_type, device_id, "timestamp", event_duration, event_date FRO
 
 
 def r3(expr: str) -> str:
-    """SQL text of ``round_half_up(expr, 3)``."""
-    return f"(sign({expr}) * floor(abs({expr}) * 1000.0 + 0.5001) / 1000.0)"
+    """SQL text of rounding to 3 decimals as printed (see ``registry.sql_round``)."""
+    return sql_round(expr, 3)

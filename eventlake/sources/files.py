@@ -3,30 +3,30 @@ file-based stream source (the stand-in for Kafka in tests)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from eventlake.functions.parse import parse_iso
+from eventlake.functions.parse import CORRUPT_COLUMN, parse_iso
 from eventlake.functions.timeparts import day_predicate
 from eventlake.schema import EVENT_SCHEMA, PERCENTILE_INPUT_COLUMNS, TIME_PARTS
 from eventlake.session import ensure_utc
 
 
-def day_folder(path: str, day: str) -> str:
+def day_folders(spark: SparkSession, path: str, day: str) -> list[str]:
+    """The existing folders of a day, in every spelling (``month=1``, ``month=01``):
+    writers of both forms may share a lake."""
     y, m, d = (int(x) for x in day.split("-"))
-    return f"{path.rstrip('/')}/year={y}/month={m}/day={d}"
+    months, days = {str(m), f"{m:02d}"}, {str(d), f"{d:02d}"}
+    found = [f"{path.rstrip('/')}/year={y}/month={a}/day={b}" for a in sorted(months) for b in sorted(days)]
+    return [f for f in found if path_exists(spark, f)]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """One file-system metadata call (False when the JVM is not reachable,
-    e.g. Spark Connect: callers then take their general path)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # noqa: BLE001
-        return False
+    """One file-system metadata call."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def scan_events(
@@ -40,19 +40,19 @@ def scan_events(
     partitioned).
 
     Only ``columns`` are read (column pruning). With ``day`` (``YYYY-MM-DD``)
-    on the partitioned lake only that day's folder is listed and read
-    (``basePath`` keeps the partition columns), so the cost does not grow with
-    the years of history next to it; the timestamp predicate is still pushed
-    to the Parquet reader. On a flat layout the day becomes a pushed
-    timestamp range.
+    on the partitioned lake only that day's folders are listed and read (in
+    every spelling; ``basePath`` keeps the partition columns), so the cost does
+    not grow with the years of history next to it; the timestamp predicate is
+    still pushed to the Parquet reader. On a flat layout the day becomes a
+    pushed timestamp range.
     """
     ensure_utc(spark)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    folder = day_folder(path, day) if day is not None else None
-    if folder is not None and path_exists(spark, folder):
-        df = reader.option("basePath", path).parquet(folder)
+    folders = day_folders(spark, path, day) if day is not None else []
+    if folders:
+        df = reader.option("basePath", path).parquet(*folders)
     else:
         df = reader.parquet(path)
     partitioned = all(p in df.columns for p in TIME_PARTS[:3])
@@ -63,65 +63,55 @@ def scan_events(
     return df
 
 
-def first_data_file(spark: SparkSession, path: str) -> str | None:
-    """Path of one data file under ``path`` (skips ``_``/``.`` files)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    it = fs.listFiles(root, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        if not p.getName().startswith(("_", ".")):
-            return p.toString()
-    return None
-
-
-def json_layout(spark: SparkSession, path: str) -> str:
-    """``array`` when the first data file starts with ``[``, else ``lines``
-    (reads a few bytes of one file)."""
-    f = first_data_file(spark, path)
-    if f is None:
-        return "lines"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f)
-    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
-    try:
-        for _ in range(4096):
-            b = stream.read()
-            if b < 0:
-                return "lines"
-            if chr(b) not in " \t\r\n":
-                return "array" if chr(b) == "[" else "lines"
-        return "lines"
-    finally:
-        stream.close()
-
-
-def json_history(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA, layout: str = "auto",
+HISTORY_LAYOUTS = ("per_file", "array", "lines")
+
+
+def json_records(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """One row per JSON record of nested history folders: its text (``record``)
+    and whether it is known not to be one (``bad``).
+
+    ``lines``: one record per line; files are split between tasks.
+    ``array``: one JSON array per file (the hourly upload format), read whole;
+    a file that is not an array is one (corrupt) record.
+    ``per_file``: each file is read whole and decided by itself.
+    """
+    if layout not in HISTORY_LAYOUTS:
+        raise ValueError(f"layout must be one of {HISTORY_LAYOUTS}")
+    reader = spark.read.option("recursiveFileLookup", True)
+    if layout == "lines":
+        text = reader.text(path).select(F.col("value").alias("record")).filter(F.trim("record") != "")
+        return text.withColumn("bad", F.col("record").rlike(r"^\s*\["))  # an array is not a record
+    files = reader.text(path, wholetext=True).filter(F.col("value").rlike(r"\S"))
+
+    def as_records(texts: Column, bad: bool) -> Column:
+        return F.transform(texts, lambda x: F.struct(x.alias("record"), F.lit(bad).alias("bad")))
+
+    is_array = F.col("value").rlike(r"^\s*\[")
+    # elements keep their own text, so that a bad one does not lose its neighbours
+    items = F.when(is_array, as_records(F.from_json("value", "array<string>"), False))
+    if layout == "per_file":
+        lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+        items = F.coalesce(items, F.when(~is_array, as_records(lines, False)))
+    records = F.coalesce(items, as_records(F.array("value"), True))
+    return files.select(F.explode(records).alias("r")).select("r.record", "r.bad")
+
+
+def json_history(spark: SparkSession, path: str, layout: str, schema: StructType = EVENT_SCHEMA,
                  parse_times: bool = True) -> DataFrame:
-    """Hourly history files in nested folders: one JSON array per file (the
-    hourly upload format) or JSON lines (``write_history``). Arrays need
-    ``multiLine`` (one file per task; the files are hourly, so small), lines
-    must not use it (it would keep only the first object of each file).
-    ``layout="auto"`` looks at the first bytes of one file. With
+    """Hourly history files in nested folders (``json_records``), typed by
+    ``schema``. Records that are not valid JSON objects of the schema are kept:
+    their fields are null and ``_corrupt_record`` holds their text. With
     ``parse_times`` a string ``timestamp`` becomes TIMESTAMP."""
-    if layout == "auto":
-        try:
-            layout = json_layout(spark, path)
-        except Exception:  # noqa: BLE001  (no JVM access: pass layout explicitly)
-            layout = "lines"
-    if layout not in ("array", "lines"):
-        raise ValueError("layout must be 'auto', 'array' or 'lines'")
-    df = (
-        spark.read.option("multiLine", layout == "array")
-        .option("recursiveFileLookup", True)
-        .option("mode", "PERMISSIVE")
-        .schema(schema)
-        .json(path)
-    )
-    if parse_times and "timestamp" in schema.fieldNames() and schema["timestamp"].dataType.simpleString() == "string":
+    parse_schema = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    # out of a generator, so that each record is parsed once (see parse_kafka_json)
+    parsed = F.when(~F.col("bad"), F.from_json("record", parse_schema, options))
+    once = F.inline(F.array(F.struct(parsed.alias("data"), F.col("record").alias("_record"))))
+    df = json_records(spark, path, layout).select(once)
+    names = schema.fieldNames()
+    bad = F.when(F.col("data").isNull(), F.col("_record")).otherwise(F.col(f"data.{CORRUPT_COLUMN}"))
+    df = df.select(*[F.col(f"data.`{n}`").alias(n) for n in names], bad.alias(CORRUPT_COLUMN))
+    if parse_times and "timestamp" in names and schema["timestamp"].dataType.simpleString() == "string":
         df = df.withColumn("timestamp", parse_iso("timestamp"))
     return df
 
@@ -164,7 +154,8 @@ def json_lines_records(spark: SparkSession, path: str, max_files_per_trigger: in
     """A stream of JSON-lines files (one event per line) shaped like Kafka
     records, so the streaming job runs unchanged without a broker: ``value``
     is the line, ``timestamp`` the micro-batch time, ``partition`` 0 and
-    ``offset`` null (files carry no offsets)."""
+    ``offset`` null. Files carry no offsets, so lag and order questions have no
+    meaning on this source; first-event attributes fall back to event time."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))

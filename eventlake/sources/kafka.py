@@ -21,14 +21,16 @@ def kafka_options(
     max_offsets: int | None = None,
     group_id: str | None = None,
     options: Mapping[str, str] | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Options of the Spark Kafka source (plain text protocol, no failure on
-    data loss, consumer group through ``kafka.group.id``)."""
+    """Options of the Spark Kafka source (plain text protocol, consumer group
+    through ``kafka.group.id``). Offsets that have expired fail the query
+    unless ``fail_on_data_loss`` is off."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(bool(fail_on_data_loss)).lower(),
         "kafka.security.protocol": "PLAINTEXT",
     }
     if max_offsets:
@@ -60,11 +62,12 @@ def kafka_stream(
     max_offsets: int | None = None,
     group_id: str | None = None,
     options: Mapping[str, str] | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Streaming Kafka source. Offsets are tracked in the query checkpoint
     (exactly-once with a file sink), not auto-committed."""
     return spark.readStream.format("kafka").options(
-        **kafka_options(servers, topic, starting, max_offsets, group_id, options)
+        **kafka_options(servers, topic, starting, max_offsets, group_id, options, fail_on_data_loss)
     ).load()
 
 
@@ -75,9 +78,10 @@ def kafka_batch(
     starting: str = "earliest",
     ending: str = "latest",
     options: Mapping[str, str] | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Bounded batch read of a topic between two offset specs."""
-    opts = kafka_options(servers, topic, starting, options=options)
+    opts = kafka_options(servers, topic, starting, options=options, fail_on_data_loss=fail_on_data_loss)
     opts["endingOffsets"] = ending
     return spark.read.format("kafka").options(**opts).load()
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from eventlake.functions.timeparts import iso_text, with_time_parts
 from eventlake.schema import TIME_PARTS
+from eventlake.sources.files import day_folders
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -41,14 +42,16 @@ def write_partitioned(df: DataFrame, path: str, time_col: str = "timestamp", par
                       fmt: str = "parquet", mode: str = "append", max_records_per_file: int = 5_000_000) -> None:
     """Write event rows Hive-partitioned by time parts of ``time_col``.
 
-    No shuffle: each task sorts its rows by the partition values and writes one
-    file per folder it holds, so a hot hour is spread over all tasks instead of
-    landing in one; ``max_records_per_file`` bounds file size.
+    The rows are rebalanced on the partition columns first: an hour's rows meet
+    in one task (so in one file), small hours share a task, and adaptive
+    execution splits an hour that is larger than its advisory partition size.
+    Without the shuffle every task would write a file for every hour it holds.
+    ``max_records_per_file`` bounds file size.
     """
     missing = [p for p in parts if p not in df.columns]
     if missing:
         df = with_time_parts(df, time_col)
-    df = df.sortWithinPartitions(*parts)
+    df = df.hint("rebalance", *[F.col(p) for p in parts]).sortWithinPartitions(*parts)
     (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*parts).format(fmt).save(path))
 
@@ -69,32 +72,38 @@ def write_history(df: DataFrame, path: str, time_col: str = "timestamp") -> None
     write_partitioned(to_json_edge(with_time_parts(df, time_col)), path, time_col, fmt="json", mode="append")
 
 
-def compact_day(spark, lake: str, day: str, out: str, target_file_mb: int = 256, mode: str = "overwrite") -> None:
-    """Rewrite one day of the raw lake into fewer, larger files (streams with
-    short triggers leave many small files per hour folder).
+def compact_day(spark, lake: str, day: str, out: str, target_file_mb: int = 256, mode: str = "overwrite",
+                files: int | None = None) -> None:
+    """Rewrite all rows of one day of the raw lake into fewer, larger files
+    (streams with short triggers leave many small files per hour folder).
 
-    The day is read with partition pruning and its size taken from one
-    content summary of the day folder; rows are spread round-robin over
-    ``size / target`` tasks, so no key is involved and a hot hour or device
-    cannot skew the rewrite. The output goes to a new path; switching readers
-    over is the caller's step.
+    Every row of the day's folders is kept, whatever its timestamp. The number
+    of files is the folders' size by ``target_file_mb`` (or ``files``); each
+    hour gets its share of them by its rows, one at least, and a row goes to
+    one of its hour's files by a hash of its place. The output goes to a new
+    path; switching readers over is the caller's step.
     """
-    from eventlake.sources.files import scan_events
-
-    y, m, d = (int(x) for x in day.split("-"))
-    size = folder_bytes(spark, f"{lake.rstrip('/')}/year={y}/month={m}/day={d}")
-    n = max(1, -(-size // (target_file_mb * 1024 * 1024)))
-    df = scan_events(spark, lake, day=day, columns=None)
-    df.repartition(int(n)).sortWithinPartitions(*TIME_PARTS).write.mode(mode).partitionBy(*TIME_PARTS).parquet(out)
+    folders = day_folders(spark, lake, day)
+    if not folders:
+        raise FileNotFoundError(f"no folder of {day} under {lake}")
+    n = files or max(1, -(-sum(folder_bytes(spark, f) for f in folders) // (target_file_mb * 1024 * 1024)))
+    df = spark.read.option("basePath", lake).parquet(*folders)
+    hours = df.groupBy(*TIME_PARTS).agg(F.count(F.lit(1)).alias("_rows"))
+    share = F.col("_rows") / F.sum("_rows").over(Window.partitionBy(F.lit(1))) * F.lit(int(n))
+    hours = hours.withColumn("_files", F.greatest(F.round(share), F.lit(1)).cast("int"))
+    before = Window.orderBy(*TIME_PARTS).rowsBetween(Window.unboundedPreceding, -1)
+    # a day has at most 24 hours (and as many strays as spellings): a small side by construction
+    hours = hours.withColumn("_first", F.coalesce(F.sum("_files").over(before), F.lit(0))).drop("_rows")
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_files"))
+    rows = df.join(F.broadcast(hours), list(TIME_PARTS)).withColumn("_file", F.col("_first") + spread)
+    total = int(hours.agg(F.sum("_files")).first()[0] or 1)
+    rows = rows.repartitionByRange(total, "_file").sortWithinPartitions("_file").drop("_first", "_files", "_file")
+    rows.write.mode(mode).partitionBy(*TIME_PARTS).parquet(out)
 
 
 def folder_bytes(spark, path: str) -> int:
-    """Total bytes under a folder (one file-system metadata call; 0 when the
-    JVM is not reachable, which yields one output file per target size)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-    except Exception:  # noqa: BLE001
-        return 0
+    """Total bytes under a folder (one file-system metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())

@@ -11,13 +11,20 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_flagship_broadcasts_group_stats_and_prunes_columns(spark):
+def test_flagship_counts_without_expand_and_prunes_columns(spark):
     res = percentiles.percentile_report(events(spark, SF001), min_events=5, sort=False)
     plan = _plan(res)
     assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan  # summary x counts, co-partitioned
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "Expand" not in plan
+    # the events once, for the distinct counts; the quantiles and moments come from their written table
+    assert plan.count("events.parquet") == 1
     assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
+    # every shuffle is fed by a partial aggregate or is of a group table
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert "HashAggregate" in "".join(lines[i + 1:i + 3]) or "parquet" in "".join(lines[i + 1:i + 4])
 
 
 def test_filters_pushed_to_parquet(spark):

@@ -20,9 +20,9 @@ def test_json_history_arrays_need_multiline(spark, tmp_path):
              "timestamp": f"2025-01-01T10:0{i}:00+00:00", "location": "hall", "value": 1.0, "unit": "lux"}
             for i in range(3)]
     (d / "events.json").write_text(json.dumps(recs, indent=2))
-    df = json_history(spark, str(tmp_path / "historical"))
+    df = json_history(spark, str(tmp_path / "historical"), "array")
     assert df.count() == 3
-    single_line = spark.read.schema(df.schema).option("recursiveFileLookup", True).json(str(tmp_path / "historical"))
+    single_line = spark.read.schema(df.drop("_corrupt_record").schema).option("recursiveFileLookup", True).json(str(tmp_path / "historical"))
     assert single_line.filter("device_id IS NOT NULL").count() < 3
 
 
@@ -36,7 +36,7 @@ def test_write_history_roundtrip(spark, tmp_path):
     # several JSON lines in one file: the reader must not fall back to one object per file
     many = events_df(spark, [event(timestamp=f"2025-01-01 10:{m:02d}:00", offset=m) for m in range(30)])
     write_history(many.drop("metadata").coalesce(1), str(tmp_path / "h2"))
-    hist = json_history(spark, str(tmp_path / "h2"))
+    hist = json_history(spark, str(tmp_path / "h2"), "lines")
     assert hist.count() == 30 and str(hist.schema["timestamp"].dataType) == "TimestampType()"
 
 
@@ -71,7 +71,8 @@ def test_kafka_options():
     o = kafka.kafka_options("b:9092", "iot-events", "latest", max_offsets=100, group_id="g")
     assert o["subscribe"] == "iot-events" and o["startingOffsets"] == "latest"
     assert o["maxOffsetsPerTrigger"] == "100" and o["kafka.group.id"] == "g"
-    assert o["failOnDataLoss"] == "false"
+    assert o["failOnDataLoss"] == "true"
+    assert kafka.kafka_options("b:9092", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
 
 
 def test_bounded_read_is_deterministic(spark):

@@ -73,7 +73,7 @@ def test_dedup_within_watermark(spark, tmp_path):
     got = rows(spark.read.parquet(str(tmp_path / "o1")), "timestamp")
     assert [str(t[0])[11:] for t in got] == ["10:00:00", "10:00:05", "10:01:00", "10:10:00"]
     # combined before the shuffle, emitted when the watermark (10:08) passes the key
-    _run(dedup.dedup(s, watermark="2 minutes"), tmp_path / "o2", tmp_path / "c2", parts=())
+    _run(dedup.dedup(s, watermark="2 minutes", emit="on_watermark"), tmp_path / "o2", tmp_path / "c2", parts=())
     got = rows(spark.read.parquet(str(tmp_path / "o2")), "timestamp", "offset")
     assert [(str(t)[11:], o) for t, o in got] == [("10:00:00", 0), ("10:00:05", 2), ("10:01:00", 11)]
 
