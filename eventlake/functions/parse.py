@@ -21,7 +21,8 @@ def parse_iso(c: Column | str) -> Column:
     return F.try_to_timestamp(F.col(c) if isinstance(c, str) else c)
 
 
-def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corrupt: bool = True) -> DataFrame:
+def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corrupt: bool = True,
+                     keep_payload: bool = False) -> DataFrame:
     """Kafka envelope -> one column per event field plus Kafka coordinates
     and the UTF-8 record key (``kafka_key``).
 
@@ -29,7 +30,8 @@ def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corr
     raw text is kept in ``_corrupt_record`` so the quality rules can name the
     reason. Integer fields accept integral numbers written as floats (``50.0``
     -> 50); a fractional or out-of-range value (``50.5``, ``3e9``) marks the
-    record malformed.
+    record malformed. With ``keep_payload`` the record's text (``raw_payload``)
+    and the timestamp as written (``timestamp_text``) stay beside the fields.
     """
     int_fields = [f.name for f in schema.fields if isinstance(f.dataType, (IntegerType, LongType))]
     wide = [StructField(f.name, DoubleType(), True) if f.name in int_fields else f for f in schema.fields]
@@ -59,11 +61,14 @@ def parse_kafka_json(df: DataFrame, schema: StructType = EVENT_SCHEMA, keep_corr
         fractional = fractional | F.coalesce((d != F.floor(d)) | (d < F.lit(float(lo))) | (d > F.lit(float(hi))),
                                              F.lit(False))
     out = out.withColumn(CORRUPT_COLUMN, F.when(fractional, F.coalesce(F.col(CORRUPT_COLUMN), F.col("_payload")))
-                         .otherwise(F.col(CORRUPT_COLUMN))).drop("_payload")
+                         .otherwise(F.col(CORRUPT_COLUMN)))
+    out = out.withColumnRenamed("_payload", "raw_payload") if keep_payload else out.drop("_payload")
     for name in int_fields:
         d = F.col(name)
         out = out.withColumn(name, F.when(d == F.floor(d), d.try_cast(schema[name].dataType.simpleString())))
     if "timestamp" in schema.fieldNames() and isinstance(schema["timestamp"].dataType, StringType):
+        if keep_payload:
+            out = out.withColumn("timestamp_text", F.col("timestamp"))
         out = out.withColumn("timestamp", parse_iso("timestamp"))
     if not keep_corrupt:
         out = out.drop(CORRUPT_COLUMN)

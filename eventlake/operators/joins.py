@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from eventlake.session import shared_path
 
-BROADCAST_MAX_ROWS = 2_000_000  # ~100 bytes/row -> at most ~200 MB per executor
+BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 200_000_000  # as text; what an executor is ready to hold
 
 
 def observed(o: Observation) -> dict:
@@ -36,21 +37,29 @@ def observed(o: Observation) -> dict:
         raise
 
 
-def materialize(small: DataFrame, name: str = "small") -> tuple[DataFrame, int]:
-    """Write ``small`` to the shared folder; return it read back and its row
-    count (observed during the write, so no second job)."""
+def _written(small: DataFrame, name: str, **measures) -> tuple[DataFrame, dict]:
     spark = small.sparkSession
     path = shared_path(spark, "tables", name)
     obs = Observation(f"{name}_{uuid.uuid4().hex}")
-    small.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.schema(small.schema).parquet(path), int(observed(obs).get("rows") or 0)
+    seen = [F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in measures.items()]]
+    small.observe(obs, *seen).write.mode("overwrite").parquet(path)
+    return spark.read.schema(small.schema).parquet(path), observed(obs)
+
+
+def materialize(small: DataFrame, name: str = "small") -> tuple[DataFrame, int]:
+    """Write ``small`` to the shared folder; return it read back and its row
+    count (observed during the write, so no second job)."""
+    table, seen = _written(small, name)
+    return table, int(seen.get("rows") or 0)
 
 
-def bounded_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, name: str = "small") -> tuple[DataFrame, bool]:
-    """Materialise ``small`` and report whether its row count allows a
-    broadcast."""
-    table, rows = materialize(small, name)
-    return table, rows <= max_rows
+def bounded_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, name: str = "small",
+                 max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise ``small`` and report whether its measured rows and bytes
+    (as JSON text: keys may be of any length) allow a broadcast."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in small.columns]))))
+    table, seen = _written(small, name, bytes=size)
+    return table, int(seen.get("rows") or 0) <= max_rows and int(seen.get("bytes") or 0) <= max_bytes
 
 
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner",

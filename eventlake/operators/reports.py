@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.numeric import round_half_up, safe_ratio
 from eventlake.functions.timeparts import iso_text
-from eventlake.operators.quality import REASONS
+from eventlake.operators.quality import is_rejected
 from eventlake.schema import MIN_EVENTS, OUTLIER_METHOD
 
 
@@ -65,19 +65,20 @@ def validation_report(result: DataFrame, as_of: str | None = None, min_events: i
     return wide.unpivot([], list(REPORT_METRICS), "metric", "value")
 
 
-def conformance_stats(checked: DataFrame) -> DataFrame:
-    """Stream conformance over rows carrying ``reject_reasons``: consumed,
-    valid, invalid, success percentage and the sorted distinct device types
-    and locations of valid rows.
-
-    One aggregate; ``collect_set`` is merged from per-task sets, so each task
-    ships one entry per distinct type / location, never the rows.
-    """
-    ok = F.size(REASONS) == 0
-    return checked.agg(
-        F.count(F.lit(1)).alias("consumed"),
-        F.count_if(ok).alias("valid"),
-        F.count_if(~ok).alias("invalid"),
-        F.sort_array(F.collect_set(F.when(ok, F.col("device_type")))).alias("device_types"),
-        F.sort_array(F.collect_set(F.when(ok, F.col("location")))).alias("locations"),
+def conformance_stats(events: DataFrame, mode: str = "lenient") -> DataFrame:
+    """Stream conformance: consumed, valid, invalid and success percentage.
+    Rows without ``reject_reasons`` are judged by the rules' conjunction, so
+    no per-row array is built."""
+    ok = ~is_rejected(events, mode)
+    return events.agg(
+        F.count(F.lit(1)).alias("consumed"), F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"),
     ).withColumn("success_pct", safe_ratio(F.col("valid"), F.col("consumed"), 100.0))
+
+
+def conformance_values(events: DataFrame, columns=("device_type", "location"), mode: str = "lenient") -> DataFrame:
+    """The distinct values of ``columns`` among the valid rows, as sorted
+    ``(kind, value)`` rows: the values come off the wire, so their number has
+    no bound, and a distributed distinct and sort hold them."""
+    good = events.filter(~is_rejected(events, mode)).select(*[F.col(c).cast("string").alias(c) for c in columns])
+    long = good.unpivot([], list(columns), "kind", "value").filter(F.col("value").isNotNull())
+    return long.distinct().orderBy("kind", "value")

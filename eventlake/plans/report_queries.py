@@ -63,22 +63,29 @@ STRICT_OK = f"""({LENIENT_VALID} AND event_duration >= 0.1 AND location IS NOT N
 CONFORMANCE_SQL = f"""
 WITH {EV}
 SELECT count(*) AS consumed, CAST(count_if({STRICT_OK}) AS BIGINT) AS valid, CAST(count_if(NOT {STRICT_OK}) AS BIGINT) AS invalid,
-       CASE WHEN count(*) = 0 THEN NULL ELSE CAST(count_if({STRICT_OK}) AS BIGINT) * 100.0 / count(*) END AS success_pct,
-       COALESCE(string_agg(DISTINCT device_type, ',' ORDER BY device_type) FILTER (WHERE {STRICT_OK}), '')
-         AS device_types,
-       COALESCE(string_agg(DISTINCT location, ',' ORDER BY location) FILTER (WHERE {STRICT_OK}), '') AS locations
+       CASE WHEN count(*) = 0 THEN NULL ELSE CAST(count_if({STRICT_OK}) AS BIGINT) * 100.0 / count(*) END AS success_pct
 FROM ev
 """
 
 
 @register("conformance_stats", CONFORMANCE_SQL, ("success_pct",))
 def q_conformance_stats(spark, sf_dir):
-    """consumed/valid/invalid/success % of the decoded topic under
-    the strict rules, with sorted distinct types and locations."""
-    st = reports.conformance_stats(quality.apply_rules(parsed(spark, sf_dir), mode="strict"))
-    return st.select("consumed", "valid", "invalid", "success_pct",
-                     F.array_join("device_types", ",").alias("device_types"),
-                     F.array_join("locations", ",").alias("locations"))
+    """consumed/valid/invalid/success % of the decoded topic under the
+    strict rules."""
+    return reports.conformance_stats(parsed(spark, sf_dir), mode="strict")
+
+
+CONFORMANCE_VALUES_SQL = f"""
+WITH {EV}
+SELECT DISTINCT 'device_type' AS kind, device_type AS value FROM ev WHERE {STRICT_OK}
+UNION ALL SELECT DISTINCT 'location', location FROM ev WHERE {STRICT_OK}
+"""
+
+
+@register("conformance_values", CONFORMANCE_VALUES_SQL)
+def q_conformance_values(spark, sf_dir):
+    """The sorted distinct types and locations of valid records, as long rows."""
+    return reports.conformance_values(parsed(spark, sf_dir), mode="strict")
 
 
 # ---------------------------------------------------------------- checks
@@ -213,6 +220,14 @@ def q_lag_by_partition(spark, sf_dir):
     return monitoring.lag_by_partition(topic_view(spark, sf_dir), LAG_AS_OF)
 
 
+@register("unread_by_partition", LAG_SQL)
+def q_unread_by_partition(spark, sf_dir):
+    """M3 on stored records: latest offset, last offset up to an instant and
+    the records after it, per topic partition (``lag_by_partition`` under the
+    name of what it computes; a running query's lag is ``progress_lag``)."""
+    return monitoring.lag_by_partition(topic_view(spark, sf_dir), LAG_AS_OF)
+
+
 LAG_ALERT_SQL = f"""
 WITH l AS ({LAG_SQL})
 SELECT topic, avg(lag) AS mean_lag, max(lag) AS max_lag, avg(lag) > 1000 AS alert FROM l GROUP BY topic

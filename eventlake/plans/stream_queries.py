@@ -5,6 +5,8 @@ committed output read back as a DataFrame."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,12 +16,13 @@ from eventlake.operators.quality import quality_events
 from eventlake.plans.event_queries import DEDUP_BODY, QUARANTINE_SQL, WINDOW_DOUBLES, records, window_ctes
 from eventlake.plans.registry import register
 from eventlake.plans.sqlparts import EV, QEV
-from eventlake.schema import EVENTS_TABLE_SCHEMA, WATERMARK
+from eventlake.schema import EVENTS_TABLE_SCHEMA, TIME_PARTS, WATERMARK
 from eventlake.session import shared_path
 from eventlake.sources.adapters import device_events, read_events_table
-from eventlake.sources.files import file_stream
+from eventlake.sources.files import file_stream, path_exists
+from eventlake.streaming.progress import attach, read_progress
 from eventlake.streaming.sinks import state_partitions, stream_parquet
-from eventlake.streaming.stream_job import quarantine_stream, raw_output
+from eventlake.streaming.stream_job import aggregate_output, quarantine_stream, raw_output
 
 
 def event_stream(spark: SparkSession, folder: str, glob: str | None = "events.parquet",
@@ -120,6 +123,61 @@ def q_late_data_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("late_rows_in_raw", f"""
+WITH {EV},
+{QEV}
+SELECT "offset", device_id, "timestamp", value FROM qev
+""", ("value",))
+def q_late_rows_in_raw(spark, sf_dir):
+    """The same three arrival batches through the raw branch, which has no
+    watermark: the late batch stays."""
+    inbox = shared_path(spark, "streams", "late_raw", "inbox")
+    out, ck = shared_path(spark, "streams", "late_raw", "out"), shared_path(spark, "streams", "late_raw", "ck")
+    for i, batch in enumerate(replay_batches(spark, sf_dir)):
+        batch.write.mode("overwrite").parquet(f"{inbox}/batch={i}")
+        raw = raw_output(quality_events(device_events(file_stream(spark, inbox, EVENTS_TABLE_SCHEMA))))
+        run_to_end(stream_parquet(raw, out, ck, parts=TIME_PARTS[:3], available_now=True))
+    return spark.read.parquet(out).select("offset", "device_id", "timestamp", "value")
+
+
+@register("agg_partitioned", f"""
+WITH {window_ctes('1 hour')}
+SELECT * FROM agg
+WHERE window_end <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM qev) - INTERVAL '2 minutes'
+""", WINDOW_DOUBLES)
+def q_agg_partitioned(spark, sf_dir):
+    """K3+K5: the watermarked aggregate (hourly windows) in the sink's layout,
+    partitioned by year/month/day/hour of the window, and read back."""
+    agg = aggregate_output(quality_events(event_stream(spark, sf_dir)), window="1 hour")
+    out, _ = drain(agg, "agg_partitioned", parts=TIME_PARTS)
+    return spark.read.parquet(out).select(*agg.columns)
+
+
+@register("stream_progress", "SELECT 'events' AS name, CAST(count(*) AS BIGINT) AS input_rows, TRUE AS counted FROM events")
+def q_stream_progress(spark, sf_dir):
+    """W9+M8: rows processed by a stream over the table, from its progress
+    reports appended to a table in the shared folder."""
+    table = shared_path(spark, "progress")
+    collector = attach(spark)
+    try:
+        out, ck = shared_path(spark, "streams", "progress", "out"), shared_path(spark, "streams", "progress", "ck")
+        query = stream_parquet(event_stream(spark, sf_dir).select("offset"), out, ck, parts=(), available_now=True,
+                               query_name=f"events_{out.rpartition('/')[2]}")
+        run_to_end(query)
+        name = query.name
+        for _ in range(100):  # reports come from the listener's own thread
+            collector.flush(spark, table)
+            if path_exists(spark, table) and read_progress(spark, table).filter(F.col("name") == name).filter(
+                    "num_input_rows > 0").count():
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(collector)
+    mine = read_progress(spark, table).filter(F.col("name") == name)
+    return mine.agg(F.lit("events").alias("name"), F.sum("num_input_rows").alias("input_rows"),
+                    (F.count("trigger_ms") > 0).alias("counted")).select("name", "input_rows", "counted")
+
+
 # ---------------------------------------------------------------- dedup
 DEDUP_STREAM_SQL = f"""
 WITH {EV}

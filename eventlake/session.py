@@ -7,12 +7,15 @@ Library transforms never create a session; they take DataFrames.
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -47,6 +50,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # groups a task's sketch aggregate holds before it falls back to sorting (~64 KB a sketch)
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass":
@@ -57,11 +62,11 @@ CLUSTER_CONF = {
 def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
     """Apply ``CLUSTER_CONF`` for keys the deployment has not set itself."""
     for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
-        try:
-            if spark.conf.get(k, None) in (None, ""):
+        if spark.conf.get(k, None) in (None, ""):
+            try:
                 spark.conf.set(k, v)
-        except Exception:  # static configuration: must come from spark-submit
-            pass
+            except Exception as e:  # static configuration: must come from spark-submit
+                log.warning("%s is not applied (set it at submit): %s", k, str(e).split("\n")[0])
 
 
 def ensure_utc(spark: SparkSession) -> None:
@@ -78,12 +83,9 @@ def is_local(spark: SparkSession) -> bool:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Read from the session. Only a local session without the setting gets its
-    own folder (tests, the bench); a cluster without it is a configuration
-    error, because a machine-local folder would not survive executor loss.
-    """
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. A
+    session without the setting is a configuration error here; tools and tests
+    on one machine call ``use_scratch_folder`` first."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         try:
@@ -91,13 +93,35 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect
             root = None
     if not root:
-        if not is_local(spark):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. an object-store URI)")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-ckpt-"))
-        root = spark.sparkContext.getCheckpointDir()
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. an object-store URI)")
     return root.rstrip("/")
 
 
+def use_scratch_folder(spark: SparkSession) -> None:
+    """For the entry file, the bench and tests: where a local session names no
+    shared folder, give it one of its own. Does nothing anywhere else."""
+    if spark.conf.get(CHECKPOINT_CONF, None) or not is_local(spark) or spark.sparkContext.getCheckpointDir():
+        return
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-ckpt-"))
+
+
+_WRITTEN: list[str] = []  # what this process has written to shared folders
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder."""
-    return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
+    path = "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
+    _WRITTEN.append(path)
+    return path
+
+
+def clean_shared(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process has written to the shared
+    folder; call it when no DataFrame that reads them is needed any more.
+    Returns how many there were."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        removed += bool(p.getFileSystem(conf).delete(p, True))
+    return removed

@@ -10,20 +10,13 @@ import os
 from collections.abc import Mapping
 from urllib.parse import urlparse
 
-# Fixed connector settings (timeouts in ms, sizes in bytes).
+# What the connector needs for an S3-compatible store. Timeouts, retries and
+# block sizes keep the connector's own defaults; the connection pool is sized
+# for executors with many concurrent column-chunk reads.
 S3A_DEFAULTS = {
     "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
     "spark.hadoop.fs.s3a.path.style.access": "true",
-    "spark.hadoop.fs.s3a.connection.timeout": "200000",
-    "spark.hadoop.fs.s3a.connection.establish.timeout": "40000",
-    "spark.hadoop.fs.s3a.connection.maximum": "100",
-    "spark.hadoop.fs.s3a.attempts.maximum": "10",
-    "spark.hadoop.fs.s3a.retry.limit": "5",
-    "spark.hadoop.fs.s3a.retry.interval": "500ms",
-    "spark.hadoop.fs.s3a.multipart.size": "104857600",
-    "spark.hadoop.fs.s3a.fast.upload": "true",
-    "spark.hadoop.fs.s3a.block.size": "134217728",
-    "spark.hadoop.fs.s3a.readahead.range": "1048576",
+    "spark.hadoop.fs.s3a.connection.maximum": "1000",
 }
 
 

@@ -1,11 +1,10 @@
-"""Streaming progress as data: a listener keeps the recent progress reports
-(JSON) of every query, and ``progress_frame`` turns them into a DataFrame for
+"""Streaming progress as data: a listener keeps the progress reports (JSON) of
+every query until they are appended to a table in the shared folder, and ``progress_frame`` turns them into a DataFrame for
 the monitoring queries (rates, batch durations, watermark drops, lag)."""
 
 from __future__ import annotations
 
 import threading
-from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +13,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 class ProgressCollector(StreamingQueryListener):
-    """Keeps the last ``keep`` progress reports (metadata, not data rows)."""
+    """Keeps every progress report (metadata, not data rows) until ``flush``."""
 
-    def __init__(self, keep: int = 1000):
-        self._rows: deque[str] = deque(maxlen=keep)
+    def __init__(self):
+        self._rows: list[str] = []
         self._lock = threading.Lock()
         self.errors: list[str] = []
 
@@ -41,17 +40,36 @@ class ProgressCollector(StreamingQueryListener):
             return list(self._rows)
 
 
-def attach(spark: SparkSession, keep: int = 1000) -> ProgressCollector:
+    def flush(self, spark: SparkSession, path: str) -> int:
+        """Append the held reports to the table of JSON lines at ``path`` and
+        let go of them; returns how many. Call it now and then from the code
+        that runs the queries, so the history is durable and memory stays small."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.mode("append").text(path)
+        return len(rows)
+
+
+def attach(spark: SparkSession) -> ProgressCollector:
     """Register a ``ProgressCollector`` on the session and return it."""
-    collector = ProgressCollector(keep)
+    collector = ProgressCollector()
     spark.streams.addListener(collector)
     return collector
 
 
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The reports of a table written by ``ProgressCollector.flush``."""
+    return _measures(spark.read.text(path).select(F.col("value").alias("json")))
+
+
 def progress_frame(spark: SparkSession, reports: list[str]) -> DataFrame:
     """Progress JSON -> one row per report with the usual measures."""
     schema = StructType([StructField("json", StringType(), False)])
-    df = spark.createDataFrame([(r,) for r in reports], schema)
+    return _measures(spark.createDataFrame([(r,) for r in reports], schema))
+
+
+def _measures(df: DataFrame) -> DataFrame:
     j = F.col("json")
     return df.select(
         F.get_json_object(j, "$.id").alias("query_id"),

@@ -50,10 +50,11 @@ def quality_stream(records: DataFrame, mode: str = "lenient") -> DataFrame:
 
 
 def quarantine_stream(records: DataFrame, mode: str = "lenient") -> DataFrame:
-    """Kafka records -> rejected rows with ``reject_reasons`` and the raw
-    payload. Partitioned by Kafka arrival time: the event timestamp may be the
-    broken field."""
-    parsed = parse_kafka_json(records, keep_corrupt=True)
+    """Kafka records -> rejected rows with ``reject_reasons``, the record's text
+    (``raw_payload``) and its timestamp as written (``timestamp_text``), so
+    that a rejected record can be repaired and replayed. Partitioned by Kafka
+    arrival time: the event timestamp may be the broken field."""
+    parsed = parse_kafka_json(records, keep_corrupt=True, keep_payload=True)
     rejected = quarantine(apply_rules(parsed, mode))
     return with_time_parts(with_ingest_time(rejected), "kafka_timestamp")
 
@@ -108,13 +109,18 @@ def source_records(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
 def run_stream(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None = None) -> None:
     """Start the queries and wait; the first failure of any query ends the
     wait (and is raised). With ``available_now`` the queries end at the end
-    of the available input."""
+    of the available input; a query that has not by ``timeout_s`` is an error
+    (``TimeoutError``), as its output is incomplete."""
     records = source_records(spark, cfg)
     queries = start_queries(spark, records, cfg)
+    late = []
     try:
         if cfg.available_now:
             for qq in queries:
-                qq.awaitTermination(timeout_s)
+                if timeout_s is None:
+                    qq.awaitTermination()
+                elif not qq.awaitTermination(timeout_s):
+                    late.append(qq.name)
         elif timeout_s is None:
             spark.streams.awaitAnyTermination()
         else:
@@ -126,3 +132,5 @@ def run_stream(spark: SparkSession, cfg: StreamConfig, timeout_s: float | None =
     for qq in queries:
         if qq.exception():
             raise RuntimeError(f"{qq.name} failed: {qq.exception()}")
+    if late:
+        raise TimeoutError(f"not at the end of the input after {timeout_s} s: {', '.join(late)}")

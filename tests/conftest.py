@@ -14,7 +14,7 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from eventlake.session import ensure_utc
+    from eventlake.session import ensure_utc, use_scratch_folder
 
     s = (
         SparkSession.builder.master("local[*]")
@@ -27,6 +27,7 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     ensure_utc(s)
+    use_scratch_folder(s)
     yield s
     s.stop()
 
