@@ -34,13 +34,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import quoted, stage
+from eventlake.llm.shared import map_arrow, quoted, stage
 from eventlake.llm.text import slices
 
 HOT_WORDS = 400_000  # words of at most HOT_BYTES bytes, so at most 25 MB
 HOT_BYTES = 48
-BLOCK_BYTES = 8_000_000  # text of one block
-CACHE = 200_000  # split words remembered by a Python worker, twice at most
+BLOCK_BYTES = 4_000_000  # text of one block
+CACHE = 100_000  # chunks remembered by a Python worker, twice at most
 BUCKETS, SLOTS = 1 << 15, 1 << 17  # of the rank map; a vocabulary fills less than half of the slots
 LONG = 64  # bytes from which a word's ranks are kept instead of looked up again
 SHIFT = 1 << 24  # packed: rank * SHIFT + place
@@ -170,13 +170,22 @@ def _worker_state() -> types.ModuleType:
     return sys.modules.setdefault("_eventlake_bpe_state", types.ModuleType("_eventlake_bpe_state"))
 
 
-def chunks(text: str) -> list[str]:
+def _odd_space():
+    import re
+
+    return re.compile(r" (?=\s|\Z)").search
+
+
+def chunks(text: str, odd_space=_odd_space()) -> list[str]:
     """``text`` cut before single spaces, where every pattern of this family
     cuts too: a space that ends its white space and is followed by a word."""
     parts = text.split(" ")
     out = [parts[0]] if parts[0] else []
+    if odd_space(text) is None:  # every space is followed by a word
+        out += [" " + p for p in parts[1:]]
+        return out
     glue = ""
-    for i, p in enumerate(parts[1:], 1):
+    for p in parts[1:]:
         if p == "" or p[0].isspace():  # the white space goes on: not a cut
             glue += " " + p
             continue
@@ -189,61 +198,66 @@ def chunks(text: str) -> list[str]:
     return out
 
 
-class Splitter:
-    """Words of a chunk, remembered for the most recent ones."""
+class Recent(dict):
+    """Values of recent short chunks: at most ``limit`` new ones and as many older ones."""
 
-    def __init__(self, pattern: str):
-        self.find = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
-        self.new: dict[str, object] = {}
-        self.old: dict[str, object] = {}
+    def __init__(self, limit: int = CACHE):
+        super().__init__()
+        self.limit, self.old = limit, {}
 
-    def recall(self, chunk: str):
-        got = self.new.get(chunk)
-        if got is None:
-            got = self.old.get(chunk)
-            if got is not None:
-                self.remember(chunk, got)
+    def __missing__(self, chunk: str):
+        got = self.old.get(chunk)
+        if got is not None:
+            self.put(chunk, got)
         return got
 
-    def remember(self, chunk: str, value) -> None:
+    def put(self, chunk: str, value) -> None:
         if len(chunk) > 64:
             return
-        if len(self.new) >= CACHE:
-            self.old, self.new = self.new, {}
-        self.new[chunk] = value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = value
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The words of a text; white space is the Unicode property, as in the library."""
+    return regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
 
 
 def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
     """(word, n) over all texts of a ``text`` column, for words of at most HOT_BYTES bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, counts = Splitter(pattern), Counter()
+        find, seen, counts = splitter(pattern), Counter(), {}
+
+        def split() -> None:
+            for chunk, n in seen.items():
+                for w in find(chunk):
+                    counts[w] = counts.get(w, 0) + n
+            seen.clear()
 
         def out() -> pa.RecordBatch:
             words = [w.encode("utf-8", "replace") for w in counts]
             some = [len(w) <= HOT_BYTES for w in words]
-            return pa.RecordBatch.from_arrays(
+            made = pa.RecordBatch.from_arrays(
                 [pa.array([w for w, k in zip(words, some) if k], pa.binary()),
                  pa.array([n for n, k in zip(counts.values(), some) if k], pa.int64())], ["word", "n"])
+            counts.clear()
+            return made
 
         for batch in batches:
             for part in slices(batch, "text"):
-                seen: Counter = Counter()
                 for t in part.column(0).to_pylist():
                     seen.update(chunks(t or ""))
-                for chunk, n in seen.items():
-                    words = splitter.recall(chunk)
-                    if words is None:
-                        words = tuple(splitter.find(chunk))
-                        splitter.remember(chunk, words)
-                    for w in words:
-                        counts[w] += n
-                if len(counts) > 400_000:
+                if len(seen) > 2 * CACHE:
+                    split()
+                if len(counts) > 2 * CACHE:
                     yield out()
-                    counts = Counter()
+        split()
         yield out()
 
-    counted = docs.select("text").mapInArrow(run, "word binary, n bigint")
+    counted = map_arrow(docs.select("text"), run, "word binary, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -272,15 +286,28 @@ def _blocks(pattern: str, hot_words) -> Callable:
         state = _worker_state()
         if getattr(state, "key", None) != (pattern, hot_words.id):
             state.key = (pattern, hot_words.id)
-            state.hot = {w.decode(): i for i, w in enumerate(hot_words.value) if _is_text(w)}
-            state.splitter = Splitter(pattern)
-        hot, splitter = state.hot, state.splitter
-        base = len(hot_words.value)
+            blob, ends = hot_words.value
+            words = [blob[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+            state.hot = {w.decode(): i for i, w in enumerate(words) if _is_text(w)}
+            state.base = len(words)
+            state.find = splitter(pattern)
+            state.recent = Recent()  # indices of chunks of hot words only
+        hot, base, find, recent = state.hot, state.base, state.find, state.recent
         doc_ids: list[pa.Array] = []
         seqs: list[bytes] = []
         own: dict[str, int] = {}
         held = 0
 
+        def indices(chunk: str) -> bytes:
+            words = find(chunk)
+            index = [hot.get(w, -1) for w in words]
+            if -1 not in index:
+                got = np.array(index, np.uint32).tobytes()
+                recent.put(chunk, got)
+                return got
+            return np.array([i if i >= 0 else base + own.setdefault(w, len(own)) for i, w in zip(index, words)],
+                            np.uint32).tobytes()
+
         def out() -> pa.RecordBatch:
             ids = pa.concat_arrays(doc_ids)
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -292,21 +319,11 @@ def _blocks(pattern: str, hot_words) -> Callable:
         for batch in batches:
             for part in slices(batch, "text"):
                 for t in part.column(1).to_pylist():
-                    seq = []
-                    for chunk in chunks(t or ""):
-                        got = splitter.recall(chunk)
-                        if got is None:
-                            words = splitter.find(chunk)
-                            index = [hot.get(w, -1) for w in words]
-                            if -1 not in index:
-                                got = np.array(index, np.uint32).tobytes()
-                                splitter.remember(chunk, got)
-                            else:
-                                index = [i if i >= 0 else base + own.setdefault(w, len(own))
-                                         for i, w in zip(index, words)]
-                                got = np.array(index, np.uint32).tobytes()
-                        seq.append(got)
-                    seqs.append(b"".join(seq))
+                    parts = chunks(t or "")
+                    got = list(map(recent.__getitem__, parts))
+                    if None in got:
+                        got = [indices(c) if g is None else g for c, g in zip(parts, got)]
+                    seqs.append(b"".join(got))
                 doc_ids.append(part.column(0))
                 held += part.nbytes
                 if held >= BLOCK_BYTES:
@@ -363,12 +380,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     id_type = narrow.schema["doc_id"].dataType.simpleString()
     sc = docs.sparkSession.sparkContext
     words, flat, offsets = hot_dictionary(narrow, ranks, pattern, hot_words)
-    hot, hot_ids = sc.broadcast(words), sc.broadcast((flat, offsets))
-    blocks = narrow.mapInArrow(_blocks(pattern, _Hot(hot)),
-                               f"doc_ids array<{id_type}>, seqs array<binary>, words array<binary>")
+    hot = sc.broadcast((b"".join(words), np.cumsum([len(w) for w in words], dtype=np.int64)))
+    hot_ids = sc.broadcast((flat, offsets))
+    blocks = map_arrow(narrow, _blocks(pattern, _Hot(hot)),
+                       f"doc_ids array<{id_type}>, seqs array<binary>, words array<binary>")
     own = encode_words(F.col("words"), ranks)
-    return (blocks.select("doc_ids", "seqs", own.alias("own"))
-            .mapInArrow(_assemble(hot_ids), f"doc_id {id_type}, ids array<int>"))
+    return map_arrow(blocks.select("doc_ids", "seqs", own.alias("own")), _assemble(hot_ids),
+                     f"doc_id {id_type}, ids array<int>")
 
 
 class _Hot:
@@ -395,14 +413,30 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", column
 
     if column in encoded.columns:
         raise ValueError(f"column exists already: {column}")
-    pieces = encoded.sparkSession.sparkContext.broadcast({r: p for p, r in ranks.items()})
+    n = max(ranks.values(), default=-1) + 1
+    by_rank = [b""] * n
+    for piece, rank in ranks.items():
+        by_rank[rank] = piece
+    flat = np.frombuffer(b"".join(by_rank), np.uint8)
+    ends = np.cumsum([0, *map(len, by_rank)])
+    pieces = encoded.sparkSession.sparkContext.broadcast((flat, ends[:-1], np.diff(ends)))
     at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = pieces.value.__getitem__
+        flat, starts, sizes = pieces.value
         for batch in batches:
-            out = [None if x is None else b"".join(map(get, x)) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
-                                             [*batch.schema.names, column])
-
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(column, BinaryType())]))
+            for first in range(0, len(batch), 64):
+                part = batch.slice(first, 64)
+                lists = part.column(at)
+                tokens = lists.flatten().to_numpy(zero_copy_only=False)  # of the rows that are not null
+                size = sizes[tokens]
+                total = np.r_[0, np.cumsum(size)]
+                raw = flat[np.repeat(starts[tokens] - total[:-1], size) + np.arange(total[-1])].tobytes()
+                counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                ends = total[np.cumsum(counts)] if len(counts) else []
+                out = [raw[a:b] if ok else None
+                       for a, b, ok in zip([0, *ends[:-1]], ends, lists.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())],
+                                                 [*part.schema.names, column])
+
+    return map_arrow(encoded, run, StructType([*encoded.schema.fields, StructField(column, BinaryType())]))

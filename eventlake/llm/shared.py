@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from eventlake.operators.joins import observed
 from eventlake.session import shared_path
 
 # Fixed character classes.
@@ -41,12 +42,8 @@ def stage_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame
     """``stage`` with aggregates of the rows observed during the write."""
     obs = Observation(f"{name}_{uuid.uuid4().hex}")
     exprs = {"rows": F.count(F.lit(1)), **counts}
-    # the observation sits on a projection, which an empty plan does not lose with its joins
     table = stage(df.observe(obs, *[e.alias(k) for k, e in exprs.items()]), name)
-    try:
-        got = dict(obs.get)
-    except AssertionError:  # adaptive execution drops the node from a plan found to be empty
-        got = {}
+    got = observed(obs)
     return table, {k: got.get(k) or 0 for k in exprs}
 
 
@@ -77,6 +74,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return labels.select("node", F.col("label").alias("component"))
 
 
+BATCH_ROWS, BATCH_BYTES = 1000, 4_000_000
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded size. Spark's default fills a
+    batch with 10 000 rows, which is a lot of whole texts on either side of the
+    pipe; a session that has not chosen its own sizes gets smaller ones."""
+    conf = df.sparkSession.conf
+    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
+            conf.set(f"spark.sql.execution.arrow.{key}", str(value))
+    return df.mapInArrow(function, schema)
+
+
 def append_columns(df: DataFrame, text: str, compute, fields: str) -> DataFrame:
     """``df`` with columns computed from a text column in Python workers.
 
@@ -102,4 +113,4 @@ def append_columns(df: DataFrame, text: str, compute, fields: str) -> DataFrame:
                 more = compute(part.column(at))
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *added.names])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))
+    return map_arrow(df, run, StructType([*df.schema.fields, *added.fields]))
