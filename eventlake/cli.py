@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from eventlake.plans.batch_job import BatchConfig, run_batch
 from eventlake.schema import MIN_EVENTS, OUTLIER_SIGMA, TRIGGER, WATERMARK, WINDOW_SIZE
-from eventlake.session import apply_cluster_conf, ensure_utc, is_local
+from eventlake.session import apply_cluster_conf, ensure_utc, is_local, use_scratch_folder
 from eventlake.sources.objectstore import require_uri, s3a_conf
 from eventlake.streaming.stream_job import StreamConfig, run_stream
 
@@ -30,6 +30,7 @@ def _session(app: str) -> SparkSession:
     spark = builder.getOrCreate()
     if not is_local(spark):
         apply_cluster_conf(spark)
+    use_scratch_folder(spark)  # only a local session without a shared folder gets one
     ensure_utc(spark)
     return spark
 
