@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import connected_components, quoted, stage
+from eventlake.llm.shared import connected_components, map_arrow, quoted, stage
 
 TABLES = 30
 PROJECTIONS = 10
@@ -100,7 +100,7 @@ def hashed(classes: DataFrame, tables: int, projections: int, width: float, seed
                      pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, tables, dtype=np.int32)),
                                               pa.array(keys.ravel()))], ["cls", "size", "vector", "keys"])
 
-    return classes.mapInArrow(run, f"cls bigint, size bigint, vector {vector_type}, keys array<int>")
+    return map_arrow(classes, run, f"cls bigint, size bigint, vector {vector_type}, keys array<int>")
 
 
 def _forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
@@ -208,8 +208,8 @@ def class_links(classes: DataFrame, cosine: float = 0.9, tables: int = TABLES, p
     met = met.select("table", "key", "cls", "size", "vector", "keys", F.explode(groups).alias("g"))
     met = met.select("table", "key", F.col("g.part").alias("part"), F.col("g.side").alias("side"), "cls", "size",
                      "vector", "keys")
-    return (met.repartition("table", "key", "part").sortWithinPartitions("table", "key", "part")
-            .mapInArrow(block_links(tables, cosine), "cls bigint, other bigint, links bigint"))
+    met = met.repartition("table", "key", "part").sortWithinPartitions("table", "key", "part")
+    return map_arrow(met, block_links(tables, cosine), "cls bigint, other bigint, links bigint")
 
 
 def embedding_groups(vectors: DataFrame, vector: str = "embedding", vec_id: str = "vec_id", cosine: float = 0.9,

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import connected_components, quoted, stage
+from eventlake.llm.shared import connected_components, map_arrow, quoted, stage
 from eventlake.llm.text import MIX_A, MIX_B, SLICE_BYTES, WORD_BASE, as_bytes, mix64, range_hash, slices, word_hashes
 
 SHINGLE = 5
@@ -156,7 +156,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     ordered = (narrow.repartitionByRange("doc_id", F.xxhash64("text"))
                .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
-    rows = stage(ordered.mapInArrow(_in_order, f"part int, doc_id {id_type}, text string, kind int, {RESULT}"),
+    rows = stage(map_arrow(ordered, _in_order, f"part int, doc_id {id_type}, text string, kind int, {RESULT}"),
                  "fingerprint_rows")
     heads = rows.where("kind = 1").select("part", F.col("text").alias("following"))
     tails = rows.where("kind = 2").select("part", "doc_id", "text")
@@ -173,7 +173,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_
                 cols = _compared(part.column(1).to_pylist(), part.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["doc_id", *NAMES])
 
-    last = met.mapInArrow(compare, f"doc_id {id_type}, {RESULT}")
+    last = map_arrow(met, compare, f"doc_id {id_type}, {RESULT}")
     return rows.where("kind = 0").select("doc_id", *NAMES).unionByName(last)
 
 
@@ -241,4 +241,4 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                                              ["hub", "rep", "near"])
 
     kind = pairs.schema["hub"].dataType.simpleString()
-    return both.select("hub", "rep", "t1", "t2").mapInArrow(run, f"hub {kind}, rep {kind}, near boolean")
+    return map_arrow(both.select("hub", "rep", "t1", "t2"), run, f"hub {kind}, rep {kind}, near boolean")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import connected_components, quoted, stage, stage_counted
+from eventlake.llm.shared import connected_components, map_arrow, quoted, stage, stage_counted
 
 SEED = 42
 MAX_RUN = 20_000
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sh
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {id_type}, fp bigint")
+    return map_arrow(narrow, run, f"doc_id {id_type}, fp bigint")
 
 
 def byte_choices(keep: int) -> list[int]:
@@ -181,8 +181,8 @@ def posted_again(hot: DataFrame, choices: list[int], max_bits: int) -> DataFrame
 
 
 def _linked(index: DataFrame, max_bits: int, max_run: int | None) -> DataFrame:
-    return (index.repartition("key").sortWithinPartitions("key")
-            .mapInArrow(links_in_runs(max_bits, max_run), "a bigint, b bigint, key bigint"))
+    return map_arrow(index.repartition("key").sortWithinPartitions("key"), links_in_runs(max_bits, max_run),
+                     "a bigint, b bigint, key bigint")
 
 
 def links(classes: DataFrame, max_bits: int = 4, max_run: int = MAX_RUN) -> DataFrame:

@@ -147,7 +147,10 @@ def fit_weights(texts: list[set[str]], toxic: list[int], vocabulary: list[str],
         p = 1 / (1 + np.exp(-z))
         grad = x.T @ (p - y) + penalty @ beta
         w = np.maximum(p * (1 - p), 1e-6).astype(np.float32)
-        step = np.linalg.solve((x * w[:, None]).T @ x + penalty, grad)
+        bend = penalty.copy()
+        for i in range(0, len(x), 1000):  # a copy of few rows at a time
+            bend += (x[i:i + 1000] * w[i:i + 1000, None]).T @ x[i:i + 1000]
+        step = np.linalg.solve(bend, grad)
         beta -= step * min(1.0, 5.0 / max(float(np.abs(step).max()), 1e-12))
         if np.abs(step).max() < 1e-6:
             break
