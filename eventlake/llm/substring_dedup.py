@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import quoted, stage
+from eventlake.llm.shared import map_arrow, quoted, stage
 from eventlake.llm.text import BASE, MIX_A, MIX_B, WORD_BASE, as_bytes, mix64, range_hash, slices, word_hashes
 
 WINDOW = 50
@@ -118,7 +118,7 @@ def runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFra
                     [part.column(0).take(pa.array(row)), pa.array(packed), pa.array(a.view(np.int64)),
                      pa.array(s.view(np.int64))], ["doc_id", "run", "a", "s"])
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, run bigint, a bigint, s bigint")
+    return map_arrow(docs, run, f"doc_id {id_type}, run bigint, a bigint, s bigint")
 
 
 def edges_at(docs: DataFrame, asked: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -148,8 +148,8 @@ def edges_at(docs: DataFrame, asked: DataFrame, window: int = WINDOW) -> DataFra
                     [pa.array(a[each]), pa.array(s[each]), pa.array(j.astype(np.int32)), pa.array(w.view(np.int64)),
                      part.column(0).take(pa.array(row[each]))], ["a", "s", "j", "w", "source"])
 
-    return (docs.join(asked, "doc_id").select("doc_id", "text", "asks")
-            .mapInArrow(run, f"a bigint, s bigint, j int, w bigint, source {id_type}"))
+    return map_arrow(docs.join(asked, "doc_id").select("doc_id", "text", "asks"), run,
+                     f"a bigint, s bigint, j int, w bigint, source {id_type}")
 
 
 def marks(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -167,7 +167,8 @@ def marks(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
                   .select("a", "s", F.col("first.doc_id").alias("source"), F.col("first.run").alias("run"), "hi"),
                   "substring_paths")
     branching = paths.groupBy("a").agg(F.count(F.lit(1)).alias("paths")).where("paths > 1").select("a")
-    branched = paths.join(branching, "a", "left_semi")
+    # staged, so that later joins on anchor and words are not dealt by a (hot) anchor alone
+    branched = stage(paths.join(branching, "a", "left_semi"), "substring_branched")
     plain = paths.join(branching, "a", "left_anti").where("source < hi")
     asked = (branched.groupBy(F.col("source").alias("doc_id"))
              .agg(F.collect_list(F.struct("run", "a", "s")).alias("asks")))
@@ -238,7 +239,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     schema = StructType([*docs.schema.fields,
                          *StructType.fromDDL(f"`{names[0]}` long, `{names[1]}` long, `{names[2]}` string").fields])
-    return joined.mapInArrow(run, schema)
+    return map_arrow(joined, run, schema)
 
 
 def dedup_texts(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", **kw) -> DataFrame:
