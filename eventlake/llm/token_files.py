@@ -30,6 +30,7 @@ import struct
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.bpe import chunks
-from eventlake.llm.shared import quoted, table_path
+from eventlake.llm.bpe import Recent, chunks
+from eventlake.llm.shared import map_arrow, quoted, table_path
 from eventlake.llm.text import slices
 from eventlake.operators.joins import bounded_side
 
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
-CACHE = 250_000  # chunks of text remembered by a Python worker, twice at most
+CACHE = 500_000  # chunks of text remembered by a Python worker, twice at most (about 200 bytes each)
 SAMPLE = 64  # every so many values the place of the upper bit is kept
 MAX_SHARDS_TO_BROADCAST = 1_000_000
 
@@ -131,39 +132,21 @@ class Encoder:
         # chunks keep the ids only for the plain byte level splitter without a normaliser
         self.cuts = (self.tokenizer.normalizer is None and steps.startswith("ByteLevel(")
                      and "add_prefix_space=False" in steps and "use_regex=True" in steps)
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.recent = Recent(CACHE)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [chunks(t) if self.cuts else [t] for t in texts]
-        known: dict[str, bytes] = {}
-        todo = []
-        for p in parts:
-            for c in p:
-                if c not in known:
-                    got = self.new.get(c)
-                    if got is None:
-                        got = self.old.get(c)
-                        if got is None:
-                            todo.append(c)
-                            got = b""
-                        else:
-                            self._remember(c, got)
-                    known[c] = got
+        known = [list(map(self.recent.__getitem__, p)) for p in parts]
+        todo = list({c for p, got in zip(parts, known) if None in got for c, g in zip(p, got) if g is None})
+        made: dict[str, bytes] = {}
         for i in range(0, len(todo), 10_000):
             some = todo[i:i + 10_000]
             for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[c] = ids = np.array(e.ids, self.dtype).tobytes()
-                self._remember(c, ids)
-        get = known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
-
-    def _remember(self, chunk: str, ids: bytes) -> None:
-        if len(chunk) > 64:
-            return
-        if len(self.new) >= CACHE:
-            self.old, self.new = self.new, {}
-        self.new[chunk] = ids
+                made[c] = ids = array(self.code, e.ids).tobytes()
+                self.recent.put(c, ids)
+        return [b"".join(made[c] if g is None else g for c, g in zip(p, got)) if None in got else b"".join(got)
+                for p, got in zip(parts, known)]
 
 
 def encoder(path: str) -> Encoder:
@@ -230,7 +213,7 @@ def write(docs: DataFrame, tokenizer: str, out: str, text: str = "text", doc_id:
     narrow = docs.select(quoted(doc_id).cast("bigint").alias("doc_id"), quoted(text).alias("text"))
     order = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     order = order.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
-    order.mapInArrow(_packed(tokenizer, end_id, block_tokens), BLOCK).write.parquet(out)
+    map_arrow(order, _packed(tokenizer, end_id, block_tokens), BLOCK).write.parquet(out)
     return out
 
 
@@ -271,7 +254,7 @@ def _per_document(compute, fields: str, files: DataFrame, names: list[str]) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(first + ends[:-1]),
                                                   pa.array(np.diff(ends)), more], ["doc_id", "start", "n_tokens", *names])
 
-    return files.mapInArrow(run, f"doc_id bigint, start bigint, n_tokens bigint, {fields}")
+    return map_arrow(files, run, f"doc_id bigint, start bigint, n_tokens bigint, {fields}")
 
 
 def _located(spark: SparkSession, path: str) -> DataFrame:
