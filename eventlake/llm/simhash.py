@@ -215,9 +215,16 @@ def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **kw) -> DataFrame:
-    """One document of each group: the one with the smallest id. Rows without
-    an id stay; of rows that share the kept id one stays."""
-    keep = simhash_groups(docs, text, doc_id, **kw).where("doc_id = component_id").select("doc_id").distinct()
-    key = keep.select(F.col("doc_id").alias("__keep"))
-    kept = docs.join(key, quoted(doc_id) == F.col("__keep"), "left_semi").dropDuplicates([doc_id])
+    """One document of each group: the one with the smallest id, of its texts
+    the one with the smallest digest. A row is known by its id and its text, so
+    different texts under one id stand for their own groups. Rows without an id
+    stay; of rows that share the kept id and text one stays."""
+    digest = F.unhex(F.md5(F.coalesce(quoted(text), F.lit("")).cast("binary")))
+    known = F.when(quoted(doc_id).isNotNull(), F.struct(quoted(doc_id).alias("id"), digest.alias("digest")))
+    groups = simhash_groups(docs.select(known.alias("doc_id"), quoted(text).alias("text")), **kw)
+    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
+    key = keep.select(F.col("doc_id.id").alias("__keep"), F.col("doc_id.digest").alias("__keep_digest"))
+    kept = (docs.withColumn("__digest", digest)
+            .join(key, (quoted(doc_id) == F.col("__keep")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi")
+            .dropDuplicates([doc_id, "__digest"]).drop("__digest"))
     return kept.unionByName(docs.where(quoted(doc_id).isNull()))

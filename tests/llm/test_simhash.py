@@ -70,6 +70,17 @@ def test_edge_cases(spark):
     assert simhash.simhash_groups(doc_frame(spark, [])).collect() == []
 
 
+def test_different_texts_under_one_id_stay(spark):
+    base = "the quick brown fox jumps over the lazy dog and runs away from the big bad wolf today"
+    others = [" ".join(f"{c}{i}" for c in "abcdefghij") for i in range(40)]
+    fps = [slow_fingerprint(t) for t in [base, *others]]
+    assert all(bin(a ^ b).count("1") > 4 for i, a in enumerate(fps) for b in fps[:i])
+    # the text of id 7 that is kept elsewhere goes, the placeholder's others stay
+    rows = [(7, base), (3, base.upper()), *[(7, t) for t in others], (7, others[0]), (9, others[1])]
+    kept = simhash.drop_near_duplicates(doc_frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(3, base.upper()), *[(7, t) for t in others]])
+
+
 def test_hot_copies_post_once(spark):
     rows = [(i, "same text of the copies here") for i in range(300)] + [(1000 + i, f"w{i} x{i} y{i} z{i}") for i in range(50)]
     got = {r.doc_id: r.component_id for r in simhash.simhash_groups(doc_frame(spark, rows)).collect()}
