@@ -190,13 +190,28 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id) of every row with an id: class_id is the smallest id
-    that verified links reach. Equal fingerprints are one class first; within a
-    band every member is verified against the band's smallest member, and
-    members that fail are banded among themselves again, until none is left."""
-    narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).where(F.col("doc_id").isNotNull())
-    rows = stage(fingerprints(narrow), "minhash_rows")
-    texts = narrow.groupBy("doc_id").agg(F.min("text").alias("text"))
-    reps = stage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "minhash_classes")
+    that verified links reach. Equal shingle sets are one class first (by 64
+    bits of a hash), every class is judged by a text of its own; within a band
+    every member is verified against the band's smallest member, and members
+    that fail are banded among themselves again, until none is left."""
+    from eventlake.llm.shared import append_columns
+
+    def compute(col: pa.Array) -> list[pa.Array]:
+        raw, offsets = as_bytes(col)
+        x, first = shingle_hashes(raw, offsets)
+        sets = [hashlib.md5(np.unique(x[a:b]).tobytes()).digest()[:8] for a, b in zip(first, first[1:])]
+        return [pa.array(np.frombuffer(b"".join(sets), np.int64)),
+                pa.array([s.astype(">u2").tobytes() for s in signatures(raw, offsets)], pa.binary())]
+
+    # a text is known by its id and its digest
+    digest = F.unhex(F.md5(F.coalesce(quoted(text), F.lit("")).cast("binary")))
+    narrow = (docs.select(quoted(doc_id).alias("doc_id"), digest.alias("digest"), quoted(text).alias("text"))
+              .where(F.col("doc_id").isNotNull()))
+    rows = stage(append_columns(narrow, "text", compute, "rep long, fingerprint binary").drop("text"), "minhash_rows")
+    reps = rows.groupBy("rep").agg(F.min("fingerprint").alias("fingerprint"),
+                                   F.min(F.struct("doc_id", "digest")).alias("first"))
+    reps = stage(reps.select("rep", "fingerprint", "first.*"), "minhash_classes")
+    texts = narrow.join(reps, ["doc_id", "digest"]).groupBy("rep").agg(F.min("text").alias("text"))
     bands = [F.xxhash64(F.lit(i), F.substring("fingerprint", 2 * BAND * i + 1, 2 * BAND))
              for i in range(LANES // BAND)]
     open_ = stage(reps.select("rep", F.explode(F.array(*bands)).alias("band")), "minhash_bands")
@@ -217,17 +232,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         mixed = left.select("band").distinct()
         open_ = stage(left.unionByName(near_in_band.join(mixed, "band", "left_semi").select("rep", "band")),
                       "minhash_bands")
-    out = rows.join(reps, "fingerprint").select("doc_id", "rep")
+    firsts = reps.select("rep", F.col("doc_id").alias("first_id"))
     if links is None:
-        return out.select("doc_id", F.col("rep").alias("class_id"))
+        return rows.join(firsts, "rep").select("doc_id", F.col("first_id").alias("class_id"))
     parts = connected_components(links).select(F.col("node").alias("rep"), "component")
-    return out.join(parts, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
+    firsts = firsts.join(parts, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    smallest = firsts.groupBy("component").agg(F.min("first_id").alias("class_id"))
+    ids = firsts.join(smallest, "component").select("rep", "class_id")
+    return rows.join(ids, "rep").select("doc_id", "class_id")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """(hub, rep, near): Jaccard similarity of the whole shingle sets at least ``threshold``."""
-    both = (pairs.join(texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("t1")), "hub")
-            .join(texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("t2")), "rep"))
+    both = (pairs.join(texts.select(F.col("rep").alias("hub"), F.col("text").alias("t1")), "hub")
+            .join(texts.select("rep", F.col("text").alias("t2")), "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -84,3 +84,21 @@ def test_near_duplicates_equal_brute_force(spark):
     expected = components(list(docs), lambda a, b: jaccard(docs[a], docs[b]) >= 0.8)
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(doc_frame(spark, docs.items())).collect()}
     assert got == expected
+
+
+def test_near_duplicates_judges_every_text_by_itself(spark):
+    words = [f"w{i}" for i in range(2000)]
+    x = " ".join(words)
+    for t in range(100):  # y differs in one word and has the fingerprint of x
+        w = [*words[:900], f"q{t}", *words[901:]]
+        y = " ".join(w)
+        if (np.diff(minhash.of_texts([x.encode(), y.encode()]), axis=0) == 0).all():
+            break
+    else:
+        raise AssertionError("no equal fingerprint")
+    z = " ".join([*w[:1779], *[f"z{i}" for i in range(221)]])  # near y only
+    assert jaccard(y, z) >= 0.8 > jaccard(x, z)
+    other = " ".join(f"o{i}" for i in range(30))
+    rows = [(1, x), (2, y), (3, z), (4, other), (4, x)]  # id 4 has two texts
+    got = sorted((r.doc_id, r.class_id) for r in minhash.near_duplicates(doc_frame(spark, rows)).collect())
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 1), (4, 4)]
