@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.shared import map_arrow, quoted, stage
@@ -261,10 +261,36 @@ def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The ``size`` words of the largest ``n`` (of equal ones the first words).
+    The cut comes from the number of words per count; only the words at the
+    cut are put in order, by ranges, of which one range is cut itself."""
+    counts = stage(counts, "bpe_counts")
+
+    def cut(groups: DataFrame, order, size: int):
+        """The first group that does not fit whole, with the words that fit of it."""
+        upto = F.sum("words").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        over = groups.withColumn("upto", upto).where(F.col("upto") > size).orderBy("upto").limit(1).collect()
+        return (over[0][0], size - (over[0].upto - over[0].words)) if over else (None, 0)
+
+    count = F.count(F.lit(1)).alias("words")
+    n, left = cut(counts.groupBy("n").agg(count), F.col("n").desc(), size)
+    if n is None:
+        return counts.select("word")
+    top = counts.where(F.col("n") > n).select("word")
+    if left:
+        tied = counts.where(F.col("n") == n).repartitionByRange("word")
+        tied = stage(tied.select(F.spark_partition_id().alias("part"), "word"), "bpe_tied")
+        part, rest = cut(tied.groupBy("part").agg(count), F.col("part"), left)
+        top = top.unionByName(tied.where(F.col("part") < part).select("word"))
+        if rest:
+            top = top.unionByName(tied.where(F.col("part") == part).select("word").orderBy("word").limit(rest))
+    return top
+
+
 def hot_dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = HOT_WORDS) -> tuple:
     """The ``size`` most frequent words and their ids: (words, flat ids, offsets)."""
-    top = word_counts(docs, pattern).orderBy(F.col("n").desc(), "word").limit(size).select("word")
-    top = stage(top, "bpe_hot")
+    top = stage(most_frequent(word_counts(docs, pattern), size), "bpe_hot")
     spark = docs.sparkSession
     groups = F.pmod(F.xxhash64("word"), F.lit(4 * max(spark.sparkContext.defaultParallelism, 1)))
     lists = top.groupBy(groups.alias("g")).agg(F.collect_list("word").alias("words"))

@@ -71,3 +71,21 @@ def test_edges(spark):
     nothing = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {(r.doc_id, r.decoded if r.decoded is None else bytes(r.decoded)) for r in bpe.decode(nothing, RANKS).collect()} == {
         (1, None), (2, b"")}
+
+
+def test_hot_words_are_cut_without_one_task_of_all_words(spark, monkeypatch):
+    plans, whole = {}, bpe.stage
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return whole(df, name)
+
+    monkeypatch.setattr(bpe, "stage", kept)
+    words = ["a"] * 9 + ["b"] * 7 + ["c", "d", "e", "f"] * 3 + ["g", "h"]
+    docs = doc_frame(spark, [(i, w) for i, w in enumerate(words)])
+    ranks = bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
+    for size, ordered in ((2, False), (4, True), (6, False), (50, False)):
+        got = bpe.hot_dictionary(docs, ranks, P.PATTERN, size)[0]
+        assert sorted(got) == [w.encode() for w in "abcdefgh"[:size]]
+        # only a part of the words at the cut is ever put in order
+        assert ("TakeOrderedAndProject" in plans["bpe_hot"]) == ordered and "bpe_counts" in plans
