@@ -208,10 +208,12 @@ def write(docs: DataFrame, tokenizer: str, out: str, text: str = "text", doc_id:
           end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> str:
     """Write the token files of ``docs`` to the folder ``out``; returns ``out``.
 
-    The rows are dealt once, by ranges of doc_id; each task sorts, encodes and
+    The rows are dealt once, by ranges of doc_id and of a hash of the text, which
+    spreads rows that share an id or have none; each task sorts, encodes and
     writes its shard."""
     narrow = docs.select(quoted(doc_id).cast("bigint").alias("doc_id"), quoted(text).alias("text"))
-    order = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    by = ["doc_id", F.xxhash64("text")]
+    order = narrow.repartitionByRange(*by).sortWithinPartitions(*by)
     order = order.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     map_arrow(order, _packed(tokenizer, end_id, block_tokens), BLOCK).write.parquet(out)
     return out

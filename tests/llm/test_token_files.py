@@ -98,3 +98,18 @@ def test_edges(spark, tokenizer):
     assert got[2].n_tokens == len(ids_of(tokenizer, "word " * 30_000))
     assert sorted(r.n_tokens for r in got[3:]) == sorted([1, len(ids_of(tokenizer, "again"))])
     assert tf.read(spark, tf.write_to_shared(doc_frame(spark, []), PATH)).collect() == []
+
+
+def test_rows_without_an_id_are_dealt_to_several_shards(spark, tmp_path):
+    rows = [(None, f"text number {i}") for i in range(300)] + [(i, f"other {i}") for i in range(30)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, ("false", "6")):
+            spark.conf.set(k, v)
+        path = tf.write(doc_frame(spark, rows), P.path("byte_bpe_50k.json"), f"file:{tmp_path}/t")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    blocks = spark.read.parquet(path).where("n_null > 0").groupBy("shard").agg({"n_null": "sum"}).collect()
+    assert len(blocks) > 1 and sum(r[1] for r in blocks) == 300
+    assert sum(r.doc_id is None for r in tf.checksums(spark, path).collect()) == 300
