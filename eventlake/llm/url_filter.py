@@ -12,7 +12,7 @@ verdicts of the rules themselves, or any labelled URLs given.
 
 Scale: suffix statistics are counted over all labelled URLs with partial
 aggregates, and joined back as a broadcast only under a measured bound. The
-trees are fitted on at most ``MAX_TRAIN`` labelled URLs (chosen by a hash of
+trees are fitted on at most ``MAX_TRAIN`` different labelled URLs, weighted by their copies (chosen by a hash of
 the URL; documented bound); scoring is one pass. So that a training row does
 not see its own label, its suffix statistics leave out the fold of its host.
 
@@ -95,9 +95,11 @@ def _suffix(host: Column, labels: int) -> Column:
 
 
 def suffix_statistics(labelled: DataFrame, labels: int) -> DataFrame:
-    """(suffix, n, blocked, folds): counts over all labelled URLs, in total and by fold of the host."""
+    """(suffix, n, blocked, folds): counts over all labelled URLs (``n`` copies
+    of a row, if it has that column), in total and by fold of the host."""
+    n = F.col("n") if "n" in labelled.columns else F.lit(1)
     by_fold = (labelled.groupBy(_suffix(F.col("host"), labels).alias("suffix"), "fold")
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked")))
+               .agg(F.sum(n).alias("n"), F.sum(F.col("label") * n).alias("blocked")))
     return by_fold.groupBy("suffix").agg(
         F.sum("n").alias("n"), F.sum("blocked").alias("blocked"),
         F.map_from_entries(F.collect_list(F.struct("fold", F.struct("n", "blocked")))).alias("folds"))
@@ -136,15 +138,16 @@ def judge(urls: DataFrame, rules: dict[str, str], url: str = "url", key: str = "
         known = prepared(labelled.select(F.col("url"), F.col("label").cast("int").alias("label")))
         known = known.where(F.col("label").isNotNull())
     fold = F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int")
-    known, seen = stage_counted(known.select("url", "host", "path", "label", fold.alias("fold")), "url_labels",
-                                blocked=F.sum("label"))
+    known = (known.groupBy("url", "host", "path", "label", fold.alias("fold"))
+             .agg(F.count(F.lit(1)).alias("n")))  # copies of a url are one row of their weight
+    known, seen = stage_counted(known, "url_labels", blocked=F.sum(F.col("label") * F.col("n")), labelled=F.sum("n"))
     out = ["key", "host", "path", "rule"]
-    if not 0 < seen["blocked"] < seen["rows"]:
+    if not 0 < seen["blocked"] < seen["labelled"]:
         done = rows.select(*out, F.coalesce("ruled", F.lit("allow")).alias("verdict"),
                            F.lit(None).cast("double").alias("score"))
         return done.withColumnRenamed("key", key)
 
-    base = seen["blocked"] / seen["rows"]
+    base = seen["blocked"] / seen["labelled"]
     stats = {n: stage(suffix_statistics(known, n), f"url_suffix{n}") for n in (1, 2)}
 
     def featured(df: DataFrame) -> DataFrame:
@@ -157,10 +160,11 @@ def judge(urls: DataFrame, rules: dict[str, str], url: str = "url", key: str = "
     if seen["rows"] > max_train:
         share = max_train / seen["rows"]
         chosen = known.where(F.pmod(F.xxhash64("url"), F.lit(1_000_003)) < int(share * 1_000_003))
-    # at most about max_train rows, in an order of their own, so that reruns fit the same trees
+    # at most about max_train different urls, in an order of their own, so that reruns fit the same trees
     chosen = stage(chosen.repartition(1).sortWithinPartitions("url", "label"), "url_training")
-    train = featured(chosen).select("features", F.col("label").cast("double").alias("label"))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(train)
+    train = featured(chosen.withColumnRenamed("n", "copies")).select(
+        "features", F.col("label").cast("double").alias("label"), F.col("copies").cast("double").alias("weight"))
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="weight").fit(train)
     # a row that trained must be judged like any other: no label, no fold
     todo = rows.withColumn("label", F.lit(None).cast("int")).withColumn("fold", F.lit(None).cast("int"))
     scored = trees.transform(featured(todo.where(F.col("rule").isNull())))

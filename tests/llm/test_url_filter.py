@@ -75,3 +75,19 @@ def test_suffix_statistics_leave_out_the_own_fold(spark):
     s = url_filter.SMOOTHING
     assert out["c.net"].suffix1_share == (1 + s * 0.5) / (2 + s)
     assert out["a.net"].suffix1_share == (1 + s * 0.5) / (1 + s)
+
+
+def test_copies_of_one_url_are_one_training_row(spark, monkeypatch):
+    tables, whole = {}, url_filter.stage
+
+    def kept(df, name):
+        tables[name] = whole(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(url_filter, "stage", kept)
+    rows = labelled_urls(200)
+    copies = spark.createDataFrame([tuple(r)[:2] for r in rows] + [tuple(rows[0])[:2]] * 300, "url string, label int")
+    urls = spark.createDataFrame([(1, rows[0][0])], "page_id long, url string")
+    url_filter.judge(urls, {}, labelled=copies).collect()
+    train = tables["url_training"].collect()
+    assert len(train) == 200 and sum(r.n for r in train) == 500
