@@ -84,12 +84,13 @@ class Scanner:
         found = []
         for text, label, edits, pieces, pattern in self.notices:
             n, around = len(text.encode()), []
+            slack = 4 * edits  # bytes: an edit may be a character of up to 4
             for piece, offset in pieces:
                 at = norm.find(piece)
                 while at >= 0:
                     # where the notice can lie, out to whole words
-                    lo = norm.rfind(b" ", 0, max(at - offset - edits, 1))
-                    hi = norm.find(b" ", min(at - offset + n + edits, len(norm) - 1))
+                    lo = norm.rfind(b" ", 0, max(at - offset - slack, 1))
+                    hi = norm.find(b" ", min(at - offset + n + slack, len(norm) - 1))
                     around.append((max(lo, 0), len(norm) if hi < 0 else hi + 1))
                     at = norm.find(piece, at + 1)
             around.sort()

@@ -64,3 +64,9 @@ def test_edges(spark):
     expected = [(i, *brute(t)) for i, t in rows]
     assert sorted(got, key=str) == sorted(expected, key=str)
     assert license_scan.scan(doc_frame(spark, [])).collect() == []
+
+
+def test_edits_may_be_characters_of_several_bytes():
+    for text in ("gnu g\u2014eneral p\u2014ublic l\u2014icense version", "gnu general p\U0001f600ublic l\U0001f600icense v\U0001f600ersion"):
+        found = license_scan.Scanner().scan(f"see the {text} here".encode())
+        assert found[5] == "gpl" and [(s["first_word"], s["n_words"], s["edits"]) for s in found[7]] == [(2, 5, 3)]
