@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import (bpe, embedding_dedup, license_scan, minhash, mixing, simhash, substring_dedup,
-                           token_files, toxicity, url_filter)
+from eventlake.llm import (bpe, embedding_dedup, license_scan, minhash, mixing, ranked_search, sharding, simhash,
+                           substring_dedup, token_files, toxicity, url_filter, whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -161,6 +161,62 @@ def op10_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) ->
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards by a two-pass external shuffle."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sharding.shuffle_shards(docs, shards=8)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return out.select("doc_id", F.col("shard_size").alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"),
+                      F.col("shard_no").alias("shard"), F.col("shard_slot").alias("slot"),
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked_search.search(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                _table(spark, sf_dir, "benchmark").select("item_id", "text"), top=50)
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+full_ AS (SELECT r, doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM full_),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+tf AS (
+  SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(ts) AS term FROM full_) GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM df, corpus),
+m AS (SELECT r, doc_id, 100 - 50 + ((50 * n * docs) // total) AS m FROM full_, corpus),
+scored AS (
+  SELECT q.item_id, m.r, m.doc_id,
+         CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * m.m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m ON m.r = tf.r
+  GROUP BY q.item_id, m.r, m.doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 8 whitened components of every embedding, a row per component."""
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=8)
+    out = out.select("vec_id", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "identity_error",
+                     F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of"))
+    return out.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained",
+                      "identity_error")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline (``corpus_pipeline.run``)."""
     import corpus_pipeline
@@ -179,9 +235,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_groups": op8_embedding_groups,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe": op10_bpe,
+    "op11_sharding": op11_sharding,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
-SQL: dict[str, str] = {"op6_source_mix": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op6_source_mix": OP6_SQL, "op9_substring_dedup": OP9_SQL, "op12_ranked_search": OP12_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -68,12 +68,14 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         first = last
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs of bytes outside ASCII white space) and
-    the index of each row's first word (one more entry than rows)."""
+def words(raw: np.ndarray, offsets: np.ndarray,
+          between: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of bytes outside ASCII white space, or
+    outside the bytes marked in the 256 flags ``between``) and the index of each
+    row's first word (one more entry than rows)."""
     n = len(raw)
     space = np.ones(n + 2, bool)
-    space[1:-1] = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))
+    space[1:-1] = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D)) if between is None else between[raw]
     cut = np.zeros(n + 1, bool)  # a row begins here
     cut[offsets] = True
     inside = ~space[1:-1]
@@ -82,10 +84,11 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, block: int = 4 * SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, block: int = 4 * SLICE_BYTES,
+                between: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word and each row's first word. Long inputs are
     hashed in blocks of words, so memory stays near a small multiple of them."""
-    starts, ends, rows = words(raw, offsets)
+    starts, ends, rows = words(raw, offsets, between)
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
