@@ -1,17 +1,18 @@
 """Byte-level BPE with Spark higher-order functions.
 
-``encode_words`` turns distinct words into token ids: the word's bytes are a
-list of boundaries, and a fold removes, again and again, the boundary whose
-neighbouring pieces have the lowest rank when joined (the leftmost of equals),
-until no joined pair has a rank. Ranks come from the rank file as a literal
-hash map (three literal arrays), bound once for all lookups of a row.
-
-``encode`` applies it to documents. Texts are split by the pattern; the most
-frequent words of the corpus (``HOT_WORDS``, counted over all texts) are
-encoded once and given to every task; every other word is encoded once for
-each block of texts in which it occurs, in the same fold. A block is a bounded
-amount of text, so nothing is shuffled but the word counts, and no dictionary
-grows with the corpus. ``decode`` concatenates the tokens' binary pieces.
+``encode_words`` turns distinct words into token ids: the word's bytes become
+token ids, and a fold joins, again and again, the two neighbours whose merge
+has the lowest rank (the leftmost of equals), until no pair has a rank. Ranks
+come from the rank file as a literal hash map of token pairs (literal arrays),
+bound once for all lookups of a row.
+
+``encode`` applies it to documents. Texts are split by the pattern once and
+written as blocks: a bounded amount of text as the block's distinct words and
+indices of them. The most frequent words of the corpus (``HOT_WORDS``, counted
+over all blocks) are encoded once and given to every task; every other word is
+encoded once for each block in which it occurs. So nothing is shuffled but the
+word counts, and no dictionary grows with the corpus. ``decode`` concatenates
+the tokens' binary pieces.
 
 Defined cases: null and empty texts have no tokens; repeated rows give
 repeated results; an empty table gives no rows. Bytes that are not UTF-8 read
@@ -22,28 +23,30 @@ from __future__ import annotations
 
 import base64
 import json
+import struct
 import sys
 import types
-from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import map_arrow, quoted, stage
-from eventlake.llm.text import slices
+from eventlake.llm.shared import map_arrow, quoted, stage, table_path
+from eventlake.llm.text import as_bytes, runs
 
 HOT_WORDS = 400_000  # words of at most HOT_BYTES bytes, so at most 25 MB
 HOT_BYTES = 48
-BLOCK_BYTES = 4_000_000  # text of one block
-CACHE = 100_000  # chunks remembered by a Python worker, twice at most
+BLOCK_BYTES = 8_000_000  # text of one block
 BUCKETS, SLOTS = 1 << 15, 1 << 17  # of the rank map; a vocabulary fills less than half of the slots
-LONG = 64  # bytes from which a word's ranks are kept instead of looked up again
-SHIFT = 1 << 24  # packed: rank * SHIFT + place
+PAIR_BITS, PLACE_BITS = 18, 24  # of a token id, and of a place in a word
+PAIR = 1 << PAIR_BITS
+NONE = PAIR  # in place of a rank
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,17 +55,46 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def rank_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int], list[str]]:
-    """A hash map of the ranks in three arrays (hash and displace): the
-    displacement of each bucket, the rank in each slot, the piece of each rank
-    as hex text. Empty slots hold the number of ranks, whose piece is empty."""
+def halves(piece: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | None:
+    """The two pieces whose merge gives ``piece`` when it is encoded by itself, if
+    it is reached so. In any longer text, pieces that meet with these bytes are
+    the same two: nothing was merged across their outer bounds, so the merges
+    inside were those of ``piece`` alone."""
+    parts, end = [piece[i:i + 1] for i in range(len(piece))], ranks[piece]
+    while len(parts) > 2:
+        least, at = end, -1
+        for i in range(len(parts) - 1):
+            r = ranks.get(parts[i] + parts[i + 1], end)
+            if r < least:
+                least, at = r, i
+        if at < 0:
+            return None
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    return (parts[0], parts[1]) if parts[0] in ranks and parts[1] in ranks else None
+
+
+def merges(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes] | None]:
+    """``halves`` of every piece of several bytes."""
+    return {piece: halves(piece, ranks) for piece in ranks if len(piece) > 1}
+
+
+def rank_table(ranks: dict[bytes, int], made: dict) -> tuple[list[int], list[int], list[int], list[int]]:
+    """A hash map of the merges in arrays (hash and displace): the displacement of
+    each bucket, the rank in each slot, the pair that has each rank (left * PAIR
+    + right) and the rank of each byte. Empty slots hold the number of ranks,
+    which no pair has."""
     n = max(ranks.values(), default=-1) + 1
-    pieces = [""] * (n + 1)
+    if n >= PAIR:
+        raise ValueError(f"ranks must be under {PAIR}")
+    pairs = [-1] * (n + 1)
+    for piece, two in made.items():
+        if two:
+            pairs[ranks[piece]] = ranks[two[0]] * PAIR + ranks[two[1]]
     buckets: list[list[int]] = [[] for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        pieces[rank] = piece.hex()
-        h = xxhash.xxh64_intdigest(piece, 42)
-        buckets[h & (BUCKETS - 1)].append((h, rank))
+    for rank, pair in enumerate(pairs):
+        if pair >= 0:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", pair), 42)
+            buckets[h & (BUCKETS - 1)].append((h, rank))
     slots, moves = [n] * SLOTS, [0] * BUCKETS
     for b in sorted(range(BUCKETS), key=lambda b: -len(buckets[b])):
         if not buckets[b]:
@@ -76,7 +108,7 @@ def rank_table(ranks: dict[bytes, int]) -> tuple[list[int], list[int], list[str]
         moves[b] = d
         for i, (_, rank) in zip(at, buckets[b]):
             slots[i] = rank
-    return moves, slots, pieces
+    return moves, slots, pairs, [ranks[bytes([i])] for i in range(256)]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -84,85 +116,91 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def with_ranks(ranks: dict[bytes, int], body: Callable) -> Column:
-    """``body`` of the rank map as one literal each for its three arrays."""
-    moves, slots, pieces = rank_table(ranks)
-    as_ints = lambda x: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<int>")
-    as_bytes = F.transform(F.split(F.lit(",".join(pieces)), ","), lambda x: F.unhex(x))
-    return let(as_ints(moves), lambda m: let(as_ints(slots), lambda t: let(as_bytes, lambda p: body((m, t, p)))))
+def with_ranks(ranks: dict[bytes, int], made: dict, body: Callable) -> Column:
+    """``body`` of the rank map as one literal each for its arrays."""
+    as_array = lambda x, t: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), f"array<{t}>")
+    moves, slots, pairs, singles = rank_table(ranks, made)
+    return let(as_array(moves, "int"), lambda m: let(as_array(slots, "int"), lambda t: let(
+        as_array(pairs, "bigint"), lambda p: let(as_array(singles, "int"), lambda b: body((m, t, p, b))))))
 
 
 def _slot_of(hashed: Column, table: tuple) -> Column:
-    """What the slot of a piece's hash holds: the piece's rank, if it has one."""
-    moves, slots, _ = table
+    """What the slot of a pair's hash holds: the rank of the pair, if it has one."""
+    moves, slots = table[:2]
     move = F.get(moves, hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
     stride = F.shiftright(hashed, 16).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1))
     at = (F.shiftright(hashed, 32) + move * stride).bitwiseAND(F.lit(SLOTS - 1))
     return F.get(slots, at.cast("int"))
 
 
-def encode_word(word: Column, table: tuple) -> Column:
-    """Token ids (array<int>) of a binary word, by the rank map of ``with_ranks``."""
-    n = F.octet_length(word)
-
-    def piece(a: Column, b: Column) -> Column:
-        return F.substring(word, a, b - a)
+def _rank(left: Column, right: Column, table: tuple) -> Column:
+    """Rank of the merge of two token ids; NONE where they have none."""
+    def found(pair: Column) -> Column:
+        return let(_slot_of(F.xxhash64(pair), table), lambda r: F.when(
+            F.get(table[2], r) == pair, r.cast("bigint")).otherwise(F.lit(NONE)))
 
-    def rank_of(text: Column) -> Column:
-        return let(text, lambda p: let(let(F.xxhash64(p), lambda h: _slot_of(h, table)),
-                                       lambda r: F.when(F.get(table[2], r) == p, r)))
+    return let(left * F.lit(PAIR).cast("bigint") + right, found)
 
-    # boundaries are places in the word, from 1
-    def short() -> Column:
-        """The ranks of all neighbours are looked up in every round."""
-        def least(joined: Column) -> Column:  # rank * SHIFT + place of the first pair of lowest rank
-            found = F.transform(F.transform(joined, lambda p: F.xxhash64(p)), lambda h: _slot_of(h, table))
-            return F.array_min(F.transform(found, lambda r, i: F.when(
-                F.get(table[2], r) == F.get(joined, i), r * F.lit(SHIFT).cast("bigint") + i)))
 
-        def step(s: Column, _: Column) -> Column:
-            joined = F.transform(s, lambda x, i: piece(x, F.get(s, i + 2)))  # null for the last two
-            return let(let(joined, least), lambda m: F.when(m.isNull(), s).otherwise(
-                F.array_remove(s, F.get(s, m.bitwiseAND(F.lit(SHIFT - 1)).cast("int") + 1))))
+def encode_word(word: Column, table: tuple) -> Column:
+    """Token ids (array<int>) of a binary word, by the rank map of ``with_ranks``.
 
-        return F.aggregate(F.sequence(F.lit(1), n), F.sequence(F.lit(1), n + 1), step)
+    The fold's state has one long per token: the rank of its merge with the next
+    one, its place in the word and its id. The least entry is the next merge
+    (the leftmost of equal ranks); a merge replaces two entries and looks up
+    the ranks of the new token with its two neighbours."""
+    def packed(rank: Column, place: Column, token: Column) -> Column:
+        return (rank * F.lit(PAIR << PLACE_BITS).cast("bigint") + place * F.lit(PAIR).cast("bigint") + token).cast("bigint")
 
-    def long() -> Column:
-        """Each boundary keeps its packed rank; a merge looks up its two neighbours only."""
-        stop = F.lit(1 << 60)
+    def token(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(PAIR - 1).cast("bigint"))
 
-        def place(s: Column, i: Column) -> Column:
-            return F.get(s, i).bitwiseAND(F.lit(SHIFT - 1)).cast("int")
+    def place(x: Column) -> Column:
+        return F.shiftright(x, PAIR_BITS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1).cast("bigint"))
 
-        def kept(text: Column, at: Column) -> Column:
-            return (F.coalesce(rank_of(text) * F.lit(SHIFT).cast("bigint"), stop) + at).cast("bigint")
+    def step(s: Column, _: Column) -> Column:
+        def merge(least: Column) -> Column:
+            made = F.shiftright(least, PAIR_BITS + PLACE_BITS)  # the merge's rank is the id of what it makes
 
-        start = F.transform(F.sequence(F.lit(1), n + 1), lambda at: F.when(
-            (at > 1) & (at < n + 1), kept(piece(at - 1, at + 1), at)).otherwise(stop + at))
+            def put(i: Column) -> Column:  # 1-based place of the left one of the two
+                after, before = F.get(s, i + 1), F.get(s, i - 2)
+                new = packed(F.when(after.isNull(), F.lit(NONE)).otherwise(_rank(made, token(after), table)),
+                             place(least), made)
+                left = packed(_rank(token(before), made, table), place(before), token(before))
+                return F.when(i > 1, F.concat(F.slice(s, 1, i - 2), F.array(left, new), F.slice(s, i + 2, F.size(s)))
+                              ).otherwise(F.concat(F.array(new), F.slice(s, 3, F.size(s))))
 
-        def step(s: Column, _: Column) -> Column:
-            def merge(i: Column) -> Column:
-                left = F.when(i == 1, F.get(s, F.lit(0))).otherwise(
-                    kept(piece(place(s, i - 2), place(s, i + 1)), place(s, i - 1)))
-                right = F.when(i + 2 == F.size(s), F.get(s, i + 1)).otherwise(
-                    kept(piece(place(s, i - 1), place(s, i + 2)), place(s, i + 1)))
-                return F.concat(F.slice(s, 1, i - 1), F.array(left, right), F.slice(s, i + 3, F.size(s)))
+            return F.when(made >= F.lit(NONE), s).otherwise(
+                let(F.array_position(s, least).cast("int"), put))
 
-            least = F.array_min(s)
-            return F.when(least >= stop, s).otherwise(let((F.array_position(s, least) - 1).cast("int"), merge))
+        return let(F.array_min(s), merge)
 
-        return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: F.transform(
-            s, lambda x: x.bitwiseAND(F.lit(SHIFT - 1)).cast("int")))
+    def start(text: Column) -> Column:
+        n = F.octet_length(word)
+        return let(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(table[3], F.ascii(F.substring(text, i, F.lit(1)))).cast("bigint")),
+                   lambda ids: F.transform(ids, lambda x, i: packed(
+                       F.when(i + 1 == n, F.lit(NONE)).otherwise(_rank(x, F.get(ids, i + 1), table)), i, x)))
 
-    bounds = F.when(n <= LONG, short()).otherwise(long())
-    ids = let(bounds, lambda s: F.transform(F.slice(s, 2, F.size(s) - 1), lambda b, i: let(
-        F.xxhash64(piece(F.get(s, i), b)), lambda h: _slot_of(h, table))))
+    n = F.octet_length(word)
+    # one character per byte
+    first = let(F.decode(word, "ISO-8859-1"), start)
+    ids = F.aggregate(F.sequence(F.lit(1), n), first, step, lambda s: F.transform(s, lambda x: token(x).cast("int")))
     return F.when(n > 0, ids).when(n == 0, F.array().cast("array<int>"))
 
 
 def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
     """Token ids (array<array<int>>) of an array of binary words, each encoded by itself."""
-    return with_ranks(ranks, lambda table: F.transform(words, lambda w: encode_word(w, table)))
+    made = merges(ranks)
+    # pieces that their own merges do not reach are tokens only as whole words, as in the library
+    whole = {p: ranks[p] for p, two in made.items() if two is None}
+
+    def encode(w: Column, table: tuple) -> Column:
+        out = encode_word(w, table)
+        for piece, rank in whole.items():
+            out = F.when(w == F.lit(piece), F.array(F.lit(rank))).otherwise(out)
+        return out
+
+    return with_ranks(ranks, made, lambda table: F.transform(words, lambda w: encode(w, table)))
 
 
 def _worker_state() -> types.ModuleType:
@@ -170,54 +208,53 @@ def _worker_state() -> types.ModuleType:
     return sys.modules.setdefault("_eventlake_bpe_state", types.ModuleType("_eventlake_bpe_state"))
 
 
-def _odd_space():
-    import re
-
-    return re.compile(r" (?=\s|\Z)").search
-
-
-def chunks(text: str, odd_space=_odd_space()) -> list[str]:
-    """``text`` cut before single spaces, where every pattern of this family
-    cuts too: a space that ends its white space and is followed by a word."""
-    parts = text.split(" ")
-    out = [parts[0]] if parts[0] else []
-    if odd_space(text) is None:  # every space is followed by a word
-        out += [" " + p for p in parts[1:]]
-        return out
-    glue = ""
-    for p in parts[1:]:
-        if p == "" or p[0].isspace():  # the white space goes on: not a cut
-            glue += " " + p
-            continue
-        if glue:
-            out.append((out.pop() if out else "") + glue)
-            glue = ""
-        out.append(" " + p)
-    if glue:
-        out.append((out.pop() if out else "") + glue)
-    return out
-
-
-class Recent(dict):
-    """Values of recent short chunks: at most ``limit`` new ones and as many older ones."""
-
-    def __init__(self, limit: int = CACHE):
-        super().__init__()
-        self.limit, self.old = limit, {}
-
-    def __missing__(self, chunk: str):
-        got = self.old.get(chunk)
-        if got is not None:
-            self.put(chunk, got)
-        return got
-
-    def put(self, chunk: str, value) -> None:
-        if len(chunk) > 64:
-            return
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[chunk] = value
+# Fixed byte classes: white space of one byte (and the separators that some libraries count
+# as such), and the first bytes of white space of several bytes in UTF-8.
+ONE_BYTE_SPACE = np.zeros(256, bool)
+ONE_BYTE_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+MAY_BE_SPACE = np.zeros(256, bool)
+MAY_BE_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+LONG_SPACES = np.array([0xC285, 0xC2A0, 0xE19A80, 0xE2819F, 0xE38080, 0xE280A8, 0xE280A9, 0xE280AF,
+                        *range(0xE28080, 0xE2808B)])
+
+
+def chunk_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where texts (bytes with row offsets) are cut before single spaces, where
+    every pattern of this family cuts too: a space that ends its white space
+    and is followed by a word. Every text that is not empty starts a chunk."""
+    at = np.flatnonzero(raw[:-1] == 0x20)
+    nxt = raw[at + 1]
+    last = np.zeros(len(raw) + 1, bool)  # the last byte of a row has no next one
+    last[offsets[1:] - 1] = True
+    keep = ~(ONE_BYTE_SPACE[nxt] | last[at])
+    doubt = np.flatnonzero(keep & MAY_BE_SPACE[nxt])
+    if len(doubt):
+        padded = np.concatenate([raw, np.zeros(3, np.uint8)]).astype(np.int64)
+        p = at[doubt]
+        two = padded[p + 1] << 8 | padded[p + 2]
+        keep[doubt] = ~(np.isin(two, LONG_SPACES) | np.isin(two << 8 | padded[p + 3], LONG_SPACES))
+    starts = np.zeros(len(raw), bool)
+    starts[at[keep]] = True
+    starts[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(starts)
+
+
+def coded_chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct chunks of the texts, the chunks of all texts in turn (as
+    indices of the distinct ones) and each text's first chunk."""
+    raw, offsets = as_bytes(texts)
+    if not len(raw):
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+    starts = chunk_starts(raw, offsets)
+    ends = pa.py_buffer(np.append(starts, len(raw)).astype(np.int64))
+    coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, ends, pa.py_buffer(raw)]).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.searchsorted(starts, offsets)
+
+
+def chunks(text: str) -> list[str]:
+    """The chunks of one text."""
+    distinct, codes, _ = coded_chunks(pa.array([text]))
+    return [distinct[i].as_py().decode() for i in codes.tolist()]
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
@@ -225,40 +262,82 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
 
 
-def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
-    """(word, n) over all texts of a ``text`` column, for words of at most HOT_BYTES bytes."""
+def words_of_chunks(chunks: pa.Array, find: Callable[[str], list[str]]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all chunks in turn (joint ones first), and each chunk's (first word, number of words).
+
+    Joint chunks start with a space and a word: they are cut from whatever
+    precedes them, so they are split as one text. The others are starts of
+    texts and are split one by one, as are all where the pattern leaves gaps."""
+    raw, offsets = as_bytes(chunks)
+    sizes = np.diff(offsets)
+    joint = np.zeros(len(chunks), bool)
+    some = np.flatnonzero(sizes > 1)
+    second = raw[offsets[some] + 1]
+    joint[some] = (raw[offsets[some]] == 0x20) & ~ONE_BYTE_SPACE[second] & ~MAY_BE_SPACE[second]
+    text = b"".join(chunks.filter(pa.array(joint)).to_pylist())
+    ends = np.cumsum(sizes[joint])
+    together: list[str] = []
+    try:
+        together = find(text.decode())
+        lengths = pc.binary_length(pa.array(together, pa.large_string())).to_numpy()
+        stops = np.cumsum(lengths)
+        if lengths.sum() != len(text) or not np.isin(ends, stops).all():
+            raise ValueError
+        counts = np.diff(np.searchsorted(stops, ends, side="right"), prepend=0)
+    except ValueError:  # bytes that are not UTF-8, or gaps
+        joint[:], together, counts = False, [], np.zeros(0, np.int64)
+    apart = [find(c.decode("utf-8", "replace")) for c in chunks.filter(pa.array(~joint)).to_pylist()]
+    each = np.zeros(len(chunks), np.int64)
+    each[joint], each[~joint] = counts, [len(x) for x in apart]
+    first = np.zeros(len(chunks), np.int64)
+    first[joint] = np.cumsum(counts) - counts
+    first[~joint] = len(together) + np.cumsum(each[~joint]) - each[~joint]
+    words = pa.array(together + list(chain.from_iterable(apart)), pa.string())
+    return words.cast(pa.binary()), np.stack([first, each])
+
+
+def _split(pattern: str) -> Callable:
+    """Function from (doc_id, text) rows to blocks: the distinct words of some
+    texts with their counts, and the texts as indices of these words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, seen, counts = splitter(pattern), Counter(), {}
-
-        def split() -> None:
-            for chunk, n in seen.items():
-                for w in find(chunk):
-                    counts[w] = counts.get(w, 0) + n
-            seen.clear()
-
-        def out() -> pa.RecordBatch:
-            words = [w.encode("utf-8", "replace") for w in counts]
-            some = [len(w) <= HOT_BYTES for w in words]
-            made = pa.RecordBatch.from_arrays(
-                [pa.array([w for w, k in zip(words, some) if k], pa.binary()),
-                 pa.array([n for n, k in zip(counts.values(), some) if k], pa.int64())], ["word", "n"])
-            counts.clear()
-            return made
+        find = splitter(pattern)
+
+        def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            distinct, codes, first = coded_chunks(pa.concat_arrays([p.column(1).cast(pa.large_binary()) for p in parts]))
+            words, (starts, sizes) = words_of_chunks(distinct, find)
+            coded = words.dictionary_encode()
+            index, ends = gather(coded.indices.to_numpy().astype(np.uint32), starts, sizes, codes)
+            counts = np.bincount(index, minlength=len(coded.dictionary))
+            tokens = index.astype(np.uint16) if len(counts) <= 1 << 16 else index
+            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            return pa.RecordBatch.from_arrays(
+                [one(pa.concat_arrays([p.column(0) for p in parts])), one(pa.array(np.diff(ends[first]), pa.int32())),
+                 pa.array([tokens.tobytes()], pa.binary()), one(coded.dictionary), one(pa.array(counts, pa.int32()))],
+                ["doc_ids", "sizes", "tokens", "words", "counts"])
+
+        for parts in runs(batches, "text", BLOCK_BYTES):
+            yield block(parts)
+
+    return run
+
+
+def split(docs: DataFrame, pattern: str) -> DataFrame:
+    """(doc_id, text) rows as a written table of blocks (see ``_split``)."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    blocks = map_arrow(docs.select("doc_id", "text"), _split(pattern), f"doc_ids array<{id_type}>, sizes array<int>, "
+                       "tokens binary, words array<binary>, counts array<int>")
+    path = table_path(docs, "bpe_blocks")
+    # small row groups: a reader holds one of them
+    blocks.write.option("compression", "zstd").option("parquet.block.size", 2 * BLOCK_BYTES).parquet(path)
+    return docs.sparkSession.read.schema(blocks.schema).parquet(path)
 
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for t in part.column(0).to_pylist():
-                    seen.update(chunks(t or ""))
-                if len(seen) > 2 * CACHE:
-                    split()
-                if len(counts) > 2 * CACHE:
-                    yield out()
-        split()
-        yield out()
 
-    counted = map_arrow(docs.select("text"), run, "word binary, n bigint")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """(word, n) over all blocks, for words of at most HOT_BYTES bytes."""
+    each = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("w"))
+    each = each.select(F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    return each.where(F.octet_length("word") <= HOT_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, size: int) -> DataFrame:
@@ -289,9 +368,14 @@ def most_frequent(counts: DataFrame, size: int) -> DataFrame:
 
 
 def hot_dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = HOT_WORDS) -> tuple:
-    """The ``size`` most frequent words and their ids: (words, flat ids, offsets)."""
-    top = stage(most_frequent(word_counts(docs, pattern), size), "bpe_hot")
-    spark = docs.sparkSession
+    """The ``size`` most frequent words of documents and their ids: (words, flat ids, offsets)."""
+    return hot_table(split(docs, pattern), ranks, size)
+
+
+def hot_table(blocks: DataFrame, ranks: dict[bytes, int], size: int = HOT_WORDS) -> tuple:
+    """``hot_dictionary`` of texts that are split already."""
+    top = stage(most_frequent(word_counts(blocks), size), "bpe_hot")
+    spark = blocks.sparkSession
     groups = F.pmod(F.xxhash64("word"), F.lit(4 * max(spark.sparkContext.defaultParallelism, 1)))
     lists = top.groupBy(groups.alias("g")).agg(F.collect_list("word").alias("words"))
     table = lists.select("words", encode_words(F.col("words"), ranks).alias("ids")).toArrow()  # bounded by size
@@ -304,69 +388,41 @@ def hot_dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size:
     return words, np.concatenate(ids), np.cumsum(np.concatenate(lengths))
 
 
-def _blocks(pattern: str, hot_words) -> Callable:
-    """Function from (doc_id, text) rows to blocks: ids of the documents, each
-    text as indices (hot words first, then the block's own), the block's own words."""
+def _look_up(hot_words) -> Callable:
+    """Function from blocks to blocks whose tokens are indices of the hot words
+    first, then of the words that are left in the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _worker_state()
-        if getattr(state, "key", None) != (pattern, hot_words.id):
-            state.key = (pattern, hot_words.id)
+        if getattr(state, "key", None) != hot_words.id:
             blob, ends = hot_words.value
-            words = [blob[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
-            state.hot = {w.decode(): i for i, w in enumerate(words) if _is_text(w)}
-            state.base = len(words)
-            state.find = splitter(pattern)
-            state.recent = Recent()  # indices of chunks of hot words only
-        hot, base, find, recent = state.hot, state.base, state.find, state.recent
-        doc_ids: list[pa.Array] = []
-        seqs: list[bytes] = []
-        own: dict[str, int] = {}
-        held = 0
-
-        def indices(chunk: str) -> bytes:
-            words = find(chunk)
-            index = [hot.get(w, -1) for w in words]
-            if -1 not in index:
-                got = np.array(index, np.uint32).tobytes()
-                recent.put(chunk, got)
-                return got
-            return np.array([i if i >= 0 else base + own.setdefault(w, len(own)) for i, w in zip(index, words)],
-                            np.uint32).tobytes()
-
-        def out() -> pa.RecordBatch:
-            ids = pa.concat_arrays(doc_ids)
-            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            return pa.RecordBatch.from_arrays(
-                [one(ids), one(pa.array(seqs, pa.binary())),
-                 one(pa.array([w.encode("utf-8", "replace") for w in own], pa.binary()))],
-                ["doc_ids", "seqs", "words"])
-
+            state.hot = {blob[a:b]: i for i, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist()))}
+            state.key = hot_words.id
+        hot = state.hot
         for batch in batches:
-            for part in slices(batch, "text"):
-                for t in part.column(1).to_pylist():
-                    parts = chunks(t or "")
-                    got = list(map(recent.__getitem__, parts))
-                    if None in got:
-                        got = [indices(c) if g is None else g for c, g in zip(parts, got)]
-                    seqs.append(b"".join(got))
-                doc_ids.append(part.column(0))
-                held += part.nbytes
-                if held >= BLOCK_BYTES:
-                    yield out()
-                    doc_ids, seqs, own, held = [], [], {}, 0
-        if seqs:
-            yield out()
+            for i in range(len(batch)):
+                words = batch.column("words").slice(i, 1).flatten()
+                at = np.fromiter((hot.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
+                cold = at < 0
+                at[cold] = len(hot) + np.arange(cold.sum())
+                kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
+                tokens = np.frombuffer(batch.column("tokens")[i].as_buffer(), kind)
+                left = words.filter(pa.array(cold))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_ids").slice(i, 1), batch.column("sizes").slice(i, 1),
+                     pa.array([at.astype(np.uint32)[tokens].tobytes()], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array([0, len(left)], pa.int32()), left)],
+                    ["doc_ids", "sizes", "tokens", "words"])
 
     return run
 
 
-def _is_text(w: bytes) -> bool:
-    try:
-        w.decode()
-    except UnicodeDecodeError:
-        return False
-    return True
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs flat[starts[i]:starts[i] + sizes[i]] for i in ``at``, joined, and the bounds of the runs."""
+    n = sizes[at]
+    ends = np.zeros(len(at) + 1, np.int64)
+    np.cumsum(n, out=ends[1:])
+    return flat[np.repeat(starts[at] - ends[:-1], n) + np.arange(ends[-1])], ends
 
 
 def _assemble(hot_ids) -> Callable:
@@ -376,24 +432,18 @@ def _assemble(hot_ids) -> Callable:
         flat, offsets = hot_ids.value
         for batch in batches:
             for i in range(len(batch)):
-                doc_ids = batch.column(0).slice(i, 1).flatten()
-                seqs = batch.column(1).slice(i, 1).flatten()
-                own = batch.column(2).slice(i, 1).flatten()
-                sizes = np.diff(own.offsets.to_numpy()) if len(own) else np.zeros(0, np.int64)
+                doc_ids = batch.column("doc_ids").slice(i, 1).flatten()
+                tokens = np.frombuffer(batch.column("tokens")[i].as_buffer(), np.uint32)
+                bounds = np.r_[0, np.cumsum(batch.column("sizes").slice(i, 1).flatten().to_numpy())]
+                own = batch.column("own").slice(i, 1).flatten()
+                sizes = own.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = np.concatenate([flat, own.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
-                starts = np.r_[offsets, offsets[-1] + np.cumsum(sizes)]
-                lengths = np.diff(starts)
-                for first in range(0, len(seqs), 256):
-                    some = seqs.slice(first, 256)
-                    parts, ends = [], [0]
-                    for s in some:
-                        index = np.frombuffer(s.as_py(), np.uint32)
-                        n = lengths[index]
-                        total = int(n.sum())
-                        at = np.repeat(starts[index] - np.cumsum(n) + n, n) + np.arange(total)
-                        parts.append(ids[at])
-                        ends.append(ends[-1] + total)
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts)))
+                lengths = np.concatenate([np.diff(offsets), sizes])
+                starts = np.cumsum(lengths) - lengths
+                for first in range(0, len(doc_ids), 256):
+                    cut = bounds[first:first + 257]
+                    made, ends = gather(ids, starts, lengths, tokens[cut[0]:cut[-1]])
+                    lists = pa.ListArray.from_arrays(pa.array(ends[cut - cut[0]], pa.int32()), pa.array(made, pa.int32()))
                     yield pa.RecordBatch.from_arrays([doc_ids.slice(first, 256), lists], ["doc_id", "ids"])
 
     return run
@@ -405,13 +455,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     id_type = narrow.schema["doc_id"].dataType.simpleString()
     sc = docs.sparkSession.sparkContext
-    words, flat, offsets = hot_dictionary(narrow, ranks, pattern, hot_words)
+    blocks = split(narrow, pattern)
+    words, flat, offsets = hot_table(blocks, ranks, hot_words)
     hot = sc.broadcast((b"".join(words), np.cumsum([len(w) for w in words], dtype=np.int64)))
     hot_ids = sc.broadcast((flat, offsets))
-    blocks = map_arrow(narrow, _blocks(pattern, _Hot(hot)),
-                       f"doc_ids array<{id_type}>, seqs array<binary>, words array<binary>")
+    left = map_arrow(blocks.drop("counts"), _look_up(_Hot(hot)),
+                     f"doc_ids array<{id_type}>, sizes array<int>, tokens binary, words array<binary>")
     own = encode_words(F.col("words"), ranks)
-    return map_arrow(blocks.select("doc_ids", "seqs", own.alias("own")), _assemble(hot_ids),
+    return map_arrow(left.select("doc_ids", "sizes", "tokens", own.alias("own")), _assemble(hot_ids),
                      f"doc_id {id_type}, ids array<int>")
 
 

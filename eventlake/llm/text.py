@@ -68,6 +68,19 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         first = last
 
 
+def runs(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """The slices of all batches, gathered until they hold ``limit`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for part in slices(batch, column):
+            held.append(part)
+            if sum(p.nbytes for p in held) >= limit:
+                yield held
+                held = []
+    if held:
+        yield held
+
+
 def words(raw: np.ndarray, offsets: np.ndarray,
           between: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs of bytes outside ASCII white space, or

@@ -30,7 +30,6 @@ import struct
 import sys
 import types
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.bpe import Recent, chunks
+from eventlake.llm.bpe import MAY_BE_SPACE, ONE_BYTE_SPACE, coded_chunks, gather
 from eventlake.llm.shared import map_arrow, quoted, table_path
-from eventlake.llm.text import slices
+from eventlake.llm.text import runs
 from eventlake.operators.joins import bounded_side
 
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
 CACHE = 500_000  # chunks of text remembered by a Python worker, twice at most (about 200 bytes each)
+CODED_BYTES = 8_000_000  # text whose distinct chunks are looked up together
+JOINT, CALL = 200, 50  # chunks of one text given to the library, texts of one call
 SAMPLE = 64  # every so many values the place of the upper bit is kept
 MAX_SHARDS_TO_BROADCAST = 1_000_000
 
@@ -118,35 +119,106 @@ class EliasFano:
         return high | (bits.astype(np.uint64) << np.arange(self.low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
+class Recent(dict):
+    """Values of recent short chunks: at most ``limit`` new ones and as many older ones."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def __missing__(self, chunk: bytes):
+        got = self.old.get(chunk)
+        if got is not None:
+            self.put(chunk, got)
+        return got
+
+    def put(self, chunk: bytes, value: bytes) -> None:
+        if len(chunk) > 64:
+            return
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = value
+
+
 class Encoder:
-    """Token ids of texts by a tokenizers file. Texts are cut where the byte
-    level splitter cuts as well, and the ids of recent chunks are remembered."""
+    """Token ids of texts by a tokenizers file.
+
+    Texts are cut where the byte level splitter cuts as well, and only chunks
+    that were not seen lately go to the library: ``JOINT`` of them in one call
+    text, whose ids are dealt back to the chunks by the tokens' lengths in bytes."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size(True)
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         steps = str(self.tokenizer.pre_tokenizer)
         # chunks keep the ids only for the plain byte level splitter without a normaliser
         self.cuts = (self.tokenizer.normalizer is None and steps.startswith("ByteLevel(")
                      and "add_prefix_space=False" in steps and "use_regex=True" in steps)
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        # a byte level token has one character for each byte
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        for i, added in self.tokenizer.get_added_tokens_decoder().items():
+            self.lengths[i] = len(added.content.encode())
         self.recent = Recent(CACHE)
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, new: list[bytes]) -> list[bytes]:
+        """The ids of chunks."""
+        out: list[bytes] = [b""] * len(new)
+        joint = [i for i, c in enumerate(new) if len(c) > 1 and c[0] == 0x20 and not (ONE_BYTE_SPACE[c[1]] or MAY_BE_SPACE[c[1]])]
+        groups = [joint[i:i + JOINT] for i in range(0, len(joint), JOINT)]
+        rest = set(range(len(new))) - set(joint)
+        for first in range(0, len(groups), CALL):
+            some = groups[first:first + CALL]
+            for group, ids in zip(some, self._ids([_text(b"".join(new[i] for i in g)) for g in some])):
+                ends = np.cumsum([len(new[i]) for i in group])
+                stops = np.cumsum(self.lengths[ids])
+                at = np.searchsorted(stops, ends)
+                if not len(stops) or stops[-1] != ends[-1] or not np.array_equal(stops[at], ends):
+                    rest |= set(group)  # a token that spans chunks, or bytes that are not UTF-8
+                    continue
+                for i, a, b in zip(group, [0, *(at[:-1] + 1).tolist()], (at + 1).tolist()):
+                    out[i] = ids[a:b].tobytes()
+        last = sorted(rest)
+        for first in range(0, len(last), JOINT * CALL):
+            some = last[first:first + JOINT * CALL]
+            for i, ids in zip(some, self._ids([_text(new[i]) for i in some])):
+                out[i] = ids.tobytes()
+        return out
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [chunks(t) if self.cuts else [t] for t in texts]
-        known = [list(map(self.recent.__getitem__, p)) for p in parts]
-        todo = list({c for p, got in zip(parts, known) if None in got for c, g in zip(p, got) if g is None})
-        made: dict[str, bytes] = {}
-        for i in range(0, len(todo), 10_000):
-            some = todo[i:i + 10_000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                made[c] = ids = array(self.code, e.ids).tobytes()
-                self.recent.put(c, ids)
-        return [b"".join(made[c] if g is None else g for c, g in zip(p, got)) if None in got else b"".join(got)
-                for p, got in zip(parts, known)]
+        """The ids of each text."""
+        ids, ends = self.flat(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in turn, and the bounds of the texts."""
+        if not self.cuts:
+            texts = texts.cast(pa.large_binary())
+            made = [i for t in texts.to_pylist() for i in self._ids([_text(t or b"")])]
+            return np.concatenate([np.zeros(0, self.dtype), *made]), np.cumsum([0, *map(len, made)])
+        distinct, codes, first = coded_chunks(texts)
+        chunks = distinct.to_pylist()
+        known = list(map(self.recent.__getitem__, chunks))
+        todo = [i for i, ids in enumerate(known) if ids is None]
+        for i, ids in zip(todo, self._new([chunks[i] for i in todo])):
+            known[i] = ids
+            self.recent.put(chunks[i], ids)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        ids, ends = gather(flat, np.cumsum(sizes) - sizes, sizes, codes)
+        return ids, ends[first]
+
+
+def _text(chunk: bytes) -> str:
+    return chunk.decode("utf-8", "replace")
 
 
 def encoder(path: str) -> Encoder:
@@ -182,12 +254,15 @@ def _packed(path: str, end_id: int, block_tokens: int):
             return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.int64())) for k, v in row.items()],
                                               list(row))
 
-        for batch in batches:
-            for part in slices(batch, "text"):
-                shard = part.column(0)[0].as_py()
-                encoded = encode([t or "" for t in part.column(2).to_pylist()])
-                for doc_id, ids in zip(part.column(1).to_pylist(), encoded):
-                    ids += end
+        for parts in runs(batches, "text", CODED_BYTES):
+            shard = parts[0].column(0)[0].as_py()
+            all_ids, ends = encode.flat(pa.concat_arrays([p.column(2).cast(pa.large_binary()) for p in parts]))
+            ends = ends.tolist()
+            at = 0
+            for part in parts:
+                for doc_id in part.column(1).to_pylist():
+                    ids = all_ids[ends[at]:ends[at + 1]].tobytes() + end
+                    at += 1
                     if texts and held + len(ids) > block_tokens * width:
                         made = out()
                         yield made

@@ -89,3 +89,32 @@ def test_hot_words_are_cut_without_one_task_of_all_words(spark, monkeypatch):
         assert sorted(got) == [w.encode() for w in "abcdefgh"[:size]]
         # only a part of the words at the cut is ever put in order
         assert ("TakeOrderedAndProject" in plans["bpe_hot"]) == ordered and "bpe_counts" in plans
+
+
+def test_long_white_space_and_broken_bytes(spark):
+    """Spaces before white space of several bytes are no cuts; bytes that are not UTF-8 read as the replacement character."""
+    rnd = random.Random(11)
+    for _ in range(2000):
+        t = "".join(rnd.choices(["a", " ", " ", " ", "　", " ", "¿q", "“x”", "あ", "\x1c", "\n"], k=12))
+        assert "".join(bpe.chunks(t)) == t
+        parts = [w for p in bpe.chunks(t) for w in bpe.splitter(P.PATTERN)(p)]
+        assert parts == bpe.splitter(P.PATTERN)(t), repr(t)
+    df = spark.sql("SELECT 1L AS doc_id, cast(X'61FF206220C362' AS string) AS text")
+    got = bpe.encode(df, RANKS, P.PATTERN).collect()[0].ids
+    assert got == REFERENCE.encode_ordinary(b"a\xff b \xc3b".decode("utf-8", "replace"))
+
+
+def test_pieces_that_merges_do_not_reach():
+    """Such a piece is a token as a whole word only, as in the library."""
+    ranks = {bytes([i]): i for i in range(256)}
+    ranks |= {b"ab": 256, b"abcd": 257, b"bc": 258}
+    assert bpe.merges(ranks) == {b"ab": (b"a", b"b"), b"abcd": None, b"bc": (b"b", b"c")}
+    with pytest.raises(ValueError):
+        bpe.rank_table({b"x": bpe.PAIR}, {})
+
+
+def test_a_pattern_with_gaps(spark):
+    docs = doc_frame(spark, [(1, "ab, cd  ef!"), (2, "gh")])
+    got = {r.doc_id: r.ids for r in bpe.encode(docs, RANKS, r" ?\p{L}+").collect()}
+    assert got == {1: [i for w in ("ab", " cd", " ef") for i in REFERENCE.encode_ordinary(w)],
+                   2: REFERENCE.encode_ordinary("gh")}
