@@ -10,8 +10,8 @@ bound once for all lookups of a row.
 written as blocks: a bounded amount of text as the block's distinct words and
 indices of them. The most frequent words of the corpus (``HOT_WORDS``, counted
 over all blocks) are encoded once and given to every task; every other word is
-encoded once for each block in which it occurs. So nothing is shuffled but the
-word counts, and no dictionary grows with the corpus. ``decode`` concatenates
+encoded once for each run of blocks of a task in which it occurs. So nothing is
+shuffled but the word counts, and no dictionary grows with the corpus. ``decode`` concatenates
 the tokens' binary pieces.
 
 Defined cases: null and empty texts have no tokens; repeated rows give
@@ -42,7 +42,8 @@ from eventlake.llm.text import as_bytes, runs
 
 HOT_WORDS = 400_000  # words of at most HOT_BYTES bytes, so at most 25 MB
 HOT_BYTES = 48
-BLOCK_BYTES = 8_000_000  # text of one block
+BLOCK_BYTES = 4_000_000  # text of one block
+KEPT_WORDS = 200_000  # other words that a task remembers from block to block
 BUCKETS, SLOTS = 1 << 15, 1 << 17  # of the rank map; a vocabulary fills less than half of the slots
 PAIR_BITS, PLACE_BITS = 18, 24  # of a token id, and of a place in a word
 PAIR = 1 << PAIR_BITS
@@ -133,13 +134,12 @@ def _slot_of(hashed: Column, table: tuple) -> Column:
     return F.get(slots, at.cast("int"))
 
 
-def _rank(left: Column, right: Column, table: tuple) -> Column:
-    """Rank of the merge of two token ids; NONE where they have none."""
-    def found(pair: Column) -> Column:
-        return let(_slot_of(F.xxhash64(pair), table), lambda r: F.when(
-            F.get(table[2], r) == pair, r.cast("bigint")).otherwise(F.lit(NONE)))
-
-    return let(left * F.lit(PAIR).cast("bigint") + right, found)
+def _ranks(pairs: Column, table: tuple, body: Callable[[Column, Column], Column]) -> Column:
+    """``body(rank, index)`` for each pair of token ids (left * PAIR + right) of an
+    array; the rank is NONE where the pair has no merge."""
+    return let(pairs, lambda ps: F.transform(
+        F.transform(ps, lambda p: _slot_of(F.xxhash64(p), table)),
+        lambda r, i: body(F.when(F.get(table[2], r) == F.get(ps, i), r.cast("bigint")).otherwise(F.lit(NONE)), i)))
 
 
 def encode_word(word: Column, table: tuple) -> Column:
@@ -149,43 +149,41 @@ def encode_word(word: Column, table: tuple) -> Column:
     one, its place in the word and its id. The least entry is the next merge
     (the leftmost of equal ranks); a merge replaces two entries and looks up
     the ranks of the new token with its two neighbours."""
-    def packed(rank: Column, place: Column, token: Column) -> Column:
-        return (rank * F.lit(PAIR << PLACE_BITS).cast("bigint") + place * F.lit(PAIR).cast("bigint") + token).cast("bigint")
+    n = F.octet_length(word)
+    big = lambda x: F.lit(x).cast("bigint")
+    top, rest = PAIR_BITS + PLACE_BITS, big((1 << PAIR_BITS + PLACE_BITS) - 1)
 
     def token(x: Column) -> Column:
-        return x.bitwiseAND(F.lit(PAIR - 1).cast("bigint"))
-
-    def place(x: Column) -> Column:
-        return F.shiftright(x, PAIR_BITS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1).cast("bigint"))
+        return x.bitwiseAND(big(PAIR - 1))
 
     def step(s: Column, _: Column) -> Column:
         def merge(least: Column) -> Column:
-            made = F.shiftright(least, PAIR_BITS + PLACE_BITS)  # the merge's rank is the id of what it makes
+            made = F.shiftright(least, top)  # the merge's rank is the id of what it makes
 
             def put(i: Column) -> Column:  # 1-based place of the left one of the two
-                after, before = F.get(s, i + 1), F.get(s, i - 2)
-                new = packed(F.when(after.isNull(), F.lit(NONE)).otherwise(_rank(made, token(after), table)),
-                             place(least), made)
-                left = packed(_rank(token(before), made, table), place(before), token(before))
-                return F.when(i > 1, F.concat(F.slice(s, 1, i - 2), F.array(left, new), F.slice(s, i + 2, F.size(s)))
-                              ).otherwise(F.concat(F.array(new), F.slice(s, 3, F.size(s))))
+                before = F.get(s, i - 2)
+                # the two pairs of the new token; a missing neighbour gives no rank
+                pairs = F.array(token(before) * big(PAIR) + made, made * big(PAIR) + token(F.get(s, i + 1)))
+                kept = F.array(before.bitwiseAND(rest), least.bitwiseAND(rest) - token(least) + made)
+                new = _ranks(pairs, table, lambda r, k: r * big(1 << top) + F.get(kept, k))
+                return F.when(i > 1, F.concat(F.slice(s, 1, i - 2), new, F.slice(s, i + 2, n))).otherwise(
+                    F.concat(F.slice(new, 2, 1), F.slice(s, 3, n)))
 
             return F.when(made >= F.lit(NONE), s).otherwise(
                 let(F.array_position(s, least).cast("int"), put))
 
         return let(F.array_min(s), merge)
 
-    def start(text: Column) -> Column:
-        n = F.octet_length(word)
-        return let(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(table[3], F.ascii(F.substring(text, i, F.lit(1)))).cast("bigint")),
-                   lambda ids: F.transform(ids, lambda x, i: packed(
-                       F.when(i + 1 == n, F.lit(NONE)).otherwise(_rank(x, F.get(ids, i + 1), table)), i, x)))
+    def start(text: Column) -> Column:  # one character per byte
+        ids = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(
+            table[3], F.ascii(F.substring(text, i, F.lit(1)))).cast("bigint"))
+        return let(ids, lambda ids: _ranks(F.transform(ids, lambda x, i: x * big(PAIR) + F.get(ids, i + 1)), table,
+                                           lambda r, i: r * big(1 << top) + i * big(PAIR) + F.get(ids, i)))
 
-    n = F.octet_length(word)
-    # one character per byte
     first = let(F.decode(word, "ISO-8859-1"), start)
-    ids = F.aggregate(F.sequence(F.lit(1), n), first, step, lambda s: F.transform(s, lambda x: token(x).cast("int")))
-    return F.when(n > 0, ids).when(n == 0, F.array().cast("array<int>"))
+    ids = F.aggregate(F.sequence(F.lit(2), n), first, step, lambda s: F.transform(s, lambda x: token(x).cast("int")))
+    one = let(F.decode(word, "ISO-8859-1"), lambda text: F.array(F.get(table[3], F.ascii(text))))
+    return F.when(n > 1, ids).when(n == 1, one).when(n == 0, F.array().cast("array<int>"))
 
 
 def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
@@ -318,6 +316,7 @@ def _split(pattern: str) -> Callable:
 
         for parts in runs(batches, "text", BLOCK_BYTES):
             yield block(parts)
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -329,7 +328,7 @@ def split(docs: DataFrame, pattern: str) -> DataFrame:
                        "tokens binary, words array<binary>, counts array<int>")
     path = table_path(docs, "bpe_blocks")
     # small row groups: a reader holds one of them
-    blocks.write.option("compression", "zstd").option("parquet.block.size", 2 * BLOCK_BYTES).parquet(path)
+    blocks.write.option("compression", "zstd").option("parquet.block.size", 4 * BLOCK_BYTES).parquet(path)
     return docs.sparkSession.read.schema(blocks.schema).parquet(path)
 
 
@@ -390,7 +389,8 @@ def hot_table(blocks: DataFrame, ranks: dict[bytes, int], size: int = HOT_WORDS)
 
 def _look_up(hot_words) -> Callable:
     """Function from blocks to blocks whose tokens are indices of the hot words
-    first, then of the words that are left in the block."""
+    first, then of the other words of this task; a block brings the new ones.
+    After ``KEPT_WORDS`` of them the next block starts anew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _worker_state()
@@ -398,21 +398,25 @@ def _look_up(hot_words) -> Callable:
             blob, ends = hot_words.value
             state.hot = {blob[a:b]: i for i, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist()))}
             state.key = hot_words.id
-        hot = state.hot
+        hot, others = state.hot, {}
         for batch in batches:
             for i in range(len(batch)):
+                anew = len(others) >= KEPT_WORDS
+                if anew:
+                    others = {}
+                known = len(others)
                 words = batch.column("words").slice(i, 1).flatten()
-                at = np.fromiter((hot.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
-                cold = at < 0
-                at[cold] = len(hot) + np.arange(cold.sum())
+                at = np.array([hot.get(w, -1) for w in words.to_pylist()], np.int64)
+                cold = np.flatnonzero(at < 0)
+                at[cold] = [len(hot) + others.setdefault(w, len(others)) for w in words.take(pa.array(cold)).to_pylist()]
                 kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
                 tokens = np.frombuffer(batch.column("tokens")[i].as_buffer(), kind)
-                left = words.filter(pa.array(cold))
+                new = words.take(pa.array(cold[at[cold] >= len(hot) + known]))  # in the order of their numbers
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_ids").slice(i, 1), batch.column("sizes").slice(i, 1),
                      pa.array([at.astype(np.uint32)[tokens].tobytes()], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array([0, len(left)], pa.int32()), left)],
-                    ["doc_ids", "sizes", "tokens", "words"])
+                     pa.ListArray.from_arrays(pa.array([0, len(new)], pa.int32()), new), pa.array([anew])],
+                    ["doc_ids", "sizes", "tokens", "words", "anew"])
 
     return run
 
@@ -430,15 +434,18 @@ def _assemble(hot_ids) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, offsets = hot_ids.value
+        ids, lengths = flat, np.diff(offsets)
         for batch in batches:
             for i in range(len(batch)):
+                if batch.column("anew")[i].as_py():
+                    ids, lengths = flat, np.diff(offsets)
                 doc_ids = batch.column("doc_ids").slice(i, 1).flatten()
                 tokens = np.frombuffer(batch.column("tokens")[i].as_buffer(), np.uint32)
                 bounds = np.r_[0, np.cumsum(batch.column("sizes").slice(i, 1).flatten().to_numpy())]
                 own = batch.column("own").slice(i, 1).flatten()
                 sizes = own.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                ids = np.concatenate([flat, own.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
-                lengths = np.concatenate([np.diff(offsets), sizes])
+                ids = np.concatenate([ids, own.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
+                lengths = np.concatenate([lengths, sizes])
                 starts = np.cumsum(lengths) - lengths
                 for first in range(0, len(doc_ids), 256):
                     cut = bounds[first:first + 257]
@@ -460,9 +467,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     hot = sc.broadcast((b"".join(words), np.cumsum([len(w) for w in words], dtype=np.int64)))
     hot_ids = sc.broadcast((flat, offsets))
     left = map_arrow(blocks.drop("counts"), _look_up(_Hot(hot)),
-                     f"doc_ids array<{id_type}>, sizes array<int>, tokens binary, words array<binary>")
+                     f"doc_ids array<{id_type}>, sizes array<int>, tokens binary, words array<binary>, anew boolean")
     own = encode_words(F.col("words"), ranks)
-    return map_arrow(left.select("doc_ids", "sizes", "tokens", own.alias("own")), _assemble(hot_ids),
+    return map_arrow(left.select("doc_ids", "sizes", "tokens", "anew", own.alias("own")), _assemble(hot_ids),
                      f"doc_id {id_type}, ids array<int>")
 
 

@@ -118,3 +118,14 @@ def test_a_pattern_with_gaps(spark):
     got = {r.doc_id: r.ids for r in bpe.encode(docs, RANKS, r" ?\p{L}+").collect()}
     assert got == {1: [i for w in ("ab", " cd", " ef") for i in REFERENCE.encode_ordinary(w)],
                    2: REFERENCE.encode_ordinary("gh")}
+
+
+@pytest.mark.parametrize("kept", [1, 3, 10**6])
+def test_words_are_shared_between_the_blocks_of_a_task(spark, monkeypatch, kept):
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", kept)
+    rnd = random.Random(21)
+    vocabulary = [f"{rnd.choice('abcdefgh')}{rnd.randint(0, 60)}x" for _ in range(90)]
+    texts = [" ".join(rnd.choices(vocabulary, k=rnd.randint(0, 15))) for _ in range(200)]
+    got = bpe.encode(doc_frame(spark, list(enumerate(texts))).coalesce(2), RANKS, P.PATTERN, hot_words=5).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: REFERENCE.encode_ordinary(t) for i, t in enumerate(texts)}
