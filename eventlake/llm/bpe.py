@@ -24,8 +24,6 @@ from __future__ import annotations
 import base64
 import json
 import struct
-import sys
-import types
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -38,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.shared import map_arrow, quoted, stage, table_path
-from eventlake.llm.text import as_bytes, runs
+from eventlake.llm.text import BASE, as_bytes, mix64, range_hash, runs
 
 HOT_WORDS = 400_000  # words of at most HOT_BYTES bytes, so at most 25 MB
 HOT_BYTES = 48
@@ -201,11 +199,6 @@ def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
     return with_ranks(ranks, made, lambda table: F.transform(words, lambda w: encode(w, table)))
 
 
-def _worker_state() -> types.ModuleType:
-    """Memory of a Python worker process that outlives a task."""
-    return sys.modules.setdefault("_eventlake_bpe_state", types.ModuleType("_eventlake_bpe_state"))
-
-
 # Fixed byte classes: white space of one byte (and the separators that some libraries count
 # as such), and the first bytes of white space of several bytes in UTF-8.
 ONE_BYTE_SPACE = np.zeros(256, bool)
@@ -387,18 +380,37 @@ def hot_table(blocks: DataFrame, ranks: dict[bytes, int], size: int = HOT_WORDS)
     return words, np.concatenate(ids), np.cumsum(np.concatenate(lengths))
 
 
+def word_hash(words: pa.Array) -> np.ndarray:
+    raw, offsets = as_bytes(words)
+    return mix64(range_hash(raw.astype(np.uint64) + np.uint64(1), offsets[:-1], offsets[1:], BASE))
+
+
+def places(words: pa.Array, blob: np.ndarray, bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The place of each word in a list of words (in ascending order of hash;
+    bytes and bounds), or -1. Found by hash, compared byte by byte."""
+    at = np.searchsorted(hashes, wanted := word_hash(words))
+    at[at == len(hashes)] = 0
+    raw, offsets = as_bytes(words)
+    sizes = np.diff(offsets)
+    same = np.zeros(len(words), bool)
+    if len(hashes):
+        same = (hashes[at] == wanted) & (np.diff(bounds)[at] == sizes)
+    some = np.flatnonzero(same)
+    theirs, ends = gather(blob, bounds[:-1], np.diff(bounds), at[some])
+    ours, _ = gather(raw, offsets[:-1], sizes, some)
+    wrong = np.concatenate([[0], np.cumsum(theirs != ours)])
+    same[some] = wrong[ends[1:]] == wrong[ends[:-1]]
+    return np.where(same, at, -1)
+
+
 def _look_up(hot_words) -> Callable:
     """Function from blocks to blocks whose tokens are indices of the hot words
     first, then of the other words of this task; a block brings the new ones.
     After ``KEPT_WORDS`` of them the next block starts anew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = _worker_state()
-        if getattr(state, "key", None) != hot_words.id:
-            blob, ends = hot_words.value
-            state.hot = {blob[a:b]: i for i, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist()))}
-            state.key = hot_words.id
-        hot, others = state.hot, {}
+        blob, bounds, hashes = hot_words.value
+        others: dict[bytes, int] = {}
         for batch in batches:
             for i in range(len(batch)):
                 anew = len(others) >= KEPT_WORDS
@@ -406,12 +418,13 @@ def _look_up(hot_words) -> Callable:
                     others = {}
                 known = len(others)
                 words = batch.column("words").slice(i, 1).flatten()
-                at = np.array([hot.get(w, -1) for w in words.to_pylist()], np.int64)
+                at = places(words, blob, bounds, hashes)
                 cold = np.flatnonzero(at < 0)
-                at[cold] = [len(hot) + others.setdefault(w, len(others)) for w in words.take(pa.array(cold)).to_pylist()]
+                at[cold] = [len(hashes) + others.setdefault(w, len(others))
+                            for w in words.take(pa.array(cold)).to_pylist()]
                 kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
                 tokens = np.frombuffer(batch.column("tokens")[i].as_buffer(), kind)
-                new = words.take(pa.array(cold[at[cold] >= len(hot) + known]))  # in the order of their numbers
+                new = words.take(pa.array(cold[at[cold] >= len(hashes) + known]))  # in the order of their numbers
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_ids").slice(i, 1), batch.column("sizes").slice(i, 1),
                      pa.array([at.astype(np.uint32)[tokens].tobytes()], pa.binary()),
@@ -464,33 +477,20 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     sc = docs.sparkSession.sparkContext
     blocks = split(narrow, pattern)
     words, flat, offsets = hot_table(blocks, ranks, hot_words)
-    hot = sc.broadcast((b"".join(words), np.cumsum([len(w) for w in words], dtype=np.int64)))
-    hot_ids = sc.broadcast((flat, offsets))
-    left = map_arrow(blocks.drop("counts"), _look_up(_Hot(hot)),
+    listed = pa.array(words, pa.large_binary())
+    hashes = word_hash(listed)
+    order = np.argsort(hashes, kind="stable")
+    raw, bounds = as_bytes(listed.take(pa.array(order)))
+    flat, ends = gather(flat, offsets[:-1], np.diff(offsets), order)
+    hot = sc.broadcast((raw.copy(), bounds.astype(np.int64), hashes[order]))
+    hot_ids = sc.broadcast((flat, ends))
+    left = map_arrow(blocks.drop("counts"), _look_up(hot),
                      f"doc_ids array<{id_type}>, sizes array<int>, tokens binary, words array<binary>, anew boolean")
     own = encode_words(F.col("words"), ranks)
     return map_arrow(left.select("doc_ids", "sizes", "tokens", "anew", own.alias("own")), _assemble(hot_ids),
                      f"doc_id {id_type}, ids array<int>")
 
 
-class _Hot:
-    """The broadcast word list with an id that tells dictionaries apart in a worker."""
-
-    def __init__(self, broadcast):
-        self.broadcast = broadcast
-        self.id = broadcast._jbroadcast.id()
-
-    @property
-    def value(self):
-        return self.broadcast.value
-
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-
-
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", column: str = "decoded") -> DataFrame:
     """``encoded`` with the concatenated binary pieces of its ids in ``column``."""
     from pyspark.sql.types import BinaryType, StructField, StructType
