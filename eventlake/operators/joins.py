@@ -46,6 +46,12 @@ def _written(small: DataFrame, name: str, **measures) -> tuple[DataFrame, dict]:
     return spark.read.schema(small.schema).parquet(path), observed(obs)
 
 
+def materialize_measured(small: DataFrame, name: str, **measures) -> tuple[DataFrame, dict]:
+    """``materialize`` with further aggregates of the rows, observed by the write."""
+    table, seen = _written(small, name, **measures)
+    return table, {k: seen.get(k) or 0 for k in ("rows", *measures)}
+
+
 def materialize(small: DataFrame, name: str = "small") -> tuple[DataFrame, int]:
     """Write ``small`` to the shared folder; return it read back and its row
     count (observed during the write, so no second job)."""
@@ -62,10 +68,30 @@ def bounded_side(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, name: str
     return table, int(seen.get("rows") or 0) <= max_rows and int(seen.get("bytes") or 0) <= max_bytes
 
 
+def null_safe_join(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner",
+                   broadcast: bool = False) -> DataFrame:
+    """``df`` joined with ``other`` on ``keys``, null keys being equal to each
+    other. The result has ``df``'s columns, then ``other``'s besides the keys."""
+    taken = {*df.columns, *other.columns}
+    right = {}
+    for k in keys:
+        name = f"_{k}_other"
+        while name in taken:
+            name = "_" + name
+        taken.add(name)
+        right[k] = name
+    other = other.select(*[F.col(f"`{c}`").alias(right.get(c, c)) for c in other.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"`{k}`").eqNullSafe(F.col(f"`{right[k]}`"))
+    joined = df.join(F.broadcast(other) if broadcast else other, on, how)
+    return joined.drop(*right.values())
+
+
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner",
                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``df`` joined with per-group ``stats`` on ``keys``; broadcast when the
-    measured size allows it, otherwise a shuffle join."""
+    """``df`` joined with per-group ``stats`` on ``keys`` (a null key is a group
+    like any other); broadcast when the measured size allows it, otherwise a
+    shuffle join."""
     stats, small_enough = bounded_side(stats, max_rows, "group_stats")
-    right = F.broadcast(stats) if small_enough else stats
-    return df.join(right, on=list(keys), how=how)
+    return null_safe_join(df, stats, keys, how, small_enough)

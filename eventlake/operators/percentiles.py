@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.numeric import round_half_up
-from eventlake.operators.joins import join_group_stats, materialize
+from eventlake.operators.joins import (BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, join_group_stats,
+                                       materialize_measured, null_safe_join)
 from eventlake.operators.outliers import remove_outliers
 from eventlake.operators.quality import prepare
 from eventlake.schema import DEFAULT_GROUP, MIN_EVENTS, OUTLIER_METHOD, OUTLIER_SIGMA, PERCENTILE_PROBS
@@ -50,8 +51,7 @@ def percentile_name(p: float) -> str:
 
 KLL_K = 8192  # KLL sketch size: exact for groups of at most this many values
 SALT_BUCKETS = 64  # reducers sharing the sketch merge of one group
-SELECT_ROWS = 1_000_000  # values of a bracket that are sorted to select the exact quantile
-MAX_NARROWINGS = 6  # sketch rounds; after that a bracket holds few distinct values, however many rows
+SELECT_ROWS = 1_000_000  # counted values of a group that are put in order to select the exact quantiles
 
 
 def distinct_counts(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, approx: bool = False) -> DataFrame:
@@ -83,116 +83,157 @@ def quantile_summary(df: DataFrame, by: Sequence[str], col: str, probs: Sequence
     Two levels: level 1 groups by (group, salt) with salt = input task id mod
     ``buckets``, so a task still ships one sketch per group, but the merge of a
     group holding a third of the data is spread over ``buckets`` reducers;
-    level 2 merges those. Null and NaN values are left out."""
+    level 2 merges those. Null and NaN values are left out; a group of nothing
+    else has 0 rows and null moments."""
     x = F.col(col).cast("double")
-    salted = df.select(*by, x.alias("_x"), F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt"))
-    salted = salted.filter(~F.isnan("_x"))
+    salted = df.select(*by, F.when(~F.isnan(x), x).alias("_x"), F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt"))
     level1 = salted.groupBy(*by, "_salt").agg(
-        F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sk"), F.count("_x").alias("n"), F.avg("_x").alias("mean"),
-        (F.var_pop("_x") * F.count("_x")).alias("m2"))
+        F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sk"), F.count("_x").alias("n"),
+        F.coalesce(F.avg("_x"), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.var_pop("_x") * F.count("_x"), F.lit(0.0)).alias("m2"))
     level2 = level1.groupBy(*by).agg(F.kll_merge_agg_double("_sk").alias("_sk"), F.sum("n").alias("_n"),
                                      F.collect_list(F.struct("n", "mean", "m2")).alias("_parts"))
     zero = F.lit(0.0)
-    mean = F.aggregate("_parts", zero, lambda a, p: a + p["mean"] * p["n"]) / F.col("_n")
+    mean = F.try_divide(F.aggregate("_parts", zero, lambda a, p: a + p["mean"] * p["n"]), F.col("_n"))
     level2 = level2.withColumn("_mean", mean)
     m2 = F.aggregate("_parts", zero, lambda a, p: a + p["m2"] + p["n"] * F.pow(p["mean"] - F.col("_mean"), 2))
     return level2.withColumn("_m2", m2).drop("_parts")
 
 
 def _sketch_quantiles(sketch: str, ranks: Column | Sequence[float]) -> list[Column]:
-    return [F.kll_sketch_get_quantile_double(sketch, r) for r in ranks]
+    """The sketch's quantiles; null where the group has no values (``_n`` is 0)."""
+    return [F.when(F.col("_n") > 0, F.kll_sketch_get_quantile_double(sketch, r)) for r in ranks]
 
 
-GRID = 128  # quantiles taken from a bracket's own sketch
+BINS = 4096  # of a counted histogram
 
 
 def exact_quantiles(df: DataFrame, summary: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
-                    k: int = KLL_K, buckets: int = SALT_BUCKETS, select_rows: int = SELECT_ROWS) -> DataFrame:
+                    k: int = KLL_K, select_rows: int = SELECT_ROWS) -> DataFrame:
     """``summary`` (``quantile_summary``) with ``_q``: the exact discrete
     quantiles (the smallest value whose cumulative share reaches p), at any
     group size and equal on every run.
 
-    A sketch of at most ``k`` values is exact. For larger groups the sketch
-    brackets the wanted rank; one more pass counts the rows below and inside
-    the bracket, which proves it (a bracket that misses becomes the whole
-    group). Brackets of more than ``select_rows`` rows are narrowed by a sketch
-    of their own rows, the others are grouped by value and selected by their
-    running count. No group is ever in one task, and only bracket rows, equal
-    values combined, are sorted.
+    A sketch of at most ``k`` values is exact. For larger groups its rank error
+    gives an interval around each wanted quantile, and one pass over the rows
+    counts them for all groups and ranks at once: every value inside an
+    interval by itself, the rows of each gap between intervals as one number.
+    The running count over these numbers selects the quantiles; a rank that
+    falls into a gap (the sketch was worse than its bound) makes that gap an
+    interval of another pass. Where a group has more than ``select_rows``
+    counted values, counted histograms over them (``_narrowed``) leave only
+    those near the wanted ranks. No group is ever in one task.
 
     The passes are jobs: this function runs them, and returns a plan over
     written tables."""
-    n_probs = len(probs)
-    table, _ = materialize(summary.withColumn("_q", F.array(*_sketch_quantiles("_sk", [F.lit(float(p)) for p in probs]))),
-                           "quantile_summary")
-    large = table.filter(F.col("_n") > k)
-    if large.isEmpty():
+    quantiles = F.array(*_sketch_quantiles("_sk", [F.lit(float(p)) for p in probs]))
+    key_bytes = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in by])))) if by else F.lit(0)
+    table, seen = materialize_measured(summary.withColumn("_q", quantiles), "quantile_summary", most=F.max("_n"),
+                                       bytes=key_bytes)
+    if seen["most"] <= k:
         return table.drop("_sk")
+    # what is joined below has one row per group: the keys and a few numbers per rank
+    few = (seen["rows"] <= BROADCAST_MAX_ROWS
+           and seen["bytes"] + seen["rows"] * 64 * (len(probs) + 1) <= BROADCAST_MAX_BYTES)
+    large = table.filter(F.col("_n") > k)
     x = F.col(col).cast("double")
     rows = df.select(*by, x.alias("_x")).filter(~F.isnan("_x"))
     wanted = F.array(*[F.greatest(F.ceil(F.col("_n") * p - 1e-9), F.lit(1)).cast("bigint") for p in probs])
-
     error = rank_error(k)
 
-    def ends(p: float) -> Column:
-        lo, hi = (F.kll_sketch_get_quantile_double("_sk", F.lit(min(max(r, 0.0), 1.0))) for r in (p - error, p + error))
+    def interval(p: float) -> Column:
+        lo, hi = _sketch_quantiles("_sk", [F.lit(min(max(r, 0.0), 1.0)) for r in (p - error, p + error)])
         return F.struct(lo.alias("lo"), hi.alias("hi"))
 
-    state = large.select(*by, "_n", wanted.alias("_r"), F.array(*[ends(float(p)) for p in probs]).alias("_b"))
-    for _ in range(MAX_NARROWINGS):
-        state, _ = materialize(state, "quantile_brackets")
-        counted = join_group_stats(rows, state, by).groupBy(*by, "_n", "_r", "_b").agg(
-            F.array(*[F.count_if(F.col("_x") < F.col("_b")[i]["lo"]) for i in range(n_probs)]).alias("_below"),
-            F.array(*[F.count_if(F.col("_x").between(F.col("_b")[i]["lo"], F.col("_b")[i]["hi"]))
-                      for i in range(n_probs)]).alias("_inside"))
-        infinity = F.lit(float("inf"))
-        proved = []
-        for i in range(n_probs):
-            b, r = F.col("_b")[i], F.col("_r")[i]
-            hit = (F.col("_below")[i] < r) & (r <= F.col("_below")[i] + F.col("_inside")[i])
-            proved.append(F.struct(
-                F.when(hit, b["lo"]).otherwise(-infinity).alias("lo"), F.when(hit, b["hi"]).otherwise(infinity).alias("hi"),
-                F.when(hit, F.col("_below")[i]).otherwise(F.lit(0)).alias("below"),
-                F.when(hit, F.col("_inside")[i]).otherwise(F.col("_n")).alias("inside")))
-        proved_state, _ = materialize(counted.select(*by, "_n", "_r", F.array(*proved).alias("_b")), "quantile_proved")
-        wide = F.exists("_b", lambda b: (b["inside"] > select_rows) & (b["lo"] < b["hi"]))
-        if proved_state.filter(wide).isEmpty():
+    state = large.select(*by, wanted.alias("_r"), F.array(*[interval(float(p)) for p in probs]).alias("_b"))
+    while True:
+        counted, seen = materialize_measured(_counted(rows, state, by, few), "quantile_counts")
+        wants = state.select(*by, "_r")
+        if seen["rows"] > select_rows:
+            counted = _narrowed(counted, wants, by, select_rows)
+        upto = Window.partitionBy(*by).orderBy("_cell", F.col("_x").asc_nulls_first())
+        upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = counted.withColumn("_upto", F.sum("_c").over(upto))
+        numbered = F.transform("_r", lambda r, i: F.struct(i.alias("_i"), r.alias("_r")))
+        hits = F.filter(numbered, lambda w: (w["_r"] <= F.col("_upto")) & (w["_r"] > F.col("_upto") - F.col("_c")))
+        found = null_safe_join(running, wants, by, broadcast=few).select(*by, "_cell", "_x", F.explode(hits).alias("_h"))
+        found = found.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_h._i", "_x", "_cell"))).alias("_found"))
+        found, seen = materialize_measured(found, "quantile_found", misses=F.sum(
+            F.exists("_found", lambda f: f["_x"].isNull()).cast("int")))
+        if not seen["misses"]:
             break
-        # sketches of the bracket rows give narrower brackets (equal ends are settled and stay)
-        inside = _bracket_rows(rows, proved_state.filter(wide), by)
-        parts = inside.groupBy(*by, "_i", F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt")).agg(
-            F.kll_sketch_agg_double("_x", F.lit(k)).alias("_sk"))
-        grid = F.array(*_sketch_quantiles("_sk", [F.lit(j / GRID) for j in range(GRID + 1)]))
-        merged = (parts.groupBy(*by, "_i").agg(F.kll_merge_agg_double("_sk").alias("_sk"))
-                  .select(*by, "_i", grid.alias("_grid")))
-        each = proved_state.select(*by, "_n", "_r", F.posexplode("_b").alias("_i", "_one"))
-        each = each.join(merged, [*by, "_i"], "left")
-        at = (F.col("_r")[F.col("_i")] - F.col("_one.below")) / F.col("_one.inside")
-        lo = F.greatest(F.floor((at - error) * GRID), F.lit(0)).cast("int")
-        hi = F.least(F.ceil((at + error) * GRID), F.lit(GRID)).cast("int")
-        narrow = F.when(F.col("_grid").isNull() | (F.col("_one.inside") <= select_rows),
-                        F.struct(F.col("_one.lo").alias("lo"), F.col("_one.hi").alias("hi"))).otherwise(
-            F.struct(F.col("_grid")[lo].alias("lo"), F.col("_grid")[hi].alias("hi")))
-        state = each.select(*by, "_n", "_r", "_i", narrow.alias("_e")).groupBy(*by, "_n", "_r").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("_i", "_e"))), lambda t: t["_e"]).alias("_b"))
-    inside = _bracket_rows(rows, proved_state, by).groupBy(*by, "_i", "_target", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*by, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (inside.withColumn("_upto", F.sum("_c").over(upto)).filter(F.col("_upto") >= F.col("_target"))
-             .groupBy(*by, "_i").agg(F.min("_x").alias("_x")))
-    exact = found.groupBy(*by).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda t: t["_x"]).alias("_exact"))
-    exact, _ = materialize(exact, "quantile_exact")
-    joined = table.join(exact, list(by), "left")
+        # the gaps that hold a wanted rank become intervals themselves
+        ends = F.array_sort(F.array_distinct(F.flatten(F.transform("_b", lambda b: F.array(b["lo"], b["hi"])))))
+        open_ = null_safe_join(state.withColumn("_e", ends), found, by)
+        infinity = F.lit(float("inf"))
+        gap = F.transform("_found", lambda f: F.when(f["_x"].isNotNull(), F.struct(
+            f["_x"].alias("lo"), f["_x"].alias("hi"))).otherwise(F.struct(
+                F.coalesce(F.get(F.col("_e"), f["_cell"] - 1), -infinity).alias("lo"),
+                F.coalesce(F.get(F.col("_e"), f["_cell"]), infinity).alias("hi"))))
+        state, _ = materialize_measured(open_.select(*by, "_r", gap.alias("_b")), "quantile_state")
+    exact = found.select(*by, F.transform("_found", lambda f: f["_x"]).alias("_exact"))
+    joined = null_safe_join(table, exact, by, "left", broadcast=few)
     return joined.withColumn("_q", F.coalesce("_exact", "_q")).drop("_exact", "_sk")
 
 
-def _bracket_rows(rows: DataFrame, state: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by, _i, _target, _x): the rows inside each bracket, with the wanted rank among them."""
-    joined = join_group_stats(rows, state, by)
-    hits = F.filter(F.transform("_b", lambda b, i: F.struct(
-        i.alias("_i"), (F.col("_r")[i] - b["below"]).alias("_target"),
-        F.col("_x").between(b["lo"], b["hi"]).alias("_in"))), lambda h: h["_in"])
-    return joined.select(*by, "_x", F.explode(hits).alias("_h")).select(*by, "_h._i", "_h._target", "_x")
+def _counted(rows: DataFrame, state: DataFrame, by: Sequence[str], few: bool) -> DataFrame:
+    """(by, _cell, _x, _c): rows per value inside an interval, and per gap
+    between the intervals (``_x`` null). The cell is the number of interval
+    ends below the value, so (_cell, _x with nulls first) is the order of values."""
+    joined = null_safe_join(rows, state.select(*by, "_b"), by, broadcast=few)
+    ends = F.array_distinct(F.flatten(F.transform("_b", lambda b: F.array(b["lo"], b["hi"]))))
+    cell = F.size(F.filter(ends, lambda v: v < F.col("_x")))
+    inside = F.exists("_b", lambda b: F.col("_x").between(b["lo"], b["hi"]))
+    keyed = joined.select(*by, cell.alias("_cell"), F.when(inside, F.col("_x")).alias("_x"))
+    return keyed.groupBy(*by, "_cell", "_x").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _log_place(x: Column) -> Column:
+    """A number that grows with ``x`` and with the logarithm of its size (``log`` never falls)."""
+    return F.when(x > 0, F.log(x) + 800).when(x < 0, -(F.log(-x) + 800)).otherwise(F.lit(0.0))
+
+
+def _narrowed(counted: DataFrame, wants: DataFrame, by: Sequence[str], select_rows: int) -> DataFrame:
+    """``counted`` with the values away from the wanted ranks added up.
+
+    Each round cuts the runs of single values (at first, one per cell) into
+    ``BINS`` ranges between their least and greatest value and counts them: of
+    equal width, or of equal ratio where the values differ by more than a factor
+    of 2, so a few rounds are enough for any doubles. A bin without a wanted rank becomes one entry (its least value and its
+    rows), the others are the runs of the next round, until no run has more
+    than ``select_rows`` values. A run's ends fall into different bins, so every
+    round makes progress, and it reads only what the last one left."""
+    run = [*by, "_cell", "_run"]
+    single = counted.filter(F.col("_x").isNotNull()).withColumn("_run", F.lit(0.0))
+    done = counted.filter(F.col("_x").isNull()).select(*by, "_cell", "_x", "_c")
+    finite = F.when(F.abs("_x") < F.lit(float("inf")), F.col("_x"))
+    while True:
+        spans, seen = materialize_measured(
+            single.groupBy(*run).agg(F.count(F.lit(1)).alias("_k"), F.min(finite).alias("_first"),
+                                     F.max(finite).alias("_last")), "quantile_spans", most=F.max("_k"))
+        if seen["most"] <= select_rows:
+            return done.unionByName(single.select(*by, "_cell", "_x", "_c"))
+        first, last = F.col("_first"), F.col("_last")
+        near = ((first > 0) & (last / 2 <= first)) | ((last < 0) & (first / 2 >= last)) | (first == last)
+        part = F.when(near, F.try_divide(F.col("_x") - first, last - first)).otherwise(
+            F.try_divide(_log_place(F.col("_x")) - _log_place(first), _log_place(last) - _log_place(first)))
+        inner = F.least(F.greatest(F.floor(F.coalesce(part, F.lit(0.0)) * BINS), F.lit(0)), F.lit(BINS - 1))
+        place = (F.when(F.col("_x") == float("inf"), F.lit(BINS)).when(F.col("_x") == float("-inf"), F.lit(-1))
+                 .otherwise(inner).cast("int"))
+        binned = join_group_stats(single, spans.select(*run, "_first", "_last"), run).withColumn("_bin", place)
+        bins = binned.groupBy(*run, "_bin").agg(F.min("_x").alias("_x"), F.sum("_c").alias("_c"))
+        each = done.withColumns({"_run": F.lit(None).cast("double"), "_bin": F.lit(None).cast("int")})
+        upto = Window.partitionBy(*by).orderBy("_cell", F.col("_x").asc_nulls_first())
+        running = each.unionByName(bins).withColumn(
+            "_upto", F.sum("_c").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        hit = F.exists("_r", lambda w: (w <= F.col("_upto")) & (w > F.col("_upto") - F.col("_c")))
+        judged, _ = materialize_measured(null_safe_join(running, wants, by).withColumn("_hit", hit & F.col("_bin").isNotNull())
+                                         .select(*run, "_bin", "_x", "_c", "_hit"), "quantile_bins")
+        done = judged.filter(~F.col("_hit")).select(*by, "_cell", "_x", "_c")
+        wide = judged.filter("_hit").select(*run, "_bin", F.col("_x").alias("_next"))
+        single = join_group_stats(binned.select(*run, "_bin", "_x", "_c"), wide, [*run, "_bin"])
+        single, _ = materialize_measured(single.select(*by, "_cell", F.col("_next").alias("_run"), "_x", "_c"),
+                                         "quantile_singles")
 
 
 METHODS = ("exact", "kll", "approx")
@@ -213,6 +254,11 @@ def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequenc
     ``approx`` is ``percentile_approx`` with ``accuracy``, one merge per group.
     Quantiles and moments come out of one aggregate, the distinct counts out of
     a second one (``distinct_counts``); they are joined on the group key.
+
+    Rows with null key parts form groups like any other. Null and NaN values are
+    left out of quantiles, moments and ``total_events``; a group that has only
+    such values stays, with 0 and nulls. Infinite values take part in the
+    quantiles and make the mean infinite and the deviation NaN.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
@@ -224,11 +270,11 @@ def percentiles(df: DataFrame, by: Sequence[str] = DEFAULT_GROUP, probs: Sequenc
     else:
         q = quantile_summary(df, by, col, probs, k, buckets)
         if method == "exact":
-            q = exact_quantiles(df, q, by, col, probs, k, buckets, select_rows)
+            q = exact_quantiles(df, q, by, col, probs, k, select_rows)
         else:
             q = q.withColumn("_q", F.array(*_sketch_quantiles("_sk", [F.lit(float(p)) for p in probs]))).drop("_sk")
         q = q.withColumn("_sd", F.when(F.col("_n") > 1, F.sqrt(F.col("_m2") / (F.col("_n") - 1))))
-    agg = q.join(distinct_counts(df, by, approx_distinct), on=list(by), how="inner")
+    agg = null_safe_join(q, distinct_counts(df, by, approx_distinct), by)
 
     def rnd(c: Column) -> Column:
         return c if digits is None else round_half_up(c, digits)
@@ -276,8 +322,8 @@ def percentile_report(events: DataFrame, by: Sequence[str] = DEFAULT_GROUP, min_
     clean = remove_outliers(cleaned, by, sigma)
     if count_before_outliers:
         counts = distinct_events(cleaned, by, approx_distinct)
-        summary = percentiles(clean, by, probs, digits=digits, approx_distinct=approx_distinct,
-                              method=method, k=k).join(counts, on=list(by), how="inner")
+        summary = null_safe_join(percentiles(clean, by, probs, digits=digits, approx_distinct=approx_distinct,
+                                             method=method, k=k), counts, by)
     else:
         summary = percentiles(clean, by, probs, digits=digits, with_distinct_events=True,
                               approx_distinct=approx_distinct, method=method, k=k)

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.operators.joins import observed
+from eventlake.operators.joins import null_safe_join, observed
 from eventlake.operators.outliers import daily_bounds, flag_outliers
 from eventlake.operators.percentiles import distinct_events, percentiles, with_run_metadata
 from eventlake.operators.quality import prepare
@@ -66,7 +66,7 @@ def percentile_plan(events: DataFrame, cfg: BatchConfig, by=DEFAULT_GROUP) -> tu
     clean = flag_outliers(cleaned, stats, by).filter(~F.col("is_outlier")).select(*cleaned.columns)
     if cfg.count_before_outliers:
         counts = distinct_events(cleaned, by)
-        summary = percentiles(clean, by, method=cfg.method).join(counts, on=list(by), how="inner")
+        summary = null_safe_join(percentiles(clean, by, method=cfg.method), counts, by)
     else:
         summary = percentiles(clean, by, with_distinct_events=True, method=cfg.method)
     summary = summary.observe(

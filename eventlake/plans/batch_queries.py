@@ -105,6 +105,30 @@ def p95_by_type(spark, sf_dir):
     return percentiles.percentiles(_clean(spark, sf_dir), by=("device_type",), k=64, select_rows=100)
 
 
+LOCATION = "nullif(concat('room_', right(device_id, 1)), 'room_3')"  # null for a tenth of the devices
+BY_LOCATION_SQL = f"""
+WITH {EV},
+{CLEAN_Y}
+SELECT {LOCATION} AS location,
+       {r3('quantile_disc(event_duration, 0.95)')} AS percentile_95th,
+       {r3('quantile_disc(event_duration, 0.5)')} AS percentile_50th,
+       {r3('quantile_disc(event_duration, 0.75)')} AS percentile_75th,
+       {r3('quantile_disc(event_duration, 0.25)')} AS percentile_25th,
+       {r3('avg(event_duration)')} AS mean_event_duration,
+       {r3('stddev_samp(event_duration)')} AS stddev_event_duration,
+       count(event_duration) AS total_events,
+       count(DISTINCT device_id) AS unique_devices
+FROM y GROUP BY ALL
+"""
+
+
+@register("p95_by_location", BY_LOCATION_SQL, P95_DOUBLES)
+def p95_by_location(spark, sf_dir):
+    """A7 by another key, one that is null in some rows: they are a group."""
+    rows = _clean(spark, sf_dir).withColumn("location", F.expr(LOCATION))
+    return percentiles.percentiles(rows, by=("location",))
+
+
 # ---------------------------------------------------------------- sources
 SCAN_SQL = f"""
 WITH {EV}
