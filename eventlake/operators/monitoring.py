@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.numeric import safe_ratio
+from eventlake.operators.joins import bounded_side, null_safe_join
 from eventlake.operators.quality import REASONS, is_rejected, rules
 from eventlake.schema import LAG_ALERT_LIMIT, RATE_WINDOW
 
@@ -50,6 +51,20 @@ def lag_by_partition(records: DataFrame, as_of: str, time_col: str = "timestamp"
     )
 
 
+def file_lag(records: DataFrame, processed: DataFrame, path_col: str = "path") -> DataFrame:
+    """Lag per (topic, partition) of a query that reads files: ``records`` are the
+    rows present with the ``path_col`` of their file, ``processed`` the paths
+    the query has taken (``streaming.state.processed_files``). Latest offset,
+    last offset read and the number of rows in files not yet taken."""
+    taken, fits = bounded_side(processed.select(F.col("path").alias(path_col), F.lit(True).alias("_taken")),
+                               name="processed_files")
+    marked = null_safe_join(records, taken, [path_col], "left", fits)
+    read = F.coalesce(F.col("_taken"), F.lit(False))
+    return marked.groupBy("topic", "partition").agg(
+        F.max("offset").alias("latest_offset"), F.max(F.when(read, F.col("offset"))).alias("committed_offset"),
+        F.count_if(~read).alias("lag"))
+
+
 def lag_alert(lag: DataFrame, limit: int = LAG_ALERT_LIMIT, by: Sequence[str] = ("topic",)) -> DataFrame:
     """Mean partition lag per group and whether it exceeds ``limit``."""
     return lag.groupBy(*by).agg(

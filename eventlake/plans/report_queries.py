@@ -16,8 +16,10 @@ from eventlake.plans.registry import register
 from eventlake.plans.sqlparts import AS_OF, EV, LENIENT_VALID, MIN_EVENTS, ORACLE_MIN_EVENTS, r3
 from eventlake.session import shared_path
 from eventlake.sources.adapters import read_events_table
-from eventlake.sources.files import json_history, read_result
+from eventlake.sources.files import file_stream, json_history, read_result
 from eventlake.sources.writers import to_json_edge, write_history, write_result
+from eventlake.streaming.sinks import stream_parquet
+from eventlake.streaming.state import plain_path, processed_files
 
 # ---------------------------------------------------------------- reports
 SUMMARY_SQL = f"""
@@ -213,18 +215,36 @@ FROM events GROUP BY 1, 2
 """
 
 
+def running_lag(spark, sf_dir):
+    """Lag of a stream over the topics' files: it has read what was there at an
+    instant; the later messages have arrived since."""
+    messages = topic_view(spark, sf_dir)
+    inbox = shared_path(spark, "streams", "lag", "inbox")
+    out, ck = shared_path(spark, "streams", "lag", "out"), shared_path(spark, "streams", "lag", "ck")
+    early = F.col("timestamp") <= F.lit(LAG_AS_OF).cast("timestamp")
+    messages.filter(early).write.parquet(f"{inbox}/arrival=0")
+    query = stream_parquet(file_stream(spark, inbox, messages.schema).select("topic", "partition", "offset"), out, ck,
+                           parts=(), available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+    messages.filter(~early).write.parquet(f"{inbox}/arrival=1")
+    present = spark.read.schema(messages.schema).parquet(inbox).select(
+        "topic", "partition", "offset", plain_path(F.col("_metadata.file_path")).alias("path"))
+    return monitoring.file_lag(present, processed_files(spark, ck))
+
+
 @register("lag_by_partition", LAG_SQL)
 def q_lag_by_partition(spark, sf_dir):
-    """M3: consumer lag per topic partition for a consumer caught up to a
-    fixed instant."""
-    return monitoring.lag_by_partition(topic_view(spark, sf_dir), LAG_AS_OF)
+    """M3: lag of a running query per topic partition, from its checkpoint's
+    log of processed files against the files present."""
+    return running_lag(spark, sf_dir)
 
 
 @register("unread_by_partition", LAG_SQL)
 def q_unread_by_partition(spark, sf_dir):
     """M3 on stored records: latest offset, last offset up to an instant and
-    the records after it, per topic partition (``lag_by_partition`` under the
-    name of what it computes; a running query's lag is ``progress_lag``)."""
+    the records after it, per topic partition."""
     return monitoring.lag_by_partition(topic_view(spark, sf_dir), LAG_AS_OF)
 
 
@@ -237,7 +257,7 @@ SELECT topic, avg(lag) AS mean_lag, max(lag) AS max_lag, avg(lag) > 1000 AS aler
 @register("lag_alert", LAG_ALERT_SQL, ("mean_lag",))
 def q_lag_alert(spark, sf_dir):
     """M4: mean partition lag per topic and the > 1000 alert."""
-    return monitoring.lag_alert(monitoring.lag_by_partition(topic_view(spark, sf_dir), LAG_AS_OF))
+    return monitoring.lag_alert(running_lag(spark, sf_dir))
 
 
 FAILURE_SQL = f"""

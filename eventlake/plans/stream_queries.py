@@ -13,7 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators import dedup, windows
 from eventlake.operators.quality import quality_events
-from eventlake.plans.event_queries import DEDUP_BODY, QUARANTINE_SQL, WINDOW_DOUBLES, records, window_ctes
+from eventlake.plans.event_queries import (DEDUP_BODY, QUARANTINE_SQL, WINDOW_DOUBLES, _reasons_text_sql, records,
+                                            window_ctes)
 from eventlake.plans.registry import register
 from eventlake.plans.sqlparts import EV, QEV
 from eventlake.schema import EVENTS_TABLE_SCHEMA, TIME_PARTS, WATERMARK
@@ -22,7 +23,9 @@ from eventlake.sources.adapters import device_events, read_events_table
 from eventlake.sources.files import file_stream, path_exists
 from eventlake.streaming.progress import attach, read_progress
 from eventlake.streaming.sinks import state_partitions, stream_parquet
-from eventlake.streaming.stream_job import aggregate_output, quarantine_stream, raw_output
+from eventlake.streaming.state import open_windows
+from eventlake.streaming.stream_job import (StreamConfig, aggregate_output, quarantine_stream, raw_output,
+                                            start_landed)
 
 
 def event_stream(spark: SparkSession, folder: str, glob: str | None = "events.parquet",
@@ -65,6 +68,58 @@ def q_minute_window_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+OPEN_SQL = f"""
+WITH {window_ctes('1 minute')}
+SELECT *, window_end > (SELECT date_trunc('milliseconds', max("timestamp")) FROM qev) - INTERVAL '2 minutes' AS is_open
+FROM agg
+"""
+
+
+@register("open_windows", OPEN_SQL, WINDOW_DOUBLES)
+def q_open_windows(spark, sf_dir):
+    """W2+W6: after the stream has read everything, the emitted windows plus
+    those still in its state store are the batch aggregate."""
+    agg = windows.minute_agg(quality_events(event_stream(spark, sf_dir)), watermark=WATERMARK)
+    out, ck = drain(agg, "open_windows", parts=())
+    emitted = spark.read.parquet(out).withColumn("is_open", F.lit(False))
+    return emitted.unionByName(open_windows(spark, ck).withColumn("is_open", F.lit(True)))
+
+
+LANDED_SQL = f"""
+WITH {window_ctes('1 minute')},
+closed AS (
+  SELECT * FROM agg
+  WHERE window_end <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM qev) - INTERVAL '2 minutes'),
+bad AS (SELECT * FROM (SELECT "offset", {_reasons_text_sql()} AS reasons FROM ev) WHERE reasons <> '')
+SELECT 'raw' AS output, device_id AS item, count(*) AS n, CAST(sum("offset") AS BIGINT) AS total FROM qev GROUP BY 2
+UNION ALL
+SELECT 'aggregated', device_id, count(*), CAST(sum(event_count) AS BIGINT) FROM closed GROUP BY 2
+UNION ALL
+SELECT 'quarantine', reasons, count(*), CAST(sum("offset") AS BIGINT) FROM bad GROUP BY 2
+"""
+
+
+@register("one_read_outputs", LANDED_SQL)
+def q_one_read_outputs(spark, sf_dir):
+    """W7+K2+K3+F8: raw rows, closed windows and quarantine of the stream job
+    with one read of the source (``start_landed``), summed per device or reasons."""
+    topic = shared_path(spark, "streams", "one_read", "topic")
+    recs = records(spark, sf_dir)
+    recs.write.parquet(f"{topic}/batch=0")
+    out = shared_path(spark, "streams", "one_read", "out")
+    cfg = StreamConfig(out, shared_path(spark, "streams", "one_read", "ck"), available_now=True)
+    for query in start_landed(spark, spark.readStream.schema(recs.schema).parquet(topic), cfg, land_first=True):
+        run_to_end(query)
+
+    def summed(name: str, item, total: str):
+        return spark.read.parquet(f"{out}/{name}").groupBy(item.alias("item")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(total).alias("total")).select(F.lit(name).alias("output"), "item", "n", "total")
+
+    return (summed("raw", F.col("device_id"), "offset")
+            .unionByName(summed("aggregated", F.col("device_id"), "event_count"))
+            .unionByName(summed("quarantine", F.array_join("reject_reasons", ","), "offset")))
+
+
 RAW_SQL = f"""
 WITH {EV},
 {QEV}
