@@ -361,23 +361,25 @@ def most_frequent(counts: DataFrame, size: int) -> DataFrame:
 
 def hot_dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = HOT_WORDS) -> tuple:
     """The ``size`` most frequent words of documents and their ids: (words, flat ids, offsets)."""
-    return hot_table(split(docs, pattern), ranks, size)
+    words, ids, offsets = hot_table(split(docs, pattern), encode_words(F.col("words"), ranks), size)
+    return words.to_pylist(), ids, offsets
 
 
-def hot_table(blocks: DataFrame, ranks: dict[bytes, int], size: int = HOT_WORDS) -> tuple:
-    """``hot_dictionary`` of texts that are split already."""
+def hot_table(blocks: DataFrame, encoded: Column, size: int = HOT_WORDS) -> tuple:
+    """``hot_dictionary`` of texts that are split already, the words as an Arrow
+    array; ``encoded`` are the ids of a column ``words``."""
     top = stage(most_frequent(word_counts(blocks), size), "bpe_hot")
     spark = blocks.sparkSession
     groups = F.pmod(F.xxhash64("word"), F.lit(4 * max(spark.sparkContext.defaultParallelism, 1)))
     lists = top.groupBy(groups.alias("g")).agg(F.collect_list("word").alias("words"))
-    table = lists.select("words", encode_words(F.col("words"), ranks).alias("ids")).toArrow()  # bounded by size
-    words, ids, lengths = [], [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    table = lists.select("words", encoded.alias("ids")).toArrow()  # bounded by size
+    words, ids, lengths = [pa.array([], pa.large_binary())], [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
     for batch in table.to_batches():
-        words += batch.column(0).flatten().to_pylist()
+        words.append(batch.column(0).flatten().cast(pa.large_binary()))
         lists_of_ids = batch.column(1).flatten()
         lengths.append(lists_of_ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
         ids.append(lists_of_ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
-    return words, np.concatenate(ids), np.cumsum(np.concatenate(lengths))
+    return pa.concat_arrays(words), np.concatenate(ids), np.cumsum(np.concatenate(lengths))
 
 
 def word_hash(words: pa.Array) -> np.ndarray:
@@ -476,17 +478,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     id_type = narrow.schema["doc_id"].dataType.simpleString()
     sc = docs.sparkSession.sparkContext
     blocks = split(narrow, pattern)
-    words, flat, offsets = hot_table(blocks, ranks, hot_words)
-    listed = pa.array(words, pa.large_binary())
-    hashes = word_hash(listed)
+    own = encode_words(F.col("words"), ranks)
+    words, flat, offsets = hot_table(blocks, own, hot_words)
+    hashes = word_hash(words)
     order = np.argsort(hashes, kind="stable")
-    raw, bounds = as_bytes(listed.take(pa.array(order)))
+    raw, bounds = as_bytes(words.take(pa.array(order)))
     flat, ends = gather(flat, offsets[:-1], np.diff(offsets), order)
     hot = sc.broadcast((raw.copy(), bounds.astype(np.int64), hashes[order]))
     hot_ids = sc.broadcast((flat, ends))
+    pa.default_memory_pool().release_unused()
     left = map_arrow(blocks.drop("counts"), _look_up(hot),
                      f"doc_ids array<{id_type}>, sizes array<int>, tokens binary, words array<binary>, anew boolean")
-    own = encode_words(F.col("words"), ranks)
     return map_arrow(left.select("doc_ids", "sizes", "tokens", "anew", own.alias("own")), _assemble(hot_ids),
                      f"doc_id {id_type}, ids array<int>")
 
