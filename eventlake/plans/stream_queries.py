@@ -75,7 +75,7 @@ FROM agg
 """
 
 
-@register("open_windows", OPEN_SQL, WINDOW_DOUBLES)
+@register("state_open_windows", OPEN_SQL, WINDOW_DOUBLES)
 def q_open_windows(spark, sf_dir):
     """W2+W6: after the stream has read everything, the emitted windows plus
     those still in its state store are the batch aggregate."""
