@@ -69,5 +69,5 @@ def test_empty_table_runs_through(spark, tmp_path):
 
 def test_registered_names():
     names = [k for k in entry.queries() if re.match(r"op\d+_", k)]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
-    assert {"op6_source_mix", "op9_substring_dedup"} <= set(entry.oracle_sql())
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
+    assert {"op6_source_mix", "op9_substring_dedup", "op12_ranked_search"} <= set(entry.oracle_sql())
