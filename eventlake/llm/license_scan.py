@@ -14,6 +14,7 @@ score 0. Rows are independent, so repeated rows give repeated results.
 
 from __future__ import annotations
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,11 +103,13 @@ class Scanner:
                     merged.append([lo, hi])
             for lo, hi in merged:
                 window = norm[lo:hi].decode("utf-8", "replace")
+                chars = end = 0  # up to the last match, in characters and bytes
                 for m in pattern.finditer(window, concurrent=False):
-                    first = lo + len(window[:m.start()].encode())
-                    end = lo + len(window[:m.end()].encode())
+                    first = end + len(window[chars:m.start()].encode())
+                    end = first + len(m.group().encode())
+                    chars = m.end()
                     errors = sum(m.fuzzy_counts)
-                    found.append((first, end, label, errors, 1 - errors / n))
+                    found.append((lo + first, lo + end, label, errors, 1 - errors / n))
         return found
 
     def scan(self, raw: bytes) -> tuple:
@@ -117,7 +120,8 @@ class Scanner:
         norm = b" " + b" ".join(tokens) + b" "
         exact = self.exact(norm)
         fuzzy = self.fuzzy(norm)
-        word = lambda at: norm.count(b" ", 0, at)
+        blanks = np.flatnonzero(np.frombuffer(norm, np.uint8) == 0x20)
+        word = lambda at: int(np.searchsorted(blanks, at))
         places = [word(at) for at, _ in exact]
         base = {label for _, label in exact}
         spans = [{"label": label, "first_word": word(a + (norm[a:a + 1] == b" ")) - 1,

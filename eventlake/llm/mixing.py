@@ -15,7 +15,8 @@ a filter with one small row per source, so texts are never shuffled.
 
 Defined cases: a null text has size 0; null sources form one source, weighed
 last; documents without words take 0 and follow their source's cut; rows equal
-in id share a key and are taken or left together; an empty table gives no rows.
+in id share a key and are taken or left together; an empty table gives no rows;
+other columns may have any names (``take_mix`` names its own apart from them).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import ASCII_WORD, quoted, stage
+from eventlake.llm.shared import ASCII_WORD, free_prefix, quoted, stage
 from eventlake.operators.joins import bounded_side
 
 BINS = 4096
@@ -131,17 +132,19 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     narrow = sized.select(quoted(source).alias("source"), quoted(names["size"]).alias("size"),
                           quoted(names["draw"]).alias("draw"))
     plan, fits = bounded_side(source_plan(stage(narrow, "mix_rows"), **targets), MAX_SOURCES_TO_BROADCAST, "mix_cuts")
-    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
-    out = sized.join(F.broadcast(plan) if fits else plan, quoted(source).eqNullSafe(F.col("__source")))
-    again = F.coalesce((quoted(names["draw"]) <= F.col("__cut")), F.lit(False)).cast("int")
-    return (out.withColumn(names["copies"], F.col("__epochs") + again)
-            .withColumn(names["source_size"], F.col("__source_size"))
-            .withColumn(names["target"], F.col("__target"))
+    of = free_prefix([*docs.columns, *names.values()], "plan_")
+    plan = plan.select(*[F.col(c).alias(of + c) for c in plan.columns])
+    out = sized.join(F.broadcast(plan) if fits else plan, quoted(source).eqNullSafe(quoted(of + "source")))
+    again = F.coalesce((quoted(names["draw"]) <= quoted(of + "cut")), F.lit(False)).cast("int")
+    return (out.withColumn(names["copies"], quoted(of + "epochs") + again)
+            .withColumn(names["source_size"], quoted(of + "source_size"))
+            .withColumn(names["target"], quoted(of + "target"))
             .drop(names["draw"], *plan.columns))
 
 
 def take_mix(docs: DataFrame, **kw) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, columns unchanged."""
-    mixed = mix(docs, **kw)
-    copies = F.array_repeat(F.lit(1), F.col(kw.get("prefix", "mix_") + "copies"))
-    return mixed.withColumn("__copy", F.explode(copies)).select(*[quoted(c) for c in docs.columns])
+    prefix = kw.pop("prefix", None) or free_prefix(docs.columns, "mix_")
+    mixed = mix(docs, prefix=prefix, **kw)
+    copies = F.explode(F.array_repeat(F.lit(1), quoted(prefix + "copies")))
+    return mixed.withColumn(free_prefix(mixed.columns, "copy_"), copies).select(*[quoted(c) for c in docs.columns])

@@ -26,6 +26,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_prefix(columns: list[str], prefix: str) -> str:
+    """``prefix``, lengthened until no column name starts with it in any case:
+    internal columns named by it meet none of the caller's."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def table_path(df: DataFrame, name: str) -> str:
     return shared_path(df.sparkSession, "llm", name)
 
@@ -85,6 +93,9 @@ def map_arrow(df: DataFrame, function, schema) -> DataFrame:
     for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         if conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
             conf.set(f"spark.sql.execution.arrow.{key}", str(value))
+    if any("." in c or "`" in c for c in df.columns):  # mapInArrow reads such names as paths into structs
+        plain = free_prefix(df.columns, "column_")
+        df = df.toDF(*[f"{plain}{i}" if "." in c or "`" in c else c for i, c in enumerate(df.columns)])
     return df.mapInArrow(function, schema)
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import connected_components, map_arrow, quoted, stage, stage_counted
+from eventlake.llm.shared import connected_components, free_prefix, map_arrow, quoted, stage, stage_counted
 
 SEED = 42
 MAX_RUN = 20_000
@@ -218,13 +218,19 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     """One document of each group: the one with the smallest id, of its texts
     the one with the smallest digest. A row is known by its id and its text, so
     different texts under one id stand for their own groups. Rows without an id
-    stay; of rows that share the kept id and text one stays."""
+    stay; of rows that share the kept id and text one stays, chosen by a hash of
+    all its columns, so reruns agree. Other columns may have any names."""
     digest = F.unhex(F.md5(F.coalesce(quoted(text), F.lit("")).cast("binary")))
     known = F.when(quoted(doc_id).isNotNull(), F.struct(quoted(doc_id).alias("id"), digest.alias("digest")))
     groups = simhash_groups(docs.select(known.alias("doc_id"), quoted(text).alias("text")), **kw)
     keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    key = keep.select(F.col("doc_id.id").alias("__keep"), F.col("doc_id.digest").alias("__keep_digest"))
-    kept = (docs.withColumn("__digest", digest)
-            .join(key, (quoted(doc_id) == F.col("__keep")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi")
-            .dropDuplicates([doc_id, "__digest"]).drop("__digest"))
+    own = free_prefix(docs.columns, "simhash_")
+    key = keep.select(F.col("doc_id.id").alias(own + "id"), F.col("doc_id.digest").alias(own + "of"))
+    kept = docs.withColumn(own + "digest", digest).join(
+        key, (quoted(doc_id) == F.col(own + "id")) & (F.col(own + "digest") == F.col(own + "of")), "left_semi")
+    hashable = [quoted(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    row = F.struct(*[quoted(c).alias(c) for c in docs.columns])
+    kept = kept.groupBy(quoted(doc_id).alias(own + "id"), own + "digest").agg(
+        F.min_by(row, F.xxhash64(*hashable)).alias(own + "row"))
+    kept = kept.select(*[F.col(own + "row").getField(c).alias(c) for c in docs.columns])
     return kept.unionByName(docs.where(quoted(doc_id).isNull()))

@@ -30,7 +30,8 @@ document's own marks ever meet in one row.
 
 Defined cases: null texts have no words; texts under ``window`` words lose
 nothing; repeated rows share an id, so neither is smaller and both stay; rows
-without an id neither lose words nor are a source.
+without an id neither lose words nor are a source; other columns may have any
+names (``dedup_texts`` names its own apart from them).
 """
 
 from __future__ import annotations
@@ -43,12 +44,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import map_arrow, quoted, stage
+from eventlake.llm.shared import free_prefix, map_arrow, quoted, stage, stage_counted
 from eventlake.llm.text import BASE, MIX_A, MIX_B, WORD_BASE, as_bytes, mix64, range_hash, slices, word_hashes
 
 WINDOW = 50
 ANCHOR = 16
 CHUNK = 1 << 20  # windows worked on at a time
+HOT_SHARE = 1000  # an anchor with more than one in so many runs is hot: fewer than HOT_SHARE are
 
 # A run in one number: start (from bit 28), number of windows, place of the
 # anchor in the first window, 16 bits of the text's checksum.
@@ -158,10 +160,15 @@ def marks(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
     if not 0 < anchor <= window or window - anchor >= 63:
         raise ValueError("anchor: at most window words, and fewer than 63 under it")
     docs = docs.where(F.col("doc_id").isNotNull())
-    all_runs = stage(runs(docs, window, anchor), "substring_runs")
-    shared = (all_runs.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-              .where("lo < hi").select("a"))
-    repeats = stage(all_runs.join(shared, "a"), "substring_repeats")
+    all_runs, seen = stage_counted(runs(docs, window, anchor), "substring_runs")
+    shared = stage(all_runs.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                             F.count(F.lit(1)).alias("n"))
+                   .where("lo < hi").select("a", "n"), "substring_shared")
+    # runs of hot anchors stay where they are, the others meet their anchors by a shuffle
+    is_hot = F.col("n") > F.lit(seen["rows"] / HOT_SHARE)
+    hot = F.broadcast(shared.where(is_hot).select("a"))  # fewer than HOT_SHARE rows
+    repeats = all_runs.join(hot, "a", "left_anti").join(shared.where(~is_hot).select("a"), "a", "left_semi")
+    repeats = stage(repeats.unionByName(all_runs.join(hot, "a", "left_semi")), "substring_repeats")
     first = F.min(F.struct("doc_id", "run"))
     paths = stage(repeats.groupBy("a", "s").agg(first.alias("first"), F.max("doc_id").alias("hi"))
                   .select("a", "s", F.col("first.doc_id").alias("source"), F.col("first.run").alias("run"), "hi"),
@@ -209,8 +216,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}; choose another prefix")
     narrow = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    found = marks(narrow, window, anchor).select(F.col("doc_id").alias("__id"), F.col("marks").alias("__marks"))
-    joined = docs.join(found, quoted(doc_id) == F.col("__id"), "left").drop("__id")
+    own = free_prefix(docs.columns, "marks_")
+    found = marks(narrow, window, anchor).select(F.col("doc_id").alias(own + "id"), F.col("marks").alias(own + "of"))
+    joined = docs.join(found, quoted(doc_id) == F.col(own + "id"), "left").drop(own + "id")
     at, n = docs.columns.index(text), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,17 +253,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def dedup_texts(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", **kw) -> DataFrame:
     """``docs`` without the repeated words. Texts that lose none stay as they
     are; ``n_chars``, if there, follows the text."""
-    out = remove_repeats(docs, text, **kw)
-    prefix = kw.get("prefix", "dedup_")
-    new = F.when(F.col(prefix + "n_removed") > 0, F.col(prefix + "kept")).otherwise(quoted(text))
-    out = out.withColumn("__new", new)
+    prefix = kw.pop("prefix", None) or free_prefix(docs.columns, "dedup_")
+    out = remove_repeats(docs, text, prefix=prefix, **kw)
+    changed = quoted(prefix + "n_removed") > 0
+    new = F.when(changed, quoted(prefix + "kept")).otherwise(quoted(text))
     cols = []
     for f in docs.schema.fields:
         if f.name == text:
-            cols.append(F.col("__new").alias(text))
+            cols.append(new.alias(text))
         elif f.name == n_chars:
-            cols.append(F.when(F.col(prefix + "n_removed") > 0, F.char_length("__new")).otherwise(quoted(n_chars))
-                        .cast(f.dataType).alias(n_chars))
+            cols.append(F.when(changed, F.char_length(new)).otherwise(quoted(n_chars)).cast(f.dataType).alias(n_chars))
         else:
             cols.append(quoted(f.name))
     return out.select(*cols)

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import append_columns, quoted, stage, stage_counted
+from eventlake.llm.shared import append_columns, free_prefix, quoted, stage, stage_counted
 
 MAX_TRAIN = 20_000
 VOCABULARY = 512
@@ -174,10 +174,13 @@ def training_rows(labels: DataFrame, doc_id: str = "doc_id", toxic: str = "toxic
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic",
         max_train: int = MAX_TRAIN, vocabulary: int = VOCABULARY, groups=IDENTITY, **kw) -> Model:
-    """Model from the labelled documents outside the held-out fold."""
+    """Model from the labelled documents outside the held-out fold. Of several
+    texts under one id the one with the smallest digest trains."""
     chosen = F.broadcast(training_rows(labels, doc_id, toxic, max_train))  # max_train rows at most
-    rows = (docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-            .join(chosen, "doc_id").dropDuplicates(["doc_id"]))
+    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).join(chosen, "doc_id")
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))  # of several texts under one id always the same
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min_by(F.struct("text"), digest).alias("one"))
+    rows = rows.select("doc_id", "toxic", "one.text")
 
     identity = frozenset(t for g in groups for t in g)
 
@@ -214,6 +217,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "toxi
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **kw) -> DataFrame:
-    """The documents that score under ``threshold``."""
-    scored = score(docs, fit(docs, labels, **kw), column="__toxicity")
-    return scored.where(F.col("__toxicity") < threshold).drop("__toxicity")
+    """The documents that score under ``threshold``, their columns unchanged whatever their names."""
+    column = free_prefix(docs.columns, "toxicity_") + "score"
+    scored = score(docs, fit(docs, labels, **kw), column=column)
+    return scored.where(F.col(column) < threshold).drop(column)
