@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from eventlake.plans.batch_job import BatchConfig, run_batch
 from eventlake.schema import MIN_EVENTS, OUTLIER_SIGMA, TRIGGER, WATERMARK, WINDOW_SIZE
-from eventlake.session import apply_cluster_conf, ensure_utc, is_local, use_scratch_folder
+from eventlake.session import apply_cluster_conf, checkpoint_root, ensure_utc, is_local, own_tables
 from eventlake.sources.objectstore import require_uri, s3a_conf
 from eventlake.streaming.stream_job import StreamConfig, run_stream
 
@@ -30,7 +30,7 @@ def _session(app: str) -> SparkSession:
     spark = builder.getOrCreate()
     if not is_local(spark):
         apply_cluster_conf(spark)
-    use_scratch_folder(spark)  # only a local session without a shared folder gets one
+    checkpoint_root(spark)  # stops here, not half way, where no shared folder is set
     ensure_utc(spark)
     return spark
 
@@ -67,9 +67,10 @@ def main(argv: list[str] | None = None) -> int:
 
     if a.cmd == "batch":
         spark = _session("eventlake-batch")
-        run = run_batch(spark, BatchConfig(require_uri(a.input), require_uri(a.output), a.day, a.format,
-                                           a.min_events, a.sigma,
-                                           count_before_outliers=a.count_before_outliers, method=a.method))
+        config = BatchConfig(require_uri(a.input), require_uri(a.output), a.day, a.format, a.min_events, a.sigma,
+                             count_before_outliers=a.count_before_outliers, method=a.method)
+        with own_tables(spark):
+            run = run_batch(spark, config)
         print(json.dumps({"result": run.result_path, "report": run.report_path, "counts": run.counts}))
         return 0
     spark = _session("eventlake-stream")

@@ -25,9 +25,10 @@ def dedup(df: DataFrame, keys: Sequence[str] = KEYS, watermark: str | None = Non
     Stream (``watermark`` set; ``time_col`` must be one of ``keys``):
     * ``emit="immediately"`` (default): a unique event is emitted in the batch
       in which it first arrives, so none is withheld at the end of the input.
-      Two ``dropDuplicatesWithinWatermark`` in a row, first on key and salt,
-      then on the key: the copies of a hot key are spread over ``SALT_BUCKETS``
-      tasks and only one per salt goes on. The copy kept is any one of them.
+      Two ``dropDuplicatesWithinWatermark`` in a row, first on key and salt
+      (the input task's number), then on the key: the copies of a hot key, equal
+      ones too, are spread over ``SALT_BUCKETS`` tasks and only one per salt
+      goes on. The copy kept is any one of them.
     * ``emit="on_watermark"``: the batch aggregate as a stateful one; the first
       delivered copy is emitted once the watermark passes its time (so the last
       ones stay in state until later events come).
@@ -45,7 +46,7 @@ def dedup(df: DataFrame, keys: Sequence[str] = KEYS, watermark: str | None = Non
         df = df.withWatermark(time_col, watermark)
     whole = df.filter(~no_key)
     if watermark and emit == "immediately":
-        salt = F.pmod(F.xxhash64(*(rest or list(keys))), F.lit(SALT_BUCKETS))
+        salt = F.pmod(F.spark_partition_id(), F.lit(SALT_BUCKETS))  # equal copies differ in where they arrive
         once = whole.withColumn("_salt", salt).dropDuplicatesWithinWatermark([*keys, "_salt"])
         picked = once.drop("_salt").dropDuplicatesWithinWatermark(list(keys))
     elif not rest:

@@ -388,14 +388,16 @@ def _history_columns(h):
 @register("history_array", HISTORY_SQL, ("event_duration", "value"))
 def q_history_array(spark, sf_dir):
     """The events as hourly files of one JSON array each (the upload
-    format), read back with the layout decided per file."""
+    format), read back with the layout decided per file. An hour has an array
+    per task that reads some of it, so none outgrows a scan split."""
     path = shared_path(spark, "history_array")
     hourly = to_json_edge(events(spark, sf_dir).drop("kafka_timestamp", "partition", "offset")
                           .withColumn("hour_key", hour_key("timestamp")))
-    record = F.to_json(F.struct(*[c for c in hourly.columns if c != "hour_key"]))
-    arrays = hourly.groupBy("hour_key").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n "), F.lit("]")).alias("value"))
-    arrays.select("hour_key", "value").repartition("hour_key").write.partitionBy("hour_key").text(path)
+    record = F.to_json(F.struct(*[c for c in hourly.columns if c != "hour_key"])).alias("record")
+    arrays = hourly.select("hour_key", record, F.spark_partition_id().alias("part")).groupBy("hour_key", "part").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("record"), ",\n "), F.lit("]")).alias("value"))
+    (arrays.select("hour_key", "value").write.option("maxRecordsPerFile", 1)  # a file is one array
+     .partitionBy("hour_key").text(path))
     return _history_columns(json_history(spark, path, "per_file"))
 
 

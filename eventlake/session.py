@@ -11,6 +11,8 @@ import logging
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -115,13 +117,24 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return path
 
 
-def clean_shared(spark: SparkSession) -> int:
+def clean_shared(spark: SparkSession, after: int = 0) -> int:
     """Delete the intermediate tables this process has written to the shared
-    folder; call it when no DataFrame that reads them is needed any more.
-    Returns how many there were."""
+    folder, but for the first ``after`` of them; call it when no DataFrame that
+    reads them is needed any more. Returns how many there were."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    while _WRITTEN:
+    while len(_WRITTEN) > after:
         p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         removed += bool(p.getFileSystem(conf).delete(p, True))
     return removed
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the intermediate tables written inside it, also after
+    a failure; results must have been written elsewhere by then."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        clean_shared(spark, before)

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from eventlake import session
 from eventlake.functions.parse import parse_kafka_json
@@ -67,6 +68,11 @@ def test_shared_tables_can_be_removed(spark, tmp_path):
     try:
         table, _ = bounded_side(spark.range(3))
         path = session._WRITTEN[-1]
+        with session.own_tables(spark):
+            inner = session.shared_path(spark, "inner")
+            spark.range(2).write.parquet(inner)
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(inner)
         assert table.count() == 3 and session.clean_shared(spark) == 1
         assert not spark.sparkContext._jvm.java.io.File(path.removeprefix("file:")).exists()
     finally:

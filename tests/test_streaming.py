@@ -78,6 +78,19 @@ def test_dedup_within_watermark(spark, tmp_path):
     assert [(str(t)[11:], o) for t, o in got] == [("10:00:00", 0), ("10:00:05", 2), ("10:01:00", 11)]
 
 
+def test_equal_copies_of_a_hot_key_are_spread(spark, tmp_path):
+    inbox = tmp_path / "in"
+    for i in range(4):
+        _drop(spark, inbox, i, ["2025-01-01 10:00:00"] * 5, start=0)
+    s = _stream(spark, inbox).select("device_id", "timestamp").repartition(4)
+    q = (dedup.dedup(s, watermark="2 minutes").writeStream.format("memory").queryName("hot_copies")
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("hot_copies").count() == 1
+    kept = [max(p["stateOperators"][i]["numRowsTotal"] for p in q.recentProgress) for i in (0, 1)]
+    assert sorted(kept)[0] == 1 < sorted(kept)[1]  # one per salt first, then one
+
+
 def test_dedup_batch_keeps_first_copy(spark):
     df = events_df(spark, [event(value=float(i), timestamp="2025-01-01 10:00:00", offset=10 - i) for i in range(5)])
     out = dedup.dedup(df).collect()
