@@ -12,7 +12,8 @@ its blocks meet in many tasks and only products of the size of the result are
 summed. Only block numbers (one pair per ``BLOCK_ROWS`` rows), the sums per
 dimension and the scatter matrix reach the driver. Vectors stay in the JVM; the
 numbered rows are a table in the shared folder, so lost executors cost a
-recomputation of blocks, never another numbering.
+recomputation of blocks, never another numbering. The blocks are kept on the
+executors' disks between the products and released at the end.
 
 Defined cases: rows whose vector is null, empty or holds null or non-finite
 entries are dropped, as are vectors of another length than most (of equally
@@ -28,6 +29,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -120,7 +122,7 @@ def fit(rows: DataFrame, n: int, d: int, components: int | None = None) -> tuple
     total = [0] * d
     for r in entry.agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("s")).collect():  # one sum per dimension
         total[r.i] = int(r.s)
-    matrix = _block_matrix(rows, [s / n for s in total], n)
+    matrix = _block_matrix(rows, [s / n for s in total], n).persist(StorageLevel.DISK_ONLY)
     v = scatter(matrix) / n
     values, vectors = np.linalg.eigh((v + v.T) / 2)
     k = min(components or d, d)
@@ -170,6 +172,7 @@ def whiten(vectors: DataFrame, components: int = 8, vector: str = "embedding", v
     largest = max(abs(n * x - s) for x in (ends.a, ends.b) for s in model.sums)
     out = rows.join(project(matrix, model), "index")
     out = stage(out.select("vec_id", "w", deviation(F.col("x"), model, largest).alias("deviation")), "whiten_out")
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = identity_error(out.select("w"), model)
     total = model.trace or 1.0
     return out.select("vec_id", F.lit(n).cast("long").alias("n"), "deviation", F.col("w").alias("whitened"),
