@@ -10,7 +10,7 @@ docs, so a lost executor costs at most one stage.
 3. substring_dedup: words in 50-word windows that start in a document with a
    smaller id go; the rest stays in place.
 4. mix_sources: each document as often as the mix takes it (0 to 3 times).
-5. bpe: the token ids of every whole text.
+5. bpe: the token ids of every whole text, and the bytes they decode to.
 """
 
 from __future__ import annotations
@@ -53,10 +53,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
-    """(doc_id, ids): the token ids of every text of the mix."""
+    """(doc_id, ids, decoded): the token ids of every text of the mix, and the bytes they decode to."""
     import public_tokenizers
 
-    return bpe.encode(docs, bpe.read_ranks(public_tokenizers.path(BPE_FILE)), public_tokenizers.PATTERN)
+    ranks = bpe.read_ranks(public_tokenizers.path(BPE_FILE))
+    return bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
 
 
 def _stage(fn):

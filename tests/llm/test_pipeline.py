@@ -56,6 +56,13 @@ def test_each_stage_matches_brute_force(spark, steps):
     assert sorted((r.doc_id, list(r.ids)) for r in steps[4].collect()) == expected
 
 
+def test_bpe_stage_decodes_its_ids(steps):
+    """The ids of every document of the mix are decoded again, to the text that the mix took."""
+    assert steps[4].columns == ["doc_id", "ids", "decoded"]
+    taken = sorted((r.doc_id, (r.text or "").encode()) for r in steps[3].collect())
+    assert sorted((r.doc_id, bytes(r.decoded)) for r in steps[4].collect()) == taken
+
+
 def test_run_equals_the_stages(spark, steps):
     got = entry.queries()["pipeline"](spark, SF001)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, steps[-1].collect()))
