@@ -3,8 +3,8 @@
 ``encode_words`` turns distinct words into token ids: the word's bytes become
 token ids, and a fold joins, again and again, the two neighbours whose merge
 has the lowest rank (the leftmost of equals), until no pair has a rank. Ranks
-come from the rank file as a literal hash map of token pairs (literal arrays),
-bound once for all lookups of a row.
+come from the rank file as a map of token pairs in arrays: literal ones in
+``encode_words``, a broadcast row of them in ``encode``.
 
 ``encode`` applies it to documents. Texts are split by the pattern once and
 written as blocks: a bounded amount of text as the block's distinct words and
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import base64
 import json
-import struct
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -31,18 +30,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import map_arrow, quoted, stage, table_path
+from eventlake.llm.shared import free_prefix, map_arrow, quoted, stage, table_path
 from eventlake.llm.text import BASE, as_bytes, mix64, range_hash, runs
 
 HOT_WORDS = 400_000  # words of at most HOT_BYTES bytes, so at most 25 MB
 HOT_BYTES = 48
 BLOCK_BYTES = 4_000_000  # text of one block
 KEPT_WORDS = 200_000  # other words that a task remembers from block to block
-BUCKETS, SLOTS = 1 << 15, 1 << 17  # of the rank map; a vocabulary fills less than half of the slots
 PAIR_BITS, PLACE_BITS = 18, 24  # of a token id, and of a place in a word
 PAIR = 1 << PAIR_BITS
 NONE = PAIR  # in place of a rank
@@ -77,71 +74,61 @@ def merges(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes] | None]:
     return {piece: halves(piece, ranks) for piece in ranks if len(piece) > 1}
 
 
-def rank_table(ranks: dict[bytes, int], made: dict) -> tuple[list[int], list[int], list[int], list[int]]:
-    """A hash map of the merges in arrays (hash and displace): the displacement of
-    each bucket, the rank in each slot, the pair that has each rank (left * PAIR
-    + right) and the rank of each byte. Empty slots hold the number of ranks,
-    which no pair has."""
+def rank_table(ranks: dict[bytes, int], made: dict) -> dict[str, np.ndarray]:
+    """The merges in arrays, found without hashing or search:
+
+    * ``firsts``: what a word's state starts with, by a byte and the next one
+      (256: none): the rank of their merge or NONE, and the byte's id;
+    * ``bases`` and ``slots``: the merges of a left token lie in ``slots`` at its
+      base + the right token, as left * PAIR + rank. The bases are chosen so
+      that no two merges meet (displaced rows); free slots name no token."""
     n = max(ranks.values(), default=-1) + 1
     if n >= PAIR:
         raise ValueError(f"ranks must be under {PAIR}")
-    pairs = [-1] * (n + 1)
-    for piece, two in made.items():
-        if two:
-            pairs[ranks[piece]] = ranks[two[0]] * PAIR + ranks[two[1]]
-    buckets: list[list[int]] = [[] for _ in range(BUCKETS)]
-    for rank, pair in enumerate(pairs):
-        if pair >= 0:
-            h = xxhash.xxh64_intdigest(struct.pack("<q", pair), 42)
-            buckets[h & (BUCKETS - 1)].append((h, rank))
-    slots, moves = [n] * SLOTS, [0] * BUCKETS
-    for b in sorted(range(BUCKETS), key=lambda b: -len(buckets[b])):
-        if not buckets[b]:
-            break
-        for d in range(1 << 15):
-            at = [((h >> 32) + d * (h >> 16 & 0xFFFF | 1)) & (SLOTS - 1) for h, _ in buckets[b]]
-            if len(set(at)) == len(at) and all(slots[i] == n for i in at):
-                break
-        else:
-            raise ValueError("no place for a bucket: enlarge SLOTS")
-        moves[b] = d
-        for i, (_, rank) in zip(at, buckets[b]):
-            slots[i] = rank
-    return moves, slots, pairs, [ranks[bytes([i])] for i in range(256)]
+    pairs = np.array([(ranks[two[0]], ranks[two[1]], ranks[piece]) for piece, two in made.items() if two],
+                     np.int64).reshape(-1, 3)
+    singles = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+    firsts = np.full((256, 257), NONE << PAIR_BITS + PLACE_BITS, np.int64) + singles[:, None]
+    byte_of = np.full(n, -1)
+    byte_of[singles] = np.arange(256)
+    short = pairs[(byte_of[pairs[:, 0]] >= 0) & (byte_of[pairs[:, 1]] >= 0)]
+    firsts[byte_of[short[:, 0]], byte_of[short[:, 1]]] += (short[:, 2] - NONE) << PAIR_BITS + PLACE_BITS
+
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    lefts, begin, size = np.unique(pairs[:, 0], return_index=True, return_counts=True)
+    bases, used, base = np.zeros(n, np.int64), np.zeros(2 * n, bool), 0
+    for i in np.argsort(-size, kind="stable")[:np.count_nonzero(size > 1)]:  # the largest rows first
+        right = pairs[begin[i]:begin[i] + size[i], 1]
+        while used[base + right].any():
+            base += 1
+            if base + n > len(used):
+                used = np.concatenate([used, np.zeros(n, bool)])
+        bases[lefts[i]] = base
+        used[base + right] = True
+    alone = np.flatnonzero(size == 1)  # in what is free
+    used = np.concatenate([used, np.zeros(len(alone), bool)])
+    bases[lefts[alone]] = n + np.flatnonzero(~used[n:])[:len(alone)] - pairs[begin[alone], 1]
+    at = bases[pairs[:, 0]] + pairs[:, 1]
+    slots = np.full(int(at.max(initial=0)) + 1, (PAIR - 1) * PAIR, np.int64)
+    slots[at] = pairs[:, 0] * PAIR + pairs[:, 2]
+    return {"firsts": firsts.ravel(), "bases": bases.astype(np.int32), "slots": slots}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def with_ranks(ranks: dict[bytes, int], made: dict, body: Callable) -> Column:
-    """``body`` of the rank map as one literal each for its arrays."""
-    as_array = lambda x, t: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), f"array<{t}>")
-    moves, slots, pairs, singles = rank_table(ranks, made)
-    return let(as_array(moves, "int"), lambda m: let(as_array(slots, "int"), lambda t: let(
-        as_array(pairs, "bigint"), lambda p: let(as_array(singles, "int"), lambda b: body((m, t, p, b))))))
-
+    """``body`` of a value that is evaluated once. (As an element of a transformed
+    array the value would have its type derived anew in every evaluation.)"""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda x, _: x, body)
 
-def _slot_of(hashed: Column, table: tuple) -> Column:
-    """What the slot of a pair's hash holds: the rank of the pair, if it has one."""
-    moves, slots = table[:2]
-    move = F.get(moves, hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-    stride = F.shiftright(hashed, 16).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1))
-    at = (F.shiftright(hashed, 32) + move * stride).bitwiseAND(F.lit(SLOTS - 1))
-    return F.get(slots, at.cast("int"))
 
-
-def _ranks(pairs: Column, table: tuple, body: Callable[[Column, Column], Column]) -> Column:
-    """``body(rank, index)`` for each pair of token ids (left * PAIR + right) of an
-    array; the rank is NONE where the pair has no merge."""
-    return let(pairs, lambda ps: F.transform(
-        F.transform(ps, lambda p: _slot_of(F.xxhash64(p), table)),
-        lambda r, i: body(F.when(F.get(table[2], r) == F.get(ps, i), r.cast("bigint")).otherwise(F.lit(NONE)), i)))
+def _slot(left: Column, right: Column, table: tuple) -> Column:
+    """The rank of the merge of two token ids, or NONE (also where one is missing)."""
+    found = F.get(table[2], F.get(table[1], left.cast("int")) + right.cast("int"))
+    # a slot of the same left token leaves its rank, any other slot at least PAIR
+    return F.least(found.bitwiseXOR(F.shiftleft(left, PAIR_BITS)), F.lit(NONE).cast("bigint"))
 
 
 def encode_word(word: Column, table: tuple) -> Column:
-    """Token ids (array<int>) of a binary word, by the rank map of ``with_ranks``.
+    """Token ids (array<int>) of a binary word, by the arrays of ``rank_table``.
 
     The fold's state has one long per token: the rank of its merge with the next
     one, its place in the word and its id. The least entry is the next merge
@@ -149,54 +136,84 @@ def encode_word(word: Column, table: tuple) -> Column:
     the ranks of the new token with its two neighbours."""
     n = F.octet_length(word)
     big = lambda x: F.lit(x).cast("bigint")
-    top, rest = PAIR_BITS + PLACE_BITS, big((1 << PAIR_BITS + PLACE_BITS) - 1)
+    top = PAIR_BITS + PLACE_BITS
+    rest, places = big((1 << top) - 1), big((1 << top) - PAIR)
 
     def token(x: Column) -> Column:
         return x.bitwiseAND(big(PAIR - 1))
 
+    def entry(left: Column, right: Column, kept: Column) -> Column:
+        return F.shiftleft(_slot(left, right, table), top) + kept
+
     def step(s: Column, _: Column) -> Column:
         def merge(least: Column) -> Column:
             made = F.shiftright(least, top)  # the merge's rank is the id of what it makes
 
             def put(i: Column) -> Column:  # 1-based place of the left one of the two
                 before = F.get(s, i - 2)
-                # the two pairs of the new token; a missing neighbour gives no rank
-                pairs = F.array(token(before) * big(PAIR) + made, made * big(PAIR) + token(F.get(s, i + 1)))
-                kept = F.array(before.bitwiseAND(rest), least.bitwiseAND(rest) - token(least) + made)
-                new = _ranks(pairs, table, lambda r, k: r * big(1 << top) + F.get(kept, k))
-                return F.when(i > 1, F.concat(F.slice(s, 1, i - 2), new, F.slice(s, i + 2, n))).otherwise(
-                    F.concat(F.slice(new, 2, 1), F.slice(s, 3, n)))
+                new = entry(made, token(F.get(s, i + 1)), least.bitwiseAND(places) + made)
+                return F.when(i > 1, F.concat(
+                    F.slice(s, 1, i - 2), F.array(entry(token(before), made, before.bitwiseAND(rest)), new),
+                    F.slice(s, i + 2, n))).otherwise(F.concat(F.array(new), F.slice(s, 3, n)))
 
-            return F.when(made >= F.lit(NONE), s).otherwise(
-                let(F.array_position(s, least).cast("int"), put))
+            # counted, as array_position leaves its loop by an exception, which takes most of a step
+            before = F.filter(s, lambda x: x.bitwiseAND(places) < least.bitwiseAND(places))
+            return F.when(least >= big(NONE << top), s).otherwise(let(F.size(before) + 1, put))
 
         return let(F.array_min(s), merge)
 
     def start(text: Column) -> Column:  # one character per byte
-        ids = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(
-            table[3], F.ascii(F.substring(text, i, F.lit(1)))).cast("bigint"))
-        return let(ids, lambda ids: _ranks(F.transform(ids, lambda x, i: x * big(PAIR) + F.get(ids, i + 1)), table,
-                                           lambda r, i: r * big(1 << top) + i * big(PAIR) + F.get(ids, i)))
+        codes = F.transform(F.sequence(F.lit(1), n), lambda i: F.ascii(F.substring(text, i, F.lit(1))))
+        return let(codes, lambda codes: F.transform(codes, lambda c, i: F.get(
+            table[0], c * 257 + F.coalesce(F.get(codes, i + 1), F.lit(256))) + i * big(PAIR)))
 
     first = let(F.decode(word, "ISO-8859-1"), start)
     ids = F.aggregate(F.sequence(F.lit(2), n), first, step, lambda s: F.transform(s, lambda x: token(x).cast("int")))
-    one = let(F.decode(word, "ISO-8859-1"), lambda text: F.array(F.get(table[3], F.ascii(text))))
+    one = let(F.decode(word, "ISO-8859-1"), lambda text: F.array(
+        token(F.get(table[0], F.ascii(text) * 257 + 256)).cast("int")))
     return F.when(n > 1, ids).when(n == 1, one).when(n == 0, F.array().cast("array<int>"))
 
 
-def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
-    """Token ids (array<array<int>>) of an array of binary words, each encoded by itself."""
-    made = merges(ranks)
-    # pieces that their own merges do not reach are tokens only as whole words, as in the library
-    whole = {p: ranks[p] for p, two in made.items() if two is None}
+TABLE = "firsts array<bigint>, bases array<int>, slots array<bigint>"
 
-    def encode(w: Column, table: tuple) -> Column:
-        out = encode_word(w, table)
-        for piece, rank in whole.items():
-            out = F.when(w == F.lit(piece), F.array(F.lit(rank))).otherwise(out)
-        return out
 
-    return with_ranks(ranks, made, lambda table: F.transform(words, lambda w: encode(w, table)))
+class Encoder:
+    """``encode_words`` for DataFrames: the rank table is a broadcast row of its
+    arrays. As literals they would stand in every plan, its text and its events."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        made = merges(ranks)
+        # pieces that their own merges do not reach are tokens only as whole words, as in the library
+        self.whole = {p: ranks[p] for p, two in made.items() if two is None}
+        self.arrays = rank_table(ranks, made)
+
+    def ids(self, words: Column, table: tuple) -> Column:
+        """Token ids of an array of binary words, by columns of the table's arrays."""
+        def encode(w: Column) -> Column:
+            out = encode_word(w, table)
+            for piece, rank in self.whole.items():
+                out = F.when(w == F.lit(piece), F.array(F.lit(rank))).otherwise(out)
+            return out
+
+        return F.transform(words, encode)
+
+    def add(self, df: DataFrame, column: str) -> DataFrame:
+        """``df`` with the ids of its column ``words`` in ``column``; rows stay in order."""
+        one = pa.table({k: pa.array([v], pa.list_(pa.from_numpy_dtype(v.dtype))) for k, v in self.arrays.items()})
+        own = free_prefix([*df.columns, column], "bpe_")
+        table = df.sparkSession.createDataFrame(one, TABLE).toDF(*[own + k for k in self.arrays])
+        ids = self.ids(F.col("words"), tuple(F.col(own + k) for k in self.arrays))
+        return df.crossJoin(F.broadcast(table)).select(*df.columns, ids.alias(column))
+
+
+def encode_words(words: Column, ranks: dict[bytes, int]) -> Column:
+    """Token ids (array<array<int>>) of an array of binary words, each encoded by
+    itself; the rank table as one literal each for its arrays."""
+    encoder = Encoder(ranks)
+    types = dict(zip(encoder.arrays, ("bigint", "int", "bigint")))
+    firsts, bases, slots = (F.from_json(F.lit(json.dumps(v.tolist(), separators=(",", ":"))), f"array<{types[k]}>")
+                            for k, v in encoder.arrays.items())
+    return let(firsts, lambda f: let(bases, lambda b: let(slots, lambda t: encoder.ids(words, (f, b, t)))))
 
 
 # Fixed byte classes: white space of one byte (and the separators that some libraries count
@@ -361,18 +378,17 @@ def most_frequent(counts: DataFrame, size: int) -> DataFrame:
 
 def hot_dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = HOT_WORDS) -> tuple:
     """The ``size`` most frequent words of documents and their ids: (words, flat ids, offsets)."""
-    words, ids, offsets = hot_table(split(docs, pattern), encode_words(F.col("words"), ranks), size)
+    words, ids, offsets = hot_table(split(docs, pattern), Encoder(ranks), size)
     return words.to_pylist(), ids, offsets
 
 
-def hot_table(blocks: DataFrame, encoded: Column, size: int = HOT_WORDS) -> tuple:
-    """``hot_dictionary`` of texts that are split already, the words as an Arrow
-    array; ``encoded`` are the ids of a column ``words``."""
+def hot_table(blocks: DataFrame, encoder: Encoder, size: int = HOT_WORDS) -> tuple:
+    """``hot_dictionary`` of texts that are split already, the words as an Arrow array."""
     top = stage(most_frequent(word_counts(blocks), size), "bpe_hot")
     spark = blocks.sparkSession
     groups = F.pmod(F.xxhash64("word"), F.lit(4 * max(spark.sparkContext.defaultParallelism, 1)))
     lists = top.groupBy(groups.alias("g")).agg(F.collect_list("word").alias("words"))
-    table = lists.select("words", encoded.alias("ids")).toArrow()  # bounded by size
+    table = encoder.add(lists.select("words"), "ids").toArrow()  # bounded by size
     words, ids, lengths = [pa.array([], pa.large_binary())], [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
     for batch in table.to_batches():
         words.append(batch.column(0).flatten().cast(pa.large_binary()))
@@ -478,8 +494,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     id_type = narrow.schema["doc_id"].dataType.simpleString()
     sc = docs.sparkSession.sparkContext
     blocks = split(narrow, pattern)
-    own = encode_words(F.col("words"), ranks)
-    words, flat, offsets = hot_table(blocks, own, hot_words)
+    encoder = Encoder(ranks)
+    words, flat, offsets = hot_table(blocks, encoder, hot_words)
     hashes = word_hash(words)
     order = np.argsort(hashes, kind="stable")
     raw, bounds = as_bytes(words.take(pa.array(order)))
@@ -489,8 +505,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     pa.default_memory_pool().release_unused()
     left = map_arrow(blocks.drop("counts"), _look_up(hot),
                      f"doc_ids array<{id_type}>, sizes array<int>, tokens binary, words array<binary>, anew boolean")
-    return map_arrow(left.select("doc_ids", "sizes", "tokens", "anew", own.alias("own")), _assemble(hot_ids),
-                     f"doc_id {id_type}, ids array<int>")
+    return map_arrow(encoder.add(left, "own").drop("words"), _assemble(hot_ids), f"doc_id {id_type}, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", column: str = "decoded") -> DataFrame:

@@ -129,3 +129,32 @@ def test_words_are_shared_between_the_blocks_of_a_task(spark, monkeypatch, kept)
     texts = [" ".join(rnd.choices(vocabulary, k=rnd.randint(0, 15))) for _ in range(200)]
     got = bpe.encode(doc_frame(spark, list(enumerate(texts))).coalesce(2), RANKS, P.PATTERN, hot_words=5).collect()
     assert {r.doc_id: r.ids for r in got} == {i: REFERENCE.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_rank_table_has_every_merge_and_no_other():
+    made = bpe.merges(RANKS)
+    table = bpe.rank_table(RANKS, made)
+    merged = {(RANKS[two[0]], RANKS[two[1]]): RANKS[piece] for piece, two in made.items() if two}
+
+    def found(left, right):
+        at = table["bases"][left] + right
+        entry = int(table["slots"][at]) if at < len(table["slots"]) else -1
+        return entry % bpe.PAIR if entry // bpe.PAIR == left else None
+
+    assert all(found(*pair) == rank for pair, rank in merged.items())
+    rnd = random.Random(5)
+    n = len(table["bases"])
+    for pair in [(rnd.randrange(n), rnd.randrange(n)) for _ in range(100_000)] + [(i, i) for i in range(n)]:
+        assert found(*pair) == merged.get(pair)
+    top = bpe.PAIR_BITS + bpe.PLACE_BITS
+    for a, b in [(a, b) for a in range(256) for b in range(256)]:
+        entry = int(table["firsts"][a * 257 + b])
+        assert entry % bpe.PAIR == RANKS[bytes([a])]
+        assert entry >> top == merged.get((RANKS[bytes([a])], RANKS[bytes([b])]), bpe.NONE)
+
+
+def test_plans_do_not_hold_the_rank_table(spark):
+    """Plans go into events and the driver keeps their text; the table travels as a broadcast row."""
+    docs = doc_frame(spark, [(1, "plans stay small"), (2, "whatever the vocabulary")])
+    plan = bpe.encode(docs, RANKS, P.PATTERN)._jdf.queryExecution()
+    assert len(plan.toString()) < 50_000
