@@ -57,7 +57,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # n
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path(BPE_FILE))
-    return bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    # written between the two, so that a task never holds the Python workers of both
+    ids = stage(bpe.encode(docs, ranks, public_tokenizers.PATTERN), "pipeline_ids")
+    return bpe.decode(ids, ranks)
 
 
 def _stage(fn):
